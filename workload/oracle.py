@@ -61,7 +61,7 @@ _SERVICE_CASE = """CASE l_returnflag || l_linestatus WHEN 'AF' THEN 'hotel' WHEN
 _UNITS = """CAST(l_quantity AS INTEGER) AS nro_unidades, l_linenumber AS nro_pax,
     CASE l_returnflag WHEN 'A' THEN 'N' WHEN 'N' THEN 'S' ELSE 'P' END AS ind_tipo_unid,
     CASE l_linestatus WHEN 'F' THEN 'P' ELSE 'S' END AS ind_p_s,
-    CASE WHEN l_quantity = 48 THEN NULL ELSE l_extendedprice / 100 END AS imp_unitario"""
+    CASE WHEN l_quantity = 48 THEN NULL ELSE floor(l_extendedprice) / 100 END AS imp_unitario"""
 
 _END = "CASE WHEN l_quantity = 49 THEN NULL ELSE l_shipdate + to_days(l_linenumber) END"
 
@@ -452,8 +452,8 @@ STATEMENTS = {
         for name in ("hotel", "circuit", "other", "transfer", "endowments", "extra")
     )
     + ") GROUP BY ALL",
-    "null_safe_total": f"""SELECT operative_incoming, booking_id, {money('coalesce(cost_tax, 0) + coalesce(cost_field, 0)')} AS total,
-        {money('coalesce(cost_tax + cost_field, 0)')} AS total_fill_after FROM booking
+    "null_safe_total": f"""SELECT operative_incoming, booking_id, {money('coalesce(cost_tax, 0) + coalesce(cost_field, 0)', 2)} AS total,
+        {money('coalesce(cost_tax + cost_field, 0)', 2)} AS total_fill_after FROM booking
         LEFT JOIN tax_sum ON seq_rec = operative_incoming AND seq_reserva = booking_id
         LEFT JOIN cost_sum ON grec_seq_rec = operative_incoming AND rres_seq_reserva = booking_id""",
     "tax_sales_by_booking": f"""SELECT seq_rec, seq_reserva, {money('sum(sales_tax)')} AS sales_tax FROM kept_line GROUP BY ALL""",
@@ -501,14 +501,14 @@ STATEMENTS = {
     "tax_sales_transfer_pricing_eur": _measure("tax_sales_transfer_pricing_eur"),
     "tax_cost_transfer_pricing_eur": _measure("tax_cost_transfer_pricing_eur"),
     "transfer_pricing_eur": _measure("tax_transfer_pricing_eur"),
-    "transfer_price_by_booking": f"SELECT seq_rec, seq_reserva, {money('transfer_tax')} AS impuesto_canco FROM tax_sum",
-    "cost_by_booking": f"""SELECT grec_seq_rec AS seq_rec, rres_seq_reserva AS seq_reserva, {money('cost_field')} AS cost_field,
+    "transfer_price_by_booking": f"SELECT seq_rec, seq_reserva, {money('transfer_tax', 2)} AS impuesto_canco FROM tax_sum",
+    "cost_by_booking": f"""SELECT grec_seq_rec AS seq_rec, rres_seq_reserva AS seq_reserva, {money('cost_field', 2)} AS cost_field,
         unconverted AS unconverted_lines FROM cost_sum""",
-    "cost_by_booking_eur": f"""SELECT grec_seq_rec AS seq_rec, rres_seq_reserva AS seq_reserva, {money('cost_field_eur')} AS cost_field,
+    "cost_by_booking_eur": f"""SELECT grec_seq_rec AS seq_rec, rres_seq_reserva AS seq_reserva, {money('cost_field_eur', 2)} AS cost_field,
         unconverted_eur AS unconverted_lines FROM cost_sum""",
-    "tax_sales_eur_line_level": f"SELECT operative_incoming, booking_id, {money('sales_line_eur')} AS tax_sales_transfer_pricing_eur FROM totals",
-    "transfer_eur_line_level": f"SELECT operative_incoming, booking_id, {money('transfer_line_eur')} AS tax_transfer_pricing_eur FROM totals",
-    "cost_eur_line_level": f"SELECT operative_incoming, booking_id, {money('cost_line_eur')} AS tax_cost_transfer_pricing_eur FROM totals",
+    "tax_sales_eur_line_level": f"SELECT operative_incoming, booking_id, {money('sales_line_eur', 2)} AS tax_sales_transfer_pricing_eur FROM totals",
+    "transfer_eur_line_level": f"SELECT operative_incoming, booking_id, {money('transfer_line_eur', 2)} AS tax_transfer_pricing_eur FROM totals",
+    "cost_eur_line_level": f"SELECT operative_incoming, booking_id, {money('cost_line_eur', 2)} AS tax_cost_transfer_pricing_eur FROM totals",
     "sale_tax_lines": f"""SELECT grec_seq_rec_s, rres_seq_reserva,
         CAST(CASE WHEN ind_fec_cam_div = 'E' THEN fec_desde ELSE fec_creacion END AS DATE) AS date_ccy_exchange, regime,
         {money("CASE WHEN regime = 'GN' THEN line_tax ELSE 0 END")} AS tax_aux FROM sale_tax""",

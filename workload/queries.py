@@ -1,7 +1,8 @@
 """One query per operator and measure, over whole tables.
 
-Computed amounts leave as doubles rounded to 4 decimals or to their currency, so
-that the order in which a sum was added up cannot show.
+Computed amounts leave as doubles rounded to 4 decimals, converted totals to
+cents or to their currency, so that the order in which a sum was added up cannot
+show.
 """
 
 from __future__ import annotations
@@ -55,12 +56,8 @@ def money(column: Column | str, scale: int = 4) -> Column:
     return round_half_up(column, scale).cast("double")
 
 
-def plain(frame: DataFrame, *amounts: str) -> DataFrame:
-    return frame.withColumns({name: money(name) for name in amounts})
-
-
-def all_keys(r: Roles):
-    return measured(r.booking_view.select(*keys.BOOKING))
+def plain(frame: DataFrame, *amounts: str, scale: int = 4) -> DataFrame:
+    return frame.withColumns({name: money(name, scale) for name in amounts})
 
 
 # -- scalars ------------------------------------------------------------------
@@ -359,7 +356,7 @@ def null_safe_total(r: Roles) -> DataFrame:
     joined = priced.join(taxes, list(keys.BOOKING), "left").join(costs, list(keys.BOOKING), "left")
     filled = measures.null_safe_total(joined, "cost_tax", "cost_field", "total")
     lossy = measures.null_safe_total(filled, "cost_tax", "cost_field", "total_fill_after", fill_each=False)
-    return lossy.select(*keys.BOOKING, money("total").alias("total"), money("total_fill_after").alias("total_fill_after"))
+    return lossy.select(*keys.BOOKING, money("total", 2).alias("total"), money("total_fill_after", 2).alias("total_fill_after"))
 
 
 @query
@@ -499,23 +496,23 @@ def transfer_pricing_eur(r: Roles) -> DataFrame:
 @query
 def transfer_price_by_booking(r: Roles) -> DataFrame:
     priced = measures.priced_bookings(_base(r), r.fx)
-    return plain(measures.transfer_price_by_booking(r.books(), priced), "impuesto_canco")
+    return plain(measures.transfer_price_by_booking(r.books(), priced), "impuesto_canco", scale=2)
 
 
 @query
 def cost_by_booking(r: Roles) -> DataFrame:
-    return plain(measures.cost_by_booking(r.books(), measures.priced_bookings(_base(r), r.fx)), "cost_field")
+    return plain(measures.cost_by_booking(r.books(), measures.priced_bookings(_base(r), r.fx)), "cost_field", scale=2)
 
 
 @query
 def cost_by_booking_eur(r: Roles) -> DataFrame:
-    return plain(measures.cost_by_booking(r.books(), measures.priced_bookings(_base(r), r.fx), EUR), "cost_field")
+    return plain(measures.cost_by_booking(r.books(), measures.priced_bookings(_base(r), r.fx), EUR), "cost_field", scale=2)
 
 
 def _line_level(r: Roles, name: str) -> DataFrame:
     out = measures.EUR_NAMES[name]
     frame = measures.line_level_eur(r.books(), _base(r), name)
-    return plain(frame.select(*keys.BOOKING, out), out)
+    return plain(frame.select(*keys.BOOKING, out), out, scale=2)
 
 
 @query

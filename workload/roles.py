@@ -62,7 +62,7 @@ _DATED = (
     "l_linenumber as nro_pax",
     "case l_returnflag when 'A' then 'N' when 'N' then 'S' else 'P' end as ind_tipo_unid",
     "case l_linestatus when 'F' then 'P' else 'S' end as ind_p_s",
-    "case when l_quantity = 48 then null else l_extendedprice / 100 end as imp_unitario",
+    "case when l_quantity = 48 then null else floor(l_extendedprice) / 100 end as imp_unitario",
 )
 
 _END = "case when l_quantity = 49 then null else l_shipdate + make_dt_interval(l_linenumber) end"
