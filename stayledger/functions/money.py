@@ -13,12 +13,17 @@ EXACT = "decimal(28,6)"
 MAX_CURRENCY_DECIMALS = 4
 
 
-def embedded_tax(gross: Column, percent: Column) -> Column:
-    """Tax contained in a gross amount, ``gross * (1 - 1 / (1 + percent / 100))``.
+def tax_share(percent: Column) -> Column:
+    """Part of a gross amount that is tax, ``1 - 1 / (1 + percent / 100)``.
 
-    A rate of -100 percent has no net amount; the result is null, not an error.
+    A rate of -100 percent leaves no net amount; the result is null, not an error.
     """
-    return gross * (F.lit(1.0) - F.try_divide(F.lit(1.0), F.lit(1.0) + percent / F.lit(100.0)))
+    return F.lit(1.0) - F.try_divide(F.lit(1.0), F.lit(1.0) + percent / F.lit(100.0))
+
+
+def embedded_tax(gross: Column, percent: Column) -> Column:
+    """Tax contained in a gross amount."""
+    return gross * tax_share(percent)
 
 
 def regime_amount(regime: Column, special: Column, general: Column) -> Column:
@@ -28,12 +33,12 @@ def regime_amount(regime: Column, special: Column, general: Column) -> Column:
 
 def sales_tax(line: dict[str, Column]) -> Column:
     """Sales tax of one service line, 0 when an amount it needs is missing."""
+    margin = line["imp_margen_canal"]
     return F.coalesce(
         regime_amount(
             line["ind_tipo_regimen_fac"],
-            embedded_tax(line["imp_margen_canal"], line["pct_vta"]),
-            embedded_tax(line["imp_venta"], line["pct_vta"])
-            - embedded_tax(line["imp_venta"] - line["imp_margen_canal"], line["pct_cpa"]),
+            margin * line["share_vta"],
+            line["imp_venta"] * line["share_vta"] - (line["imp_venta"] - margin) * line["share_cpa"],
         ),
         F.lit(0.0),
     )
@@ -41,12 +46,12 @@ def sales_tax(line: dict[str, Column]) -> Column:
 
 def cost_tax(line: dict[str, Column]) -> Column:
     """Cost tax of one service line, 0 when an amount it needs is missing."""
+    margin = line["imp_margen_canco"]
     return F.coalesce(
         regime_amount(
             line["ind_tipo_regimen_con"],
-            embedded_tax(line["imp_margen_canco"], line["pct_vta"]),
-            embedded_tax(line["imp_coste"] + line["imp_margen_canco"], line["pct_vta"])
-            - embedded_tax(line["imp_coste"], line["pct_cpa"]),
+            margin * line["share_vta"],
+            (line["imp_coste"] + margin) * line["share_vta"] - line["imp_coste"] * line["share_cpa"],
         ),
         F.lit(0.0),
     )

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayledger.functions.money import cost_tax, sales_tax
+from stayledger.functions.money import cost_tax, sales_tax, tax_share
 from stayledger.operators.exclusions import EXTRA, without_excluded
 from stayledger.operators.lookup import Lookup
 
@@ -54,20 +54,24 @@ def service_lines(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def with_tax(lines: DataFrame, tax: Lookup, tax_type_on_sales_join: bool = True) -> DataFrame:
-    """Attach the sales-side (``pct_vta``) and purchase-side (``pct_cpa``) tax percentages.
+    """Attach the sales-side (``vta``) and purchase-side (``cpa``) tax: percentage and share of a gross amount.
 
     Lines without a tax row are dropped. Leaving the tax type out of the
-    sales-side key repeats a line for every tax type that shares its code.
+    sales-side key repeats a line for every tax type that shares its code. The
+    share is worked out once per tax row, not once per line.
     """
 
-    def side(key: tuple[tuple[str, str], ...], percent: str) -> Lookup:
+    def side(key: tuple[tuple[str, str], ...], name: str) -> Lookup:
+        percent = F.col("pct_impuesto")
         return tax.select(
-            *(F.col(table).alias(line) for line, table in key), F.col("pct_impuesto").alias(percent)
+            *(F.col(table).alias(line) for line, table in key),
+            percent.alias(f"pct_{name}"),
+            tax_share(percent).alias(f"share_{name}"),
         )
 
     sales_key = TAX_KEY if tax_type_on_sales_join else TAX_KEY[1:]
-    lines = side(sales_key, "pct_vta").join(lines, [line for line, _ in sales_key])
-    return side(TAX_KEY, "pct_cpa").join(lines, [line for line, _ in TAX_KEY])
+    lines = side(sales_key, "vta").join(lines, [line for line, _ in sales_key])
+    return side(TAX_KEY, "cpa").join(lines, [line for line, _ in TAX_KEY])
 
 
 def with_tax_amounts(taxed: DataFrame) -> DataFrame:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,9 +62,20 @@ def _salted(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_salt", salt)
 
 
+def measured_together(frames: Mapping[str, DataFrame], max_rows: int = BROADCAST_MAX_ROWS) -> dict[str, Lookup]:
+    """Check the sizes of several tables in one job, reading no more than ``max_rows + 1`` rows of each."""
+    if not frames:
+        return {}
+    probes = [
+        frame.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("rows")).withColumn("name", F.lit(name))
+        for name, frame in frames.items()
+    ]
+    rows = {row["name"]: row["rows"] for row in reduce(DataFrame.unionByName, probes).collect()}
+    return {name: Lookup(frame, rows[name] <= max_rows) for name, frame in frames.items()}
+
+
 def measured(frame: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Lookup:
-    """Check a table's size, reading no more than ``max_rows + 1`` rows of it."""
-    return Lookup(frame, frame.limit(max_rows + 1).count() <= max_rows)
+    return measured_together({"": frame}, max_rows)[""]
 
 
 def fixed(frame: DataFrame) -> Lookup:

@@ -96,12 +96,11 @@ def with_sale_tax(sales: DataFrame, tax: Lookup) -> DataFrame:
 
     Zero for record type 'BT'.
     """
-    percents = tax.select(
-        *(F.col(table).alias(line) for line, table in SALE_TAX_KEY), F.col("pct_impuesto").alias("pct_impuesto")
-    )
-    taxed = percents.join(countable(sales, NOT_TAX), [line for line, _ in SALE_TAX_KEY], "left")
+    divisor = F.lit(1.0) + F.col("pct_impuesto") / F.lit(100.0)
+    divisors = tax.select(*(F.col(table).alias(line) for line, table in SALE_TAX_KEY), divisor.alias("tax_divisor"))
+    taxed = divisors.join(countable(sales, NOT_TAX), [line for line, _ in SALE_TAX_KEY], "left")
     unit = F.col("imp_unitario")
-    unit_tax = unit - F.try_divide(unit, F.lit(1.0) + F.col("pct_impuesto") / F.lit(100.0))
+    unit_tax = unit - F.try_divide(unit, F.col("tax_divisor"))
     stated = F.coalesce(F.col("imp_impuesto"), sale_nights(unit_tax))
     return taxed.withColumns(
         {

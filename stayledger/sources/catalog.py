@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stayledger.operators.fx import FxRates
 from stayledger.operators.lines import SERVICES, service_lines
-from stayledger.operators.lookup import measured
+from stayledger.operators.lookup import measured_together
 from stayledger.operators.measures import Books
 from stayledger.sources.schemas import SCHEMAS
 
@@ -27,15 +27,18 @@ def parquet_reader(spark: SparkSession, folder: str) -> Reader:
 
 def load_books(read: Reader) -> Books:
     """Everything the measures read. Only the lookups' sizes are checked here; no table is cached."""
+    lookups = measured_together(
+        {name: read(name) for name in ("discount_bond", "campaign", "tax", "currency", "fx_rate")}
+    )
     return Books(
         lines=service_lines({name: read(name) for name in SERVICES}),
         costs=read("cost"),
         extra_bonds=read("extra_bond"),
-        discount_bonds=measured(read("discount_bond")),
-        campaigns=measured(read("campaign")),
-        tax=measured(read("tax")),
-        currencies=measured(read("currency")),
-        fx=FxRates(measured(read("fx_rate"))),
+        discount_bonds=lookups["discount_bond"],
+        campaigns=lookups["campaign"],
+        tax=lookups["tax"],
+        currencies=lookups["currency"],
+        fx=FxRates(lookups["fx_rate"]),
     )
 
 

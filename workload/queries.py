@@ -167,7 +167,7 @@ def holder_clean(r: Roles) -> DataFrame:
 
 @query
 def booking_flags(r: Roles) -> DataFrame:
-    return r.interfaces.select(F.col("cod_interface").alias("fint_cod_interface"), "partner_ttoo").join(
+    return r.lookup("interfaces").select(F.col("cod_interface").alias("fint_cod_interface"), "partner_ttoo").join(
         r.header, ["fint_cod_interface"], "left"
     ).select(
         "seq_reserva",
@@ -287,12 +287,12 @@ def left_join_measures(r: Roles) -> DataFrame:
 
 @query
 def contract_interval_join(r: Roles) -> DataFrame:
-    return header.contract_destinations(r.others, r.contracts, r.destinations).distinct()
+    return header.contract_destinations(r.others, *r.lookups("contracts", "destinations")).distinct()
 
 
 @query
 def coalesced_key_join(r: Roles) -> DataFrame:
-    return header.with_operator_and_market(r.header, r.operators, r.countries).select(
+    return header.with_operator_and_market(r.header, *r.lookups("operators", "countries")).select(
         "seq_reserva", "cod_pais_cliente", "gpai_cod_pais_mercado", "source_market", "source_market_iso"
     )
 
@@ -413,7 +413,7 @@ def fx_convert_round3(r: Roles) -> DataFrame:
 
 @query
 def daily_rate_join(r: Roles) -> DataFrame:
-    dated = with_daily_rate(r.header.select("seq_reserva", "fec_creacion", "gdiv_cod_divisa", "pct_comision"), r.daily_rates)
+    dated = with_daily_rate(r.header.select("seq_reserva", "fec_creacion", "gdiv_cod_divisa", "pct_comision"), r.lookup("daily_rates"))
     product = nvl(F.col("pct_comision"), F.lit(0.0)) * nvl(F.col("day_rate"), F.lit(0.0))
     return dated.select("seq_reserva", "gdiv_cod_divisa", money("day_rate").alias("day_rate"), money(product).alias("product"))
 
@@ -446,7 +446,7 @@ def partner_rate_asof(r: Roles) -> DataFrame:
     bookings = r.header.select(
         "seq_reserva", "gtto_seq_ttoo", F.to_date("fec_creacion").alias("created_on"), "gdiv_cod_divisa"
     ).withColumn("target", F.lit(EUR))
-    rated = fx.partner_rate(bookings, r.partner_rates, "gtto_seq_ttoo", "gdiv_cod_divisa", "target", "created_on", "rate")
+    rated = fx.partner_rate(bookings, r.lookup("partner_rates"), "gtto_seq_ttoo", "gdiv_cod_divisa", "target", "created_on", "rate")
     return rated.select("seq_reserva", "gtto_seq_ttoo", "gdiv_cod_divisa", money("rate").alias("rate"))
 
 
@@ -568,17 +568,17 @@ def tax_ttv_toms(r: Roles) -> DataFrame:
 
 @query
 def booking_header(r: Roles) -> DataFrame:
-    return header.booking_header(r.header, r.operators, r.countries, r.receptives, r.interfaces)
+    return header.booking_header(r.header, *r.lookups("operators", "countries", "receptives", "interfaces"))
 
 
 @query
 def first_hotel_destination(r: Roles) -> DataFrame:
-    return header.first_hotel_destination(r.hotel_sales, r.hotels, r.destinations)
+    return header.first_hotel_destination(r.hotel_sales, *r.lookups("hotels", "destinations"))
 
 
 @query
 def first_contract_destination(r: Roles) -> DataFrame:
-    return header.first_contract_destination(r.others, r.contracts, r.destinations)
+    return header.first_contract_destination(r.others, *r.lookups("contracts", "destinations"))
 
 
 @query
@@ -588,12 +588,12 @@ def first_application(r: Roles) -> DataFrame:
 
 @query
 def distinct_destinations(r: Roles) -> DataFrame:
-    return header.distinct_destinations(r.hotel_sales, r.hotels, r.destinations)
+    return header.distinct_destinations(r.hotel_sales, *r.lookups("hotels", "destinations"))
 
 
 @query
 def dedup_by_key(r: Roles) -> DataFrame:
-    rows = header.distinct_destinations(r.hotel_sales, r.hotels, r.destinations)
+    rows = header.distinct_destinations(r.hotel_sales, *r.lookups("hotels", "destinations"))
     return keys.first_per_key(rows, header.KEY, ["izge_cod_destino", "nom_destino"])
 
 

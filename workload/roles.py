@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayledger.operators.fx import FxRates, daily_rates
-from stayledger.operators.lookup import Lookup, fixed, measured
+from stayledger.operators.lookup import Lookup, fixed, measured_together
 from stayledger.operators.measures import Books
 from stayledger.plans.wide import HeaderTables
 from stayledger.settings import apply_settings
@@ -68,6 +68,25 @@ _DATED = (
 _END = "case when l_quantity = 49 then null else l_shipdate + make_dt_interval(l_linenumber) end"
 
 
+# Declared, so that no file is opened before a query runs.
+SAMPLE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": """
+        o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,
+        o_orderdate timestamp_ntz, o_orderpriority string
+    """,
+    "lineitem": """
+        l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,
+        l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,
+        l_shipdate timestamp_ntz
+    """,
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 # Columns of the three per-booking measure views.
 SALE_MEASURES = ("ttv", "tax_ttv", "tax_ttv_toms", "cli_comm", "tax_client_com", "cli_rappel", "tax_cli_rappel", "gsa_comm", "tax_gsa_comm")
 COST_MEASURES = ("booking_cost", "tax_cost", "tax_cost_toms")
@@ -103,9 +122,22 @@ class Roles:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = apply_settings(spark)
         self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
+        self._lookups: dict[str, Lookup] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.schema(SAMPLE_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
+
+    def lookups(self, *names: str) -> list[Lookup]:
+        """Lookups by role name; the sizes not known yet are checked in one job."""
+        new = [name for name in names if name not in self._lookups]
+        self._lookups |= measured_together({name: getattr(self, f"_{name}")() for name in new})
+        return [self._lookups[name] for name in names]
+
+    def lookup(self, name: str) -> Lookup:
+        return self.lookups(name)[0]
 
     def _values(self, rows: Sequence[tuple], ddl: str) -> Lookup:
         return fixed(inline(self.spark, rows, ddl))
@@ -243,14 +275,11 @@ class Roles:
             "'I' || cast(l_suppkey % 2 as string) as cod_interface",
         )
 
-    @cached_property
-    def discount_bonds(self) -> Lookup:
-        return measured(
-            self.table("part").selectExpr(
-                "p_partkey as num_bono",
-                "'I' || cast(p_partkey % 2 as string) as cod_interface",
-                "p_type as cod_campana",
-            )
+    def _discount_bonds(self) -> DataFrame:
+        return self.table("part").selectExpr(
+            "p_partkey as num_bono",
+            "'I' || cast(p_partkey % 2 as string) as cod_interface",
+            "p_type as cod_campana",
         )
 
     # -- written-out dimensions -------------------------------------------
@@ -294,38 +323,26 @@ class Roles:
 
     # -- header tables ----------------------------------------------------
 
-    @cached_property
-    def operators(self) -> Lookup:
-        return measured(
-            self.table("customer").selectExpr(
-                "c_custkey as seq_ttoo", "c_name as nom_corto_ttoo", "cast(c_nationkey as string) as gpai_cod_pais_mercado"
-            )
+    def _operators(self) -> DataFrame:
+        return self.table("customer").selectExpr(
+            "c_custkey as seq_ttoo", "c_name as nom_corto_ttoo", "cast(c_nationkey as string) as gpai_cod_pais_mercado"
         )
 
-    @cached_property
-    def countries(self) -> Lookup:
-        return measured(
-            self.table("nation").selectExpr("cast(n_nationkey as string) as cod_pais", "'X' || cast(n_nationkey as string) as cod_iso")
-        )
+    def _countries(self) -> DataFrame:
+        return self.table("nation").selectExpr("cast(n_nationkey as string) as cod_pais", "'X' || cast(n_nationkey as string) as cod_iso")
 
-    @cached_property
-    def receptives(self) -> Lookup:
-        return measured(
-            self.table("nation").selectExpr(
-                "cast(n_nationkey as bigint) as seq_rec",
-                "'C' || cast(n_regionkey as string) as semp_cod_emp",
-                "'O' || cast(n_nationkey as string) as sofi_cod_ofi",
-                "n_name as des_receptivo",
-            )
+    def _receptives(self) -> DataFrame:
+        return self.table("nation").selectExpr(
+            "cast(n_nationkey as bigint) as seq_rec",
+            "'C' || cast(n_regionkey as string) as semp_cod_emp",
+            "'O' || cast(n_nationkey as string) as sofi_cod_ofi",
+            "n_name as des_receptivo",
         )
 
-    @cached_property
-    def interfaces(self) -> Lookup:
-        return measured(
-            self.table("region").selectExpr(
-                "'I' || cast(r_regionkey as string) as cod_interface",
-                "case when r_regionkey in (1, 3) then null else r_name end as partner_ttoo",
-            )
+    def _interfaces(self) -> DataFrame:
+        return self.table("region").selectExpr(
+            "'I' || cast(r_regionkey as string) as cod_interface",
+            "case when r_regionkey in (1, 3) then null else r_name end as partner_ttoo",
         )
 
     @cached_property
@@ -347,25 +364,19 @@ class Roles:
             "case when l_discount < 0.05 then null else l_shipdate end as fec_cancelacion",
         )
 
-    @cached_property
-    def hotels(self) -> Lookup:
-        return measured(
-            self.table("supplier").selectExpr("s_suppkey as seq_hotel", "'D' || cast(s_nationkey as string) as izge_cod_destino")
-        )
+    def _hotels(self) -> DataFrame:
+        return self.table("supplier").selectExpr("s_suppkey as seq_hotel", "'D' || cast(s_nationkey as string) as izge_cod_destino")
 
-    @cached_property
-    def destinations(self) -> Lookup:
+    def _destinations(self) -> DataFrame:
         languages = self.table("nation").selectExpr(
             "'D' || cast(n_nationkey as string) as ides_cod_destino",
             "n_name",
             "explode(array('ENG', 'SPA')) as sidi_cod_idioma",
         )
-        return measured(
-            languages.selectExpr(
-                "ides_cod_destino",
-                "case sidi_cod_idioma when 'ENG' then n_name else n_name || '_ES' end as nom_destino",
-                "sidi_cod_idioma",
-            )
+        return languages.selectExpr(
+            "ides_cod_destino",
+            "case sidi_cod_idioma when 'ENG' then n_name else n_name || '_ES' end as nom_destino",
+            "sidi_cod_idioma",
         )
 
     @cached_property
@@ -378,23 +389,20 @@ class Roles:
             "cast(l_shipdate as date) as fec_desde",
         )
 
-    @cached_property
-    def contracts(self) -> Lookup:
+    def _contracts(self) -> DataFrame:
         """Two overlapping terms per part, in the five offices that share its number modulo 5."""
         terms = (
             self.table("part")
             .selectExpr("p_partkey", "explode(sequence(p_partkey % 5, 24L, 5L)) as seq_rec")
             .selectExpr("p_partkey", "seq_rec", "explode(array(0, 1)) as term")
         )
-        return measured(
-            terms.selectExpr(
-                "seq_rec",
-                "'CT' || cast(p_partkey as string) as nom_contrato",
-                "'T' || cast(p_partkey % 3 as string) as ind_tipo_otro",
-                "case term when 0 then date'1995-01-01' else date'1997-07-01' end as fec_desde",
-                "case term when 0 then date'1997-12-31' else date'2000-06-30' end as fec_hasta",
-                "'D' || cast((p_partkey + term) % 30 as string) as cod_destino",
-            )
+        return terms.selectExpr(
+            "seq_rec",
+            "'CT' || cast(p_partkey as string) as nom_contrato",
+            "'T' || cast(p_partkey % 3 as string) as ind_tipo_otro",
+            "case term when 0 then date'1995-01-01' else date'1997-07-01' end as fec_desde",
+            "case term when 0 then date'1997-12-31' else date'2000-06-30' end as fec_hasta",
+            "'D' || cast((p_partkey + term) % 30 as string) as cod_destino",
         )
 
     @cached_property
@@ -405,8 +413,7 @@ class Roles:
             "case when o_orderkey % 10 = 4 then 'ZZ' when o_orderstatus = 'P' then 'RR' when o_orderstatus = 'O' then 'CN' else 'RL' end as ind_status",
         )
 
-    @cached_property
-    def partner_rates(self) -> Lookup:
+    def _partner_rates(self) -> DataFrame:
         """Partners quote against EUR: some out of it, some into it, some both on one day."""
         quotes = self.table("customer").filter("c_custkey % 3 = 0").selectExpr(
             "c_custkey",
@@ -417,19 +424,16 @@ class Roles:
         kept = both.filter(
             "currency <> 'EUR' and (way = 'out' and c_custkey % 2 = 0 or way = 'in' and c_custkey % 4 <> 0)"
         )
-        return measured(
-            kept.selectExpr(
-                "c_custkey as seq_ttoo",
-                "fec_desde",
-                "case way when 'out' then currency else 'EUR' end as cod_divisa_ori",
-                "case way when 'out' then 'EUR' else currency end as cod_divisa_des",
-                "case way when 'out' then 0.5D + cast(c_custkey % 7 as double) / 8 else 2.0D + cast(year(fec_desde) % 4 as double) / 4 end as nro_tasa",
-            )
+        return kept.selectExpr(
+            "c_custkey as seq_ttoo",
+            "fec_desde",
+            "case way when 'out' then currency else 'EUR' end as cod_divisa_ori",
+            "case way when 'out' then 'EUR' else currency end as cod_divisa_des",
+            "case way when 'out' then 0.5D + cast(c_custkey % 7 as double) / 8 else 2.0D + cast(year(fec_desde) % 4 as double) / 4 end as nro_tasa",
         )
 
-    @cached_property
-    def daily_rates(self) -> Lookup:
-        return measured(daily_rates(self.table("orders"), "o_orderdate", self.fx, "EUR"))
+    def _daily_rates(self) -> DataFrame:
+        return daily_rates(self.table("orders"), "o_orderdate", self.fx, "EUR")
 
     @cached_property
     def measure_views(self) -> list[DataFrame]:
@@ -455,7 +459,7 @@ class Roles:
             "lines": self.lines,
             "costs": self.costs,
             "extra_bonds": self.extra_bonds,
-            "discount_bonds": self.discount_bonds,
+            "discount_bonds": self.lookup("discount_bonds"),
             "campaigns": self.campaigns,
             "tax": self.tax,
             "currencies": self.currencies,
@@ -464,19 +468,13 @@ class Roles:
         return Books(**{**inputs, **changes})
 
     def header_tables(self) -> HeaderTables:
+        names = ("operators", "countries", "receptives", "interfaces", "hotels", "contracts", "destinations", "daily_rates")
         return HeaderTables(
             header=self.header,
-            operators=self.operators,
-            countries=self.countries,
-            receptives=self.receptives,
-            interfaces=self.interfaces,
             information=self.information,
             hotel_sales=self.hotel_sales,
-            hotels=self.hotels,
             others=self.others,
-            contracts=self.contracts,
-            destinations=self.destinations,
             resales=self.resales,
-            daily_rates=self.daily_rates,
             measures=self.measure_views,
+            **dict(zip(names, self.lookups(*names), strict=True)),
         )
