@@ -13,6 +13,10 @@ SQL_SETTINGS = {
     # partitions even where the split costs one more exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Nothing is broadcast on an estimate made from compressed file sizes. Lookups
+    # are counted first, and AQE goes by the bytes a finished stage has produced.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     # Bookings of one day filter the line tables before their shuffle.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.session.timeZone": "UTC",

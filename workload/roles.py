@@ -243,16 +243,14 @@ class Roles:
 
     @cached_property
     def sales(self) -> DataFrame:
-        types = " ".join(
-            f"when {n} then '{code}'" for n, code in enumerate(("O", "V", "D", "W", "Y", "IT", "CH", "BT"))
-        )
+        types = "array('O', 'V', 'D', 'W', 'Y', 'IT', 'CH', 'BT')"
         return self.table("lineitem").selectExpr(
             f"l_orderkey % {OFFICES} as grec_seq_rec_s",
             "l_orderkey as rres_seq_reserva",
             "l_shipdate as fec_desde_s",
             f"{_END} as fec_hasta_s",
             *_DATED,
-            f"case cast(round(l_discount * 100) as int) {types} else 'H' end as ind_tipo_registro",
+            f"coalesce(try_element_at({types}, cast(round(l_discount * 100) as int) + 1), 'H') as ind_tipo_registro",
             "case when l_partkey % 4 = 0 then 'N' else 'S' end as ind_facturable",
             "case when l_partkey % 9 = 0 then 'S' else 'N' end as ind_contra_apunte",
             "case when l_suppkey % 2 = 0 then l_extendedprice * l_tax end as imp_impuesto",
