@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayledger.functions.money import round_by_decimals, round_half_up
@@ -42,20 +42,13 @@ class FxRates:
         lookup is an equality on the day. Days after the last snapshot read as
         the last one. The calendar has one row per day, whatever the data size.
         """
-        snapshots = self.rates.frame.select("snapshot_date").distinct()
-        last = snapshots.agg(F.max("snapshot_date")).scalar()
-        # One row per snapshot day: ordering all of them in one task is bounded by the calendar.
-        following = F.lead("snapshot_date").over(Window.orderBy("snapshot_date"))
-        calendar = snapshots.withColumn("_next", following).select(
-            F.explode(
-                F.sequence(
-                    "snapshot_date",
-                    F.coalesce(F.date_sub("_next", 1), "snapshot_date"),
-                    F.expr("interval 1 day"),
-                )
-            ).alias("_day"),
-            F.col("snapshot_date").alias(out),
-        )
+        last = self.rates.frame.agg(F.max("snapshot_date")).scalar()
+        # The array holds one element per snapshot day: bounded by the calendar.
+        snapshots = self.rates.frame.agg(F.array_sort(F.collect_set("snapshot_date")).alias("_days"))
+        starts = snapshots.select("_days", F.posexplode("_days").alias("_position", out))
+        following = F.date_sub(F.get("_days", F.col("_position") + 1), 1)
+        valid = F.sequence(F.col(out), F.coalesce(following, F.col(out)), F.expr("interval 1 day"))
+        calendar = starts.select(F.explode(valid).alias("_day"), out)
         day = F.to_date(date)
         dated = rows.withColumn("_day", F.when(day.isNotNull(), F.least(day, last)))
         return fixed(calendar).join(dated, ["_day"], "left").drop("_day")

@@ -7,15 +7,21 @@ from datetime import date
 
 from pyspark.sql import SparkSession
 
-from stayledger.plans.extract import build_extract
+from stayledger.plans.extract import base_bookings, extract_of, few_bookings
 from stayledger.settings import apply_settings
 from stayledger.sources.catalog import load_books, parquet_reader
+from stayledger.sources.materialize import materialized
 from stayledger.sources.sinks import FORMATS, report, write_extract
 
 
-def run(spark: SparkSession, run_date: date, source: str, target: str, formats: tuple[str, ...], top: int | None) -> tuple[int, list[str]]:
+def run(
+    spark: SparkSession, run_date: date, source: str, target: str, formats: tuple[str, ...], top: int | None
+) -> tuple[int, list[str]]:
+    """Write the extract of a date; return its row count and columns."""
     read = parquet_reader(spark, source)
-    extract = build_extract(load_books(read), read("booking_interface"), run_date, top)
+    # Read once: the day is counted, priced and joined, and must be the same each time.
+    day = materialized(base_bookings(read("booking_interface"), run_date, top))
+    extract = extract_of(few_bookings(load_books(read), day), day)
     paths = write_extract(extract, target, run_date, formats)
     first = min(formats, key=FORMATS.index)
     return report(spark, paths[first], first)

@@ -53,13 +53,22 @@ def with_midnights(extract: DataFrame) -> DataFrame:
     return extract.withColumns({name: midnight(F.col(name)) for name in DATE_FIELDS})
 
 
-def build_extract(books: Books, view: DataFrame, run_date: date | None = None, top: int | None = None) -> DataFrame:
-    """Bookings of a date with all measures. One plan, to be written once.
+def extract_of(books: Books, base: DataFrame) -> DataFrame:
+    """The base bookings with all measures and midnight dates."""
+    return with_midnights(with_measures(books, base))
+
+
+def few_bookings(books: Books, base: DataFrame) -> Books:
+    """Books narrowed to a selection of bookings.
 
-    The day's bookings are counted (up to the broadcast bound) to decide whether
-    they can filter the line tables where those are read.
+    The bookings are counted, up to the broadcast bound, to decide whether they
+    can filter the line tables where those are read.
     """
+    return books.scoped(measured(base.select(*BOOKING)))
+
+
+def build_extract(books: Books, view: DataFrame, run_date: date | None = None, top: int | None = None) -> DataFrame:
+    """Bookings of a date with all measures. One plan, to be written once."""
     base = base_bookings(view, run_date, top)
-    if run_date is not None or top is not None:
-        books = books.scoped(measured(base.select(*BOOKING)))
-    return with_midnights(with_measures(books, base))
+    whole = run_date is None and top is None
+    return extract_of(books if whole else few_bookings(books, base), base)

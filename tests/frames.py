@@ -78,3 +78,13 @@ def books(
         fx=FxRates(Lookup(rates_from_mapping(spark, FX_MAPPING), small)),
         **changes,
     )
+
+
+def book_rows() -> tuple[dict, list]:
+    """Services and costs of 20 bookings, one of which owns most rows."""
+    numbers = [n % 20 if n % 3 else 1 for n in range(120)]
+    services = {
+        "hotel": [line(1, n, venta=100.0 + i) for i, n in enumerate(numbers)],
+        "extra": [line(1, n, extra=i % 4) for i, n in enumerate(numbers)],
+    }
+    return services, [cost(1, n, amount=1.0 + i, ccy=("EUR", "USD", "GBP")[i % 3], extra=i % 4) for i, n in enumerate(numbers)]

@@ -111,16 +111,12 @@ def round_half_up_query(r: Roles) -> DataFrame:
 
 @query
 def round_by_currency(r: Roles) -> DataFrame:
-    priced = r.table("orders").select(
-        "o_orderkey", "o_custkey", (F.col("o_totalprice") / 8).alias("amount"), (F.col("o_totalprice") / 8).alias("partial")
-    )
-    named = priced.join(
-        r.booking_view.select(F.col("booking_id").alias("o_orderkey"), "booking_currency"), ["o_orderkey"]
-    )
-    known = fx.round_to_currency(named, ["amount"], "booking_currency", r.currencies)
+    eighth = F.col("amount") / 8
+    amounts = r.booking_amounts.select("booking_id", "booking_currency", eighth.alias("amount"), eighth.alias("partial"))
+    known = fx.round_to_currency(amounts, ["amount"], "booking_currency", r.currencies)
     both = fx.round_to_currency(known, ["partial"], "booking_currency", r.currencies_without_kwd)
     return both.select(
-        "o_orderkey",
+        F.col("booking_id").alias("o_orderkey"),
         "booking_currency",
         F.col("amount").cast("double").alias("amount"),
         F.col("partial").cast("double").alias("amount_kwd_unknown"),
@@ -403,11 +399,10 @@ def fx_convert(r: Roles) -> DataFrame:
 
 @query
 def fx_convert_round3(r: Roles) -> DataFrame:
-    priced = measures.priced_bookings(r.booking_view.select("booking_id", "creation_date", "booking_currency"), r.fx)
-    amounts = r.table("orders").select(F.col("o_orderkey").alias("booking_id"), "o_totalprice")
-    return priced.join(amounts, ["booking_id"]).select(
+    priced = measures.priced_bookings(r.booking_amounts, r.fx)
+    return priced.select(
         "booking_id",
-        fx.exchanged_cents(F.col("o_totalprice"), F.col("booking_rate"), F.col("eur_rate")).cast("double").alias("total_eur"),
+        fx.exchanged_cents(F.col("amount"), F.col("booking_rate"), F.col("eur_rate")).cast("double").alias("total_eur"),
     )
 
 
@@ -420,14 +415,16 @@ def daily_rate_join(r: Roles) -> DataFrame:
 
 @query
 def fx_with_spread(r: Roles) -> DataFrame:
-    kinds = F.element_at(F.array(F.lit("V"), F.lit("C"), F.lit("F"), F.lit("Z")), (F.col("booking_id") % 4 + 1).cast("int"))
-    bookings = r.booking_view.select("booking_id", "creation_date", "booking_currency", kinds.alias("spread"))
-    amounts = r.table("orders").select(F.col("o_orderkey").alias("booking_id"), "o_totalprice")
-    converted = r.fx.convert(
-        bookings.join(amounts, ["booking_id"]), F.col("o_totalprice"), F.col("booking_currency"), EUR, F.col("creation_date"), "eur"
-    ).withColumn("target", F.lit(EUR))
-    spread = fx.with_spread(converted, r.spreads, "M", "booking_currency", "target", "creation_date", "spread", "eur", "eur_with_spread")
-    return spread.select("booking_id", "spread", money("eur", 2).alias("eur"), money("eur_with_spread", 2).alias("eur_with_spread"))
+    sides = F.array(*(F.lit(code) for code in ("V", "C", "F", "Z")))
+    bookings = r.booking_amounts.withColumns(
+        {"spread": F.element_at(sides, (F.col("booking_id") % 4 + 1).cast("int")), "target": F.lit(EUR)}
+    )
+    day = F.col("creation_date")
+    converted = r.fx.convert(bookings, F.col("amount"), F.col("booking_currency"), EUR, day, "eur")
+    raised = fx.with_spread(
+        converted, r.spreads, "M", "booking_currency", "target", "creation_date", "spread", "eur", "eur_with_spread"
+    )
+    return raised.select("booking_id", "spread", money("eur", 2).alias("eur"), money("eur_with_spread", 2).alias("eur_with_spread"))
 
 
 @query

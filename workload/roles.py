@@ -165,6 +165,16 @@ class Roles:
             "0.0D as tax_cost_transfer_pricing_eur",
         )
 
+    @cached_property
+    def booking_amounts(self) -> DataFrame:
+        """An amount in booking currency on each booking."""
+        return self.table("orders").selectExpr(
+            "o_orderkey as booking_id",
+            "cast(o_orderdate as date) as creation_date",
+            f"{_currency('o_custkey')} as booking_currency",
+            "o_totalprice as amount",
+        )
+
     @cached_property
     def header(self) -> DataFrame:
         return self.table("orders").selectExpr(
