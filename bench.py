@@ -1,7 +1,7 @@
 """Time the headline queries and print one JSON line.
 
 ``BENCH_SF_DIR`` (default /root/testdata/sf0.1) and ``BENCH_CPUS`` (default 8)
-choose the tables and the cores. Every query runs to completion into a sink that
+choose the tables and the cores. After one warm-up, every query runs to completion into a sink that
 discards its rows; the time includes planning.
 """
 
@@ -36,7 +36,8 @@ HEADLINES = (
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session(os.environ.get("BENCH_CPUS", "8"), app="bench")
-    spark.read.parquet(f"{folder}/lineitem.parquet").groupBy("l_returnflag").count().collect()
+    # One untimed run loads and compiles what a long-lived session already has.
+    bind(REGISTRY[HEADLINES[0]])(spark, folder).write.format("noop").mode("overwrite").save()
     seconds = {}
     for name in HEADLINES:
         start = time.perf_counter()

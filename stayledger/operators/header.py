@@ -57,7 +57,7 @@ def with_receptives(header: DataFrame, receptives: Lookup) -> DataFrame:
         )
 
     operating = role("grec_seq_rec", "re").join(header, ["grec_seq_rec"], "left")
-    return role("seq_rec_hbeds", "rf").join(operating, ["seq_rec_hbeds"], "left")
+    return role("seq_rec_invoicing", "rf").join(operating, ["seq_rec_invoicing"], "left")
 
 
 def with_interface(header: DataFrame, interfaces: Lookup) -> DataFrame:

@@ -63,11 +63,15 @@ def _salted(rows: DataFrame) -> DataFrame:
 
 
 def measured_together(frames: Mapping[str, DataFrame], max_rows: int = BROADCAST_MAX_ROWS) -> dict[str, Lookup]:
-    """Check the sizes of several tables in one job, reading no more than ``max_rows + 1`` rows of each."""
+    """Count several tables in one job.
+
+    Every task counts its own rows. A row limit would stop earlier, but sends up
+    to that many rows of each partition through a single task.
+    """
     if not frames:
         return {}
     probes = [
-        frame.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("rows")).withColumn("name", F.lit(name))
+        frame.agg(F.count(F.lit(1)).alias("rows")).withColumn("name", F.lit(name))
         for name, frame in frames.items()
     ]
     rows = {row["name"]: row["rows"] for row in reduce(DataFrame.unionByName, probes).collect()}

@@ -61,8 +61,8 @@ def extract_of(books: Books, base: DataFrame) -> DataFrame:
 def few_bookings(books: Books, base: DataFrame) -> Books:
     """Books narrowed to a selection of bookings.
 
-    The bookings are counted, up to the broadcast bound, to decide whether they
-    can filter the line tables where those are read.
+    The bookings are counted to decide whether they can filter the line tables
+    where those are read.
     """
     return books.scoped(measured(base.select(*BOOKING)))
 

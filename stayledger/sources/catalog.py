@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,6 +10,7 @@ from stayledger.operators.fx import FxRates
 from stayledger.operators.lines import SERVICES, service_lines
 from stayledger.operators.lookup import measured_together
 from stayledger.operators.measures import Books
+from stayledger.plans.wide import HeaderTables
 from stayledger.sources.schemas import SCHEMAS
 
 Reader = Callable[[str], DataFrame]
@@ -42,6 +43,41 @@ def load_books(read: Reader) -> Books:
     )
 
 
+def load_header_tables(read: Reader, views: Sequence[str]) -> HeaderTables:
+    """Everything the wide extract reads; ``views`` names the per-booking measure views."""
+    lookups = measured_together(
+        {
+            name: read(name)
+            for name in (
+                "tour_operator",
+                "country",
+                "receptive",
+                "interface",
+                "hotel_master",
+                "contract_other",
+                "destination",
+                "daily_rate",
+            )
+        }
+    )
+    return HeaderTables(
+        header=read("booking"),
+        operators=lookups["tour_operator"],
+        countries=lookups["country"],
+        receptives=lookups["receptive"],
+        interfaces=lookups["interface"],
+        information=read("booking_information"),
+        hotel_sales=read("hotel_sale"),
+        hotels=lookups["hotel_master"],
+        others=read("other_service"),
+        contracts=lookups["contract_other"],
+        destinations=lookups["destination"],
+        resales=read("resale"),
+        daily_rates=lookups["daily_rate"],
+        measures=[read(name) for name in views],
+    )
+
+
 def register_views(tables: Mapping[str, DataFrame], prefix: str = "") -> None:
     """Make tables available to SQL. Each gets its own name, never one that is redefined later."""
     for name, table in tables.items():

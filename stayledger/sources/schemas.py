@@ -55,4 +55,25 @@ SCHEMAS = {
     "booking_information": """
         seq_rec bigint, seq_reserva bigint, fec_creacion timestamp_ntz, tipo_op string, aplicacion string
     """,
+    "booking": """
+        grec_seq_rec bigint, seq_reserva bigint, gdiv_cod_divisa string, fec_creacion timestamp_ntz,
+        fec_modifica timestamp_ntz, fec_cancelacion timestamp_ntz, fec_desde timestamp_ntz, fec_hasta timestamp_ntz,
+        gtto_seq_ttoo bigint, cod_pais_cliente string, nro_ad int, nro_ni int, fint_cod_interface string,
+        seq_rec_invoicing bigint, nom_general string, ind_tipo_credito string, gdep_cod_depart string,
+        rtre_cod_tipo_res string, ind_facturable_res string, ind_facturable_adm string, pct_comision double,
+        pct_rappel double, ind_confirma string, cod_divisa_p string, seq_ttoo_p bigint, cod_suc_p bigint,
+        seq_agencia_p bigint, seq_sucursal_p bigint, seq_rec_expediente bigint, seq_res_expediente bigint,
+        ind_tippag string, ind_fec_cam_div string
+    """,
+    "tour_operator": "seq_ttoo bigint, nom_corto_ttoo string, gpai_cod_pais_mercado string",
+    "country": "cod_pais string, cod_iso string",
+    "receptive": "seq_rec bigint, semp_cod_emp string, sofi_cod_ofi string, des_receptivo string",
+    "interface": "cod_interface string, partner_ttoo string",
+    "hotel_sale": """
+        grec_seq_rec bigint, rres_seq_reserva bigint, ghor_seq_hotel bigint, fec_cancelacion timestamp_ntz
+    """,
+    "hotel_master": "seq_hotel bigint, izge_cod_destino string",
+    "destination": "ides_cod_destino string, nom_destino string, sidi_cod_idioma string",
+    "resale": "seq_rec bigint, seq_reserva bigint, ind_status string",
+    "daily_rate": "date date, currency string, rate double",
 }

@@ -3,9 +3,11 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from stayledger.operators.keys import BOOKING
 from stayledger.operators.lookup import Lookup
-from stayledger.operators.measures import Books
+from stayledger.operators.measures import Books, booking_taxes, with_measures
 from workload.queries import REGISTRY, RUN_DATE
 from workload.roles import Roles
 
@@ -82,11 +84,23 @@ def test_nothing_is_broadcast_when_no_lookup_is_small(spark):
     large = {
         name: Lookup(value.frame, False) for name, value in vars(given).items() if isinstance(value, Lookup)
     }
-    from stayledger.operators.measures import booking_taxes
-
     text = plan(booking_taxes(Books(**{**vars(given), **large})))
     assert "Broadcast" not in text and "_salt" in text
 
 
+def test_a_day_too_large_to_broadcast_filters_scans_by_bloom_filter(spark):
+    roles = Roles(spark, FOLDER)
+    day = roles.booking_view.filter(F.col("creation_date") == F.lit(RUN_DATE))
+    threshold = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    spark.conf.set(threshold, "0")
+    try:
+        text = with_measures(roles.books(), day.select(*BOOKING, "creation_date", "booking_currency"))
+        optimized = text._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset(threshold)
+    filters = [line for line in optimized.splitlines() if "might_contain" in line]
+    assert len(filters) >= 2 and all("l_orderkey" in line for line in filters[:2])
+
+
 def test_run_date_is_in_range():
     assert 1995 <= RUN_DATE.year <= 2001

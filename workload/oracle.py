@@ -110,7 +110,7 @@ TABLES = {
         o_custkey AS gtto_seq_ttoo,
         CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_orderkey % {OFFICES} AS VARCHAR) END AS cod_pais_cliente,
         CAST(o_custkey % 4 + 1 AS INTEGER) AS nro_ad, CAST(o_custkey % 3 AS INTEGER) AS nro_ni,
-        'I' || (o_orderkey % 6) AS fint_cod_interface, o_custkey % 30 AS seq_rec_hbeds,
+        'I' || (o_orderkey % 6) AS fint_cod_interface, o_custkey % 30 AS seq_rec_invoicing,
         o_orderpriority || ';' || o_orderkey || ';' AS nom_general, substr(o_orderpriority, 1, 1) AS ind_tipo_credito,
         'D' || (o_custkey % 9) AS gdep_cod_depart, o_orderstatus AS rtre_cod_tipo_res,
         CASE WHEN o_orderkey % 2 = 0 THEN 'S' ELSE 'N' END AS ind_facturable_res,
@@ -267,7 +267,7 @@ TABLES = {
     "dimensioned": """SELECT s.*, re.semp_cod_emp AS semp_cod_emp_re, re.sofi_cod_ofi AS sofi_cod_ofi_re, re.des_receptivo AS des_receptivo_re,
         rf.seq_rec AS seq_rec_rf, rf.semp_cod_emp AS semp_cod_emp_rf, rf.sofi_cod_ofi AS sofi_cod_ofi_rf, i.partner_ttoo
         FROM sold s LEFT JOIN receptive re ON re.seq_rec = s.grec_seq_rec
-        LEFT JOIN receptive rf ON rf.seq_rec = s.seq_rec_hbeds
+        LEFT JOIN receptive rf ON rf.seq_rec = s.seq_rec_invoicing
         LEFT JOIN interface i ON i.cod_interface = s.fint_cod_interface""",
     "partner_quote": f"""SELECT c_custkey AS seq_ttoo, d.fec_desde,
         CASE w.way WHEN 'out' THEN {currency('c_custkey')} ELSE 'EUR' END AS ori,

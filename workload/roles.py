@@ -191,7 +191,7 @@ class Roles:
             "cast(o_custkey % 4 + 1 as int) as nro_ad",
             "cast(o_custkey % 3 as int) as nro_ni",
             "'I' || cast(o_orderkey % 6 as string) as fint_cod_interface",
-            "o_custkey % 30 as seq_rec_hbeds",
+            "o_custkey % 30 as seq_rec_invoicing",
             "o_orderpriority || ';' || cast(o_orderkey as string) || ';' as nom_general",
             "substr(o_orderpriority, 1, 1) as ind_tipo_credito",
             "'D' || cast(o_custkey % 9 as string) as gdep_cod_depart",
