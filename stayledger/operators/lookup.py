@@ -62,23 +62,24 @@ def _salted(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_salt", salt)
 
 
-def measured_together(frames: Mapping[str, DataFrame], max_rows: int = BROADCAST_MAX_ROWS) -> dict[str, Lookup]:
-    """Count several tables in one job.
+def measured_together(frames: Mapping[str, DataFrame], max_rows: int | None = None) -> dict[str, Lookup]:
+    """Count several tables in one job; up to ``max_rows`` (BROADCAST_MAX_ROWS) makes a table small.
 
     Every task counts its own rows. A row limit would stop earlier, but sends up
     to that many rows of each partition through a single task.
     """
     if not frames:
         return {}
+    bound = BROADCAST_MAX_ROWS if max_rows is None else max_rows
     probes = [
         frame.agg(F.count(F.lit(1)).alias("rows")).withColumn("name", F.lit(name))
         for name, frame in frames.items()
     ]
     rows = {row["name"]: row["rows"] for row in reduce(DataFrame.unionByName, probes).collect()}
-    return {name: Lookup(frame, rows[name] <= max_rows) for name, frame in frames.items()}
+    return {name: Lookup(frame, rows[name] <= bound) for name, frame in frames.items()}
 
 
-def measured(frame: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Lookup:
+def measured(frame: DataFrame, max_rows: int | None = None) -> Lookup:
     return measured_together({"": frame}, max_rows)[""]
 
 

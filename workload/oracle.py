@@ -305,10 +305,10 @@ def _wide() -> str:
     from stayledger.plans.wide import BOOKING_CURRENCY_MEASURES, EUR_MEASURES, UNSUPPLIED
 
     twins = ", ".join(
-        f"{money(f'coalesce({source}, 0)')} AS {name}, {money(f'coalesce({source}, 0) * coalesce(day_rate, 0)')} AS {eur}"
+        f"{money(f'coalesce({source}, 0)', 2)} AS {name}, {money(f'coalesce({source}, 0) * coalesce(day_rate, 0)', 2)} AS {eur}"
         for name, eur, source in BOOKING_CURRENCY_MEASURES
     )
-    euros = ", ".join(f"{money(f'coalesce({source}, 0)')} AS {name}" for name, source in EUR_MEASURES)
+    euros = ", ".join(f"{money(f'coalesce({source}, 0)', 2)} AS {name}" for name, source in EUR_MEASURES)
     zeros = ", ".join(f"0 AS {name}" for name in UNSUPPLIED)
     return f"""SELECT grec_seq_rec, seq_reserva, gdiv_cod_divisa, fec_creacion, semp_cod_emp_rf,
         grec_seq_rec || '-' || seq_reserva AS interface_id, semp_cod_emp_re AS operative_company, sofi_cod_ofi_re AS operative_office,
@@ -323,8 +323,8 @@ def _wide() -> str:
         gtto_seq_ttoo AS client_code, nom_corto_ttoo AS customer_name, source_market, source_market_iso,
         replace(nom_general, ';', '') AS holder, ind_tipo_credito AS credit_type, nro_ad AS num_adults, nro_ni AS num_childrens,
         gdep_cod_depart AS department_code, rtre_cod_tipo_res AS booking_type, ind_facturable_res AS invoicing_booking,
-        ind_facturable_adm AS invoicing_admin, {money('coalesce(pct_comision, 0)')} AS client_commision_esp,
-        {money('coalesce(pct_rappel, 0)')} AS client_override_esp, ind_confirma AS confirmed_booking,
+        ind_facturable_adm AS invoicing_admin, {money('coalesce(pct_comision, 0)', 2)} AS client_commision_esp,
+        {money('coalesce(pct_rappel, 0)', 2)} AS client_override_esp, ind_confirma AS confirmed_booking,
         CASE WHEN partner_ttoo IS NULL THEN 'N' ELSE 'S' END AS Partner_booking, coalesce(cod_divisa_p, '') AS Partner_booking_currency,
         coalesce(seq_ttoo_p, 0) AS Partner_code, coalesce(cod_suc_p, 0) AS Partner_brand, coalesce(seq_agencia_p, 0) AS Partner_agency_code,
         coalesce(seq_sucursal_p, 0) AS Partner_agency_brand, coalesce(seq_rec_expediente, 0) AS Booking_file_incoming,

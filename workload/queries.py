@@ -604,7 +604,7 @@ def destination_code(r: Roles) -> DataFrame:
 @query
 def booking_extract_wide(r: Roles) -> DataFrame:
     wide = build_wide_extract(r.header_tables(), *WIDE_RANGE)
-    return plain(wide, *(name for name, kind in wide.dtypes if kind == "double"))
+    return plain(wide, *(name for name, kind in wide.dtypes if kind == "double"), scale=2)
 
 
 # -- assembly -----------------------------------------------------------------
