@@ -21,7 +21,7 @@ def latest_on_or_before(
     """
     keys = [right for _, right in on]
     until = F.lead(since).over(Window.partitionBy(*keys).orderBy(since))
-    intervals = Lookup(history.frame.withColumn("_until", until), history.small)
+    intervals = history.of(history.frame.withColumn("_until", until))
     valid = (F.col(at) >= F.col(since)) & (F.col("_until").isNull() | (F.col(at) < F.col("_until")))
     return intervals.join_where(rows, on, valid, "left").drop("_until")
 
@@ -32,7 +32,7 @@ def first_on_or_after(
     """Attach the history row with the smallest ``since`` not before ``at``; nulls when there is none."""
     keys = [right for _, right in on]
     previous = F.lag(since).over(Window.partitionBy(*keys).orderBy(since))
-    intervals = Lookup(history.frame.withColumn("_previous", previous), history.small)
+    intervals = history.of(history.frame.withColumn("_previous", previous))
     valid = (F.col(at) <= F.col(since)) & (
         F.col("_previous").isNull() | (F.col(at) > F.col("_previous"))
     )

@@ -18,7 +18,7 @@ def exclusion_keys(extra_bonds: DataFrame, discount_bonds: Lookup, campaigns: Lo
     """
     unprofitable = campaigns.filter(F.col("ind_rentabilidad") == "N").select("cod_campana", "cod_interface")
     bonds = unprofitable.join(discount_bonds.frame, ["cod_campana", "cod_interface"], "left_semi")
-    bonds = Lookup(bonds.select("num_bono", "cod_interface"), discount_bonds.small)
+    bonds = discount_bonds.of(bonds.select("num_bono", "cod_interface"))
     excluded = bonds.join(extra_bonds, ["num_bono", "cod_interface"], "left_semi")
     return excluded.select(
         F.col("grec_seq_rec").alias("seq_rec"), F.col("rres_seq_reserva").alias("seq_reserva"), "ord_extra"

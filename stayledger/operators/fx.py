@@ -152,7 +152,7 @@ def partner_rate(
     )
     keyed = rows.withColumns({"_a": F.least(source, target), "_b": F.greatest(source, target)})
     on = [(partner, "_partner"), ("_a", "_low"), ("_b", "_high")]
-    matched = latest_on_or_before(keyed, Lookup(quotes, rates.small), on, at, "_since")
+    matched = latest_on_or_before(keyed, rates.of(quotes), on, at, "_since")
 
     def quoted(direct: str, reverse: str) -> Column:
         return F.coalesce(F.col(direct), F.try_divide(F.lit(1.0), F.col(reverse)))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 # A lookup of up to this many (narrow) rows is sent to every executor.
 BROADCAST_MAX_ROWS = 200_000
 
-# Copies of an oversized lookup, and so the number of tasks one hot key is spread over.
+# Up to this many, the lookup is small next to the rows it joins and can be copied.
+SALT_MAX_ROWS = 20_000_000
+
+# Copies of such a lookup, and so the number of tasks one hot key is spread over.
 SALTS = 32
 
 
@@ -21,24 +24,33 @@ class Lookup:
     """A table joined by key, with the outcome of its size check.
 
     A small table is broadcast: the large side stays where it is and no key can
-    be hot. A table over the bound is joined by a shuffle in which every key is
-    spread over ``SALTS`` tasks.
+    be hot. A larger one is copied ``SALTS`` times and joined by a shuffle that
+    spreads every key over as many tasks. Where even the copies would weigh
+    (``salted`` false) the shuffle is plain, and AQE splits the partitions that
+    turn out skewed, repeating the lookup for those only.
     """
 
     frame: DataFrame
     small: bool
+    salted: bool = True
+
+    def of(self, frame: DataFrame) -> Lookup:
+        """A table derived from this one that is no larger, joined the same way."""
+        return replace(self, frame=frame)
 
     def select(self, *columns: Column | str) -> Lookup:
-        return Lookup(self.frame.select(*columns), self.small)
+        return self.of(self.frame.select(*columns))
 
     def filter(self, condition: Column) -> Lookup:
-        return Lookup(self.frame.filter(condition), self.small)
+        return self.of(self.frame.filter(condition))
 
     def join(self, rows: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
         """Join ``rows`` with the lookup on same-named columns (inner, left, left_semi or left_anti)."""
         if self.small:
             return rows.join(F.broadcast(self.frame), list(on), how)
-        return _salted(rows).join(self._copies(), [*on, "_salt"], how).drop("_salt")
+        if not self.salted:
+            return rows.join(self.frame, list(on), how)
+        return _salted(rows).join(_copies(self.frame, "_salt"), [*on, "_salt"], how).drop("_salt")
 
     def join_where(self, rows: DataFrame, on: Sequence[tuple[str, str]], also: Column, how: str) -> DataFrame:
         """Equi-join on (left, right) column pairs with a further condition on the matches."""
@@ -47,12 +59,15 @@ class Lookup:
             condition = condition & (F.col(left) == F.col(right))
         if self.small:
             return rows.join(F.broadcast(self.frame), condition, how)
-        copies = self._copies().withColumnRenamed("_salt", "_lookup_salt")
+        if not self.salted:
+            return rows.join(self.frame, condition, how)
         condition = condition & (F.col("_salt") == F.col("_lookup_salt"))
-        return _salted(rows).join(copies, condition, how).drop("_salt", "_lookup_salt")
+        joined = _salted(rows).join(_copies(self.frame, "_lookup_salt"), condition, how)
+        return joined.drop("_salt", "_lookup_salt")
 
-    def _copies(self) -> DataFrame:
-        return self.frame.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+def _copies(frame: DataFrame, salt: str) -> DataFrame:
+    return frame.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
 
 def _salted(rows: DataFrame) -> DataFrame:
@@ -63,7 +78,7 @@ def _salted(rows: DataFrame) -> DataFrame:
 
 
 def measured_together(frames: Mapping[str, DataFrame], max_rows: int | None = None) -> dict[str, Lookup]:
-    """Count several tables in one job; up to ``max_rows`` (BROADCAST_MAX_ROWS) makes a table small.
+    """Count several tables in one job; up to ``max_rows`` (BROADCAST_MAX_ROWS) a table is small.
 
     Every task counts its own rows. A row limit would stop earlier, but sends up
     to that many rows of each partition through a single task.
@@ -76,7 +91,10 @@ def measured_together(frames: Mapping[str, DataFrame], max_rows: int | None = No
         for name, frame in frames.items()
     ]
     rows = {row["name"]: row["rows"] for row in reduce(DataFrame.unionByName, probes).collect()}
-    return {name: Lookup(frame, rows[name] <= bound) for name, frame in frames.items()}
+    return {
+        name: Lookup(frame, small=rows[name] <= bound, salted=rows[name] <= SALT_MAX_ROWS)
+        for name, frame in frames.items()
+    }
 
 
 def measured(frame: DataFrame, max_rows: int | None = None) -> Lookup:

@@ -17,16 +17,17 @@ def hot(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_broadcast(spark, hot, how):
+def test_shuffled_joins_equal_broadcast(spark, hot, how):
     side = spark.range(50).select(F.col("id").alias("k"), *([] if "semi" in how or "anti" in how else [(F.col("id") * 2).alias("v")]))
     small = Lookup(side, True).join(hot, ["k"], how)
     large = Lookup(side, False).join(hot, ["k"], how)
-    assert small.columns == large.columns
+    huge = Lookup(side, False, salted=False).join(hot, ["k"], how)
+    assert small.columns == large.columns == huge.columns
 
     def digest(frame):
         return frame.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*frame.columns).cast("decimal(38,0)"))).first()
 
-    assert digest(small) == digest(large)
+    assert digest(small) == digest(large) == digest(huge)
 
 
 def test_copies_of_one_row_are_spread(hot):
@@ -41,18 +42,22 @@ def test_salts_repeat_when_a_task_is_rerun(hot):
     assert sorted(first) == sorted(again) and len(first) <= SALTS
 
 
-def test_condition_join_salted_equals_broadcast(spark, hot):
+def test_shuffled_condition_joins_equal_broadcast(spark, hot):
     terms = spark.createDataFrame([(7, 0, 0), (7, 0, 5), (8, 0, 40_000), (99, 1, 2)], "kk long, low long, high long")
     inside = F.col("payload").between(F.col("low"), F.col("high"))
     small = Lookup(terms, True).join_where(hot, [("k", "kk")], inside, "left")
-    large = Lookup(terms, False).join_where(hot, [("k", "kk")], inside, "left")
-    assert small.columns == large.columns
-    assert sorted(small.groupBy(*small.columns).count().collect(), key=str) == sorted(large.groupBy(*large.columns).count().collect(), key=str)
+    expected = sorted(small.groupBy(*small.columns).count().collect(), key=str)
+    for salted in (True, False):
+        large = Lookup(terms, False, salted).join_where(hot, [("k", "kk")], inside, "left")
+        assert small.columns == large.columns
+        assert sorted(large.groupBy(*large.columns).count().collect(), key=str) == expected
 
 
 def test_size_check(spark):
     assert measured(spark.range(10), max_rows=10).small
     assert not measured(spark.range(11), max_rows=10).small
+    assert measured(spark.range(11), max_rows=10).salted
+    assert not measured(spark.range(20_000_001)).salted
     both = measured_together({"a": spark.range(3), "b": spark.range(30)}, max_rows=10)
     assert (both["a"].small, both["b"].small) == (True, False)
     assert measured_together({}) == {}
