@@ -35,6 +35,18 @@ def checkpointed(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def shared_data(spark: SparkSession, data):
+    """Plain data for all tasks; ``made_once`` builds what a Python worker makes of it, and keeps that between tasks."""
+    return spark.sparkContext.broadcast({"data": data})
+
+
+def made_once(shared, build):
+    held = shared.value
+    if "made" not in held:
+        held["made"] = build(held["data"])
+    return held["made"]
+
+
 def spanning_edges(left: np.ndarray, right: np.ndarray, nodes: int) -> tuple[np.ndarray, np.ndarray]:
     """A forest over nodes 0..nodes-1 that connects what the given edges connect."""
     root = np.arange(nodes)
