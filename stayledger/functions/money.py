@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 # double such as 2.675 is below the tie it prints as.
 EXACT = "decimal(28,6)"
 
-# ISO currencies have between 0 and 4 decimals.
-MAX_CURRENCY_DECIMALS = 4
+# Decimals of EXACT: an amount has no more to round away.
+EXACT_SCALE = 6
 
 
 def tax_share(percent: Column) -> Column:
@@ -91,9 +91,18 @@ def round_half_up(amount: Column, decimals: int) -> Column:
 def round_by_decimals(amount: Column, decimals: Column) -> Column:
     """Round to a per-row number of decimals; unknown decimals leave the amount alone.
 
-    ``round`` takes a literal scale only, hence one branch per scale.
+    ``round`` takes a literal scale only, hence one branch per scale that the type has. Negative decimals
+    round to tens, hundreds and so on.
     """
-    branches = F.when(decimals == 0, round_half_up(amount, 0))
-    for scale in range(1, MAX_CURRENCY_DECIMALS + 1):
+    exact = amount.cast(EXACT)
+    branches = F.when(decimals.isNull() | (decimals >= EXACT_SCALE), exact).when(decimals < 0, _round_to_tens(exact, -decimals))
+    for scale in range(EXACT_SCALE):
         branches = branches.when(decimals == scale, round_half_up(amount, scale))
-    return branches.otherwise(amount.cast(EXACT))
+    return branches
+
+
+def _round_to_tens(exact: Column, zeros: Column) -> Column:
+    # Beyond 22 digits before the point every amount rounds to zero.
+    unit = F.pow(F.lit(10.0), F.least(zeros, F.lit(23))).cast("decimal(24,0)")
+    raised = F.abs(exact).cast("decimal(38,6)") + unit / 2
+    return (F.signum(exact).cast("decimal(1,0)") * (raised - raised % unit)).cast(EXACT)

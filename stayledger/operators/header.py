@@ -125,6 +125,55 @@ CARRIED = (
 )
 
 
+# Output fields in published order, after the carried columns.
+PUBLISHED = (
+    "interface_id",
+    "operative_company",
+    "operative_office",
+    "operative_office_desc",
+    "operative_incoming",
+    "booking_id",
+    "interface",
+    "invoicing_company",
+    "invoicing_office",
+    "invoicing_incoming",
+    "Creation_date",
+    "Creation_ts",
+    "modification_date",
+    "modification_ts",
+    "cancellation_date",
+    "cancellation_ts",
+    "cancelled_booking",
+    "status_date",
+    "booking_service_from",
+    "booking_service_to",
+    "client_code",
+    "costumer_name",
+    "Source_market",
+    "source_market_iso",
+    "Holder",
+    "num_adults",
+    "num_childrens",
+    "Department_code",
+    "Booking_type",
+    "Invoicing_booking",
+    "Invoicing_admin",
+    "Client_commision_esp",
+    "client_override_esp",
+    "confirmed_booking",
+    "Partner_booking",
+    "Partner_booking_currency",
+    "Partner_code",
+    "Partner_brand",
+    "Partner_agency_code",
+    "Partner_agency_brand",
+    "Booking_file_incoming",
+    "booking_file_number",
+    "Accomodation_model",
+    "Booking_currency",
+)
+
+
 def booking_flags(dimensioned: DataFrame) -> DataFrame:
     """Three flags that read a missing value: cancelled, sold by a partner, who collects the payment."""
     return dimensioned.withColumns(
@@ -142,19 +191,18 @@ def booking_header(
     """The header fields of each booking under their published names, next to the carried source columns."""
     flagged = booking_flags(with_dimensions(header, operators, countries, receptives, interfaces))
     changed_at = latest(F.col("fec_creacion"), F.col("fec_modifica"), F.col("fec_cancelacion"))
-    return flagged.select(
-        *CARRIED,
-        interface_id(F.col("grec_seq_rec"), F.col("seq_reserva")).alias("interface_id"),
-        *(F.col(source).alias(name) for name, source in PLAIN_FIELDS),
-        day_text(F.col("fec_creacion")).alias("Creation_date"),
-        day_text(F.col("fec_modifica")).alias("modification_date"),
-        day_text(F.col("fec_cancelacion")).alias("cancellation_date"),
-        day_text(changed_at).alias("status_date"),
-        strip_semicolons(F.col("nom_general")).alias("Holder"),
-        "cancelled_booking",
-        "Partner_booking",
-        "Accomodation_model",
-    )
+    fields = {name: F.col(source) for name, source in PLAIN_FIELDS} | {
+        "interface_id": interface_id(F.col("grec_seq_rec"), F.col("seq_reserva")),
+        "Creation_date": day_text(F.col("fec_creacion")),
+        "modification_date": day_text(F.col("fec_modifica")),
+        "cancellation_date": day_text(F.col("fec_cancelacion")),
+        "status_date": day_text(changed_at),
+        "Holder": strip_semicolons(F.col("nom_general")),
+        "cancelled_booking": F.col("cancelled_booking"),
+        "Partner_booking": F.col("Partner_booking"),
+        "Accomodation_model": F.col("Accomodation_model"),
+    }
+    return flagged.select(*CARRIED, *(fields[name].alias(name) for name in PUBLISHED))
 
 
 def first_booking_ts(information: DataFrame, creations_only: bool = False) -> DataFrame:
@@ -172,6 +220,17 @@ def first_application(information: DataFrame) -> DataFrame:
     return first.select(F.col("seq_rec").alias(KEY[0]), "seq_reserva", "aplicacion")
 
 
+def first_entries(information: DataFrame) -> DataFrame:
+    """Time and application of the earliest creation entry per booking, in one pass."""
+    created = information.filter(F.col("tipo_op") == "A")
+    first = F.min(F.struct("fec_creacion", "aplicacion"))
+    return (
+        created.groupBy(F.col("seq_rec").alias(KEY[0]), "seq_reserva")
+        .agg(first.alias("_first"), F.min("fec_creacion").alias("first_booking_ts"))
+        .select(*KEY, "first_booking_ts", F.col("_first.aplicacion").alias("aplicacion"))
+    )
+
+
 def english(destinations: Lookup) -> Lookup:
     return destinations.filter(F.col("sidi_cod_idioma") == "ENG")
 

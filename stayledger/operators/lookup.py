@@ -4,19 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A lookup of up to this many (narrow) rows is sent to every executor.
-BROADCAST_MAX_ROWS = 200_000
-
-# Up to this many, the lookup is small next to the rows it joins and can be copied.
-SALT_MAX_ROWS = 20_000_000
-
-# Copies of such a lookup, and so the number of tasks one hot key is spread over.
-SALTS = 32
+# A lookup is sent to every executor if its files hold at most this many bytes. Rows take several
+# times that in memory, still far below what an executor has.
+BROADCAST_MAX_BYTES = 8 << 20
 
 
 @dataclass(frozen=True)
@@ -24,15 +18,13 @@ class Lookup:
     """A table joined by key, with the outcome of its size check.
 
     A small table is broadcast: the large side stays where it is and no key can
-    be hot. A larger one is copied ``SALTS`` times and joined by a shuffle that
-    spreads every key over as many tasks. Where even the copies would weigh
-    (``salted`` false) the shuffle is plain, and AQE splits the partitions that
-    turn out skewed, repeating the lookup for those only.
+    be hot. A larger one is joined by a plain shuffle, for which AQE splits the
+    partitions that turn out skewed, repeating the lookup for those only. Both ways read the
+    same columns and give the same rows.
     """
 
     frame: DataFrame
     small: bool
-    salted: bool = True
 
     def of(self, frame: DataFrame) -> Lookup:
         """A table derived from this one that is no larger, joined the same way."""
@@ -48,9 +40,7 @@ class Lookup:
         """Join ``rows`` with the lookup on same-named columns (inner, left, left_semi or left_anti)."""
         if self.small:
             return rows.join(F.broadcast(self.frame), list(on), how)
-        if not self.salted:
-            return rows.join(self.frame, list(on), how)
-        return _salted(rows).join(_copies(self.frame, "_salt"), [*on, "_salt"], how).drop("_salt")
+        return rows.join(self.frame, list(on), how)
 
     def join_where(self, rows: DataFrame, on: Sequence[tuple[str, str]], also: Column, how: str) -> DataFrame:
         """Equi-join on (left, right) column pairs with a further condition on the matches."""
@@ -59,46 +49,25 @@ class Lookup:
             condition = condition & (F.col(left) == F.col(right))
         if self.small:
             return rows.join(F.broadcast(self.frame), condition, how)
-        if not self.salted:
-            return rows.join(self.frame, condition, how)
-        condition = condition & (F.col("_salt") == F.col("_lookup_salt"))
-        joined = _salted(rows).join(_copies(self.frame, "_lookup_salt"), condition, how)
-        return joined.drop("_salt", "_lookup_salt")
+        return rows.join(self.frame, condition, how)
 
 
-def _copies(frame: DataFrame, salt: str) -> DataFrame:
-    return frame.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+def estimated_bytes(frame: DataFrame) -> int:
+    """Spark's estimate from file sizes and columns read; no job runs.
 
+    Joins and unions are estimated at the product and the sum of their sides and filters at the whole, so
+    an estimate below the bound errs on the safe side, but for an explode, which must have a bound of its own.
+    """
+    return int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-def _salted(rows: DataFrame) -> DataFrame:
-    # The partition number separates exact copies of a row; unlike a random salt
-    # it is the same again when a lost task is rerun.
-    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *rows.columns), F.lit(SALTS)).cast("int")
-    return rows.withColumn("_salt", salt)
 
+def measured(frame: DataFrame, max_bytes: int | None = None) -> Lookup:
+    bound = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
+    return Lookup(frame, small=estimated_bytes(frame) <= bound)
 
-def measured_together(frames: Mapping[str, DataFrame], max_rows: int | None = None) -> dict[str, Lookup]:
-    """Count several tables in one job; up to ``max_rows`` (BROADCAST_MAX_ROWS) a table is small.
 
-    Every task counts its own rows. A row limit would stop earlier, but sends up
-    to that many rows of each partition through a single task.
-    """
-    if not frames:
-        return {}
-    bound = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    probes = [
-        frame.agg(F.count(F.lit(1)).alias("rows")).withColumn("name", F.lit(name))
-        for name, frame in frames.items()
-    ]
-    rows = {row["name"]: row["rows"] for row in reduce(DataFrame.unionByName, probes).collect()}
-    return {
-        name: Lookup(frame, small=rows[name] <= bound, salted=rows[name] <= SALT_MAX_ROWS)
-        for name, frame in frames.items()
-    }
-
-
-def measured(frame: DataFrame, max_rows: int | None = None) -> Lookup:
-    return measured_together({"": frame}, max_rows)[""]
+def measured_together(frames: Mapping[str, DataFrame], max_bytes: int | None = None) -> dict[str, Lookup]:
+    return {name: measured(frame, max_bytes) for name, frame in frames.items()}
 
 
 def fixed(frame: DataFrame) -> Lookup:

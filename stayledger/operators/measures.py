@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from stayledger.functions.scalars import EUR
 from stayledger.operators.exclusions import exclusion_keys, without_excluded
 from stayledger.operators.fx import FxRates, exchanged, exchanged_cents, round_to_currency
 from stayledger.operators.keys import BOOKING, in_scope
-from stayledger.operators.lines import tax_by_booking, with_tax, with_tax_amounts
+from stayledger.operators.lines import tax_amounts_by_booking, tax_by_booking
 from stayledger.operators.lookup import Lookup
 
 SALES_TAX = "tax_sales_transfer_pricing"
@@ -41,20 +42,26 @@ class Books:
     fx: FxRates
     tax_type_on_sales_join: bool = True
 
-    def scoped(self, bookings: Lookup) -> Books:
-        """Only the lines and costs of some bookings.
+    def scoped(self, bookings: Lookup, span: tuple[int, int] | None = None) -> Books:
+        """Only the lines, costs and bonds of some bookings.
 
-        Few bookings are broadcast and filter the scans in place. Too many for
-        that would need a shuffle of unsummed lines, so there the books stay
-        whole and the later join of sums with bookings does the selection.
+        The range of their booking numbers filters every scan: bookings of a day are numbered close together, so
+        most of the history is neither read nor summed. Few bookings are broadcast and filter the
+        scans by key as well. More would need a shuffle of unsummed lines for that, so there the join of the
+        sums with the bookings selects the rest. A ``span`` that is known (least and greatest number) is pushed into
+        the files; else it is a subquery of the same plan, which filters the rows read.
         """
-        if not bookings.small:
-            return self
+        least, most = map(F.lit, span) if span else (bookings.frame.agg(f(BOOKING[1])).scalar() for f in (F.min, F.max))
+
+        def reduced(rows: DataFrame, office: str, booking: str) -> DataFrame:
+            near = rows.filter(F.col(booking).between(least, most))
+            return in_scope(near, bookings, office, booking) if bookings.small else near
+
         return replace(
             self,
-            lines=in_scope(self.lines, bookings, "seq_rec", "seq_reserva"),
-            costs=in_scope(self.costs, bookings, "grec_seq_rec", "rres_seq_reserva"),
-            extra_bonds=in_scope(self.extra_bonds, bookings, "grec_seq_rec", "rres_seq_reserva"),
+            lines=reduced(self.lines, "seq_rec", "seq_reserva"),
+            costs=reduced(self.costs, "grec_seq_rec", "rres_seq_reserva"),
+            extra_bonds=reduced(self.extra_bonds, "grec_seq_rec", "rres_seq_reserva"),
         )
 
     def exclusions(self) -> DataFrame:
@@ -78,19 +85,21 @@ def cost_nights(costs: DataFrame) -> Column:
     return night_amount(*(costs[name] for name in names))
 
 
+def _costs_by_extra(books: Books) -> tuple[DataFrame, list[Column]]:
+    lines = billable(books.costs)
+    key = [
+        F.col("grec_seq_rec").alias("seq_rec"),
+        F.col("rres_seq_reserva").alias("seq_reserva"),
+        F.col("rext_ord_extra").alias("ord_extra"),
+        F.col("sdiv_cod_divisa").alias("cost_currency"),
+    ]
+    return lines.withColumn("nights", cost_nights(lines)), key
+
+
 def included_costs(books: Books) -> DataFrame:
     """Billable cost per (booking, currency), the costs of excluded extras left out."""
-    lines = billable(books.costs)
-    by_extra = (
-        lines.withColumn("nights", cost_nights(lines))
-        .groupBy(
-            F.col("grec_seq_rec").alias("seq_rec"),
-            F.col("rres_seq_reserva").alias("seq_reserva"),
-            F.col("rext_ord_extra").alias("ord_extra"),
-            F.col("sdiv_cod_divisa").alias("cost_currency"),
-        )
-        .agg(F.sum("nights").alias("nights"), F.count("nights").alias("cost_lines"))
-    )
+    lines, key = _costs_by_extra(books)
+    by_extra = lines.groupBy(*key).agg(F.sum("nights").alias("nights"), F.count("nights").alias("cost_lines"))
     return (
         without_excluded(by_extra, books.exclusions())
         .groupBy("seq_rec", "seq_reserva", "cost_currency")
@@ -98,11 +107,31 @@ def included_costs(books: Books) -> DataFrame:
     )
 
 
+def included_cost_amounts(books: Books) -> DataFrame:
+    """Billable cost lines per (booking, currency, amount), the costs of excluded extras left out.
+
+    For conversions that round each line: lines of one amount are counted before they move.
+    """
+    lines, key = _costs_by_extra(books)
+    by_extra = lines.groupBy(*key, "nights").agg(F.count(F.lit(1)).alias("times"))
+    return (
+        without_excluded(by_extra, books.exclusions())
+        .groupBy("seq_rec", "seq_reserva", "cost_currency", "nights")
+        .agg(F.sum("times").alias("times"))
+    )
+
+
+def _cents_times(amount: Column, from_rate: Column, to_rate: Column) -> Column:
+    """What lines of one amount come to if each is converted and rounded; 0 without a rate."""
+    each = F.coalesce(exchanged_cents(amount, from_rate, to_rate), F.lit(0).cast(EXACT))
+    return (each * F.col("times")).cast(EXACT)
+
+
 def cost_by_booking(books: Books, priced: DataFrame, target: str | None = None) -> DataFrame:
     """Cost per booking in its own currency, or in ``target``, with the count of lines that had no rate.
 
-    All lines of one booking and currency share a rate, so their sum is
-    converted. Bookings without cost lines are absent.
+    All lines of one booking and currency share a rate. Into the booking currency their sum is converted;
+    into euros every line is converted and rounded by itself. Bookings without cost lines are absent.
     """
     to_rate = F.col("booking_rate") if target is None else F.col("eur_rate")
     if target not in (None, EUR):
@@ -110,13 +139,17 @@ def cost_by_booking(books: Books, priced: DataFrame, target: str | None = None)
     bookings = priced.select(
         F.col(BOOKING[0]).alias("seq_rec"), F.col(BOOKING[1]).alias("seq_reserva"), "snapshot_date", to_rate.alias("to_rate")
     )
-    joined = included_costs(books).join(bookings, ["seq_rec", "seq_reserva"])
-    joined = books.fx.with_rate(joined, F.col("cost_currency"), "from_rate")
-    converted = exchanged(F.col("nights"), F.col("from_rate"), F.col("to_rate"))
+    if target is None:
+        costs, lines = included_costs(books), F.col("cost_lines")
+        converted = F.coalesce(F.sum(exchanged(F.col("nights"), F.col("from_rate"), F.col("to_rate"))), F.lit(0.0))
+    else:
+        costs, lines = included_cost_amounts(books), F.when(F.col("nights").isNull(), F.lit(0)).otherwise(F.col("times"))
+        converted = F.sum(_cents_times(F.col("nights"), F.col("from_rate"), F.col("to_rate"))).cast("double")
+    joined = books.fx.with_rate(costs.join(bookings, ["seq_rec", "seq_reserva"]), F.col("cost_currency"), "from_rate")
     no_rate = F.col("from_rate").isNull() | F.col("to_rate").isNull()
     return joined.groupBy("seq_rec", "seq_reserva").agg(
-        F.coalesce(F.sum(converted), F.lit(0.0)).alias("cost_field"),
-        F.sum(F.when(no_rate, F.col("cost_lines")).otherwise(F.lit(0))).alias("unconverted_lines"),
+        converted.alias("cost_field"),
+        F.sum(F.when(no_rate, lines).otherwise(F.lit(0))).alias("unconverted_lines"),
     )
 
 
@@ -195,30 +228,32 @@ def with_measures(books: Books, bookings: DataFrame, measures: tuple[str, ...] =
     return with_eur.select(*bookings.columns, *(column for name in measures for column in (name, EUR_NAMES[name])))
 
 
+def taxes_eur_by_booking(books: Books, priced: DataFrame) -> DataFrame:
+    """Sales and cost tax per booking in euros, every line converted and rounded by itself."""
+    bookings = priced.select(
+        F.col(BOOKING[0]).alias("seq_rec"), F.col(BOOKING[1]).alias("seq_reserva"), "booking_rate", "eur_rate"
+    )
+    amounts = tax_amounts_by_booking(books.lines, books.tax, books.exclusions(), books.tax_type_on_sales_join)
+    rates = (F.col("booking_rate"), F.col("eur_rate"))
+    return (
+        amounts.join(bookings, ["seq_rec", "seq_reserva"])
+        .groupBy("seq_rec", "seq_reserva")
+        .agg(*(F.sum(_cents_times(F.col(name), *rates)).cast("double").alias(f"{name}_eur") for name in ("sales_tax", "cost_tax")))
+    )
+
+
 def line_level_eur(books: Books, bookings: DataFrame, measure: str) -> DataFrame:
-    """Euro value of a measure from unrounded line amounts instead of from the rounded booking total.
+    """Euro value of a measure from line amounts, each converted and rounded, instead of from the booking total.
 
-    Every line of a booking shares its rate, so the booking's sum is converted;
-    costs convert from their own currency straight to euros.
+    Costs convert from their own currency straight to euros.
     """
     keys = [F.col("seq_rec").alias(BOOKING[0]), F.col("seq_reserva").alias(BOOKING[1])]
     priced = priced_bookings(bookings, books.fx)
-    joined = priced.join(booking_taxes(books).select(*keys, "sales_tax", "cost_tax"), list(BOOKING), "left")
-    amount = {
-        SALES_TAX: F.col("sales_tax"),
-        COST_TAX: F.col("cost_tax"),
-        TRANSFER: F.col("sales_tax") + F.col("cost_tax"),
-    }[measure]
-    joined = joined.withColumn("_taxes_eur", exchanged(amount, F.col("booking_rate"), F.col("eur_rate")))
-    if measure == SALES_TAX:
-        total = F.coalesce("_taxes_eur", F.lit(0.0))
-    else:
-        costs = cost_by_booking(books, priced, EUR).select(*keys, "cost_field")
-        joined = joined.join(costs, list(BOOKING), "left")
-        total = F.coalesce("_taxes_eur", F.lit(0.0)) + F.coalesce("cost_field", F.lit(0.0))
+    parts = [taxes_eur_by_booking(books, priced).select(*keys, "sales_tax_eur", "cost_tax_eur")]
+    names = {SALES_TAX: ["sales_tax_eur"], COST_TAX: ["cost_tax_eur"], TRANSFER: ["sales_tax_eur", "cost_tax_eur"]}[measure]
+    if measure != SALES_TAX:
+        parts.append(cost_by_booking(books, priced, EUR).select(*keys, "cost_field"))
+        names.append("cost_field")
+    joined = reduce(lambda left, right: left.join(right, list(BOOKING), "left"), parts, bookings)
+    total = reduce(lambda a, b: a + b, (F.coalesce(name, F.lit(0.0)) for name in names))
     return joined.select(*bookings.columns, total.alias(EUR_NAMES[measure]))
-
-
-def taxed_lines(books: Books) -> DataFrame:
-    """Service lines with both percentages and both tax amounts."""
-    return with_tax_amounts(with_tax(books.lines, books.tax, books.tax_type_on_sales_join))

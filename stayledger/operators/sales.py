@@ -115,7 +115,10 @@ def tax_of_regime(regime: str) -> Column:
 
 
 def sale_tax_lines(sales: DataFrame, tax: Lookup, bookings: Lookup, regime: str) -> DataFrame:
-    """Tax of every charged sale line under one regime, with the date its rate would be taken from."""
+    """Tax of every charged sale line under one regime, with the date its rate would be taken from.
+
+    Every booking is kept; one without charged lines has one row that names only its key.
+    """
     fields = bookings.select(
         F.col("grec_seq_rec").alias("grec_seq_rec_s"),
         F.col("seq_reserva").alias("rres_seq_reserva"),
@@ -123,7 +126,11 @@ def sale_tax_lines(sales: DataFrame, tax: Lookup, bookings: Lookup, regime: str)
         exchange_date(F.col("ind_fec_cam_div"), F.col("fec_desde"), F.col("fec_creacion")).alias("date_ccy_exchange"),
     )
     lines = fields.join(with_sale_tax(sales, tax), ["grec_seq_rec_s", "rres_seq_reserva"])
-    return lines.filter(charged(F.col("ind_tippag"))).withColumn("tax_aux", tax_of_regime(regime))
+    taxed = lines.filter(charged(F.col("ind_tippag"))).withColumn("tax_aux", tax_of_regime(regime))
+    # An anti join with the keys keeps the join of the lines inner, which a hot booking can be split in.
+    key = ["grec_seq_rec_s", "rres_seq_reserva"]
+    rest = fields.frame.select(*key).join(taxed.select(*key).distinct(), key, "left_anti")
+    return taxed.unionByName(rest, allowMissingColumns=True)
 
 
 def tax_ttv(sales: DataFrame, tax: Lookup, bookings: DataFrame, regimes: dict[str, str] | None = None) -> DataFrame:

@@ -6,22 +6,25 @@ import argparse
 from datetime import date
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
+from stayledger.operators.keys import BOOKING
+from stayledger.plans import jobs
 from stayledger.plans.extract import base_bookings, extract_of, few_bookings
 from stayledger.settings import apply_settings
-from stayledger.sources.catalog import load_books, parquet_reader
+from stayledger.sources.catalog import Reader, load_books
 from stayledger.sources.materialize import materialized
 from stayledger.sources.sinks import FORMATS, report, write_extract
 
 
 def run(
-    spark: SparkSession, run_date: date, source: str, target: str, formats: tuple[str, ...], top: int | None
+    spark: SparkSession, run_date: date, read: Reader, target: str, formats: tuple[str, ...], top: int | None
 ) -> tuple[int, list[str]]:
     """Write the extract of a date; return its row count and columns."""
-    read = parquet_reader(spark, source)
-    # Read once: the day is counted, priced and joined, and must be the same each time.
+    # Read once: the day filters, prices and joins, and must be the same each time.
     day = materialized(base_bookings(read("booking_interface"), run_date, top))
-    extract = extract_of(few_bookings(load_books(read), day), day)
+    span = day.agg(F.min(BOOKING[1]), F.max(BOOKING[1])).first()
+    extract = extract_of(few_bookings(load_books(read), day, tuple(span)), day)
     paths = write_extract(extract, target, run_date, formats)
     first = min(formats, key=FORMATS.index)
     return report(spark, paths[first], first)
@@ -30,13 +33,12 @@ def run(
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("run_date", type=date.fromisoformat)
-    parser.add_argument("--input", required=True)
-    parser.add_argument("--output", required=True)
-    parser.add_argument("--format", nargs="+", choices=FORMATS, default=["parquet"])
+    jobs.add_arguments(parser)
     parser.add_argument("--top", type=int, help="only the first bookings by key")
     arguments = parser.parse_args()
     spark = apply_settings(SparkSession.builder.appName("daily extract").getOrCreate())
-    rows, columns = run(spark, arguments.run_date, arguments.input, arguments.output, tuple(arguments.format), arguments.top)
+    read = jobs.reader(spark, arguments)
+    rows, columns = run(spark, arguments.run_date, read, arguments.output, tuple(arguments.format), arguments.top)
     print(f"{arguments.run_date}: {rows} bookings, {len(columns)} columns")
     spark.stop()
 

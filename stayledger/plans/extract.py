@@ -58,13 +58,9 @@ def extract_of(books: Books, base: DataFrame) -> DataFrame:
     return with_midnights(with_measures(books, base))
 
 
-def few_bookings(books: Books, base: DataFrame) -> Books:
-    """Books narrowed to a selection of bookings.
-
-    The bookings are counted to decide whether they can filter the line tables
-    where those are read.
-    """
-    return books.scoped(measured(base.select(*BOOKING)))
+def few_bookings(books: Books, base: DataFrame, span: tuple[int, int] | None = None) -> Books:
+    """Books narrowed to a selection of bookings, of numbers in ``span`` if that is known."""
+    return books.scoped(measured(base.select(*BOOKING)), span)
 
 
 def build_extract(books: Books, view: DataFrame, run_date: date | None = None, top: int | None = None) -> DataFrame:

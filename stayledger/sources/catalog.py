@@ -27,7 +27,7 @@ def parquet_reader(spark: SparkSession, folder: str) -> Reader:
 
 
 def load_books(read: Reader) -> Books:
-    """Everything the measures read. Only the lookups' sizes are checked here; no table is cached."""
+    """Everything the measures read. The lookups' sizes are estimated here, without a job; no table is cached."""
     lookups = measured_together(
         {name: read(name) for name in ("discount_bond", "campaign", "tax", "currency", "fx_rate")}
     )

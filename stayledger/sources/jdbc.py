@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,3 +46,18 @@ class JdbcSource:
     def query(self, sql: str, split: Split | None = None) -> DataFrame:
         """The result of a statement, read by the executors; no row passes through the driver."""
         return self.table(f"({sql}) q", split)
+
+
+def jdbc_reader(source: JdbcSource, splits: Mapping[str, Split], names: Mapping[str, str] | None = None) -> Callable[[str], DataFrame]:
+    """Tables by the names the jobs use; ``splits`` divides the scans of the large ones, ``names`` maps to database names."""
+
+    def read(name: str) -> DataFrame:
+        return source.table((names or {}).get(name, name), splits.get(name))
+
+    return read
+
+
+def parse_split(text: str) -> tuple[str, Split]:
+    """``table:column:lower:upper:slices``, as given on a command line."""
+    table, column, lower, upper, slices = text.split(":")
+    return table, Split(column, int(lower) if lower.lstrip("-").isdigit() else lower, int(upper) if upper.lstrip("-").isdigit() else upper, int(slices))

@@ -2,26 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-def checkpoint_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; a temporary one only in local mode."""
-    named = spark.conf.get(CHECKPOINT_DIR, None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    return tempfile.mkdtemp(prefix="stayledger-")
+def checkpoint_folder(spark: SparkSession, folder: str | None = None) -> str:
+    """The given folder, or the one the cluster names for checkpoints; all executors must share it."""
+    named = folder or spark.conf.get(CHECKPOINT_DIR, None)
+    if not named:
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share, or name one")
+    return named
 
 
-def materialized(frame: DataFrame) -> DataFrame:
-    """Compute a frame once, into files that outlive any executor."""
-    context = frame.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(checkpoint_folder(frame.sparkSession))
-    return frame.checkpoint()
+def materialized(frame: DataFrame, folder: str | None = None) -> DataFrame:
+    """Compute a frame once, into Parquet files that outlive any executor and know their size."""
+    spark = frame.sparkSession
+    path = f"{checkpoint_folder(spark, folder)}/stayledger-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)

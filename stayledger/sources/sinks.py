@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 FORMATS = ("parquet", "avro", "csv")
 
@@ -14,9 +15,10 @@ def run_path(base: str, run_date: date, fmt: str) -> str:
 
 
 def write_extract(extract: DataFrame, base: str, run_date: date, formats: tuple[str, ...] = ("parquet",)) -> dict[str, str]:
-    """Write the extract of one run date; a rerun replaces that date only.
+    """Write the extract of one run date; a rerun replaces that date only, once its files are complete.
 
-    The plan runs once: further formats are written from the first one's files.
+    The plan runs once: further formats are written from the first one's files. Dynamic overwrite stages the
+    files and swaps them in at the end, so a rerun that fails leaves the day as it was.
     Avro needs Spark's avro module on the cluster.
     """
     unknown = set(formats) - set(FORMATS)
@@ -27,10 +29,11 @@ def write_extract(extract: DataFrame, base: str, run_date: date, formats: tuple[
     ordered = sorted(formats, key=FORMATS.index)
     source = extract
     for fmt in ordered:
-        writer = source.write.mode("overwrite")
+        dated = source.withColumn("run_date", F.lit(run_date.isoformat()))
+        writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_date")
         if fmt == "csv":
             writer = writer.option("header", True)
-        writer.format(fmt).save(paths[fmt])
+        writer.format(fmt).save(f"{base}/{fmt}")
         if source is extract and fmt != "csv":
             source = extract.sparkSession.read.format(fmt).load(paths[fmt])
     return paths

@@ -132,3 +132,10 @@ def test_dates_and_flags(spark):
 
 def test_rate_type_codes():
     assert scalars.RATE_TYPES["EXCHANGE_EXC"] == scalars.RATE_TYPES["EXCHANGE_RES"] == "R"
+
+
+def test_rounding_by_any_number_of_decimals(spark):
+    rows = [(1234.567895, d) for d in (-5, -3, -2, -1, 0, 2, 4, 5, 6, 9, None)] + [(-1250.0, -2), (1250.0, -2), (1.0, -40)]
+    table = spark.createDataFrame(rows, "amount double, decimals int")
+    got = [float(row[0]) for row in table.select(money.round_by_decimals(F.col("amount"), F.col("decimals"))).collect()]
+    assert got == [0, 1000, 1200, 1230, 1235, 1234.57, 1234.5679, 1234.5679, 1234.567895, 1234.567895, 1234.567895, -1300, 1300, 0]

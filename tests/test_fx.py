@@ -1,4 +1,4 @@
-"""Conversion against a bisect over the snapshot days, with the lookups broadcast and salted."""
+"""Conversion against a bisect over the snapshot days, with the lookups broadcast and shuffled."""
 
 import random
 from bisect import bisect_right
@@ -25,7 +25,7 @@ def brute(source, target, day, amount, kind="M"):
     return amount * rates[source] / rates[target]
 
 
-@pytest.fixture(params=[True, False], ids=["broadcast", "salted"])
+@pytest.fixture(params=[True, False], ids=["broadcast", "shuffled"])
 def rates(request, spark):
     return FxRates(Lookup(rates_from_mapping(spark, FX_MAPPING), request.param))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stayledger.operators import header
 from stayledger.operators.lookup import Lookup, fixed
+from stayledger.plans import wide
 from stayledger.plans.wide import (
     BOOKING_CURRENCY_MEASURES,
     EUR_MEASURES,
@@ -113,7 +114,7 @@ def test_contract_needs_the_date_inside_and_the_office(tables):
     assert sorted((row["seq_reserva"], row["cod_destino"]) for row in first.collect()) == [(1, "D3"), (2, "D3")]
 
 
-def test_salted_lookups_give_the_same_destinations(tables):
+def test_shuffled_lookups_give_the_same_destinations(tables):
     def rows(small):
         sides = [Lookup(side.frame, small) for side in (tables.contracts, tables.destinations)]
         return sorted(header.contract_destinations(tables.others, *sides).collect())
@@ -144,3 +145,13 @@ def test_unknown_currency_day_has_no_rate(spark):
     rates = fixed(frame(spark, "daily_rate", [(date(2018, 1, 10), "USD", 0.5)]))
     rows = spark.createDataFrame([(DAY, "USD"), (DAY, "EUR")], "fec_creacion timestamp_ntz, gdiv_cod_divisa string")
     assert sorted(with_daily_rate(rows, rates).select(F.col("day_rate")).collect(), key=str) == [(0.5,), (None,)]
+
+
+def test_wide_extract_is_in_published_order(tables):
+    assert build_wide_extract(tables, "2018-01-01 00:00:00", "2018-02-01 00:00:00").columns == list(wide.PUBLISHED)
+    assert wide.PUBLISHED[5:8] == ("interface_id", "operative_company", "operative_office") and len(wide.PUBLISHED) == 129
+
+
+def test_header_is_in_published_order(tables):
+    columns = header.booking_header(tables.header, tables.operators, tables.countries, tables.receptives, tables.interfaces).columns
+    assert columns == [*header.CARRIED, *header.PUBLISHED]

@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from stayledger.operators import lookup
 from stayledger.operators.keys import BOOKING
 from stayledger.operators.lookup import Lookup
 from stayledger.operators.measures import Books, booking_taxes, with_measures
@@ -85,21 +86,44 @@ def test_nothing_is_broadcast_when_no_lookup_is_small(spark):
         name: Lookup(value.frame, False) for name, value in vars(given).items() if isinstance(value, Lookup)
     }
     text = plan(booking_taxes(Books(**{**vars(given), **large})))
-    assert "Broadcast" not in text and "_salt" in text
+    assert "Broadcast" not in text
 
 
-def test_a_day_too_large_to_broadcast_filters_scans_by_bloom_filter(spark):
+def test_a_day_too_large_to_broadcast_reads_its_range_only(spark):
     roles = Roles(spark, FOLDER)
-    day = roles.booking_view.filter(F.col("creation_date") == F.lit(RUN_DATE))
-    threshold = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
-    spark.conf.set(threshold, "0")
+    day = roles.booking_view.filter(F.col("creation_date") == F.lit(RUN_DATE)).select(*BOOKING, "creation_date", "booking_currency")
+    span = tuple(day.agg(F.min("booking_id"), F.max("booking_id")).first())
+    scoped = roles.books().scoped(Lookup(day.select(*BOOKING), False), span)
+    text = plan(with_measures(scoped, day))
+    scans = [line for line in text.splitlines() if "l_orderkey" in line and "FileScan" in line]
+    assert len(scans) == 4 and all(f"GreaterThanOrEqual(l_orderkey,{span[0]})" in line for line in scans)
+    assert "LeftSemi" not in text
+    small = roles.books().scoped(Lookup(day.select(*BOOKING), True))
+    assert sorted(with_measures(scoped, day).collect()) == sorted(with_measures(small, day).collect())
+
+
+def test_building_all_frames_starts_no_job(spark):
+    context = spark.sparkContext
+    context.setJobGroup("building", "")
     try:
-        text = with_measures(roles.books(), day.select(*BOOKING, "creation_date", "booking_currency"))
-        optimized = text._jdf.queryExecution().optimizedPlan().toString()
+        for function in REGISTRY.values():
+            function(Roles(spark, FOLDER))
+        assert context.statusTracker().getJobIdsForGroup("building") == []
     finally:
-        spark.conf.unset(threshold)
-    filters = [line for line in optimized.splitlines() if "might_contain" in line]
-    assert len(filters) >= 2 and all("l_orderkey" in line for line in filters[:2])
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_one_pass_where_one_will_do(plans):
+    assert plans["assemble_extract"].count("lineitem.parquet") == 4
+    assert plans["booking_extract_wide"].count("events.parquet") == 1
+    assert plans["fx_convert"].count("HashJoin") == 6
+
+
+def test_large_lookups_read_needed_columns_only(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "BROADCAST_MAX_BYTES", 0)
+    text = plan(REGISTRY["coalesced_key_join"](Roles(spark, FOLDER)))
+    scan = next(line for line in text.splitlines() if "orders.parquet" in line)
+    assert "o_orderpriority" not in scan and "o_orderstatus" not in scan
 
 
 def test_run_date_is_in_range():

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stayledger.operators.keys import first_per_key, in_scope
-from stayledger.operators.lookup import SALTS, Lookup, _salted, fixed, measured, measured_together
+from stayledger.operators.lookup import Lookup, estimated_bytes, fixed, measured, measured_together
 
 
 @pytest.fixture
@@ -21,25 +21,12 @@ def test_shuffled_joins_equal_broadcast(spark, hot, how):
     side = spark.range(50).select(F.col("id").alias("k"), *([] if "semi" in how or "anti" in how else [(F.col("id") * 2).alias("v")]))
     small = Lookup(side, True).join(hot, ["k"], how)
     large = Lookup(side, False).join(hot, ["k"], how)
-    huge = Lookup(side, False, salted=False).join(hot, ["k"], how)
-    assert small.columns == large.columns == huge.columns
+    assert small.columns == large.columns
 
     def digest(frame):
         return frame.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*frame.columns).cast("decimal(38,0)"))).first()
 
-    assert digest(small) == digest(large) == digest(huge)
-
-
-def test_copies_of_one_row_are_spread(hot):
-    hot_rows = _salted(hot).filter((F.col("k") == 7) & (F.col("payload") == 0))
-    sizes = [row["count"] for row in hot_rows.groupBy("_salt").count().collect()]
-    assert len(sizes) > 5 and max(sizes) < sum(sizes) / 2
-
-
-def test_salts_repeat_when_a_task_is_rerun(hot):
-    first = _salted(hot).groupBy("_salt").count().collect()
-    again = _salted(hot).groupBy("_salt").count().collect()
-    assert sorted(first) == sorted(again) and len(first) <= SALTS
+    assert digest(small) == digest(large)
 
 
 def test_shuffled_condition_joins_equal_broadcast(spark, hot):
@@ -47,18 +34,16 @@ def test_shuffled_condition_joins_equal_broadcast(spark, hot):
     inside = F.col("payload").between(F.col("low"), F.col("high"))
     small = Lookup(terms, True).join_where(hot, [("k", "kk")], inside, "left")
     expected = sorted(small.groupBy(*small.columns).count().collect(), key=str)
-    for salted in (True, False):
-        large = Lookup(terms, False, salted).join_where(hot, [("k", "kk")], inside, "left")
-        assert small.columns == large.columns
-        assert sorted(large.groupBy(*large.columns).count().collect(), key=str) == expected
+    large = Lookup(terms, False).join_where(hot, [("k", "kk")], inside, "left")
+    assert small.columns == large.columns
+    assert sorted(large.groupBy(*large.columns).count().collect(), key=str) == expected
 
 
 def test_size_check(spark):
-    assert measured(spark.range(10), max_rows=10).small
-    assert not measured(spark.range(11), max_rows=10).small
-    assert measured(spark.range(11), max_rows=10).salted
-    assert not measured(spark.range(20_000_001)).salted
-    both = measured_together({"a": spark.range(3), "b": spark.range(30)}, max_rows=10)
+    frame = spark.range(10)
+    size = estimated_bytes(frame)
+    assert measured(frame, max_bytes=size).small and not measured(frame, max_bytes=size - 1).small
+    both = measured_together({"a": frame, "b": spark.range(1000)}, max_bytes=size)
     assert (both["a"].small, both["b"].small) == (True, False)
     assert measured_together({}) == {}
     assert fixed(spark.range(1)).small

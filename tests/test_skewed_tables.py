@@ -59,6 +59,6 @@ def folder(tmp_path_factory):
     ],
 )
 def test_query_matches_sql(spark, folder, name, monkeypatch):
-    monkeypatch.setattr(lookup, "BROADCAST_MAX_ROWS", 0)
+    monkeypatch.setattr(lookup, "BROADCAST_MAX_BYTES", 0)
     monkeypatch.setattr(workload.roles, "fixed", lambda frame: Lookup(frame, False))
     assert differences(QUERIES[name](spark, folder), sample_tables(folder), STATEMENTS[name]) == []

@@ -4,12 +4,14 @@ from datetime import date
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from stayledger.operators.lines import SERVICES
-from stayledger.plans import daily_job
+from stayledger.plans import daily_job, jobs
+from stayledger.sources import materialize
 from stayledger.sources.catalog import load_books, parquet_reader, register_views
 from stayledger.sources.inline import inline
-from stayledger.sources.jdbc import JdbcSource, Split
+from stayledger.sources.jdbc import JdbcSource, Split, jdbc_reader, parse_split
 from stayledger.sources.materialize import checkpoint_folder, materialized
 from stayledger.sources.sinks import report, run_path, write_extract
 from tests.frames import FX_MAPPING, TAX, book_rows, booking, frame
@@ -74,7 +76,8 @@ def test_avro_needs_its_module(spark, tmp_path):
         assert report(spark, run_path(str(tmp_path), date(2018, 1, 1), "avro"), "avro")[0] == 3
 
 
-def test_daily_job_from_files_to_files(spark, tmp_path):
+def test_daily_job_from_files_to_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(materialize, "checkpoint_folder", lambda spark, folder=None: str(tmp_path / "shared"))
     services, costs = book_rows()
     rows = {name: services.get(name, []) for name in SERVICES}
     rows |= {
@@ -95,26 +98,57 @@ def test_daily_job_from_files_to_files(spark, tmp_path):
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
     for name, content in rows.items():
         frame(spark, name, content).write.parquet(f"{source}/{name}")
-    count, columns = daily_job.run(spark, date(1996, 5, 1), source, target, ("parquet", "csv"), None)
+    count, columns = daily_job.run(spark, date(1996, 5, 1), parquet_reader(spark, source), target, ("parquet", "csv"), None)
     assert count == 2 and "tax_transfer_pricing_eur" in columns
     assert load_books(parquet_reader(spark, source)).tax.small
     written = spark.read.parquet(run_path(target, date(1996, 5, 1), "parquet"))
     assert written.filter("transfer_pricing > 0").count() == 2
 
 
-def test_materialized_frame_reads_its_files(spark):
-    frame_ = materialized(spark.range(10).filter("id > 3"))
+def test_materialized_frame_reads_its_files(spark, tmp_path):
+    frame_ = materialized(spark.range(10).filter("id > 3"), str(tmp_path))
     assert frame_.count() == 6
-    assert "Filter" not in frame_._jdf.queryExecution().executedPlan().toString()
+    text = frame_._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in text and "Range" not in text
 
 
-def test_checkpoint_folder_is_the_cluster_s(tmp_path):
-    def session(master, conf):
-        return SimpleNamespace(
-            conf=SimpleNamespace(get=lambda key, default: conf.get(key, default)),
-            sparkContext=SimpleNamespace(master=master),
-        )
+def test_checkpoint_folder_is_named():
+    def session(conf):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: conf.get(key, default)))
 
-    assert checkpoint_folder(session("yarn", {"spark.checkpoint.dir": "hdfs:///c"})) == "hdfs:///c"
+    assert checkpoint_folder(session({"spark.checkpoint.dir": "hdfs:///c"})) == "hdfs:///c"
+    assert checkpoint_folder(session({}), "/given") == "/given"
     with pytest.raises(ValueError):
-        checkpoint_folder(session("yarn", {}))
+        checkpoint_folder(session({}))
+
+
+def test_jdbc_reader_splits_large_tables():
+    recorder = Recorder()
+    name, split = parse_split("cost:id:1:100:4")
+    read = jdbc_reader(JdbcSource(SimpleNamespace(read=recorder), "jdbc:x", {}), {name: split}, {"tax": "db.tax"})
+    read("cost")
+    read("tax")
+    assert recorder.calls[0] == (("jdbc:x", "cost"), {"column": "id", "lowerBound": 1, "upperBound": 100, "numPartitions": 4, "properties": {}})
+    assert recorder.calls[1] == (("jdbc:x", "db.tax"), {"properties": {}})
+
+
+def test_a_job_reads_files_or_a_database():
+    def given(**named):
+        return SimpleNamespace(**{"input": None, "jdbc": None, "property": [], "split": [], **named})
+
+    with pytest.raises(ValueError):
+        jobs.reader(None, given())
+    with pytest.raises(ValueError):
+        jobs.reader(None, given(input="a", jdbc="b"))
+    recorder = Recorder()
+    read = jobs.reader(SimpleNamespace(read=recorder), given(jdbc="jdbc:x", property=["user=me"], split=[parse_split("cost:id:1:9:2")]))
+    read("cost")
+    assert recorder.calls[0][1]["numPartitions"] == 2 and recorder.calls[0][1]["properties"] == {"user": "me"}
+
+
+def test_a_failed_rerun_leaves_the_day(spark, tmp_path):
+    base, day = str(tmp_path), date(2018, 1, 1)
+    write_extract(spark.range(5), base, day)
+    with pytest.raises(Exception):
+        write_extract(spark.range(5).select(F.raise_error(F.lit("stop")).alias("id")), base, day)
+    assert report(spark, run_path(base, day, "parquet")) == (5, ["id"])

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayledger.functions.money import embedded_tax, regime_amount, round_half_up
+from stayledger.functions.money import night_amount as amount_of_nights
 from stayledger.functions.scalars import (
     EUR,
     accommodation_model,
@@ -92,8 +93,14 @@ def tax_component(r: Roles) -> DataFrame:
 
 @query
 def night_amount(r: Roles) -> DataFrame:
+    names = ("fec_desde", "fec_hasta", "nro_unidades", "nro_pax", "ind_tipo_unid", "ind_p_s", "imp_unitario")
+    stated = F.when(F.col("rext_ord_extra") % 3 == 0, F.col("nro_pax"))
     return r.costs.select(
-        "grec_seq_rec", "rres_seq_reserva", "rext_ord_extra", money(measures.cost_nights(r.costs)).alias("nights")
+        "grec_seq_rec",
+        "rres_seq_reserva",
+        "rext_ord_extra",
+        money(measures.cost_nights(r.costs)).alias("nights"),
+        money(amount_of_nights(*(F.col(name) for name in names), number_days=stated)).alias("stated_days"),
     )
 
 
@@ -295,9 +302,10 @@ def coalesced_key_join(r: Roles) -> DataFrame:
 
 @query
 def concat_key_join(r: Roles) -> DataFrame:
-    merged = header.merged_measures(r.measure_views[:1]).select("grec_seq_rec", "seq_reserva", "ttv")
+    merged = header.merged_measures(r.measure_views)
     joined = r.header.select("grec_seq_rec", "seq_reserva").join(merged, list(header.KEY), "left")
-    return joined.select("grec_seq_rec", "seq_reserva", money(nvl(F.col("ttv"), F.lit(0.0))).alias("ttv"))
+    names = [name for name in merged.columns if name not in header.KEY]
+    return joined.select("grec_seq_rec", "seq_reserva", *(money(nvl(F.col(name), F.lit(0.0))).alias(name) for name in names))
 
 
 @query
@@ -385,16 +393,16 @@ def fx_convert(r: Roles) -> DataFrame:
     rows = r.costs.select(
         "grec_seq_rec", "rres_seq_reserva", "rext_ord_extra", "sdiv_cod_divisa", "fec_desde", "imp_unitario"
     )
-    day = F.col("fec_desde")
-    eur = r.fx.convert(rows, F.col("imp_unitario"), F.col("sdiv_cod_divisa"), EUR, day, "eur")
-    usd = r.fx.convert(eur, F.col("imp_unitario"), F.col("sdiv_cod_divisa"), "USD", day, "usd")
-    restricted = r.fx.convert(usd, F.col("imp_unitario"), F.col("sdiv_cod_divisa"), EUR, day, "eur_type_r", "R")
-    return plain(
-        restricted.select("grec_seq_rec", "rres_seq_reserva", "rext_ord_extra", "eur", "usd", "eur_type_r"),
-        "eur",
-        "usd",
-        "eur_type_r",
-    )
+    # One snapshot and one rate of the source serve all targets of a rate type.
+    dated = r.fx.with_snapshot(rows, F.col("fec_desde"))
+    outputs = []
+    for kind, targets in (("M", {"eur": EUR, "usd": "USD"}), ("R", {"eur_type_r": EUR})):
+        dated = r.fx.with_rate(dated, F.col("sdiv_cod_divisa"), f"from_{kind}", kind)
+        for out, code in targets.items():
+            dated = r.fx.with_rate(dated, code, f"to_{out}", kind)
+            outputs.append(fx.exchanged(F.col("imp_unitario"), F.col(f"from_{kind}"), F.col(f"to_{out}")).alias(out))
+    converted = dated.select("grec_seq_rec", "rres_seq_reserva", "rext_ord_extra", *outputs)
+    return plain(converted, "eur", "usd", "eur_type_r")
 
 
 @query
@@ -610,18 +618,15 @@ def booking_extract_wide(r: Roles) -> DataFrame:
 # -- assembly -----------------------------------------------------------------
 
 
-def _measure_frame(r: Roles, name: str) -> DataFrame:
-    return measures.with_measures(r.books(), _base(r), (name,)).drop("creation_date", "booking_currency")
-
-
 def _doubles(frame: DataFrame) -> DataFrame:
     return frame.withColumns({name: F.col(name).cast("double") for name, kind in frame.dtypes if kind.startswith("decimal")})
 
 
 @query
 def assemble_extract(r: Roles) -> DataFrame:
-    frames = [_measure_frame(r, name) for name in measures.EUR_NAMES]
-    return _doubles(assemble(without_measures(r.booking_view), *frames))
+    # One frame holds all measures, so the lines are read and summed once.
+    frame = measures.with_measures(r.books(), _base(r)).drop("creation_date", "booking_currency")
+    return _doubles(assemble(without_measures(r.booking_view), frame))
 
 
 @query
