@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -35,6 +35,17 @@ def checkpointed(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def packed_rows(docs: DataFrame, **more: Column) -> DataFrame:
+    """Whole rows as one column ``row`` next to others, whose names so cannot clash with the rows' own."""
+    return docs.select(F.struct(*docs.columns).alias("row"), *(column.alias(name) for name, column in more.items()))
+
+
+def unpacked_rows(rows: DataFrame, columns: list[str], text: Column | None = None) -> DataFrame:
+    """The rows again; with a new text, n_chars is counted anew."""
+    new = {} if text is None else {"text": text, "n_chars": F.length(text).cast("long")}
+    return rows.select(*(new.get(c, F.col("row")[c]).alias(c) for c in columns))
+
+
 def shared_data(spark: SparkSession, data):
     """Plain data for all tasks; ``made_once`` builds what a Python worker makes of it, and keeps that between tasks."""
     return spark.sparkContext.broadcast({"data": data})

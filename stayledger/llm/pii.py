@@ -7,12 +7,12 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import checkpointed, table
+from .common import checkpointed, packed_rows, table, unpacked_rows
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
@@ -136,11 +136,12 @@ def scanned(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], found], ["doc_id", "k1", "k2", "spans"])
 
     text = F.coalesce("text", F.lit("")).alias("text")
-    return keyed(docs).select(F.col("doc_id").cast("long"), "k1", "k2", text).mapInArrow(work, schema)
+    keys = (column.alias(name) for name, column in _keys().items())
+    return docs.select(F.col("doc_id").cast("long"), *keys, text).mapInArrow(work, schema)
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumns({"k1": F.xxhash64("text"), "k2": F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.length("text"))})
+def _keys() -> dict[str, Column]:
+    return {"k1": F.xxhash64("text"), "k2": F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.length("text"))}
 
 
 def discovered(
@@ -222,7 +223,6 @@ def _joined(spans: str):
 
 def masked(docs: DataFrame) -> DataFrame:
     """The documents with every span replaced by its kind in brackets and n_chars counted anew."""
-    columns = docs.columns
     found = personal_data(docs).select("k1", "k2", "spans").where(F.size("spans") > 0).dropDuplicates(["k1", "k2"])
 
     @F.pandas_udf("string")
@@ -239,9 +239,9 @@ def masked(docs: DataFrame) -> DataFrame:
             out.append(text)
         return pd.Series(out)
 
-    joined = keyed(docs).join(found, ["k1", "k2"], "left")
-    text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(mask("text", "spans"))
-    return joined.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*columns)
+    joined = packed_rows(docs, **_keys()).join(found, ["k1", "k2"], "left")
+    own = F.col("row.text")
+    return unpacked_rows(joined, docs.columns, F.when(F.col("spans").isNull(), own).otherwise(mask(own, "spans")))
 
 
 def op3_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import packed_rows, table, unpacked_rows
 
 LENGTH = 100
 GRAM = 24
@@ -414,10 +414,8 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The documents with repeated strings removed from text, whole characters only, and n_chars counted anew."""
-    columns = docs.columns
-    spans = repeated_ranges(docs)
-    text = F.coalesce("text", F.lit(""))
-    joined = docs.withColumns({"d": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "tag": F.hash(text)}).join(spans, ["d", "tag"], "left")
+    keys = {"d": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "tag": F.hash(F.coalesce("text", F.lit("")))}
+    joined = packed_rows(docs, **keys).join(repeated_ranges(docs), ["d", "tag"], "left")
 
     @F.pandas_udf("string")
     def cut(texts, found):
@@ -430,8 +428,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             out.append(text)
         return type(texts)(out, dtype=object)
 
-    text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(cut("text", "spans"))
-    return joined.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*columns)
+    own = F.col("row.text")
+    return unpacked_rows(joined, docs.columns, F.when(F.col("spans").isNull(), own).otherwise(cut(own, "spans")))
 
 
 def op8_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
