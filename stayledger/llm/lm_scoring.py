@@ -89,7 +89,8 @@ def scored(docs: DataFrame, target: DataFrame, vocabulary: int = VOCABULARY) ->
     size = vocabulary + 1
     top = word_counts(docs).orderBy(F.desc("n"), "word").limit(vocabulary).select("word").toArrow()["word"].to_pylist()
     ids = spark.sparkContext.broadcast({w: i for i, w in enumerate(top, 1)})
-    chosen = docs.join(target.select("doc_id").distinct(), "doc_id", "left_semi")
+    # The target grows with the corpus, so it is never broadcast.
+    chosen = docs.join(target.select("doc_id").distinct().hint("shuffle_merge"), "doc_id", "left_semi")
     counts = checkpointed(
         pair_counts(docs, ids, size)
         .withColumnRenamed("n", "background")
