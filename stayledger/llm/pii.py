@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 import pyarrow as pa
@@ -65,7 +67,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     if "@" in text:
         found += [("email", a, b) for a, b in emails(text)]
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(p.lstrip("0")) < 4 and int(p[-3:]) <= 255 for p in m[0].split(".")):
             found.append(("ip", *m.span()))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 16:
@@ -110,12 +112,13 @@ def _patterns(text: str, start: int, end: int) -> list[str]:
 
 
 def scan(text: str) -> list[dict]:
-    rows, taken = [], []
-    for kind, a, b in base_spans(text):
-        taken.append((a, b))
-        rows.append((kind, a, b, True, [kind]))
+    """Base spans and the candidates that overlap none of them, with the words around each."""
+    rows = [(kind, a, b, True, [kind]) for kind, a, b in base_spans(text)]
+    taken = sorted((a, b) for _, a, b, *_ in rows)
+    starts, reach = [a for a, _ in taken], list(accumulate((b for _, b in taken), max))
     for a, b, kinds in candidates(text):
-        if all(b <= x or y <= a for x, y in taken):
+        before = bisect_left(starts, b)
+        if not before or reach[before - 1] <= a:
             rows.append((None, a, b, False, kinds))
     names = ("kind", "start", "end", "base", "kinds", "value", "patterns")
     return [

@@ -85,8 +85,10 @@ def test_base_spans_are_the_patterns():
 
 
 def test_long_runs_take_linear_time():
-    for text in ("a" * 300_000, "1" * 300_000, "a@" * 150_000, "1." * 150_000, "+1" + "(" * 300_000, "1:" * 150_000):
+    for text in ("a" * 300_000, "1" * 300_000, "a@" * 150_000, "1." * 150_000, "+1" + "(" * 300_000, "1:" * 150_000, "a@b.c 5551234567, " * 30_000):
         pii.scan(text)
+    assert [(s["start"], s["base"]) for s in pii.scan("x@y.zz 5551234567 x@y.zz")] == [(0, True), (18, True), (7, False)]
+    assert pii.base_spans("0" * 5000 + "1.2.3.4") == [("ip", 0, 5007)]
 
 
 def test_contexts_find_unseen_identifiers(spark):
