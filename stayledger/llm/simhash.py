@@ -19,6 +19,7 @@ PARTS = 4
 SEED = 42
 WORDS = 4
 PER_NODE = 1000
+PER_BLOCK = 1 << 16
 SHINGLES_AT_ONCE = 1 << 16
 PAIRS_AT_ONCE = 1 << 18
 
@@ -53,7 +54,7 @@ def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, "doc_id long, fp long")
 
 
-def similar_fingerprints(distinct: DataFrame, budget: int = 4, per_node: int = PER_NODE) -> DataFrame:
+def similar_fingerprints(distinct: DataFrame, budget: int = 4, per_node: int = PER_NODE, per_block: int = PER_BLOCK) -> DataFrame:
     """Edges (a, b) that connect all distinct fingerprints (column fp) with up to ``budget`` differing bits.
 
     Two such fingerprints differ in at most budget / 4 bits of one of their four quarters. So four tries
@@ -61,7 +62,9 @@ def similar_fingerprints(distinct: DataFrame, budget: int = 4, per_node: int = P
     spends more than that on the leading quarter or more than the budget in all. The pairs of nodes at the
     top levels are dealt out by Spark: a fingerprint goes to the pairs that its own node is in. A task
     traverses the rest of its pair and returns a spanning forest of the links found, not the links. The
-    number of top levels follows the number of fingerprints.
+    number of top levels follows the number of fingerprints. A node that holds more than ``per_block`` of
+    them is parted into blocks by hash, and every block of one node meets every block of the other in a task
+    of its own. Only the numbers of blocks are broadcast: a row for each such node, at most PARTS << depth.
     """
     first = budget // PARTS
     quarter = BITS // PARTS
@@ -72,29 +75,48 @@ def similar_fingerprints(distinct: DataFrame, budget: int = 4, per_node: int = P
         flips = [m for m in range(1 << depth) if m.bit_count() <= first]
     turned = F.expr(f"shiftleft(fp, r * {quarter}) | shiftrightunsigned(fp, {BITS} - r * {quarter})")
     node = F.shiftrightunsigned("bits", BITS - depth) if depth else F.lit(0).cast("long")
-    dealt = (
+    leaves = (
         distinct.select("fp")
         .withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
         .withColumn("bits", F.when(F.col("r") == 0, F.col("fp")).otherwise(turned))
         .withColumn("node", node)
-        .withColumn("flip", F.explode(F.array(*[F.lit(m).cast("long") for m in flips])))
+    )
+    large = leaves.groupBy("r", "node").agg(F.ceil(F.count("*") / per_block).cast("int").alias("blocks")).where("blocks > 1")
+    others = large.select("r", F.col("node").alias("other"), F.col("blocks").alias("lanes"))
+    is_left = (F.col("node") < F.col("other")) | ((F.col("node") == F.col("other")) & (F.col("block") <= F.col("lane")))
+    dealt = (
+        leaves.withColumn("flip", F.explode(F.array(*[F.lit(m).cast("long") for m in flips])))
         .withColumn("other", F.col("node").bitwiseXOR(F.col("flip")))
-        .select("r", F.least("node", "other").alias("low"), F.greatest("node", "other").alias("high"), "node", "bits")
+        .join(F.broadcast(large), ["r", "node"], "left")
+        .join(F.broadcast(others), ["r", "other"], "left")
+        .withColumn("block", F.pmod(F.xxhash64("bits"), F.coalesce("blocks", F.lit(1)).cast("long")).cast("int"))
+        .withColumn("lane", F.explode(F.sequence(F.lit(0), F.coalesce("lanes", F.lit(1)) - 1)))
+        .withColumn("is_left", is_left)
+        .select(
+            "r",
+            F.least("node", "other").alias("low"),
+            F.greatest("node", "other").alias("high"),
+            F.when(F.col("is_left"), F.col("block")).otherwise(F.col("lane")).alias("i"),
+            F.when(F.col("is_left"), F.col("lane")).otherwise(F.col("block")).alias("j"),
+            "is_left",
+            "bits",
+        )
     )
 
     def work(pairs: pd.DataFrame) -> pd.DataFrame:
-        r, low, high = int(pairs["r"].iat[0]), int(pairs["low"].iat[0]), int(pairs["high"].iat[0])
+        r, low, high, i, j = (int(pairs[c].iat[0]) for c in ("r", "low", "high", "i", "j"))
         bits = pairs["bits"].to_numpy().astype(np.uint64)
-        side = pairs["node"].to_numpy() == low
+        side = pairs["is_left"].to_numpy()
+        same = low == high and i == j
         left = np.sort(bits[side])
-        right = left if low == high else np.sort(bits[~side])
-        a, b = trie_join(left, right, low == high, depth, (low ^ high).bit_count(), first, budget)
-        nodes = left if low == high else np.concatenate([left, right])
+        right = left if same else np.sort(bits[~side])
+        a, b = trie_join(left, right, same, depth, (low ^ high).bit_count(), first, budget)
+        nodes = left if same else np.concatenate([left, right])
         a, b = spanning_edges(a, b, len(nodes))
         back = [_turn_back(nodes[x], r * quarter) for x in (a, b)]
         return pd.DataFrame({"a": back[0], "b": back[1]})
 
-    return dealt.groupBy("r", "low", "high").applyInPandas(work, "a long, b long")
+    return dealt.groupBy("r", "low", "high", "i", "j").applyInPandas(work, "a long, b long")
 
 
 def _turn_back(bits: np.ndarray, by: int) -> np.ndarray:

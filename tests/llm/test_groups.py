@@ -44,8 +44,8 @@ def test_fingerprint(text):
     assert int.from_bytes(simhash.fingerprint(text), "big") == plain_fingerprint(text)
 
 
-@pytest.mark.parametrize("per_node", [150, 100_000])
-def test_trie_join_finds_all_links(spark, per_node):
+@pytest.mark.parametrize(("per_node", "per_block"), [(150, 100_000), (100_000, 100_000), (150, 60), (100_000, 200)])
+def test_trie_join_finds_all_links(spark, per_node, per_block):
     pick = np.random.default_rng(5)
     prints = {int(x) for x in pick.integers(0, 2**64, 60, dtype=np.uint64)} | {0, 2**64 - 1}
     for x in list(prints):
@@ -58,7 +58,7 @@ def test_trie_join_finds_all_links(spark, per_node):
     linked = [(a, b) for a in prints for b in prints if a < b and (a ^ b).bit_count() <= 4]
     wanted = reachable(linked, prints)
     frame = spark.createDataFrame([(int(np.uint64(p).astype(np.int64)),) for p in prints], "fp long")
-    edges = [(r["a"] % 2**64, r["b"] % 2**64) for r in simhash.similar_fingerprints(frame, per_node=per_node).collect()]
+    edges = [(r["a"] % 2**64, r["b"] % 2**64) for r in simhash.similar_fingerprints(frame, per_node=per_node, per_block=per_block).collect()]
     assert all((a ^ b).bit_count() <= 4 or wanted[a] == wanted[b] for a, b in edges)
     got = reachable(edges, prints)
     assert len({(wanted[p], got[p]) for p in prints}) == len(set(wanted.values())) == len(set(got.values()))
