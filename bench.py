@@ -17,6 +17,7 @@ from workload.queries import REGISTRY, bind
 HEADLINES = (
     "daily_extract_full",
     "daily_extract_one_day",
+    "assemble_extract",
     "tax_sales_transfer_pricing",
     "tax_cost_transfer_pricing",
     "transfer_pricing",
