@@ -55,7 +55,7 @@ def _normal(line: Column) -> Column:
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """A row per document: its counts, the hash and size of each of its lines, and a signature of them all.
+    """A row per document: its counts, the hash and size of each of its lines, the least hash of them (signature) and one of all (whole).
 
     Repeated windows are found by sorting the hashes of a text's windows with their positions, and only if
     there are fewer distinct hashes than windows. The steps are separate selects, so that Spark computes an
@@ -129,23 +129,31 @@ def measured(docs: DataFrame) -> DataFrame:
         *[c for c in steps.columns if c not in ("lines", "covers")],
         ((F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))).alias("base_failed"),
         F.array_min(F.transform("lines", lambda x: F.md5(x["line"]))).alias("signature"),
+        F.md5(F.array_join(F.transform("lines", lambda x: x["line"]), "\n")).alias("whole"),
         F.transform("lines", lambda x: F.struct(F.xxhash64(x["line"]).alias("line"), x["chars"].alias("chars"))).alias("lines"),
     )
 
 
-def quality(docs: DataFrame, max_docs: int = MAX_DOCS, min_apart: float = MIN_APART, min_left: float = MIN_LEFT) -> DataFrame:
+def quality(
+    docs: DataFrame, max_docs: int = MAX_DOCS, min_apart: float = MIN_APART, min_left: float = MIN_LEFT, by_text: bool = False
+) -> DataFrame:
     """One row per document row with its counts, base_failed, removed_chars and kept.
 
     A line is removed everywhere in a host (``source``) if it stands in more than ``max_docs`` distinct
     documents of it. Documents are distinct if their signatures, the least hash of their lines, differ: copies of one
     document count once, and a line whose documents are mostly copies of each other (signatures fewer than
-    ``min_apart`` of the documents) is left to deduplication. A document is rejected if it fails the base
-    rules or keeps less than ``min_left`` of its characters.
+    ``min_apart`` of the documents) is left to deduplication. That is the rule of OP7_SQL; it misses hosts whose pages
+    share their least line. With ``by_text`` documents are distinct if their normalised lines differ anywhere, and
+    ``min_apart`` is not used. A document is rejected if it fails the base rules or keeps less than ``min_left`` of
+    its characters.
 
     Null texts count as empty, null hosts as the host ''. Null ids are kept as they are. Rows with equal doc_id, source
     and text are one document and get equal results. An empty table gives no rows; other columns are ignored.
     """
-    scanned = checkpointed(measured(docs))
+    scanned = checkpointed(measured(docs).drop("signature" if by_text else "whole").withColumnRenamed("whole", "signature"))
+    frequent_enough = F.col("apart") > max_docs
+    if not by_text:
+        frequent_enough &= F.col("apart") >= min_apart * F.col("docs")
     lines = (
         scanned.select("row_key", "host", "signature", F.explode("lines").alias("line"))
         .groupBy("row_key", "host", "signature", F.col("line.line").alias("line"))
@@ -156,7 +164,7 @@ def quality(docs: DataFrame, max_docs: int = MAX_DOCS, min_apart: float = MIN_AP
         .agg(F.count("*").alias("docs"))
         .groupBy("host", "line")
         .agg(F.count("*").alias("apart"), F.sum("docs").alias("docs"))
-        .where((F.col("apart") > max_docs) & (F.col("apart") >= min_apart * F.col("docs")))
+        .where(frequent_enough)
         .select("host", "line")
     )
     copies = scanned.groupBy("row_key").agg(F.count("*").alias("rows"))

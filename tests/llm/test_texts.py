@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from stayledger.llm import packing, pii, quality, suffix
 from tests.compare import differences
 from tests.llm.rows import EDGES, LONG, documents
@@ -53,6 +54,22 @@ def test_depleted_documents_are_rejected(spark):
     assert got[1000]["kept"] and got[1000]["n_words"] == len(LONG.split()) and got[1000]["n_repeat_words"] == 0
 
 
+@pytest.mark.parametrize("shared", [1, 3])
+def test_pages_of_mostly_boilerplate_are_rejected_on_every_host(spark, shared):
+    pick = random.Random(11)
+    rows = []
+    for h in range(8):
+        boiler = "\n".join(f"{c} {'abcdefgh'[h]} " + " ".join(f"boilerplate{c * (k + 1)}" for k in range(20)) for c in "xyz"[:shared])
+        rows += [(100 * h + i, f"{boiler}\n{prose(pick, 3)} {'abcdefghij'[i // 10]} {'abcdefghij'[i % 10]}", f"host{h}") for i in range(60)]
+    copied = "\n".join(prose(pick, 12) for _ in range(9))
+    rows += [(5000 + i, copied, "host0") for i in range(50)]
+    docs = documents(spark, rows)
+    got = {r["doc_id"]: r["kept"] for r in quality.quality(docs, by_text=True).collect()}
+    assert not any(kept for d, kept in got.items() if d < 5000) and all(kept for d, kept in got.items() if d >= 5000)
+    left = {r["doc_id"] for r in corpus_pipeline.quality_rules(spark, docs, "").collect()}
+    assert left == set(range(5000, 5050))
+
+
 # -- personal data ------------------------------------------------------------
 
 PATTERNS = {
