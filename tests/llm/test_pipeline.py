@@ -1,8 +1,11 @@
 """The pipeline's stages, each on its own input, and the whole."""
 
+import itertools
+import random
+
 import corpus_pipeline as pipeline
 import pytest
-from stayledger.llm import queries
+from stayledger.llm import queries, simhash
 from tests.llm.rows import EDGES, documents
 
 BODY = " ".join(f"clean{i} sentence{i * 7} number{i * 13}" for i in range(40))
@@ -29,6 +32,30 @@ def test_stages_take_effect_and_keep_columns(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in left.values() if r["text"] is not None)
 
 
+def test_near_duplicates_are_all_pairs_of_jaccard_from_four_fifths(spark):
+    pick = random.Random(5)
+    rows = []
+    for g in range(25):
+        base = [f"w{pick.randrange(3000)}" for _ in range(120)]
+        for k in range(4):
+            words = list(base)
+            for at in pick.sample(range(120), k * 2):
+                words[at] = f"new{g}x{k}x{at}"
+            rows.append((10 * g + k, " ".join(words)))
+    hot = [f"h{i}" for i in range(200)]
+    rows += [(1000 + i, " ".join([*hot, f"own{i}"])) for i in range(150)]
+    shingles = {d: {tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for d, t in rows}
+    pairs = [(a, b) for a, b in itertools.combinations(shingles, 2) if 5 * len(shingles[a] & shingles[b]) >= 4 * len(shingles[a] | shingles[b])]
+    least = {d: d for d in shingles}
+    for _ in range(5):
+        for a, b in pairs:
+            least[a] = least[b] = min(least[a], least[b])
+    docs = documents(spark, rows)
+    assert {r["doc_id"] for r in pipeline.near_duplicates(spark, docs, "").collect()} == set(least.values())
+    fingers = {r["doc_id"]: int(r["fingerprint"], 16) for r in simhash.simhash_groups(docs).collect()}
+    assert any((fingers[a] ^ fingers[b]).bit_count() > 4 for a, b in pairs)
+
+
 def test_run_on_sample_tables(spark):
     rows = pipeline.run(spark, "/root/testdata/sf0.001")
     assert {"doc_id", "bin_id", "capacity"} <= set(rows.columns) and rows.count() > 100
