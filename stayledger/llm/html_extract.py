@@ -16,7 +16,12 @@ from .common import table
 
 SMOOTH = (0.25, 0.5, 0.25)
 THRESHOLD = 0.25
-COVER = 0.9
+# Fused ratio of an ordinary short paragraph (60 characters, two marks): a very long one does not make others boilerplate.
+TYPICAL = 180.0
+# What a mark by tag, role, class or id leaves of the fused ratio: a certain one, and one by an ambiguous name.
+PENALTY = (1.0, 0.5, 0.15)
+# An element with this share of the page's unlinked text is a wrapper, whatever it is called.
+WRAPPER = 0.5
 # Elements nested deeper than this are taken as part of the one at this depth; their text stays.
 DEEPEST = 512
 
@@ -34,7 +39,8 @@ _BLOCKS = set(
     "header footer nav aside form fieldset figure figcaption address details summary dialog menu select option button hgroup center svg canvas "
     "audio video object search".split()
 )
-_NEVER = {"nav", "footer", "aside", "form", "select", "button", "menu", "dialog", "svg", "canvas", "audio", "video", "object", "head", "search"}
+_NEVER = {"select", "button", "svg", "canvas", "audio", "video", "object", "head"}
+_MARKED = {"nav", "footer", "aside", "form", "menu", "dialog", "search"}
 _CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
     "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"thead", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"},
@@ -47,6 +53,10 @@ _BOILER = set(
     "masthead comment comments disqus respond reply replies share sharing social related recommended recommendations widget widgets login "
     "toolbar skip copyright legal alert alerts pagination pager".split()
 )
+# Names that also stand on parts of articles.
+_AMBIGUOUS = set("legal notice notices related recommended recommendations alert alerts copyright comment respond reply promotion share".split())
+# Words that do not change what a name says.
+_NEUTRAL = set("left right top bottom main site page primary secondary block box area section wrap wrapper container inner list item items".split())
 
 
 @dataclass(slots=True, eq=False)
@@ -54,7 +64,9 @@ class Element:
     tag: str
     parent: Element | None
     label: str
-    boiler: bool
+    never: bool
+    hidden: bool
+    mark: int
     article: bool
     depth: int
 
@@ -67,31 +79,42 @@ class Leaf:
     text: str = ""
 
 
+def _mark(name: str) -> int:
+    """2 if a class or id names boilerplate, 1 if it only has such a word in it (has-sidebar, related-work), else 0."""
+    words = {w.lower() for w in _NAME.findall(name)}
+    found = words & _BOILER
+    return 0 if not found else 2 if found >= words - _NEUTRAL and not found <= _AMBIGUOUS else 1
+
+
 def _element(tag: str, attributes: str, parent: Element | None) -> Element:
-    boiler = bool(parent and parent.boiler) or tag in _NEVER
+    never = bool(parent and parent.never) or tag in _NEVER
     article = bool(parent and parent.article)
+    hidden = False
+    mark = 2 if tag in _MARKED else 0
     names: list[str] = []
     for name, a, b, c in _ATTRIBUTE.findall(attributes) if attributes.strip(" /") else ():
         name, value = name.lower(), a or b or c
         if name in ("class", "id"):
-            names += _NAME.findall(value)
+            names += value.split()
         elif name == "role":
-            boiler |= value.strip().lower() in _ROLES
+            mark = 2 if value.strip().lower() in _ROLES else mark
             article |= value.strip().lower() in ("main", "article")
         elif name == "hidden" or (name == "aria-hidden" and value == "true"):
-            boiler = True
+            hidden = True
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            boiler = True
-    words = {n.lower() for n in names}
+            hidden = True
+    words = {w.lower() for n in names for w in _NAME.findall(n)}
     if tag not in ("html", "body", "article", "main"):
-        boiler |= bool(words & _BOILER) or ((tag == "header" or "header" in words) and not article)
+        mark = max([mark, *map(_mark, names)])
+        if (tag == "header" or "header" in words) and not article:
+            mark = 2
     article |= tag in ("article", "main")
-    return Element(tag, parent, ".".join([tag, *sorted(words)]), boiler, article, parent.depth + 1 if parent else 0)
+    return Element(tag, parent, ".".join([tag, *sorted(words)]), never, hidden, mark, article, parent.depth + 1 if parent else 0)
 
 
 def leaves(page: str) -> list[Leaf]:
     """The page's pieces of text in order, each with the element that holds it; a new piece starts at every block's edge."""
-    top = Element("", None, "", False, False, 0)
+    top = Element("", None, "", False, False, 0, False, 0)
     stack = [top]
     out: list[Leaf] = []
     leaf = Leaf(top)
@@ -165,43 +188,78 @@ def _path(element: Element | None) -> list[Element]:
     return path[::-1]
 
 
+def _marks(paths: list[list[Element]], own: np.ndarray) -> np.ndarray:
+    """Each leaf's mark: the strongest on its path below the last article or wrapper, 3 if hidden.
+
+    A wrapper is an element that holds most of the page's unlinked text.
+    """
+    share: dict[int, float] = {}
+    for p, w in zip(paths, own.tolist(), strict=True):
+        for e in p:
+            share[id(e)] = share.get(id(e), 0.0) + w
+    most = WRAPPER * float(own.sum())
+    held: dict[int, int] = {}
+    for p in paths:
+        mark = 0
+        for e in p:
+            if id(e) not in held:
+                wraps = share[id(e)] > most
+                through = 0 if wraps or (mark < 3 and (e.tag in ("article", "main"))) else mark
+                held[id(e)] = through if wraps else max(through, 3 if e.hidden else e.mark)
+            mark = held[id(e)]
+    return np.array([held[id(p[-1])] for p in paths], dtype=np.int64)
+
+
 def main_text(page: str | None) -> str:
     """The text of the content node, blocks joined by line breaks.
 
-    Leaves in elements that are never content by their tag, role, class or id (menus, footers, adverts,
-    notices, comments, forms) are set aside. For every path of tags and classes the others give two ratios: text
-    length per leaf and punctuation per leaf. The sequence of the leaves' ratios is smoothed, the two are fused by
-    their product, and leaves above a share of the largest value are selected. The content node is the deepest
-    element that holds nearly all of the selected text, or an article around it; all of its leaves that were not
-    set aside are its text.
+    Controls and hidden elements are set aside. For every path of tags and classes the other leaves give two ratios: text
+    length per leaf and punctuation per leaf. The sequence of the leaves' ratios is smoothed and the two are fused by their
+    product. Tags, roles, classes and ids that name boilerplate (menus, footers, adverts, notices, comments, forms) lower
+    the fused ratio; a mark does not pass into an article, nor is it one on an element that holds most of the
+    page's unlinked text. Leaves are selected if they reach a share of the largest value or of an ordinary paragraph's; those
+    certainly marked only by the largest unmarked value. The content node is the lowest element that holds all selected
+    leaves, or an article around it; all of its leaves that are selected or not marked are its text.
     """
-    found = [leaf for leaf in leaves(page or "") if not leaf.element.boiler]
+    found = [leaf for leaf in leaves(page or "") if not leaf.element.never]
     if not found:
         return ""
-    if any(leaf.element.article for leaf in found):
-        found = [leaf for leaf in found if leaf.element.article]
-    labels = ["/".join(e.label for e in _path(leaf.element)) for leaf in found]
-    names, path = np.unique(labels, return_inverse=True)
-    size = np.array([len(leaf.text) for leaf in found], dtype=float)
-    own = size * (1 - np.minimum(1, np.array([leaf.linked for leaf in found]) / size))
+    own = np.array([max(0.0, len(leaf.text) * (1 - leaf.linked / len(leaf.text))) for leaf in found])
+    mark = _marks([_path(leaf.element) for leaf in found], own)
+    seen = mark < 3
+    if any(leaf.element.article and m < 2 for leaf, m in zip(found, mark.tolist(), strict=True)):
+        seen &= np.array([leaf.element.article for leaf in found])
+    if not seen.any():
+        return ""
+    found = [leaf for leaf, s in zip(found, seen.tolist(), strict=True) if s]
+    own, mark = own[seen], mark[seen]
+    paths = [_path(leaf.element) for leaf in found]
+    names, path = np.unique(["/".join(e.label for e in p) for p in paths], return_inverse=True)
     marks = np.array([len(_PUNCTUATION.findall(leaf.text)) for leaf in found], dtype=float)
     nodes = np.bincount(path)
     ratios = [np.bincount(path, weights=w) / nodes for w in (own, marks + 1)]
     smooth = [np.convolve(np.pad(r[path], 1, mode="edge"), SMOOTH, mode="valid") for r in ratios]
-    fused = smooth[0] * smooth[1]
-    chosen = fused >= THRESHOLD * fused.max()
-    weight = np.where(chosen, own, 0)
-    share: dict[int, float] = {}
-    paths = [_path(leaf.element) for leaf in found]
-    elements = {id(e): e for p in paths for e in p}
-    for p, w in zip(paths, weight.tolist(), strict=True):
-        for e in p:
-            share[id(e)] = share.get(id(e), 0.0) + w
-    least = COVER * float(weight.sum())
-    root = max((e for e in elements.values() if share[id(e)] >= least), key=lambda e: (e.depth, share[id(e)]))
+    # A leaf beside a long one is not judged by it alone: its own path counts where smoothing would lift a link or lower a paragraph.
+    fused = np.where(own > 0, np.maximum(smooth[0] * smooth[1], ratios[0][path] * ratios[1][path]), 0)
+    largest = fused[mark < 2].max(initial=0.0)
+    if largest == 0:
+        return "\n".join(leaf.text for leaf, m in zip(found, mark.tolist(), strict=True) if m < 2)
+    chosen = fused * np.array(PENALTY)[mark] >= THRESHOLD * np.where(mark == 2, largest, min(largest, TYPICAL))
+    chosen &= (fused > 0) & (2 * own >= np.array([len(leaf.text) for leaf in found]))
+    if not chosen.any():
+        chosen = (fused == largest) & (mark < 2)
+    picked = [p for p, c in zip(paths, chosen.tolist(), strict=True) if c]
+    root = next(e for e in reversed(picked[0]) if all(len(p) > e.depth and p[e.depth] is e for p in picked))
     while root.parent is not None and (root.tag not in ("article", "main", "section", "div", "body", "td") or (root.article and root.parent.article and root.tag != "article")):
         root = root.parent
-    return "\n".join(leaf.text for leaf, p in zip(found, paths, strict=True) if root in p)
+    below = {id(e) for p in picked for e in p[root.depth + 1 :]}
+    text = []
+    for leaf, p, c, m in zip(found, paths, chosen.tolist(), mark.tolist(), strict=True):
+        inside = len(p) > root.depth and p[root.depth] is root
+        # Headings and short blocks of a part with an ambiguous name go with its selected leaves.
+        if c or (inside and (m == 0 or (m == 1 and any(id(e) in below for e in p[:-1] if e.mark == 1)))):
+            text.append(leaf.text)
+    return "\n".join(text)
 
 
 def extracted(pages: DataFrame) -> DataFrame:

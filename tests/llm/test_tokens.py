@@ -112,6 +112,28 @@ def test_extraction_without_an_article():
     ]
 
 
+PARAGRAPHS = [f"Paragraph {i} of the article, which is of ordinary length, and has marks." for i in range(6)]
+BODY = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+AROUND = '<div class="menu"><p>Home, news, sport, and more of the menu.</p></div>{}<div class="footer"><p>Imprint, terms, and so on.</p></div>'
+
+
+@pytest.mark.parametrize(
+    "wrap",
+    [f'<div class="{c}">{{}}</div>' for c in ("layout has-sidebar", "with-navigation", "right-sidebar", "no-comments", "sidebar")]
+    + ["<form action=x>{}</form>", '<div id="widget"><div>{}</div></div>'],
+)
+@pytest.mark.parametrize("inside", ["<article>{}</article>", "<main><div>{}</div></main>", "<div>{}</div>"])
+def test_a_wrapper_s_name_does_not_decide_for_the_article(wrap, inside):
+    page = f"<body>{AROUND.format(wrap.format(inside.format(BODY)))}</body>"
+    assert html_extract.main_text(page).split("\n") == PARAGRAPHS
+
+
+@pytest.mark.parametrize("part", ['<section class="related-work">{}</section>', '<div id="legal">{}</div>', '<div class="notice-period">{}</div>'])
+def test_parts_of_an_article_with_ambiguous_names_stay(part):
+    page = f"<article><div>{BODY}</div>{part.format('<h2>Part</h2><p>This part, too, belongs to the article, and is not short.</p>')}</article>"
+    assert html_extract.main_text(page).split("\n") == [*PARAGRAPHS, "Part", "This part, too, belongs to the article, and is not short."]
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<a", "&", "<!--", "<script>a", "<div " * 3000, "<div>" * 30_000 + "x", '<a "' * 3000, "</p>" * 3000])
 def test_extraction_of_broken_pages(page):
     assert html_extract.main_text(page) in ("", "<", "&", "x", '<a "' * 3000) or page.startswith("<a")
