@@ -134,6 +134,22 @@ def test_parts_of_an_article_with_ambiguous_names_stay(part):
     assert html_extract.main_text(page).split("\n") == [*PARAGRAPHS, "Part", "This part, too, belongs to the article, and is not short."]
 
 
+LAST = ["The last section, which is short, ends it."]
+SHORT = ["Short, but text, yes it is."] * 8
+VERY_LONG = ["A very long one, that goes on and on, to the end. " * 200]
+
+
+@pytest.mark.parametrize(
+    "parts",
+    [(PARAGRAPHS * 4, LAST), ([" ".join(PARAGRAPHS)] * 3, SHORT), (VERY_LONG, PARAGRAPHS), (PARAGRAPHS, VERY_LONG, SHORT), (SHORT, PARAGRAPHS, LAST)],
+    ids=["last section", "short paragraphs", "after a long one", "on both sides", "three parts"],
+)
+def test_an_article_over_sibling_containers_is_whole(parts):
+    inner = "".join(f"<div class=p{i}>{''.join(f'<p>{p}</p>' for p in part)}</div>" for i, part in enumerate(parts))
+    page = f"<body><div><a href=1>a link</a> <a href=2>and another</a></div><div class=w>{inner}</div></body>"
+    assert html_extract.main_text(page).split("\n") == [" ".join(p.split()) for part in parts for p in part]
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<a", "&", "<!--", "<script>a", "<div " * 3000, "<div>" * 30_000 + "x", '<a "' * 3000, "</p>" * 3000])
 def test_extraction_of_broken_pages(page):
     assert html_extract.main_text(page) in ("", "<", "&", "x", '<a "' * 3000) or page.startswith("<a")
