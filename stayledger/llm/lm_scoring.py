@@ -1,21 +1,35 @@
-"""Cross-entropy difference of every document under a target and a background bigram model."""
+"""Cross-entropy difference of every document under a target and a background bigram model over all words.
+
+The models are never held whole: a document's pairs are dealt out by their second word, where the counts that
+their losses need meet, and the losses are summed per document again.
+"""
 
 from __future__ import annotations
 
+import pickle
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import checkpointed, table
 
-VOCABULARY = 4095
 PRIOR = 32.0
 FLOOR = 0.5
-PAIRS_HELD = 1 << 22
+# Pairs that a task of the second step holds, and the share of them from which a word or a pair is split.
+PAIRS_HELD = 1_500_000
+HOT_SHARE = 0.25
+WORDS_KNOWN = 1 << 20
+# The edge before the first word and, if the vocabulary is bounded, all words out of it.
+NONE = 0
+COUNTS = ["background", "target", "background_heads", "target_heads"]
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -31,94 +45,275 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(work, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _tokens(text: str | None, ids: dict[str, int]) -> np.ndarray:
-    """Ids of the words, 0 for words out of the vocabulary and for the edge before the first word."""
-    get = ids.get
-    return np.array([0, *[get(w, 0) for w in (text or "").lower().split()]], dtype=np.int64)
+class _Ids:
+    """Word ids by hash; with a vocabulary only its words have one."""
+
+    def __init__(self, known: set[str] | None):
+        self.known, self.ids = known, {}
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        ids, out = self.ids, []
+        if len(ids) > WORDS_KNOWN:
+            ids.clear()
+        for word in (text or "").lower().split():
+            at = ids.get(word)
+            if at is None:
+                at = NONE
+                if self.known is None or word in self.known:
+                    at = (xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) or 1) - (1 << 63)
+                    at = at or 1
+                ids[word] = at
+            out.append(at)
+        return np.array(out, dtype=np.int64)
+
+
+def _batch(batch: pa.RecordBatch, ids: _Ids) -> tuple[np.ndarray, ...]:
+    """Words, the words before them, their documents, whether another word follows; numbers of words and flags of all documents."""
+    texts = [ids(t.as_py()) for t in batch["text"]]
+    many = np.array([len(t) for t in texts], dtype=np.int64)
+    word = np.concatenate([*texts, np.empty(0, dtype=np.int64)])
+    doc = np.repeat(np.arange(len(many)), many)
+    ends = np.cumsum(many)
+    first, last = (ends - many)[many > 0], ends[many > 0] - 1
+    before = np.roll(word, 1)
+    before[first] = NONE
+    heads = np.ones(len(word), dtype=np.int64)
+    heads[last] = 0
+    return word, before, doc, heads, many, batch["chosen"].to_numpy(zero_copy_only=False).astype(np.int64)
+
 
+def _summed(keys: tuple[np.ndarray, ...], *values: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """An order that sorts by the keys (the first leads), the starts of equal ones in it, and the sums of values per start."""
+    order = np.lexsort(keys[::-1])
+    heads = np.zeros(len(order), dtype=bool)
+    heads[:1] = True
+    for key in keys:
+        heads[1:] |= key[order][1:] != key[order][:-1]
+    starts = np.flatnonzero(heads)
+    return order, starts, [np.add.reduceat(v[order], starts) if len(starts) else v[:0] for v in values]
 
-def pair_counts(texts: DataFrame, shared, size: int) -> DataFrame:
-    """(pair, n): how often each word follows each other one; pair is first * size + second."""
+
+def unigrams(docs: DataFrame, known) -> DataFrame:
+    """(word, times as a second and as a first of a pair in both models) over all rows; the edge counts as a first."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        many = 0
+        ids = _Ids(known.value)
+        for batch in batches:
+            word, _, doc, heads, many, chosen = _batch(batch, ids)
+            word = np.concatenate([word, np.full(len(many), NONE)])
+            seconds = np.concatenate([np.ones(len(doc), dtype=np.int64), np.zeros(len(many), dtype=np.int64)])
+            heads = np.concatenate([heads, (many > 0).astype(np.int64)])
+            of = np.concatenate([chosen[doc], chosen])
+            order, starts, sums = _summed((word,), seconds, seconds * of, heads, heads * of)
+            yield pa.RecordBatch.from_arrays([pa.array(a) for a in (word[order][starts], *sums)], ["word", *COUNTS])
+
+    rows = docs.mapInArrow(work, "word long, " + ", ".join(f"{c} long" for c in COUNTS))
+    return rows.groupBy("word").agg(*(F.sum(c).alias(c) for c in COUNTS))
 
-        def flush() -> pa.RecordBatch:
-            pairs, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n.astype(np.int64))], ["pair", "n"])
 
+def hot_pairs(docs: DataFrame, known, hot) -> DataFrame:
+    """(first, second, background, target) of the pairs whose words are both hot."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = _Ids(known.value)
+        words = hot.value["word"]
         for batch in batches:
-            for text in batch["text"]:
-                ids = _tokens(text.as_py(), shared.value)
-                held.append(ids[:-1] * size + ids[1:])
-                many += len(ids) - 1
-                if many >= PAIRS_HELD:
-                    yield flush()
-                    held, many = [], 0
-        if held:
-            yield flush()
+            word, before, doc, _, _, chosen = _batch(batch, ids)
+            own = np.flatnonzero(np.isin(word, words) & (np.isin(before, words) | (before == NONE)))
+            word, before, of = word[own], before[own], chosen[doc[own]]
+            order, starts, sums = _summed((before, word), np.ones(len(own), dtype=np.int64), of)
+            columns = (before[order][starts], word[order][starts], *sums)
+            yield pa.RecordBatch.from_arrays([pa.array(a) for a in columns], ["first", "second", "background", "target"])
+
+    rows = docs.mapInArrow(work, "first long, second long, background long, target long")
+    return rows.groupBy("first", "second").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
+
+
+def _mixed(word: np.ndarray, other: np.ndarray | int = 0) -> np.ndarray:
+    """Hashes of numbers or pairs of them."""
+    a = word.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ np.asarray(other).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    a ^= a >> np.uint64(29)
+    a *= np.uint64(0xBF58476D1CE4E5B9)
+    return a ^ (a >> np.uint64(32))
+
+
+def _sent(*parts) -> bytes:
+    return zlib.compress(pickle.dumps(parts, protocol=5), 1)
 
-    return texts.select("text").mapInArrow(work, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
+def _small(values: np.ndarray) -> np.ndarray:
+    return values.astype(np.min_scalar_type(int(values.max(initial=0))))
 
-def losses(pairs: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
-    """Loss in nats of every pair under a bigram model: counts with a prior towards the word's own frequency."""
-    first, second = pairs // size, pairs % size
-    singles = np.bincount(second, weights=counts, minlength=size) + FLOOR
-    singles /= singles.sum()
-    heads = np.bincount(first, weights=counts, minlength=size)
-    return -np.log((counts + PRIOR * singles[second]) / (heads[first] + PRIOR))
 
+def _places(hot_words: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at = np.minimum(np.searchsorted(hot_words, word), max(0, len(hot_words) - 1))
+    return at, (hot_words[at] == word) if len(hot_words) else np.zeros(len(word), dtype=bool)
 
-def scored(docs: DataFrame, target: DataFrame, vocabulary: int = VOCABULARY) -> DataFrame:
+
+def _pair_places(hot: dict, before: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs among the hot ones, which are sorted by their hashes, and whether they are there."""
+    at, found = _places(hot["pair_hash"], _mixed(word, before))
+    if len(hot["pair_hash"]):
+        found = found & (hot["first"][at] == before) & (hot["second"][at] == word)
+    return at, found
+
+
+def dealt(docs: DataFrame, known, hot, parts: int) -> DataFrame:
+    """(part, batch, data): the pairs of a batch of documents that go to a part, or the batch's documents themselves.
+
+    A pair goes by its second word, one of a hot word by both, a hot pair by its document.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = _Ids(known.value)
+        held = hot.value
+        for number, batch in enumerate(batches):
+            name = (TaskContext.get().partitionId() << 32) + number
+            word, before, doc, heads, many, chosen = _batch(batch, ids)
+            order, starts, (n, follow) = _summed((word, before, doc), np.ones(len(word), dtype=np.int64), heads)
+            word, before, doc = (a[order][starts] for a in (word, before, doc))
+            by = _mixed(word)
+            is_hot = _places(held["word"], word)[1]
+            by[is_hot] = _mixed(word[is_hot], before[is_hot])
+            is_hot = _pair_places(held, before, word)[1]
+            by[is_hot] = _mixed(doc[is_hot], name)
+            part = (by % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            cuts = np.flatnonzero(np.append(True, part[order][1:] != part[order][:-1])) if len(order) else np.empty(0, dtype=np.int64)
+            to, data = [int(_mixed(np.array([number]), name)[0] % np.uint64(parts))], [_sent("docs", batch["doc_id"].to_pylist(), many, chosen)]
+            for rows in np.split(order, cuts[1:]) if len(order) else ():
+                words, times = np.unique(word[rows], return_counts=True)
+                firsts, code = np.unique(before[rows], return_inverse=True)
+                of = doc[rows] * 2 + chosen[doc[rows]]
+                sent = _sent("pairs", words, _small(times), firsts, _small(code), _small(of), _small(n[rows]), _small(n[rows] - follow[rows]))
+                to.append(int(part[rows[0]]))
+                data.append(sent)
+            columns = [pa.array(to, pa.int64()), pa.array([name] * len(to), pa.int64()), pa.array(data, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "batch", "data"])
+
+    return docs.mapInArrow(work, "part long, batch long, data binary")
+
+
+def _spread(keys: tuple[np.ndarray, ...], *values: np.ndarray) -> list[np.ndarray]:
+    """For every row the sums of the values over the rows of its keys."""
+    order, starts, sums = _summed(keys, *values)
+    many = np.diff(np.append(starts, len(order)))
+    out = []
+    for s in sums:
+        spread = np.empty(len(order), dtype=float)
+        spread[order] = np.repeat(s, many)
+        out.append(spread)
+    return out
+
+
+def _part_losses(hot, size: int, totals: dict[str, int]):
+    """A function from a part's rows to (batch, data) with the summed losses of the batch's documents in this part."""
+
+    def work(rows: pd.DataFrame) -> pd.DataFrame:
+        held = hot.value
+        out, name, columns = [], [], []
+        for batch, data in zip(rows["batch"].tolist(), rows["data"].tolist(), strict=True):
+            kind, *parts = pickle.loads(zlib.decompress(data))
+            if kind == "docs":
+                out.append((batch, data))
+                continue
+            words, times, firsts, code, of, n, last = parts
+            name.append(batch)
+            columns.append((np.repeat(words, times), firsts[code], of.astype(np.int64), n.astype(np.int64), (n - last).astype(np.int64)))
+        if columns:
+            word, before, of, n, follow = (np.concatenate(c) for c in zip(*columns, strict=True))
+            owner = np.repeat(np.arange(len(name)), [len(c[0]) for c in columns])
+            chosen, doc = of & 1, of >> 1
+            pairs = _spread((word, before), n, n * chosen)
+            singles = _spread((word,), n, n * chosen, follow, follow * chosen)
+            at, found = _places(held["word"], word)
+            for own, c in zip(singles, COUNTS, strict=True):
+                own[found] = held[c][at[found]]
+            at, found = _pair_places(held, before, word)
+            for own, c in zip(pairs, ("pair_background", "pair_target"), strict=True):
+                own[found] = held[c][at[found]]
+            losses = []
+            for k, model in enumerate(("background", "target")):
+                share = (singles[k] + FLOOR) / (totals[model] + FLOOR * size)
+                losses.append(follow * np.log(singles[k + 2] + PRIOR) - n * np.log(pairs[k] + PRIOR * share))
+            order, starts, sums = _summed((owner, doc), *losses)
+            owner, doc = owner[order][starts], doc[order][starts]
+            cuts = np.searchsorted(owner, np.arange(len(name) + 1))
+            for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+                out.append((name[i], _sent("losses", _small(doc[a:b]), *(s[a:b].astype(np.float32) for s in sums))))
+        return pd.DataFrame(out, columns=["batch", "data"])
+
+    return work
+
+
+def _document_losses(totals: dict[str, int]):
+    """A function from all rows of a batch to its documents with their mean losses."""
+
+    def work(rows: pd.DataFrame) -> pd.DataFrame:
+        parts = [pickle.loads(zlib.decompress(data)) for data in rows["data"].tolist()]
+        ((_, doc_ids, many, _),) = [p for p in parts if p[0] == "docs"]
+        columns = {"doc_id": pd.array(doc_ids, dtype="Int64"), "n_tokens": many}
+        for k, model in enumerate(("background", "target")):
+            total = np.full(len(many), np.log(totals[f"{model}_edge"] + PRIOR))
+            for p in parts:
+                if p[0] == "losses":
+                    total[p[1]] += p[2 + k]
+            columns[f"{model}_loss"] = [float(t / n) if n else None for t, n in zip(total.tolist(), many.tolist(), strict=True)]
+        out = pd.DataFrame(columns)
+        return out[["doc_id", "n_tokens", "target_loss", "background_loss"]]
+
+    return work
+
+
+def scored(docs: DataFrame, target: DataFrame, vocabulary: int | None = None) -> DataFrame:
     """(doc_id, n_tokens, target_loss, background_loss, difference) per document row.
 
     The target model counts the documents whose doc_id ``target`` names, the background model all documents; both count
-    whole texts of all their rows. They are matched: one order, one prior and one vocabulary, the ``vocabulary`` most
-    frequent words of all documents (of equals the first in the alphabet) and one entry for all others. Losses
-    are means per token in nats; a low difference tells that a document is more like the target. The models hold one number
-    per pair seen, so their size is at most the square of the vocabulary whatever the corpus; that bound is what
-    is broadcast.
+    whole texts of all their rows. They are matched: one order, one prior and one vocabulary, all words of all
+    documents or, if ``vocabulary`` is given, so many most frequent ones (of equals the first in the alphabet) and one
+    entry for all others. Words are told apart by 64-bit hashes. Losses are means per token in nats; a low difference
+    tells that a document is more like the target.
+
+    The counts stay in Spark. Only words and pairs that would fill a good part of a task are collected and broadcast
+    with their exact counts, at most a few per task of the second step, so that their rows can be split.
 
     Null and empty texts have no tokens and null losses. Null ids are scored but never in the target. Repeated
     rows count each time and get equal results; without target rows the target model knows only its prior. An
     empty table gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
-    size = vocabulary + 1
-    top = word_counts(docs).orderBy(F.desc("n"), "word").limit(vocabulary).select("word").toArrow()["word"].to_pylist()
-    ids = spark.sparkContext.broadcast({w: i for i, w in enumerate(top, 1)})
+    known = None
+    if vocabulary is not None:
+        known = set(word_counts(docs).orderBy(F.desc("n"), "word").limit(vocabulary).select("word").toArrow()["word"].to_pylist())
+    known = spark.sparkContext.broadcast(known)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     # The target grows with the corpus, so it is never broadcast.
-    chosen = docs.join(target.select("doc_id").distinct().hint("shuffle_merge"), "doc_id", "left_semi")
-    counts = checkpointed(
-        pair_counts(docs, ids, size)
-        .withColumnRenamed("n", "background")
-        .join(pair_counts(chosen, ids, size).withColumnRenamed("n", "target"), "pair", "left")
-        .select("pair", "background", F.coalesce("target", F.lit(0).cast("long")).alias("target"))
-    )
-    rows = counts.toArrow()
-    pairs = rows["pair"].to_numpy()
-    order = np.argsort(pairs)
-    pairs = pairs[order]
-    tables = [losses(pairs, rows[c].to_numpy()[order].astype(float), size).astype(np.float32) for c in ("target", "background")]
-    model = spark.sparkContext.broadcast((pairs, *tables))
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, *by = model.value
-        for batch in batches:
-            many, means = [], ([], [])
-            for text in batch["text"]:
-                t = _tokens(text.as_py(), ids.value)
-                at = np.searchsorted(known, t[:-1] * size + t[1:])
-                many.append(len(at))
-                for mean, loss in zip(means, by, strict=True):
-                    mean.append(float(loss[at].mean(dtype=np.float64)) if len(at) else None)
-            columns = [batch["doc_id"], pa.array(many, pa.int64()), *[pa.array(m, pa.float64()) for m in means]]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "target_loss", "background_loss"])
-
-    out = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        work, "doc_id long, n_tokens long, target_loss double, background_loss double"
+    chosen = target.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(True).alias("chosen")).where("doc_id is not null").distinct()
+    marked = rows.where("doc_id is not null").join(chosen.hint("shuffle_merge"), "doc_id", "left")
+    marked = marked.unionByName(rows.where("doc_id is null").withColumn("chosen", F.lit(False)))
+    # One order of a partition's rows, so that a repeated task makes the same batches.
+    marked = marked.select("doc_id", "text", F.coalesce("chosen", F.lit(False)).alias("chosen")).sortWithinPartitions("doc_id", F.xxhash64("text"))
+    words = checkpointed(unigrams(marked, known))
+    seen = words.agg(F.count(F.when(F.col("word") != NONE, 1)).alias("words"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS[:2])).first()
+    edge = words.where(F.col("word") == NONE).select(*COUNTS).first()
+    totals = {"background": seen["background"], "target": seen["target"]}
+    totals |= {f"{m}_edge": edge[f"{m}_heads"] if edge else 0 for m in ("background", "target")}
+    size = 1 + (seen["words"] if vocabulary is None else vocabulary)
+    parts = max(1, -(-seen["background"] // PAIRS_HELD))
+    least = max(1, int(HOT_SHARE * PAIRS_HELD))
+    # The entry of no word counts edges too, so its heads are known only here.
+    hot_rows = words.where((F.col("background") >= least) | (F.col("word") == NONE)).orderBy("word").toArrow()
+    hot = {c: hot_rows[c].to_numpy() for c in ("word", *COUNTS)}
+    found = hot_pairs(marked, known, spark.sparkContext.broadcast(hot)).where(F.col("background") >= least).toArrow() if parts > 1 else None
+    pairs = {c: found[c].to_numpy() if found else np.empty(0, dtype=np.int64) for c in ("first", "second", "background", "target")}
+    hashes = _mixed(pairs["second"], pairs["first"])
+    order = np.argsort(hashes)
+    hot |= {"pair_hash": hashes[order], "first": pairs["first"][order], "second": pairs["second"][order]}
+    hot |= {f"pair_{m}": pairs[m][order] for m in ("background", "target")}
+    hot = spark.sparkContext.broadcast(hot)
+    losses = dealt(marked, known, hot, parts).groupBy("part").applyInPandas(_part_losses(hot, size, totals), "batch long, data binary")
+    out = losses.groupBy("batch").applyInPandas(
+        _document_losses(totals), "doc_id long, n_tokens long, target_loss double, background_loss double"
     )
     return out.withColumn("difference", F.col("target_loss") - F.col("background_loss"))
 

@@ -89,6 +89,40 @@ def test_scores_against_the_formula(spark):
     assert lm_scoring.scored(documents(spark, []), target).count() == 0
 
 
+@pytest.mark.parametrize("held", [lm_scoring.PAIRS_HELD, 40])
+def test_scores_know_every_word(spark, monkeypatch, held):
+    monkeypatch.setattr(lm_scoring, "PAIRS_HELD", held)
+    rows = [r for r in EDGES if r[0] != 5] + [(100 + i, "the cat " * 6 + " ".join(f"rare{i * 100 + k}" for k in range(150))) for i in range(60)]
+    rows += [(300, "the cat sat on rare1"), (301, "the cat sat on rare2"), (302, "the")]
+    target = spark.createDataFrame([(100 + i,) for i in range(0, 60, 3)] + [(300,), (300,), (None,)], "doc_id long")
+    got = lm_scoring.scored(documents(spark, rows, extra=True).repartition(3), target).collect()
+    words = [(d, ["", *(t or "").lower().split()]) for d, t in rows]
+    size = len({w for _, ws in words for w in ws})
+    assert size > 4096
+    means = {}
+    for model in ("background", "target"):
+        own = [ws for d, ws in words if model == "background" or d in {300, *range(100, 160, 3)}]
+        pairs = Counter(p for ws in own for p in zip(ws, ws[1:], strict=False))
+        heads, seconds = Counter(), Counter()
+        for (a, b), n in pairs.items():
+            heads[a] += n
+            seconds[b] += n
+        total = sum(pairs.values()) + size * lm_scoring.FLOOR
+        for d, ws in words:
+            each = [
+                -math.log((pairs[a, b] + lm_scoring.PRIOR * (seconds[b] + lm_scoring.FLOOR) / total) / (heads[a] + lm_scoring.PRIOR))
+                for a, b in zip(ws, ws[1:], strict=False)
+            ]
+            means[model, d, len(ws) - 1] = sum(each) / len(each) if each else None
+    assert len(got) == len(rows)
+    for r in got:
+        for model in ("background", "target"):
+            mean = means[model, r["doc_id"], r["n_tokens"]]
+            assert r[f"{model}_loss"] == (None if mean is None else pytest.approx(mean, rel=1e-5))
+    by = {r["doc_id"]: r for r in got}
+    assert by[300]["target_loss"] < by[301]["target_loss"]
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{}</style><script>var a="</p>";</script></head><body>
 <header><h1>Site name</h1></header><nav><ul><li><a href="/x">Home</a></ul></nav><!-- <p>no</p> -->
 <div class="cookie-notice"><p>We use cookies, accept, please.</p></div>
