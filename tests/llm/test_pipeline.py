@@ -56,6 +56,15 @@ def test_near_duplicates_are_all_pairs_of_jaccard_from_four_fifths(spark):
     assert any((fingers[a] ^ fingers[b]).bit_count() > 4 for a, b in pairs)
 
 
+def test_near_duplicates_judge_rows_by_their_texts(spark):
+    other = " ".join(f"other{i} words{i * 3}" for i in range(50))
+    third = " ".join(f"third{i} kind{i * 3}" for i in range(50))
+    rows = [(1, BODY), (2, BODY + " extra"), (2, other), (3, third), (3, third), (None, other), (None, "no id"), (None, "no id"), (4, "some short text here now"), (4, "quite another text of four")]
+    left = pipeline.near_duplicates(spark, documents(spark, rows, extra=True).repartition(3), "").collect()
+    wanted = [(1, BODY), (2, other), (3, third), (None, "no id"), (4, "some short text here now"), (4, "quite another text of four")]
+    assert sorted(((r["doc_id"], r["text"]) for r in left), key=str) == sorted(wanted, key=str)
+
+
 def test_run_on_sample_tables(spark):
     rows = pipeline.run(spark, "/root/testdata/sf0.001")
     assert {"doc_id", "bin_id", "capacity"} <= set(rows.columns) and rows.count() > 100
