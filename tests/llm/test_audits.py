@@ -1,0 +1,285 @@
+"""Periodic runs, the audit of filters and the toxicity classifier against brute force and held-out labels."""
+
+import hashlib
+import itertools
+import random
+import zlib
+from collections import Counter
+from fractions import Fraction
+
+import duckdb
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from stayledger.llm import filter_audit, periodic, queries, toxicity
+from tests.compare import differences
+from tests.llm.rows import EDGES, LONG, documents
+
+# -- periodic runs ------------------------------------------------------------
+
+
+def plain_runs(words, least=6, exponent=4):
+    out = []
+    for q in range(1, len(words) // exponent + 1):
+        i = 0
+        while i + q < len(words):
+            j = i
+            while j + q < len(words) and words[j] == words[j + q]:
+                j += 1
+            run = words[i : j + q]
+            if len(run) >= max(least, exponent * q) and not any(run[r:] == run[:-r] for r in range(1, q)):
+                out.append((i, len(run), q))
+            i = max(j, i + 1)
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def word_lists():
+    pick = random.Random(2)
+    for n in range(6000):
+        few = pick.choice([1, 2, 2, 3, 5])
+        if n % 4 == 0:
+            yield [pick.randrange(few) for _ in range(pick.randint(0, 60))]
+        elif n % 4 == 1:
+            parts = [[pick.randrange(few) for _ in range(pick.randint(1, 6))] * pick.randint(1, 9) for _ in range(pick.randint(1, 5))]
+            yield [w for part in parts for w in part[: pick.randint(1, 40)]]
+        elif n % 4 == 2:
+            inner = [pick.randrange(few) for _ in range(pick.randint(1, 4))] * pick.randint(1, 5) + [pick.randrange(few)]
+            yield (inner * pick.randint(1, 6))[pick.randint(0, 3) :]
+        else:
+            root = [pick.randrange(9) for _ in range(pick.randint(1, 15))]
+            yield [pick.randrange(9) for _ in range(5)] + root * pick.randint(3, 7) + root[: pick.randint(0, len(root))] + [pick.randrange(9)] * 3
+
+
+def test_runs_against_brute_force():
+    for words in word_lists():
+        assert periodic.word_runs(words) == plain_runs(words), words
+    assert periodic.word_runs(list("ababab"), 6, 4) == [] and periodic.word_runs(list("abababab"), 3, 4) == [(0, 8, 2)]
+    with pytest.raises(ValueError):
+        periodic.word_runs(list("aaaaaaaa"), exponent=3)
+
+
+def test_the_grammar_spells_the_words_and_repeats_no_pair():
+    def spelt(symbol):
+        return [symbol] if symbol not in rules else spelt(rules[symbol].left) + spelt(rules[symbol].right)
+
+    for words in itertools.islice(word_lists(), 1500):
+        ids = periodic.word_ids(words)
+        rules, top = periodic.repair(ids)
+        assert [w for symbol, _ in top for w in spelt(symbol)] == ids
+        for symbol, rule in rules.items():
+            assert ids[rule.start : rule.end] == spelt(symbol) and ids[rule.start : rule.middle] == spelt(rule.left)
+        pairs = [(a, b) for (a, _), (b, _) in itertools.pairwise(top)]
+        assert all(c < 2 or a == b for (a, b), c in Counter(pairs).items())
+
+
+def test_long_texts_of_few_words_take_little_time():
+    pick = random.Random(3)
+    assert periodic.word_runs([0] * 200_000) == [(0, 200_000, 1)]
+    assert periodic.word_runs([0, 1, 0, 2] * 50_000) == [(0, 200_000, 4)]
+    root = [pick.randrange(5000) for _ in range(9000)]
+    assert periodic.word_runs(root * 5) == [(0, 45_000, 9000)]
+    assert periodic.word_runs([pick.randrange(2) for _ in range(50_000)])
+
+
+def test_query_of_runs(spark, tmp_path):
+    pick = random.Random(6)
+    rows = EDGES + [(i, " ".join(pick.choice("abc") for _ in range(pick.randint(0, 50)))) for i in range(40, 240)] + [(400, "spam  ham\n" * 30), (400, "spam  ham\n" * 30)]
+    docs = documents(spark, rows, extra=True)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.QUERIES["op11_grammar_runs"](spark, str(tmp_path)).collect()
+    wanted = Counter()
+    changed = 0
+    for d, text in rows:
+        words = (text or "").encode().split()
+        h = 1 if d is None else zlib.crc32(str(d).encode())
+        if h % 10 == 0 and words:
+            n, g = len(words), h // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i if i < a else a + (i - a) % p] for i in range(n)]
+            changed += 1
+        runs = periodic.word_runs(words) if text is LONG else plain_runs(words)
+        best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=None)
+        drop = {i for s, n, q in runs for i in range(s + q, s + n)}
+        kept = b" ".join(w for i, w in enumerate(words) if i not in drop)
+        lines = "".join(f"{s},{n},{q}\n" for s, n, q in runs)
+        wanted[d, len(runs), *(best or (None,) * 3), best and 1000 * best[1] // best[2], hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(kept).hexdigest()] += 1
+    assert changed > 5 and Counter(map(tuple, got)) == wanted
+    first = {r["doc_id"]: r for r in periodic.periodic_runs(docs).collect()}
+    assert first[400]["collapsed"] == "spam ham" and first[400]["strongest"].asDict() == {"start": 0, "length": 60, "period": 2}
+    assert first[3]["runs"] == [] and first[3]["collapsed"] == "" and first[3]["strongest"] is None
+    assert periodic.periodic_runs(documents(spark, [])).count() == 0
+
+
+# -- filters ------------------------------------------------------------------
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def test_counts_of_texts_are_plain_counts(monkeypatch):
+    pick = random.Random(4)
+    texts = [None, "", " ", "a", "A\tB\x0bA", "é É é", "日本 日本 x", "x" * 700 + " " + "x" * 700 + "y", "w " * 400, LONG]
+    texts += ["".join(pick.choice("aaabB #$é日\n\t ") for _ in range(pick.randint(0, 90))) for _ in range(400)]
+    for block in (filter_audit.BLOCK_BYTES, 64):
+        monkeypatch.setattr(filter_audit, "BLOCK_BYTES", block)
+        some = texts if block > 64 else [t and t[:3000] for t in texts]
+        counts, digests = filter_audit.counts_of(pa.array(some).slice(1))
+        for text, found, digest in zip(some[1:], counts.T.tolist(), digests, strict=True):
+            words = text.encode().split()
+            capitals, symbols = (sum(c in chars for c in text) for chars in ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "#$%&*|"))
+            assert found == [len(words), len(set(words)), capitals, len(text), symbols], text
+            assert digest == hashlib.sha256(text.encode()).digest()
+
+
+def test_hash_table_tells_equal_hashes_apart():
+    data = np.frombuffer(b"aa bb aa cc bb", dtype=np.uint8)
+    start = np.array([0, 3, 6, 9, 12])
+    doc = np.array([0, 0, 0, 0, 1])
+    old = filter_audit._POWERS
+    try:
+        filter_audit._POWERS = np.zeros_like(old)  # every word has hash 0
+        assert filter_audit.first_spans(data, doc, start, start + 2).sum() == 4
+    finally:
+        filter_audit._POWERS = old
+
+
+def test_audit_matches_sql_and_brute_force(spark, tmp_path):
+    pick = random.Random(7)
+    base = [" ".join(pick.choice(["one", "Two", "three", "#4", "five"]) + str(pick.randrange(300)) * pick.randint(0, 1) for _ in range(pick.randint(0, 300))) for _ in range(40)]
+    rows = [(r[0], r[1], None if r[0] == 2 else "a") for r in EDGES if r[1] is not LONG]
+    rows += [(10 + i, pick.choice(base), pick.choice(["a", "b", "", None])) for i in range(300)]
+    rows += [(500, base[0], "hot")] * 50 + [(None, base[0], "hot")] * 20 + [(1000 + i, base[1], "hot") for i in range(100)]
+    pick.shuffle(rows)
+    labels = [(10 + i, pick.choice([0, 1, None]), pick.choice([0, 1, None])) for i in range(250)] + [(10, 1, 1), (10, 0, 0), (None, 1, 1), (500, 1, 0)]
+    docs = documents(spark, rows, extra=True).repartition(3)
+    frame = spark.createDataFrame(labels, LABELS)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    frame.write.parquet(f"{tmp_path}/labels.parquet")
+    connection = duckdb.connect()
+    for name in ("documents", "labels"):
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    audit = queries.QUERIES["op12_filter_audit"](spark, str(tmp_path))
+    assert differences(audit, connection, filter_audit.OP12_SQL) == []
+
+    least: dict[str, int] = {}
+    for d, text, _ in rows:
+        if d is not None:
+            least[text or ""] = min(d, least.get(text or "", d))
+    good = {d for d, q, _ in labels if q == 1}
+    failed = []
+    for d, text, part in rows:
+        text = text or ""
+        words = text.encode().split()
+        checks = {
+            "A": len(words) < 200,
+            "B": 100 * len(set(words)) < 50 * len(words),
+            "C": 100 * sum("A" <= c <= "Z" for c in text) > 2 * len(text),
+            "D": any(c in "#$%&*|" for c in text),
+            "E": d is not None and least[text] < d,
+        }
+        failed.append((part or "", {k for k, v in checks.items() if v}, d is not None and d in good))
+    got = {(r["part"], r["filter_order"], r["step"]): r for r in audit.collect()}
+    assert len(got) == 4 * 600
+    for part in ("", "a", "b", "hot"):
+        mine = [(f, g) for p, f, g in failed if p == part]
+        removed_in_all = Counter()
+        for order in map("".join, itertools.permutations("ABCDE")):
+            for step, letter in enumerate(order, 1):
+                gone = set(order[: step - 1])
+                removed = [(f, g) for f, g in mine if letter in f and not f & gone]
+                row = got[part, order, step]
+                assert row["removed"] == len(removed) and row["good_lost"] == sum(g for _, g in removed)
+                assert row["kept"] == sum(not f & set(order[:step]) for f, _ in mine)
+                assert row["redundant"] == sum(letter in f and bool(f & gone) for f, _ in mine)
+                assert row["unique_fails"] == sum(f == {letter} for f, _ in mine)
+                removed_in_all[letter] += len(removed)
+        assert all(r["shapley"] == removed_in_all[r["filter_order"][r["step"] - 1]] for key, r in got.items() if key[0] == part)
+    assert filter_audit.interactions(filter_audit.failed_sets(documents(spark, []), frame)).count() == 0
+    assert filter_audit.interactions(filter_audit.failed_sets(docs, frame.limit(0))).where("good_lost > 0 or toxic_lost > 0").count() == 0
+
+
+# -- toxicity -----------------------------------------------------------------
+
+
+def labelled_rows(n=400):
+    pick = random.Random(8)
+    rude, plain = ["wretch", "dolt", "vermin"], [f"word{i}" for i in range(40)] + ["the", "of", "vermilion", "adolescent"]
+    rows = []
+    for i in range(n):
+        words = [pick.choice(plain) for _ in range(pick.randint(3, 120))]
+        if i % 8 == 0:
+            for _ in range(pick.randint(1, 3)):
+                words.insert(pick.randint(0, len(words)), pick.choice(rude))
+        rows.append((i, " ".join(words), int(i % 8 == 0)))
+    return rows
+
+
+def test_features_are_the_distinct_n_grams(monkeypatch):
+    text = "Ab  ab\nÉa 😀 " * 30
+    plain = " " + " ".join(text.lower().split()) + " "
+    grams = {plain[i : i + n] for n in toxicity.SIZES for i in range(len(plain) - n + 1)}
+    whole = toxicity.features(text)
+    assert abs(len(whole) - len(grams)) <= 1 and (np.diff(whole) > 0).all()
+    monkeypatch.setattr(toxicity, "BLOCK_CHARS", 7)
+    assert np.array_equal(toxicity.features(text), whole)
+    useful = np.zeros(1 << toxicity.BITS, dtype=bool)
+    useful[whole[::2]] = True
+    assert np.array_equal(toxicity.features(text, useful), whole[::2])
+    assert len(toxicity.features(None)) == len(toxicity.features("")) == 0
+
+
+def test_ratios_are_the_formula(spark):
+    rows = [("aaa", 1), ("aaa bbb", 1), ("bbb", 0), ("ccc", 0), ("aaa", 1), ("bbb", 0), (None, 0)]
+    got = toxicity.log_count_ratios(spark.createDataFrame(rows, "text string, label int").repartition(2))
+    counts = {c: Counter(b for t, label in rows if label == c for b in toxicity.features(t).tolist()) for c in (0, 1)}
+    used = [b for b in counts[0] | counts[1] if counts[0][b] + counts[1][b] >= toxicity.MIN_DOCS]
+    sums = {c: sum(counts[c][b] + toxicity.SMOOTH for b in used) for c in (0, 1)}
+    for b in np.union1d(np.flatnonzero(got), used).tolist():
+        ratio = np.log((counts[1][b] + toxicity.SMOOTH) / sums[1]) - np.log((counts[0][b] + toxicity.SMOOTH) / sums[0]) if b in used else 0
+        assert got[b] == pytest.approx(ratio if abs(ratio) >= toxicity.LEAST_RATIO else 0, abs=1e-6)
+    assert (got != 0).sum() > 3
+
+
+def test_fit_finds_the_minimum():
+    pick = np.random.default_rng(1)
+    ratios = np.zeros(64, dtype=np.float32)
+    ratios[:10] = pick.normal(size=10)
+    rows = [np.flatnonzero(pick.random(10) < 0.4) for _ in range(80)]
+    labels = np.array([int(ratios[r].sum() + pick.normal() * 0.3 > 0) for r in rows])
+    weights, intercept = toxicity.fit(rows, labels, ratios, decay=0.05, steps=3000)
+    x = np.array([[ratios[k] if k in r else 0 for k in range(10)] for r in rows])
+    w = weights[:10] / ratios[:10]
+    share = np.where(labels == 1, 0.5 / labels.sum(), 0.5 / (1 - labels).sum())
+    error = share * (1 / (1 + np.exp(-(x @ w + intercept))) - labels)
+    assert np.abs(x.T @ error + 0.05 * w).max() < 1e-4 and abs(error.sum()) < 1e-4
+
+
+def test_held_out_toxic_texts_are_found(spark, tmp_path):
+    rows = labelled_rows()
+    odd = [(1000, None), (1001, ""), (None, "wretch dolt vermin"), (1002, LONG), (1003, LONG + " wretch dolt vermin")]
+    frame = documents(spark, [r[:2] for r in rows] + odd + [(0, "a repeated id")], extra=True)
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    # Labels of held-out rows are all wrong, and must not matter.
+    held = {i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 3 == 1}
+    labels = [(i, 1, 1 - label if i in held else label) for i, _, label in rows if i != 0] + [(9, 1, None), (None, 1, 1)]
+    spark.createDataFrame(labels, LABELS).write.parquet(f"{tmp_path}/labels.parquet")
+    got = queries.QUERIES["op13_nb_ngrams"](spark, str(tmp_path)).collect()
+    assert len(got) == len(rows) + len(odd) + 1
+    by = {r["doc_id"]: r for r in got if r["doc_id"] not in (0, None)}
+    assert all(r["held_out"] == (d in held) for d, r in by.items())
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in got)
+    right = [by[i]["predicted"] == label for i, _, label in rows if i in held]
+    assert sum(right) / len(right) > 0.97
+    assert [r["predicted"] for r in got if r["doc_id"] is None] == [1] and not by[1001]["predicted"] and by[1003]["score"] > by[1002]["score"]
+    assert by[1000]["score"] == by[1001]["score"]
+
+
+def test_toxicity_without_labels_or_rows(spark):
+    docs = documents(spark, EDGES[:2] + EDGES[3:5])
+    none = spark.createDataFrame([], "doc_id long, label int")
+    model = toxicity.trained(docs, none)
+    assert {r["score"] for r in toxicity.scored(docs, model).collect()} == {0.5}
+    assert toxicity.scored(documents(spark, []), model).count() == 0
+    one = spark.createDataFrame([(1, 1)], "doc_id long, label int")
+    assert toxicity.trained(docs, one)[1] == 0.0
