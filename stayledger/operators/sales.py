@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stayledger.functions.money import night_amount
 from stayledger.functions.scalars import exchange_date, regime_code
 from stayledger.operators.lookup import Lookup
+from stayledger.sources.store import StoredLines
 
 # Record types left out of each measure, and the two tax regimes.
 NOT_TTV = ("O", "V", "D", "W", "Y", "IT")
@@ -91,6 +92,11 @@ def ttv_by_booking(sales: DataFrame, bookings: DataFrame) -> DataFrame:
     return sum_by_payment(lines, {"TTV_booking_currency": sale_nights(F.col("imp_unitario"))}, bookings)
 
 
+def lines_with_booking(lines: DataFrame | StoredLines, bookings: Lookup, key: list[str]) -> DataFrame:
+    """Lines with their booking's columns: by the layout of a store where the lines have one, else by a join that may move them."""
+    return bookings.join(lines, key) if isinstance(lines, DataFrame) else lines.join(bookings.frame)
+
+
 def with_sale_tax(sales: DataFrame, tax: Lookup) -> DataFrame:
     """Add ``line_tax`` and ``regime``: the stated tax, else the night amount of the tax in the unit price.
 
@@ -114,7 +120,13 @@ def tax_of_regime(regime: str) -> Column:
     return F.when(F.col("regime") == regime, F.col("line_tax")).otherwise(F.lit(0.0))
 
 
-def sale_tax_lines(sales: DataFrame, tax: Lookup, bookings: Lookup, regime: str) -> DataFrame:
+def charged_lines(sales: DataFrame | StoredLines, payment: Lookup) -> DataFrame:
+    """Sale lines that their booking is charged for; ``payment`` has the lines' key columns and the payment type."""
+    joined = lines_with_booking(sales, payment, ["grec_seq_rec_s", "rres_seq_reserva"])
+    return joined.filter(charged(F.col("ind_tippag")))
+
+
+def sale_tax_lines(sales: DataFrame | StoredLines, tax: Lookup, bookings: Lookup, regime: str) -> DataFrame:
     """Tax of every charged sale line under one regime, with the date its rate would be taken from.
 
     Every booking is kept; one without charged lines has one row that names only its key.
@@ -125,7 +137,8 @@ def sale_tax_lines(sales: DataFrame, tax: Lookup, bookings: Lookup, regime: str)
         "ind_tippag",
         exchange_date(F.col("ind_fec_cam_div"), F.col("fec_desde"), F.col("fec_creacion")).alias("date_ccy_exchange"),
     )
-    lines = fields.join(with_sale_tax(sales, tax), ["grec_seq_rec_s", "rres_seq_reserva"])
+    taxed = with_sale_tax(sales, tax) if isinstance(sales, DataFrame) else sales.of(with_sale_tax(sales.frame, tax))
+    lines = lines_with_booking(taxed, fields, ["grec_seq_rec_s", "rres_seq_reserva"])
     taxed = lines.filter(charged(F.col("ind_tippag"))).withColumn("tax_aux", tax_of_regime(regime))
     # An anti join with the keys keeps the join of the lines inner, which a hot booking can be split in.
     key = ["grec_seq_rec_s", "rres_seq_reserva"]
