@@ -10,12 +10,26 @@ from pyspark.sql import functions as F
 from stayledger.operators.lookup import Lookup
 
 BOOKING = ("operative_incoming", "booking_id")
+LEAST = -(1 << 63)
 
 
 def in_scope(rows: DataFrame, bookings: Lookup, office: str, booking: str) -> DataFrame:
-    """Rows of the wanted bookings, matched on the pair (office, booking)."""
+    """Rows of the wanted bookings, matched on the pair (office, booking).
+
+    Few bookings are broadcast. More are joined by a shuffle, but of the rows that pass a Bloom filter of the wanted
+    pairs, which Spark builds from the bookings and tests where the rows are read, so that what moves is near what is
+    wanted, not the history.
+    """
     pairs = bookings.select(F.col(BOOKING[0]).alias(office), F.col(BOOKING[1]).alias(booking))
-    return pairs.join(rows, [office, booking], "left_semi")
+    if bookings.small:
+        return pairs.join(rows, [office, booking], "left_semi")
+    # One key for the pair, so that one filter tests both numbers together. Spark builds a filter only from a side
+    # that a comparison narrows, which files written for this purpose are without: theirs is always true.
+    pair = F.struct(F.col(office).cast("bigint").alias("office"), F.col(booking).cast("bigint").alias("booking"))
+    known = F.col(office).isNotNull() & F.col(booking).isNotNull()
+    wanted = pairs.frame.where(known & (F.col(booking) >= F.lit(LEAST))).select(pair.alias("_wanted"))
+    keyed = rows.where(known).withColumn("_pair", pair)
+    return keyed.join(wanted, F.col("_pair") == F.col("_wanted"), "left_semi").drop("_pair")
 
 
 def first_per_key(rows: DataFrame, key: Sequence[str], order: Sequence[Column | str]) -> DataFrame:

@@ -91,13 +91,3 @@ def tax_by_booking(lines: DataFrame, tax: Lookup, exclusions: DataFrame, tax_typ
     sums = [F.sum(name).alias(name) for name in ("sales_tax", "cost_tax")]
     by_extra = amounts.groupBy(*EXTRA).agg(*sums)
     return without_excluded(by_extra, exclusions).groupBy("seq_rec", "seq_reserva").agg(*sums)
-
-
-def tax_amounts_by_booking(lines: DataFrame, tax: Lookup, exclusions: DataFrame, tax_type_on_sales_join: bool = True) -> DataFrame:
-    """How many lines of a booking have each pair of sales and cost tax, extras of unprofitable campaigns left out.
-
-    For conversions that round each line: equal lines are counted before they move.
-    """
-    amounts = with_tax_amounts(with_tax(lines, tax, tax_type_on_sales_join))
-    by_extra = amounts.groupBy(*EXTRA, "sales_tax", "cost_tax").agg(F.count(F.lit(1)).alias("times"))
-    return without_excluded(by_extra, exclusions).groupBy("seq_rec", "seq_reserva", "sales_tax", "cost_tax").agg(F.sum("times").alias("times"))

@@ -10,16 +10,19 @@ from pyspark.sql import functions as F
 
 from stayledger.functions.money import EXACT, night_amount
 from stayledger.functions.scalars import EUR
-from stayledger.operators.exclusions import exclusion_keys, without_excluded
+from stayledger.operators.exclusions import EXTRA, exclusion_keys, without_excluded
 from stayledger.operators.fx import FxRates, exchanged, exchanged_cents, round_to_currency
 from stayledger.operators.keys import BOOKING, in_scope
-from stayledger.operators.lines import tax_amounts_by_booking, tax_by_booking
+from stayledger.operators.lines import tax_by_booking, with_tax, with_tax_amounts
 from stayledger.operators.lookup import Lookup
 
 SALES_TAX = "tax_sales_transfer_pricing"
 COST_TAX = "tax_cost_transfer_pricing"
 TRANSFER = "transfer_pricing"
 
+# How many lines of a booking had no rate.
+UNCONVERTED = "unconverted_lines"
+
 # Measure and the name of its euro value. The euro transfer price is named differently.
 EUR_NAMES = {
     SALES_TAX: "tax_sales_transfer_pricing_eur",
@@ -43,19 +46,15 @@ class Books:
     tax_type_on_sales_join: bool = True
 
     def scoped(self, bookings: Lookup, span: tuple[int, int] | None = None) -> Books:
-        """Only the lines, costs and bonds of some bookings.
+        """Only the lines, costs and bonds of some bookings, selected by key where they are read.
 
-        The range of their booking numbers filters every scan: bookings of a day are numbered close together, so
-        most of the history is neither read nor summed. Few bookings are broadcast and filter the
-        scans by key as well. More would need a shuffle of unsummed lines for that, so there the join of the
-        sums with the bookings selects the rest. A ``span`` that is known (least and greatest number) is pushed into
-        the files; else it is a subquery of the same plan, which filters the rows read.
+        Few bookings are broadcast; more act through a Bloom filter of their keys (``in_scope``). A ``span`` that is
+        known (least and greatest booking number) is pushed into the files as well.
         """
-        least, most = map(F.lit, span) if span else (bookings.frame.agg(f(BOOKING[1])).scalar() for f in (F.min, F.max))
 
         def reduced(rows: DataFrame, office: str, booking: str) -> DataFrame:
-            near = rows.filter(F.col(booking).between(least, most))
-            return in_scope(near, bookings, office, booking) if bookings.small else near
+            near = rows.filter(F.col(booking).between(*map(F.lit, span))) if span else rows
+            return in_scope(near, bookings, office, booking)
 
         return replace(
             self,
@@ -85,21 +84,25 @@ def cost_nights(costs: DataFrame) -> Column:
     return night_amount(*(costs[name] for name in names))
 
 
-def _costs_by_extra(books: Books) -> tuple[DataFrame, list[Column]]:
+def cost_amounts(books: Books) -> DataFrame:
+    """Billable cost lines: booking, extra, currency and amount over the nights."""
     lines = billable(books.costs)
-    key = [
+    return lines.select(
         F.col("grec_seq_rec").alias("seq_rec"),
         F.col("rres_seq_reserva").alias("seq_reserva"),
         F.col("rext_ord_extra").alias("ord_extra"),
         F.col("sdiv_cod_divisa").alias("cost_currency"),
-    ]
-    return lines.withColumn("nights", cost_nights(lines)), key
+        cost_nights(lines).alias("nights"),
+    )
 
 
 def included_costs(books: Books) -> DataFrame:
     """Billable cost per (booking, currency), the costs of excluded extras left out."""
-    lines, key = _costs_by_extra(books)
-    by_extra = lines.groupBy(*key).agg(F.sum("nights").alias("nights"), F.count("nights").alias("cost_lines"))
+    by_extra = (
+        cost_amounts(books)
+        .groupBy(*EXTRA, "cost_currency")
+        .agg(F.sum("nights").alias("nights"), F.count("nights").alias("cost_lines"))
+    )
     return (
         without_excluded(by_extra, books.exclusions())
         .groupBy("seq_rec", "seq_reserva", "cost_currency")
@@ -107,24 +110,23 @@ def included_costs(books: Books) -> DataFrame:
     )
 
 
-def included_cost_amounts(books: Books) -> DataFrame:
-    """Billable cost lines per (booking, currency, amount), the costs of excluded extras left out.
+def lines_of_bookings(lines: DataFrame, bookings: DataFrame, exclusions: DataFrame) -> DataFrame:
+    """Lines with their booking's columns, extras of unprofitable campaigns left out, dealt out by booking once.
+
+    For amounts that are rounded line by line and so cannot be summed before their booking's rate is known. The join
+    with the bookings deals the lines out by booking; the exclusions are dealt out the same way, and so is what sums by
+    booking afterwards, so the lines do not move again. A hot booking is split in the first join.
 
-    For conversions that round each line: lines of one amount are counted before they move.
+    The exclusions, one row per key, mark the lines by an outer join: Spark would put an anti join below the first join,
+    where the lines are not dealt out yet.
     """
-    lines, key = _costs_by_extra(books)
-    by_extra = lines.groupBy(*key, "nights").agg(F.count(F.lit(1)).alias("times"))
-    return (
-        without_excluded(by_extra, books.exclusions())
-        .groupBy("seq_rec", "seq_reserva", "cost_currency", "nights")
-        .agg(F.sum("times").alias("times"))
-    )
+    marked = lines.join(bookings, ["seq_rec", "seq_reserva"]).join(exclusions.withColumn("_excluded", F.lit(True)), list(EXTRA), "left")
+    return marked.where(F.col("_excluded").isNull()).drop("_excluded")
 
 
-def _cents_times(amount: Column, from_rate: Column, to_rate: Column) -> Column:
-    """What lines of one amount come to if each is converted and rounded; 0 without a rate."""
-    each = F.coalesce(exchanged_cents(amount, from_rate, to_rate), F.lit(0).cast(EXACT))
-    return (each * F.col("times")).cast(EXACT)
+def _cents(amount: Column, from_rate: Column, to_rate: Column) -> Column:
+    """An amount converted and rounded by itself; 0 without a rate."""
+    return F.coalesce(exchanged_cents(amount, from_rate, to_rate), F.lit(0).cast(EXACT))
 
 
 def cost_by_booking(books: Books, priced: DataFrame, target: str | None = None) -> DataFrame:
@@ -140,16 +142,17 @@ def cost_by_booking(books: Books, priced: DataFrame, target: str | None = None)
         F.col(BOOKING[0]).alias("seq_rec"), F.col(BOOKING[1]).alias("seq_reserva"), "snapshot_date", to_rate.alias("to_rate")
     )
     if target is None:
-        costs, lines = included_costs(books), F.col("cost_lines")
+        costs, lines = included_costs(books).join(bookings, ["seq_rec", "seq_reserva"]), F.col("cost_lines")
         converted = F.coalesce(F.sum(exchanged(F.col("nights"), F.col("from_rate"), F.col("to_rate"))), F.lit(0.0))
     else:
-        costs, lines = included_cost_amounts(books), F.when(F.col("nights").isNull(), F.lit(0)).otherwise(F.col("times"))
-        converted = F.sum(_cents_times(F.col("nights"), F.col("from_rate"), F.col("to_rate"))).cast("double")
-    joined = books.fx.with_rate(costs.join(bookings, ["seq_rec", "seq_reserva"]), F.col("cost_currency"), "from_rate")
+        costs = lines_of_bookings(cost_amounts(books), bookings, books.exclusions())
+        lines = F.col("nights").isNotNull().cast("bigint")
+        converted = F.sum(_cents(F.col("nights"), F.col("from_rate"), F.col("to_rate"))).cast("double")
+    joined = books.fx.with_rate(costs, F.col("cost_currency"), "from_rate")
     no_rate = F.col("from_rate").isNull() | F.col("to_rate").isNull()
     return joined.groupBy("seq_rec", "seq_reserva").agg(
         converted.alias("cost_field"),
-        F.sum(F.when(no_rate, lines).otherwise(F.lit(0))).alias("unconverted_lines"),
+        F.sum(F.when(no_rate, lines).otherwise(F.lit(0))).alias(UNCONVERTED),
     )
 
 
@@ -197,20 +200,23 @@ def null_safe_total(fields: DataFrame, left: str, right: str, out: str, fill_eac
     return fields.withColumn(out, total)
 
 
-def with_measures(books: Books, bookings: DataFrame, measures: tuple[str, ...] = tuple(EUR_NAMES)) -> DataFrame:
+def with_measures(
+    books: Books, bookings: DataFrame, measures: tuple[str, ...] = tuple(EUR_NAMES), count_unconverted: bool = False
+) -> DataFrame:
     """Bookings with the chosen measures and their euro values; every booking is kept.
 
     One pass over the service lines and one over the cost lines serve all three
-    measures. What is not asked for is pruned.
+    measures. What is not asked for is pruned. ``count_unconverted`` adds how many cost lines of the booking had no
+    rate and so count as 0.
     """
     keys = [F.col("seq_rec").alias(BOOKING[0]), F.col("seq_reserva").alias(BOOKING[1])]
     priced = priced_bookings(bookings, books.fx)
     joined = priced.join(booking_taxes(books).select(*keys, "sales_tax", "cost_tax"), list(BOOKING), "left")
     if set(measures) & {COST_TAX, TRANSFER}:
-        costs = cost_by_booking(books, priced).select(*keys, "cost_field")
+        costs = cost_by_booking(books, priced).select(*keys, "cost_field", UNCONVERTED)
         joined = joined.join(costs, list(BOOKING), "left")
     else:
-        joined = joined.withColumn("cost_field", F.lit(0.0))
+        joined = joined.withColumns({"cost_field": F.lit(0.0), UNCONVERTED: F.lit(0).cast("bigint")})
     transfer = transfer_tax(F.col("sales_tax"), F.col("cost_tax"), F.col("booking_rate"), F.col("eur_rate"))
     joined = joined.withColumn("_transfer_tax", transfer)
     joined = joined.withColumn(SALES_TAX, F.coalesce("sales_tax", F.lit(0.0)))
@@ -225,7 +231,8 @@ def with_measures(books: Books, bookings: DataFrame, measures: tuple[str, ...] =
             for name in measures
         }
     )
-    return with_eur.select(*bookings.columns, *(column for name in measures for column in (name, EUR_NAMES[name])))
+    counted = [F.coalesce(UNCONVERTED, F.lit(0)).alias(UNCONVERTED)] if count_unconverted else []
+    return with_eur.select(*bookings.columns, *(column for name in measures for column in (name, EUR_NAMES[name])), *counted)
 
 
 def taxes_eur_by_booking(books: Books, priced: DataFrame) -> DataFrame:
@@ -233,12 +240,12 @@ def taxes_eur_by_booking(books: Books, priced: DataFrame) -> DataFrame:
     bookings = priced.select(
         F.col(BOOKING[0]).alias("seq_rec"), F.col(BOOKING[1]).alias("seq_reserva"), "booking_rate", "eur_rate"
     )
-    amounts = tax_amounts_by_booking(books.lines, books.tax, books.exclusions(), books.tax_type_on_sales_join)
+    amounts = with_tax_amounts(with_tax(books.lines, books.tax, books.tax_type_on_sales_join)).select(*EXTRA, "sales_tax", "cost_tax")
     rates = (F.col("booking_rate"), F.col("eur_rate"))
     return (
-        amounts.join(bookings, ["seq_rec", "seq_reserva"])
+        lines_of_bookings(amounts, bookings, books.exclusions())
         .groupBy("seq_rec", "seq_reserva")
-        .agg(*(F.sum(_cents_times(F.col(name), *rates)).cast("double").alias(f"{name}_eur") for name in ("sales_tax", "cost_tax")))
+        .agg(*(F.sum(_cents(F.col(name), *rates)).cast("double").alias(f"{name}_eur") for name in ("sales_tax", "cost_tax")))
     )
 
 

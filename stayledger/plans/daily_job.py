@@ -9,25 +9,23 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from stayledger.operators.keys import BOOKING
+from stayledger.operators.measures import EUR_NAMES, UNCONVERTED
 from stayledger.plans import jobs
 from stayledger.plans.extract import base_bookings, extract_of, few_bookings
 from stayledger.settings import apply_settings
 from stayledger.sources.catalog import Reader, load_books
-from stayledger.sources.materialize import materialized
-from stayledger.sources.sinks import FORMATS, report, write_extract
+from stayledger.sources.materialize import materialized_while
+from stayledger.sources.sinks import Written, write_extract
 
 
-def run(
-    spark: SparkSession, run_date: date, read: Reader, target: str, formats: tuple[str, ...], top: int | None
-) -> tuple[int, list[str]]:
-    """Write the extract of a date; return its row count and columns."""
+def run(spark: SparkSession, run_date: date, read: Reader, target: str, formats: tuple[str, ...], top: int | None) -> Written:
+    """Write the extract of a date; tell its rows, its totals in euros and how many cost lines had no rate."""
     # Read once: the day filters, prices and joins, and must be the same each time.
-    day = materialized(base_bookings(read("booking_interface"), run_date, top))
-    span = day.agg(F.min(BOOKING[1]), F.max(BOOKING[1])).first()
-    extract = extract_of(few_bookings(load_books(read), day, tuple(span)), day)
-    paths = write_extract(extract, target, run_date, formats)
-    first = min(formats, key=FORMATS.index)
-    return report(spark, paths[first], first)
+    with materialized_while(base_bookings(read("booking_interface"), run_date, top)) as day:
+        span = day.agg(F.min(BOOKING[1]), F.max(BOOKING[1])).first()
+        extract = extract_of(few_bookings(load_books(read), day, tuple(span)), day, count_unconverted=True)
+        figures = {name: F.sum(name) for name in (*EUR_NAMES.values(), UNCONVERTED)}
+        return write_extract(extract, target, run_date, formats, figures, [UNCONVERTED])
 
 
 def main() -> None:
@@ -38,8 +36,8 @@ def main() -> None:
     arguments = parser.parse_args()
     spark = apply_settings(SparkSession.builder.appName("daily extract").getOrCreate())
     read = jobs.reader(spark, arguments)
-    rows, columns = run(spark, arguments.run_date, read, arguments.output, tuple(arguments.format), arguments.top)
-    print(f"{arguments.run_date}: {rows} bookings, {len(columns)} columns")
+    written = run(spark, arguments.run_date, read, arguments.output, tuple(arguments.format), arguments.top)
+    jobs.tell(str(arguments.run_date), written)
     spark.stop()
 
 

@@ -53,9 +53,9 @@ def with_midnights(extract: DataFrame) -> DataFrame:
     return extract.withColumns({name: midnight(F.col(name)) for name in DATE_FIELDS})
 
 
-def extract_of(books: Books, base: DataFrame) -> DataFrame:
+def extract_of(books: Books, base: DataFrame, count_unconverted: bool = False) -> DataFrame:
     """The base bookings with all measures and midnight dates."""
-    return with_midnights(with_measures(books, base))
+    return with_midnights(with_measures(books, base, count_unconverted=count_unconverted))
 
 
 def few_bookings(books: Books, base: DataFrame, span: tuple[int, int] | None = None) -> Books:

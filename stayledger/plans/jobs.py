@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from stayledger.sources.catalog import Reader, parquet_reader
 from stayledger.sources.jdbc import JdbcSource, jdbc_reader, parse_split
-from stayledger.sources.sinks import FORMATS
+from stayledger.sources.sinks import FORMATS, Written
 
 
 def add_arguments(parser: argparse.ArgumentParser) -> None:
@@ -27,3 +27,8 @@ def reader(spark: SparkSession, arguments: argparse.Namespace) -> Reader:
         return parquet_reader(spark, arguments.input)
     properties = dict(pair.split("=", 1) for pair in arguments.property)
     return jdbc_reader(JdbcSource(spark, arguments.jdbc, properties), dict(arguments.split))
+
+
+def tell(name: str, written: Written) -> None:
+    figures = ", ".join(f"{figure} {value}" for figure, value in written.figures.items())
+    print(f"{name}: {written.rows} bookings, {len(written.columns)} columns, {figures}")

@@ -17,8 +17,14 @@ SQL_SETTINGS = {
     # are counted first, and AQE goes by the bytes a finished stage has produced.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
-    # Bookings of one day filter the line tables before their shuffle.
+    # Bookings of a day too large to broadcast filter the line tables before their shuffle. The day's estimate is that
+    # of the table it is taken from, and lines of any size are worth the filter.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1TB",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    "spark.sql.optimizer.runtimeFilter.number.threshold": "40",
+    # Rows dealt out by booking stay where they are for joins on booking and extra.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -1,14 +1,17 @@
 """What the plans look like when nothing is small enough to be guessed at."""
 
+import itertools
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from stayledger.operators import lookup
-from stayledger.operators.keys import BOOKING
+from stayledger.operators.keys import BOOKING, in_scope
+from stayledger.operators.lines import service_lines
 from stayledger.operators.lookup import Lookup
 from stayledger.operators.measures import Books, booking_taxes, with_measures
+from tests.metrics import rows_out
 from workload.queries import REGISTRY, RUN_DATE
 from workload.roles import Roles
 
@@ -77,6 +80,7 @@ def test_a_day_filters_lines_where_they_are_read(plans):
     text = plans["daily_extract_one_day"]
     semi = [line for line in text.splitlines() if "LeftSemi" in line and "seq_reserva" in line]
     assert semi and all("BroadcastHashJoin" in line for line in semi)
+    assert text.count("orders.parquet") < 12
 
 
 def test_nothing_is_broadcast_when_no_lookup_is_small(spark):
@@ -106,6 +110,64 @@ def test_a_day_too_large_to_broadcast_reads_its_range_only(spark):
     assert sorted(with_measures(scoped, day).collect()) == sorted(with_measures(small, day).collect())
 
 
+def above(tree: list[str], at: int):
+    """The lines of a printed plan that stand above one of its nodes, from near to far."""
+    depth = re.search(r"[A-Za-z*]", tree[at]).start()
+    for line in reversed(tree[:at]):
+        place = re.search(r"[A-Za-z*]", line)
+        if place and place.start() < depth:
+            depth = place.start()
+            yield line
+
+
+def filters_of_scans(text: str) -> int:
+    """Scans of lines that a Bloom filter of booking keys tests before anything else is done with the rows."""
+    tree = text.splitlines()
+    scans = [i for i, line in enumerate(tree) if "lineitem.parquet" in line]
+    return sum("might_contain" in next(line for line in above(tree, i) if "Project" not in line) for i in scans)
+
+
+@pytest.mark.parametrize("name", ["given", "service tables"])
+def test_a_day_too_large_to_broadcast_tests_its_keys_at_every_scan(spark, name):
+    # Table sizes are Spark's own estimates; the day is only said to be large.
+    roles = Roles(spark, FOLDER.replace("0.001", "0.01"))
+    changes = {} if name == "given" else {"lines": service_lines(roles.service_tables())}
+    day = roles.booking_view.filter(F.col("creation_date") == F.lit(RUN_DATE)).select(*BOOKING, "creation_date", "booking_currency")
+    spread = day.agg(F.max("booking_id") - F.min("booking_id")).first()[0]
+    assert spread > 0.5 * roles.booking_view.count()
+    frame = with_measures(roles.books(**changes).scoped(Lookup(day.select(*BOOKING), False)), day)
+    text = plan(frame)
+    scans = text.count("lineitem.parquet")
+    assert scans == (4 if name == "given" else 9) and filters_of_scans(text) == scans
+    assert "LeftSemi" in text
+    small = with_measures(roles.books().scoped(Lookup(day.select(*BOOKING), True)), day)
+    assert sorted(frame.collect()) == sorted(small.collect())
+
+
+def test_rows_behind_the_key_filter_are_near_the_day_s(spark):
+    roles = Roles(spark, FOLDER.replace("0.001", "0.01"))
+    day = roles.booking_view.filter(F.col("creation_date") == F.lit(RUN_DATE)).select(*BOOKING)
+    wanted = roles.lines.join(day, (F.col("seq_rec") == F.col(BOOKING[0])) & (F.col("seq_reserva") == F.col(BOOKING[1]))).count()
+    rows = in_scope(roles.lines, Lookup(day, False), "seq_rec", "seq_reserva")
+    counted = rows_out(spark, lambda: rows.write.format("noop").mode("overwrite").save())
+    after = [n for name, text, n in counted if name.startswith("Filter") and "might_contain" in text]
+    assert after and 0 < wanted <= max(after) <= wanted + 0.05 * roles.lines.count()
+
+
+def test_lines_rounded_one_by_one_move_once(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "BROADCAST_MAX_BYTES", 0)
+    text = plan(REGISTRY["transfer_eur_line_level"](Roles(spark, FOLDER)))
+    tree = text.splitlines()
+
+    def moves(column):
+        """Exchanges on the way from the scans that read a column up to a sum."""
+        for at, line in enumerate(tree):
+            if "FileScan" in line and column in line:
+                yield sum("Exchange" in one for one in itertools.takewhile(lambda one: "HashAggregate" not in one, above(tree, at)))
+
+    assert max(moves("l_tax")) == 1
+
+
 def test_building_all_frames_starts_no_job(spark):
     context = spark.sparkContext
     context.setJobGroup("building", "")

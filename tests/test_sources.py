@@ -1,6 +1,6 @@
 """Readers and sinks. No database is started: the JDBC calls are recorded."""
 
-from datetime import date
+from datetime import date, datetime
 from types import SimpleNamespace
 
 import pytest
@@ -11,8 +11,8 @@ from stayledger.plans import daily_job, jobs
 from stayledger.sources import materialize
 from stayledger.sources.catalog import load_books, parquet_reader, register_views
 from stayledger.sources.inline import inline
-from stayledger.sources.jdbc import JdbcSource, Split, jdbc_reader, parse_split
-from stayledger.sources.materialize import checkpoint_folder, materialized
+from stayledger.sources.jdbc import JdbcSource, Split, even_slices, jdbc_reader, parse_split, slices_at
+from stayledger.sources.materialize import checkpoint_folder, materialized, materialized_while
 from stayledger.sources.sinks import report, run_path, write_extract
 from tests.frames import FX_MAPPING, TAX, book_rows, booking, frame
 
@@ -61,8 +61,8 @@ def test_rerun_replaces_its_own_day_only(spark, tmp_path):
 
 def test_second_format_is_written_from_the_first(spark, tmp_path):
     paths = write_extract(spark.range(4), str(tmp_path), date(2018, 1, 1), ("csv", "parquet"))
-    assert spark.read.csv(paths["csv"], header=True).count() == 4
-    assert spark.read.parquet(paths["parquet"]).count() == 4
+    assert spark.read.csv(paths.paths["csv"], header=True).count() == 4
+    assert spark.read.parquet(paths.paths["parquet"]).count() == 4
     with pytest.raises(ValueError):
         write_extract(spark.range(1), str(tmp_path), date(2018, 1, 1), ("xml",))
 
@@ -79,6 +79,7 @@ def test_avro_needs_its_module(spark, tmp_path):
 def test_daily_job_from_files_to_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(materialize, "checkpoint_folder", lambda spark, folder=None: str(tmp_path / "shared"))
     services, costs = book_rows()
+    costs = [(*c[:3], "CHF", *c[4:]) if c[2] == 2 else c for c in costs]
     rows = {name: services.get(name, []) for name in SERVICES}
     rows |= {
         "cost": costs,
@@ -98,11 +99,18 @@ def test_daily_job_from_files_to_files(spark, tmp_path, monkeypatch):
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
     for name, content in rows.items():
         frame(spark, name, content).write.parquet(f"{source}/{name}")
-    count, columns = daily_job.run(spark, date(1996, 5, 1), parquet_reader(spark, source), target, ("parquet", "csv"), None)
-    assert count == 2 and "tax_transfer_pricing_eur" in columns
+    run = daily_job.run(spark, date(1996, 5, 1), parquet_reader(spark, source), target, ("parquet", "csv"), None)
+    assert run.rows == 2 and "tax_transfer_pricing_eur" in run.columns and "unconverted_lines" not in run.columns
+    # Four cost lines of booking 2 and what booking 1 has in a currency that no snapshot of the day knows.
+    assert run.figures["unconverted_lines"] == sum(c[1] in (1, 2) and c[3] == "CHF" and not (c[1] == 1 and c[2] == 1) for c in costs) > 0
+    jobs.tell("day", run)
+    assert not list((tmp_path / "shared").glob("stayledger-*"))
     assert load_books(parquet_reader(spark, source)).tax.small
     written = spark.read.parquet(run_path(target, date(1996, 5, 1), "parquet"))
     assert written.filter("transfer_pricing > 0").count() == 2
+    total = written.agg(F.sum("tax_transfer_pricing_eur")).first()[0]
+    assert run.figures["tax_transfer_pricing_eur"] == total > 0
+    assert report(spark, run.paths["parquet"])[0] == run.rows
 
 
 def test_materialized_frame_reads_its_files(spark, tmp_path):
@@ -112,6 +120,52 @@ def test_materialized_frame_reads_its_files(spark, tmp_path):
     assert "FileScan parquet" in text and "Range" not in text
 
 
+def test_files_of_a_block_go_with_it(spark, tmp_path):
+    with materialized_while(spark.range(10), str(tmp_path)) as held:
+        assert held.count() == 10 and len(list(tmp_path.iterdir())) == 1
+    assert list(tmp_path.iterdir()) == []
+    with pytest.raises(ZeroDivisionError), materialized_while(spark.range(3), str(tmp_path)):
+        1 / 0
+    assert list(tmp_path.iterdir()) == []
+
+
+def test_figures_are_observed_in_the_write(spark, tmp_path):
+    extract = spark.range(100).select("id", (F.col("id") % 3).alias("left_out"))
+    context = spark.sparkContext
+    context.setJobGroup("writing", "")
+    try:
+        run = write_extract(extract, str(tmp_path), date(2018, 1, 1), ("parquet",), {"total": F.sum("id"), "thirds": F.sum("left_out")}, ["left_out"])
+        jobs_run = context.statusTracker().getJobIdsForGroup("writing")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert (run.rows, run.columns, run.figures) == (100, ["id"], {"total": 4950, "thirds": 99}) and len(jobs_run) == 1
+    assert spark.read.parquet(run.paths["parquet"]).columns == ["id"]
+    assert write_extract(extract.limit(0), str(tmp_path), date(2018, 1, 2), figures={"total": F.sum("id")}).figures == {"total": None}
+
+
+def test_slices_are_even_and_hold_every_row_once(spark):
+    # Nine tenths of the numbers lie in the last hundredth of the range, and one number has a tenth of the rows.
+    numbers = spark.range(20_000).select(F.when(F.col("id") % 10 == 0, F.col("id") * 500).when(F.col("id") % 10 == 1, 9_999_999).otherwise(9_900_000 + F.col("id")).alias("id"))
+    numbers = numbers.unionByName(spark.createDataFrame([(None,)] * 40, "id long"))
+    found = even_slices(numbers, "id", 10)
+    counts = [numbers.filter(condition).count() for condition in found.conditions]
+    assert sum(counts) == numbers.count() == 20_040 and len(counts) >= 9 and max(counts) < 1.5 * 2004
+    reader = Recorder()
+    JdbcSource(SimpleNamespace(read=reader), "jdbc:x", {}).table("t", found)
+    assert reader.calls[0][1]["predicates"] == list(found.conditions)
+    assert even_slices(numbers.limit(0), "id", 4).conditions == ("1 = 1",) == even_slices(numbers, "id", 1).conditions
+
+
+def test_slices_of_days_and_texts(spark):
+    assert slices_at("d", [date(2020, 1, 1), date(2020, 2, 1)]).conditions == (
+        "d < DATE '2020-01-01' OR d IS NULL",
+        "d >= DATE '2020-01-01' AND d < DATE '2020-02-01'",
+        "d >= DATE '2020-02-01'",
+    )
+    assert slices_at("c", ["it's"]).conditions[1] == "c >= 'it''s'"
+    assert slices_at("t", [datetime(2020, 1, 1, 12)]).conditions[1] == "t >= TIMESTAMP '2020-01-01 12:00:00'"
+
+
 def test_checkpoint_folder_is_named():
     def session(conf):
         return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: conf.get(key, default)))

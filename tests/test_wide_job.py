@@ -3,6 +3,7 @@
 from collections import Counter
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,8 +48,9 @@ def test_wide_job_from_files_to_files(spark, tmp_path):
     for name, frame in zip(views, tables.measures, strict=True):
         frame.write.parquet(f"{source}/{name}")
 
-    rows, columns = wide_job.run(spark, day, START, END, parquet_reader(spark, source), views, target, ("parquet", "csv"))
+    run = wide_job.run(spark, day, START, END, parquet_reader(spark, source), views, target, ("parquet", "csv"))
     written = spark.read.parquet(run_path(target, day, "parquet"))
+    rows, columns = run.rows, run.columns
     wanted = build_wide_extract(tables, START, END)
     assert columns == [*PUBLISHED, "sale_ttv", "sale_tax_ttv", "sale_tax_ttv_toms"]
     assert 0 < rows == wanted.count() < roles.header.count()
@@ -60,3 +62,7 @@ def test_wide_job_from_files_to_files(spark, tmp_path):
     for row in written.select("seq_reserva", "sale_ttv").collect():
         assert abs(float(row["sale_ttv"]) - float(total.get(row["seq_reserva"]) or 0)) < 1e-6
     assert spark.read.csv(run_path(target, day, "csv"), header=True).columns == columns
+    # No rate of the day: KWD is missing from one snapshot, and the first days precede all of them.
+    unrated = build_wide_extract(tables, START, END, count_unconverted=True).agg(F.sum("unconverted_lines")).first()[0]
+    assert run.figures["unconverted_lines"] == unrated > 0
+    assert run.figures["sale_ttv"] == pytest.approx(float(sum(r["sale_ttv"] for r in written.select("sale_ttv").collect())))

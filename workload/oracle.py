@@ -384,6 +384,58 @@ _VIEW_MEASURES = ", ".join(
     f"{money(f'coalesce({name}, 0)')} AS {name}" for name in (*SALE_MEASURES, *COST_MEASURES, *FEE_MEASURES)
 )
 
+def _purchase(since: str) -> str:
+    return f"""SELECT e.event_id, e.user_id, b.bought_at, b.bought_value FROM events e
+        ASOF LEFT JOIN (SELECT user_id, ts AS bought_at, max(value) AS bought_value FROM events WHERE event_type = 'purchase' GROUP BY ALL) b
+        ON e.user_id = b.user_id AND e.ts {since} b.bought_at"""
+
+
+def _key_rules(table: str, source: str, *key: str) -> str:
+    missing = " OR ".join(f"{column} IS NULL" for column in key)
+    counted = f"(SELECT {missing} AS missing, count(*) AS n FROM {source} GROUP BY {', '.join(key)})"
+    return f"""SELECT '{table}' AS table_name, 'repeated key' AS rule,
+            CAST(coalesce(sum(n - 1) FILTER (NOT missing), 0) AS BIGINT) AS rows, CAST(0 AS DOUBLE) AS amount FROM {counted}
+        UNION ALL SELECT '{table}', 'key missing', CAST(coalesce(sum(n) FILTER (missing), 0) AS BIGINT), CAST(0 AS DOUBLE) FROM {counted}"""
+
+
+def _line_rules(table: str, source: str, office: str, booking: str, amount: str, **needs: str) -> str:
+    """``needs`` maps rules (with _ for blanks) to conditions, tested in order before that of the booking."""
+    tests = {rule.replace("_", " "): condition for rule, condition in needs.items()}
+    tests["no booking"] = f"EXISTS (SELECT 1 FROM booking WHERE operative_incoming = s.{office} AND booking_id = s.{booking})"
+    branches = " ".join(f"WHEN NOT {condition} THEN '{rule}'" for rule, condition in tests.items())
+    judged = f"(SELECT CASE {branches} ELSE 'lines summed' END AS reason, {exact(amount)} AS amount FROM {source} s)"
+    total = f"CAST(count(*) FILTER ({{0}}) AS BIGINT), coalesce({money('sum(amount) FILTER ({0})', 2)}, 0)"
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{rule}' AS rule, {total.format(held)} FROM {judged}"
+        for rule, held in {"lines read": "TRUE", **{rule: f"reason = '{rule}'" for rule in ("lines summed", *tests)}}.items()
+    )
+
+
+def _contract() -> str:
+    taxed = "EXISTS (SELECT 1 FROM tax t WHERE t.ind_tipo_imp = 'I' AND t.cod_clasif = 'C' AND t.cod_esquema = 'S' AND t.cod_emp_atlas = 'E' AND t.cod_impuesto = s.{0})"
+    service = taxed.format("cod_impuesto_vta_fac")
+    return " UNION ALL ".join(
+        (
+            _key_rules("tax", "tax", "ind_tipo_imp", "cod_impuesto", "cod_clasif", "cod_esquema", "cod_emp_atlas"),
+            _key_rules("tax_any_type", "tax", "cod_impuesto", "cod_clasif", "cod_esquema", "cod_emp_atlas"),
+            _key_rules("currency", "decimals", "cod_divisa"),
+            _key_rules("booking_interface", "booking", "operative_incoming", "booking_id"),
+            _key_rules("booking", "head", "grec_seq_rec", "seq_reserva"),
+            _key_rules("resale", f"(SELECT o_orderkey % {OFFICES} AS seq_rec, o_orderkey FROM orders WHERE o_orderkey % 2 = 0)", "seq_rec", "o_orderkey"),
+            _key_rules("tour_operator", "customer", "c_custkey"),
+            _key_rules("country", "nation", "n_nationkey"),
+            _key_rules("receptive", "nation", "n_nationkey"),
+            _key_rules("interface", "region", "r_regionkey"),
+            _key_rules("market_of_customer", "head", "cod_pais_cliente"),
+            _key_rules("hotel_master", "supplier", "s_suppkey"),
+            _line_rules("service", "line", "seq_rec", "seq_reserva", "imp_venta", no_sales_tax_row=service, no_purchase_tax_row=service),
+            _line_rules("cost", "cost", "grec_seq_rec", "rres_seq_reserva", "imp_unitario"),
+            _line_rules("sale", "sale", "grec_seq_rec_s", "rres_seq_reserva", "imp_unitario", no_sales_tax_row=taxed.format("rvp_cod_impuesto")),
+            _line_rules("booking_information", "info", "seq_rec", "seq_reserva", "1"),
+        )
+    )
+
+
 STATEMENTS = {
     "regime_decode": f"""SELECT seq_rec, seq_reserva, ind_tipo_regimen_fac,
         {money("CASE WHEN ind_tipo_regimen_fac = 'E' THEN imp_margen_canal ELSE imp_venta END")} AS base,
@@ -438,6 +490,18 @@ STATEMENTS = {
         {money('coalesce(sum(cost_tax), 0)')} AS cost_tax FROM booking
         LEFT JOIN kept_line ON seq_rec = operative_incoming AND seq_reserva = booking_id GROUP BY ALL""",
     "contract_interval_join": "SELECT DISTINCT * FROM contract_place",
+    "contract_interval_bins": "SELECT DISTINCT * FROM contract_place",
+    "day_lines_by_key_filter": f"""SELECT seq_rec, seq_reserva, service_type, {money('imp_venta')} AS imp_venta
+        FROM line JOIN booking ON operative_incoming = seq_rec AND booking_id = seq_reserva
+        WHERE creation_date BETWEEN DATE '1996-05-01' AND DATE '1996-05-31'""",
+    "last_purchase_asof": _purchase(">="),
+    "next_purchase_asof": _purchase("<="),
+    "input_contract": _contract(),
+    "taxes_by_day_sql": f"""SELECT creation_date, booking_currency, count(*) AS bookings, {money('sum(sales_tax)', 2)} AS sales_tax,
+        {money('sum(cost_tax)', 2)} AS cost_tax
+        FROM booking JOIN (SELECT seq_rec, seq_reserva, sum(sales_tax) AS sales_tax, sum(cost_tax) AS cost_tax FROM kept_line GROUP BY ALL)
+        ON operative_incoming = seq_rec AND booking_id = seq_reserva
+        WHERE creation_date BETWEEN DATE '1996-01-01' AND DATE '1997-12-31' GROUP BY ALL""",
     "coalesced_key_join": """SELECT seq_reserva, cod_pais_cliente, gpai_cod_pais_mercado, source_market, source_market_iso FROM sold""",
     "concat_key_join": f"""SELECT h.grec_seq_rec, h.seq_reserva, {_VIEW_MEASURES} FROM head h
         LEFT JOIN sale_view m ON m.grec_seq_rec || '-' || m.rres_seq_reserva = h.grec_seq_rec || '-' || h.seq_reserva
@@ -546,6 +610,13 @@ STATEMENTS = {
     "daily_extract_one_day": f"SELECT {_MIDNIGHTS}, {_ALL_MEASURES} FROM measure_eur WHERE creation_date = DATE '{RUN_DATE}'",
 }
 
+# The same results by another way.
+STATEMENTS |= {
+    "partner_rate_merge": STATEMENTS["partner_rate_asof"],
+    "company_rate_type_merge": STATEMENTS["company_rate_type_asof"],
+    "fx_with_spread_merge": STATEMENTS["fx_with_spread"],
+}
+
 
 def _needed(sql: str, seen: dict[str, None]) -> None:
     """Collect the named tables a text mentions, dependencies first."""

@@ -29,9 +29,10 @@ from stayledger.functions.scalars import (
     second_text,
     strip_semicolons,
 )
-from stayledger.operators import exclusions, fx, header, keys, lines, measures, sales
-from stayledger.operators.lookup import measured
+from stayledger.operators import asof, contract, exclusions, fx, header, keys, lines, measures, sales
+from stayledger.operators.lookup import Lookup, measured
 from stayledger.plans.extract import assemble, base_bookings, build_extract, with_midnights, without_measures
+from stayledger.plans.sql_measures import SqlMeasures
 from stayledger.plans.wide import build_wide_extract, with_daily_rate
 from workload.roles import Roles
 
@@ -61,6 +62,11 @@ def plain(frame: DataFrame, *amounts: str, scale: int = 4) -> DataFrame:
     return frame.withColumns({name: money(name, scale) for name in amounts})
 
 
+def large(lookup: Lookup) -> Lookup:
+    """A lookup that is joined as if it were too large to broadcast."""
+    return Lookup(lookup.frame, small=False)
+
+
 # -- scalars ------------------------------------------------------------------
 
 
@@ -238,12 +244,22 @@ def sale_type_not_in(r: Roles) -> DataFrame:
 
 
 @query
-def sale_payment_model_filter(r: Roles) -> DataFrame:
-    payment = measured(
+def day_lines_by_key_filter(r: Roles) -> DataFrame:
+    days = r.booking_view.filter(F.col("creation_date").between(F.lit(date(1996, 5, 1)), F.lit(date(1996, 5, 31))))
+    rows = keys.in_scope(r.lines, Lookup(days.select(*keys.BOOKING), small=False), "seq_rec", "seq_reserva")
+    return rows.select("seq_rec", "seq_reserva", "service_type", money("imp_venta").alias("imp_venta"))
+
+
+def payments(r: Roles) -> Lookup:
+    """The payment type of every booking, under the key columns of the sale lines."""
+    return measured(
         r.header.select(F.col("grec_seq_rec").alias("grec_seq_rec_s"), F.col("seq_reserva").alias("rres_seq_reserva"), "ind_tippag")
     )
-    joined = payment.join(r.sales, ["grec_seq_rec_s", "rres_seq_reserva"])
-    return joined.filter(sales.charged(F.col("ind_tippag"))).select(
+
+
+@query
+def sale_payment_model_filter(r: Roles) -> DataFrame:
+    return sales.charged_lines(r.sales, payments(r)).select(
         "grec_seq_rec_s", "rres_seq_reserva", "ind_tippag", "ind_tipo_registro", "ind_facturable", "nro_unidades"
     )
 
@@ -293,6 +309,11 @@ def contract_interval_join(r: Roles) -> DataFrame:
     return header.contract_destinations(r.others, *r.lookups("contracts", "destinations")).distinct()
 
 
+@query
+def contract_interval_bins(r: Roles) -> DataFrame:
+    return header.contract_destinations(r.others, large(r.lookup("contracts")), r.lookup("destinations")).distinct()
+
+
 @query
 def coalesced_key_join(r: Roles) -> DataFrame:
     return header.with_operator_and_market(r.header, *r.lookups("operators", "countries")).select(
@@ -421,40 +442,84 @@ def daily_rate_join(r: Roles) -> DataFrame:
     return dated.select("seq_reserva", "gdiv_cod_divisa", money("day_rate").alias("day_rate"), money(product).alias("product"))
 
 
-@query
-def fx_with_spread(r: Roles) -> DataFrame:
+def _with_spread(r: Roles, spreads: Lookup) -> DataFrame:
     sides = F.array(*(F.lit(code) for code in ("V", "C", "F", "Z")))
     bookings = r.booking_amounts.withColumns(
         {"spread": F.element_at(sides, (F.col("booking_id") % 4 + 1).cast("int")), "target": F.lit(EUR)}
     )
     day = F.col("creation_date")
     converted = r.fx.convert(bookings, F.col("amount"), F.col("booking_currency"), EUR, day, "eur")
-    raised = fx.with_spread(
-        converted, r.spreads, "M", "booking_currency", "target", "creation_date", "spread", "eur", "eur_with_spread"
-    )
+    raised = fx.with_spread(converted, spreads, "M", "booking_currency", "target", "creation_date", "spread", "eur", "eur_with_spread")
     return raised.select("booking_id", "spread", money("eur", 2).alias("eur"), money("eur_with_spread", 2).alias("eur_with_spread"))
 
 
 @query
-def company_rate_type_asof(r: Roles) -> DataFrame:
+def fx_with_spread(r: Roles) -> DataFrame:
+    return _with_spread(r, r.spreads)
+
+
+@query
+def fx_with_spread_merge(r: Roles) -> DataFrame:
+    return _with_spread(r, large(r.spreads))
+
+
+def _company_rate_type(r: Roles, settings: Lookup) -> DataFrame:
     purposes = F.element_at(
         F.array(*(F.lit(code) for code in ("R", "C", "L", "A", "M"))), (F.col("booking_id") % 5 + 1).cast("int")
     )
     bookings = r.booking_view.select("booking_id", "invoicing_company", "creation_date", purposes.alias("purpose"))
-    return fx.company_rate_type(
-        bookings, r.company_rate_types, "invoicing_company", "creation_date", "purpose", "cod_exchange_type"
-    )
+    return fx.company_rate_type(bookings, settings, "invoicing_company", "creation_date", "purpose", "cod_exchange_type")
 
 
 @query
-def partner_rate_asof(r: Roles) -> DataFrame:
+def company_rate_type_asof(r: Roles) -> DataFrame:
+    return _company_rate_type(r, r.company_rate_types)
+
+
+@query
+def company_rate_type_merge(r: Roles) -> DataFrame:
+    return _company_rate_type(r, large(r.company_rate_types))
+
+
+def _partner_rate(r: Roles, rates: Lookup) -> DataFrame:
     bookings = r.header.select(
         "seq_reserva", "gtto_seq_ttoo", F.to_date("fec_creacion").alias("created_on"), "gdiv_cod_divisa"
     ).withColumn("target", F.lit(EUR))
-    rated = fx.partner_rate(bookings, r.lookup("partner_rates"), "gtto_seq_ttoo", "gdiv_cod_divisa", "target", "created_on", "rate")
+    rated = fx.partner_rate(bookings, rates, "gtto_seq_ttoo", "gdiv_cod_divisa", "target", "created_on", "rate")
     return rated.select("seq_reserva", "gtto_seq_ttoo", "gdiv_cod_divisa", money("rate").alias("rate"))
 
 
+@query
+def partner_rate_asof(r: Roles) -> DataFrame:
+    return _partner_rate(r, r.lookup("partner_rates"))
+
+
+@query
+def partner_rate_merge(r: Roles) -> DataFrame:
+    return _partner_rate(r, large(r.lookup("partner_rates")))
+
+
+def _event_values(r: Roles) -> tuple[DataFrame, DataFrame]:
+    """Events, and the highest value of a user's purchases at each instant."""
+    events = r.table("events")
+    bought = events.filter(F.col("event_type") == "purchase").groupBy(F.col("user_id").alias("buyer"), F.col("ts").alias("bought_at"))
+    return events.select("event_id", "user_id", "ts"), bought.agg(F.max("value").alias("bought_value"))
+
+
+@query
+def last_purchase_asof(r: Roles) -> DataFrame:
+    events, bought = _event_values(r)
+    matched = asof.merged(events, bought, [("user_id", "buyer")], "ts", "bought_at")
+    return matched.select("event_id", "user_id", "bought_at", "bought_value")
+
+
+@query
+def next_purchase_asof(r: Roles) -> DataFrame:
+    events, bought = _event_values(r)
+    matched = asof.merged(events, bought, [("user_id", "buyer")], "ts", "bought_at", forward=True)
+    return matched.select("event_id", "user_id", "bought_at", "bought_value")
+
+
 # -- measures -----------------------------------------------------------------
 
 
@@ -637,3 +702,40 @@ def daily_extract_full(r: Roles) -> DataFrame:
 @query
 def daily_extract_one_day(r: Roles) -> DataFrame:
     return _doubles(build_extract(r.books(), r.booking_view, RUN_DATE))
+
+
+# -- inputs and SQL -----------------------------------------------------------
+
+
+@query
+def input_contract(r: Roles) -> DataFrame:
+    keyed = {
+        "tax": (r.tax.frame, [column for _, column in lines.TAX_KEY]),
+        "tax_any_type": (r.tax.frame, [column for _, column in lines.TAX_KEY[1:]]),
+        "currency": (r.currencies.frame, ["cod_divisa"]),
+        "booking_interface": (r.booking_view, keys.BOOKING),
+        "booking": (r.header, header.KEY),
+        "resale": (r.resales, ["seq_rec", "seq_reserva"]),
+        "tour_operator": (r.lookup("operators").frame, ["seq_ttoo"]),
+        "country": (r.lookup("countries").frame, ["cod_pais"]),
+        "receptive": (r.lookup("receptives").frame, ["seq_rec"]),
+        "interface": (r.lookup("interfaces").frame, ["cod_interface"]),
+        "market_of_customer": (r.header, ["cod_pais_cliente"]),
+        "hotel_master": (r.lookup("hotels").frame, ["seq_hotel"]),
+    }
+    held = {
+        "service": contract.Lines(r.lines, "seq_rec", "seq_reserva", "imp_venta", contract.service_needs()),
+        "cost": contract.Lines(r.costs, "grec_seq_rec", "rres_seq_reserva", "imp_unitario"),
+        "sale": contract.Lines(r.sales, "grec_seq_rec_s", "rres_seq_reserva", "imp_unitario", {contract.NO_SALES_TAX: sales.SALE_TAX_KEY}),
+        # Applications are logged for numbers that are no bookings.
+        "booking_information": contract.Lines(r.information.withColumn("one", F.lit(1.0)), "seq_rec", "seq_reserva", "one"),
+    }
+    ledger = contract.input_contract(keyed, held, r.tax, measured(r.booking_view.select(*keys.BOOKING)))
+    return plain(ledger, "amount", scale=2)
+
+
+@query
+def taxes_by_day_sql(r: Roles) -> DataFrame:
+    bookings = r.booking_view.select(*keys.BOOKING, "creation_date", "booking_currency")
+    by_sql = SqlMeasures(r.spark, r.books(), bookings)
+    return plain(by_sql.taxes_by_day(date(1996, 1, 1), date(1997, 12, 31)), "sales_tax", "cost_tax", scale=2)
