@@ -15,7 +15,6 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 20
 MAX_REPEATED = 30
 MAX_DOCS = 20
-MIN_APART = 0.5
 MIN_LEFT = 0.3
 
 _BREAKS = "\t\n\x0b\x0c\r"
@@ -55,7 +54,7 @@ def _normal(line: Column) -> Column:
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """A row per document: its counts, the hash and size of each of its lines, the least hash of them (signature) and one of all (whole).
+    """A row per document: its counts, the hash and size of each of its lines, and one hash of them all (whole).
 
     Repeated windows are found by sorting the hashes of a text's windows with their positions, and only if
     there are fewer distinct hashes than windows. The steps are separate selects, so that Spark computes an
@@ -128,45 +127,30 @@ def measured(docs: DataFrame) -> DataFrame:
     return steps.select(
         *[c for c in steps.columns if c not in ("lines", "covers")],
         ((F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))).alias("base_failed"),
-        F.array_min(F.transform("lines", lambda x: F.md5(x["line"]))).alias("signature"),
         F.md5(F.array_join(F.transform("lines", lambda x: x["line"]), "\n")).alias("whole"),
         F.transform("lines", lambda x: F.struct(F.xxhash64(x["line"]).alias("line"), x["chars"].alias("chars"))).alias("lines"),
     )
 
 
-def quality(
-    docs: DataFrame, max_docs: int = MAX_DOCS, min_apart: float = MIN_APART, min_left: float = MIN_LEFT, by_text: bool = False
-) -> DataFrame:
+def quality(docs: DataFrame, max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT) -> DataFrame:
     """One row per document row with its counts, base_failed, removed_chars and kept.
 
-    A line is removed everywhere in a host (``source``) if it stands in more than ``max_docs`` distinct
-    documents of it. Documents are distinct if their signatures, the least hash of their lines, differ: copies of one
-    document count once, and a line whose documents are mostly copies of each other (signatures fewer than
-    ``min_apart`` of the documents) is left to deduplication. That is the rule of OP7_SQL; it misses hosts whose pages
-    share their least line. With ``by_text`` documents are distinct if their normalised lines differ anywhere, and
-    ``min_apart`` is not used. A document is rejected if it fails the base rules or keeps less than ``min_left`` of
-    its characters.
+    A line is removed everywhere in a host (``source``) if it stands in more than ``max_docs`` distinct documents of it.
+    Documents are distinct if their normalised lines differ anywhere, so copies of one document count once. A document
+    is rejected if it fails the base rules or keeps less than ``min_left`` of its characters.
 
     Null texts count as empty, null hosts as the host ''. Null ids are kept as they are. Rows with equal doc_id, source
     and text are one document and get equal results. An empty table gives no rows; other columns are ignored.
     """
-    scanned = checkpointed(measured(docs).drop("signature" if by_text else "whole").withColumnRenamed("whole", "signature"))
-    frequent_enough = F.col("apart") > max_docs
-    if not by_text:
-        frequent_enough &= F.col("apart") >= min_apart * F.col("docs")
+    scanned = checkpointed(measured(docs))
     lines = (
-        scanned.select("row_key", "host", "signature", F.explode("lines").alias("line"))
-        .groupBy("row_key", "host", "signature", F.col("line.line").alias("line"))
+        scanned.select("row_key", "host", "whole", F.explode("lines").alias("line"))
+        .groupBy("row_key", "host", "whole", F.col("line.line").alias("line"))
         .agg(F.sum("line.chars").alias("chars"), F.count("*").alias("times"))
     )
-    frequent = (
-        lines.groupBy("host", "line", "signature")
-        .agg(F.count("*").alias("docs"))
-        .groupBy("host", "line")
-        .agg(F.count("*").alias("apart"), F.sum("docs").alias("docs"))
-        .where(frequent_enough)
-        .select("host", "line")
-    )
+    # A hot line is summed by document on the map side, then by line: neither step holds a host's rows in one task.
+    distinct = lines.groupBy("host", "line", "whole").agg(F.count("*").alias("rows"))
+    frequent = distinct.groupBy("host", "line").agg(F.count("*").alias("docs")).where(F.col("docs") > max_docs).select("host", "line")
     copies = scanned.groupBy("row_key").agg(F.count("*").alias("rows"))
     removed = (
         lines.join(frequent, ["host", "line"], "left_semi")
@@ -177,7 +161,7 @@ def quality(
     )
     left = F.col("word_chars") - F.col("removed_chars")
     return (
-        scanned.drop("lines", "signature", "host")
+        scanned.drop("lines", "whole", "host")
         .join(removed, "row_key", "left")
         .withColumn("removed_chars", F.coalesce("removed_chars", F.lit(0).cast("long")))
         .withColumn("kept", ~F.col("base_failed") & (left >= min_left * F.col("word_chars")))
@@ -203,15 +187,14 @@ WITH d AS (
 ), covered AS (
   SELECT row_no, count(DISTINCT pos + k) AS n FROM twice, (SELECT unnest(range({WINDOW})) AS k) GROUP BY row_no
 ), line AS (
-  SELECT row_no, md5(concat_ws(chr(0), coalesce(doc_id::VARCHAR, 'null'), host, text)) AS doc, host,
+  SELECT row_no, line_no, host,
          lower(trim(regexp_replace(translate(line, '123456789' || chr(9) || chr(11) || chr(12) || chr(13), '000000000    '), ' +', ' ', 'g'), ' ')) AS line,
          length(regexp_replace(line, '[ \\t\\n\\x0b\\f\\r]', '', 'g')) AS chars
-  FROM (SELECT row_no, doc_id, host, text, unnest(lines) AS line FROM w)
-), signed AS (
-  SELECT *, min(md5(line)) OVER (PARTITION BY row_no) AS signature FROM line
+  FROM (SELECT row_no, host, unnest(lines) AS line, generate_subscripts(lines, 1) AS line_no FROM w)
+), whole AS (
+  SELECT row_no, string_agg(line, chr(10) ORDER BY line_no) AS whole FROM line GROUP BY row_no
 ), frequent AS (
-  SELECT host, line FROM signed GROUP BY host, line
-  HAVING count(DISTINCT signature) > {MAX_DOCS} AND count(DISTINCT signature) >= {MIN_APART} * count(DISTINCT doc)
+  SELECT host, line FROM line JOIN whole USING (row_no) GROUP BY host, line HAVING count(DISTINCT whole) > {MAX_DOCS}
 ), removed AS (
   SELECT row_no, sum(chars) AS chars FROM line SEMI JOIN frequent USING (host, line) GROUP BY row_no
 ), counted AS (

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -64,7 +65,7 @@ def test_pages_of_mostly_boilerplate_are_rejected_on_every_host(spark, shared):
     copied = "\n".join(prose(pick, 12) for _ in range(9))
     rows += [(5000 + i, copied, "host0") for i in range(50)]
     docs = documents(spark, rows)
-    got = {r["doc_id"]: r["kept"] for r in quality.quality(docs, by_text=True).collect()}
+    got = {r["doc_id"]: r["kept"] for r in quality.quality(docs).collect()}
     assert not any(kept for d, kept in got.items() if d < 5000) and all(kept for d, kept in got.items() if d >= 5000)
     left = {r["doc_id"] for r in corpus_pipeline.quality_rules(spark, docs, "").collect()}
     assert left == set(range(5000, 5050))
@@ -156,9 +157,10 @@ def repeated_rows():
     return rows + [(500, rows[1][1]), (501, "ab" * 3000), (502, "x" * 3000 + shared), (503, ""), (504, rows[7][1]), (504, rows[7][1])]
 
 
-@pytest.mark.parametrize("hot", [suffix.HOT, 4])
-def test_repeated_bytes_against_brute_force(spark, monkeypatch, hot):
+@pytest.mark.parametrize("hot, most", [(suffix.HOT, suffix.MOST_PIECES), (4, suffix.MOST_PIECES), (4, 3), (suffix.HOT, 1), (suffix.HOT, 40)])
+def test_repeated_bytes_against_brute_force(spark, monkeypatch, hot, most):
     monkeypatch.setattr(suffix, "HOT", hot)
+    monkeypatch.setattr(suffix, "MOST_PIECES", most)
     rows = repeated_rows()
     got = suffix.repeated_bytes(documents(spark, rows, extra=True).repartition(3)).collect()
     assert len(got) == len(rows)
@@ -167,6 +169,39 @@ def test_repeated_bytes_against_brute_force(spark, monkeypatch, hot):
         assert tuple(r)[1:] == wanted[r["doc_id"]], r["doc_id"]
 
 
+def test_one_phrase_in_many_surroundings(spark, monkeypatch):
+    # A phrase shorter than a window, different words around it: one value, no equal runs, few equal windows.
+    monkeypatch.setattr(suffix, "HOT", 16)
+    monkeypatch.setattr(suffix, "MOST_PIECES", 100)
+    pick = random.Random(12)
+    phrase = " all rights reserved by the owners of these pages, who made them in their own time "
+    rows = [(i, f"{pick.random()} {prose(pick, 8)}{phrase}{prose(pick, 8)} {pick.random()}") for i in range(4000)]
+    rows += [(5000 + i, rows[i][1][20:-10]) for i in range(0, 4000, 100)]
+    docs = documents(spark, rows).repartition(4)
+    got = {r["doc_id"]: tuple(r)[1:] for r in suffix.repeated_bytes(docs).collect()}
+    assert got == removed(rows)
+    # What a task merges of one group stays small: the pieces that the first pass leaves to the second are single windows.
+    pieces = [(1, 0, i, 0, 0, len(t.encode()) - 99, t.encode()) for i, t in rows[:500]]
+    batches = list(suffix._merge(iter([suffix._piece_batch(pieces[:60]), suffix._piece_batch(pieces[60:300]), suffix._piece_batch(pieces[300:])]), 100))
+    got = [row for batch in batches for row in batch.to_pylist()]
+    left = [row for row in got if row["sub"] != -1]
+    assert left and {(row["n"], len(row["piece"])) for row in left} == {(1, 100)}
+    # Every window is either handed on or found to occur earlier.
+    seen = {(row["d"], row["start"] + k) for row in got for k in range(row["n"])}
+    assert seen == {(d, s) for d in range(500) for s in range(len(pieces[d][-1]) - 99)}
+
+
+def test_rows_of_one_hash_are_told_apart(spark):
+    # Two texts of one 32-bit hash: their rows used to be taken for one.
+    pick = random.Random(13)
+    texts = [" ".join(pick.choice(["red", "green", "blue", "grey"]) + str(pick.randrange(10**6)) for _ in range(20)) for _ in range(40)]
+    rows = [(None, t) for t in texts] + [(None, texts[0] + texts[1]), ((1 << 63) - 1, texts[2]), (1, texts[0])]
+    got = suffix.repeated_bytes(documents(spark, rows)).collect()
+    by = Counter((r["doc_id"], r["n_bytes"] == r["n_removed"]) for r in got)
+    assert by[(1 << 63) - 1, False] == 1 and by[1, False] == 1 and by[None, True] >= 2
+    assert all(k.dataType.typeName() == "long" for k in suffix._documents(documents(spark, rows)).schema[:2])
+
+
 def test_repeated_bytes_of_odd_rows(spark):
     body = "the same words again and again, " * 9
     rows = EDGES + [(None, body), (None, body), (7, body), (8, body + "Z"), (8, "Y" + body)]
