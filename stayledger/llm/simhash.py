@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpointed, components, spanning_edges, table
+from .common import checkpointed, components, packed_rows, spanning_edges, table, unpacked_rows
 
 BITS = 64
 PARTS = 4
@@ -42,16 +42,16 @@ def fingerprint(text: str | None, words: int = WORDS) -> bytes:
     return np.packbits(2 * votes > len(ends)).tobytes()
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, fp) of every document; fp is the fingerprint as a signed integer."""
+def fingerprints(rows: DataFrame, words: int = WORDS) -> DataFrame:
+    """(key, fp) of every row (key, text); fp is the fingerprint as a signed integer."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = b"".join([fingerprint(text.as_py(), words) for text in batch["text"]])
             prints = pa.array(np.frombuffer(raw, dtype=">i8").astype(np.int64))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], prints], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch["key"], prints], ["key", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, "doc_id long, fp long")
+    return rows.select("key", "text").mapInArrow(work, f"key {dict(rows.dtypes)['key']}, fp long")
 
 
 def similar_fingerprints(distinct: DataFrame, budget: int = 4, per_node: int = PER_NODE, per_block: int = PER_BLOCK) -> DataFrame:
@@ -205,21 +205,39 @@ def simhash_groups(docs: DataFrame, budget: int = 4, words: int = WORDS, per_nod
     reachable by links; rows without doc_id take part, but never name a component. Rows that repeat a
     doc_id are one document and get equal results. Other columns are ignored; no rows give no rows.
     """
-    prints = checkpointed(fingerprints(docs, words))
-    by_print = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    links = components(similar_fingerprints(by_print, budget, per_node))
-    joined = by_print.join(links, by_print["fp"] == links["id"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
+    prints = checkpointed(fingerprints(docs.select(F.col("doc_id").cast("long").alias("key"), "text"), words))
+    joined = _rooted(prints, budget, per_node)
     named = joined.groupBy("root").agg(F.min("least").alias("component_id"))
     named = joined.join(named, "root").select("fp", "component_id")
     return prints.join(named, "fp").select(
-        "doc_id",
+        F.col("key").alias("doc_id"),
         F.lpad(F.lower(F.hex("fp")), BITS // 4, "0").alias("fingerprint"),
         "component_id",
-        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),
+        F.coalesce(F.col("key") == F.col("component_id"), F.lit(True)).alias("kept"),
     )
 
 
+def _rooted(prints: DataFrame, budget: int, per_node: int) -> DataFrame:
+    """(fp, least, root) per distinct fingerprint: the least key that has it, and the root of its component."""
+    by_print = prints.groupBy("fp").agg(F.min("key").alias("least"))
+    links = components(similar_fingerprints(by_print, budget, per_node))
+    return by_print.join(links, by_print["fp"] == links["id"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
+def without_near_copies(docs: DataFrame, budget: int = 4, words: int = WORDS, per_node: int = PER_NODE) -> DataFrame:
+    """One whole row of every group that simhash_groups would link: the one of the least doc_id; rows without an id come last.
+
+    An id does not decide: rows that share one but not their text are judged apart. Rows of one id are ordered by a hash
+    of the whole row, so a repeated task keeps the same one; equal rows are kept once. Null and empty texts are a group,
+    with all texts whose fingerprint is near zero. Other columns stay as they are; no rows give no rows.
+    """
+    number = F.coalesce(F.col("doc_id").cast("long"), F.lit(0))
+    key = F.struct(F.col("doc_id").isNull().alias("none"), number.alias("id"), F.xxhash64(*docs.columns).alias("hash"))
+    prints = checkpointed(fingerprints(docs.select(key.alias("key"), "text"), words))
+    first = _rooted(prints, budget, per_node).groupBy("root").agg(F.min("least").alias("key")).select("key")
+    kept = packed_rows(docs, key=key).join(first, "key", "left_semi").dropDuplicates(["key"])
+    return unpacked_rows(kept, docs.columns)
+
+
 def op9_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
