@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from stayledger.llm.common import checkpoint_folder, packed_rows, table, unpacked_rows  # noqa: E402
-from stayledger.llm.near import near_roots, text_key  # noqa: E402
 from stayledger.llm.packing import packed, word_tokens  # noqa: E402
 from stayledger.llm.pii import masked  # noqa: E402
 from stayledger.llm.quality import quality  # noqa: E402
+from stayledger.llm.simhash import without_near_copies  # noqa: E402
 from stayledger.llm.suffix import without_repeats  # noqa: E402
 
 
@@ -27,26 +27,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that the quality rules keep."""
     host = F.coalesce("source", F.lit(""))
     text = F.coalesce("text", F.lit(""))
-    rejected = quality(docs, by_text=True).where("not kept").select("row_key").distinct()
+    rejected = quality(docs).where("not kept").select("row_key").distinct()
     keyed = packed_rows(docs, row_key=F.xxhash64(F.col("doc_id").isNull(), "doc_id", host, text))
     return unpacked_rows(keyed.join(rejected, "row_key", "left_anti"), docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of every group of near duplicates, the one of the least id; rows without an id come last.
-
-    Near duplicates are texts whose five-word shingles have a Jaccard similarity of at least 0.8, and what such pairs connect.
-    An id does not decide: rows that share one but not their text are judged apart. Rows of one id are ordered by a hash
-    of the whole row, so a repeated task keeps the same one.
-    """
-    number = F.coalesce(F.col("doc_id").cast("long"), F.lit(0))
-    order = F.struct(F.col("doc_id").isNull().alias("none"), number.alias("id"), F.xxhash64(*docs.columns).alias("hash"))
-    keyed = packed_rows(docs, key=text_key(), order=order)
-    roots = near_roots(docs)
-    placed = keyed.select("key", "order").join(roots, "key", "left").select("order", F.coalesce("root", "key").alias("root"))
-    kept = placed.groupBy("root").agg(F.min("order").alias("order")).select("order")
-    left = keyed.join(kept, "order", "left_semi").dropDuplicates(["order"])
-    return unpacked_rows(left, docs.columns)
+    """One row of every group that SimHash links, by four-word shingles and up to four differing bits."""
+    return without_near_copies(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
