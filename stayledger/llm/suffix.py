@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import packed_rows, table, unpacked_rows
@@ -17,15 +17,17 @@ GRAM = 24
 CHUNK = 1 << 20
 SHARD = 1 << 24
 HOT = 2048
-NO_ID = (1 << 63) - 1
+# Pieces of a group that one task merges; larger groups are cut into windows.
+MOST_PIECES = 20_000
+LARGEST = (1 << 63) - 1
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
 _MIX_AGAIN = np.array([0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x9FB21C651E98DF25, 0xD1B54A32D192ED03], dtype=np.uint64)
 _PLACES = np.uint64(2 * CHUNK - 1)
 
-RUNS = "value long, d long, tag int, start int, n int, done boolean"
-PIECES = "value long, sub long, d long, tag int, start int, n int, piece binary"
-RANGES = "d long, tag int, start int, stop int"
+RUNS = "value long, d long, tag long, start int, n int, done boolean"
+PIECES = "value long, sub long, d long, tag long, start int, n int, piece binary"
+PIECE_NAMES = ("value", "sub", "d", "tag", "start", "n", "piece")
 
 
 def chosen_grams(data: bytes, mix: np.ndarray = _MIX) -> tuple[np.ndarray, np.ndarray]:
@@ -153,7 +155,7 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 else:
                     _, again, at, many = text_runs([data[s : s + n + LENGTH - 1]], _MIX_AGAIN)
                     for sub, a, m in zip(again.tolist(), (at + s).tolist(), many.tolist(), strict=True):
-                        out.append((value, sub & NO_ID, d, tag, a, m, data[a : a + m + LENGTH - 1]))
+                        out.append((value, sub & LARGEST, d, tag, a, m, data[a : a + m + LENGTH - 1]))
             if len(out) >= 10_000:
                 yield _piece_batch(out)
                 out = []
@@ -162,9 +164,8 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _piece_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
-    names = ("value", "sub", "d", "tag", "start", "n", "piece")
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], PIECE_NAMES)
 
 
 def suffix_array(data: bytes, depth: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
@@ -239,57 +240,117 @@ def common_prefixes(data: bytes, at: np.ndarray, order: np.ndarray, base: np.nda
 
 
 def _windows(data: bytes, at: np.ndarray) -> np.ndarray:
-    text = np.frombuffer(data, dtype=np.uint8)
-    return np.ascontiguousarray(text[at[:, None] + np.arange(LENGTH)]).view(f"S{LENGTH}").ravel()
+    every = np.lib.stride_tricks.sliding_window_view(np.frombuffer(data, dtype=np.uint8), LENGTH)
+    return every[at].view(f"S{LENGTH}").ravel()
+
+
+def _window_hashes(windows: np.ndarray) -> np.ndarray:
+    padded = np.zeros((len(windows), -(-LENGTH // 8) * 8), dtype=np.uint8)
+    padded[:, :LENGTH] = windows.view(np.uint8).reshape(-1, LENGTH)
+    h = np.full(len(windows), _MIX_AGAIN[0])
+    for column in padded.view("<u8").T:
+        h = (h ^ column) * _MIX[0]
+        h ^= h >> np.uint64(29)
+    return ((h * _MIX_AGAIN[1]) >> np.uint64(1)).astype(np.int64)
+
+
+def _places(n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For pieces of n windows each, joined: the piece of every window, its place in the joined bytes, and where each piece's windows begin."""
+    many = n.astype(np.int64)
+    sizes = many + LENGTH - 1
+    base = np.cumsum(many) - many
+    owner = np.repeat(np.arange(len(many)), many)
+    return owner, np.arange(len(owner)) - base[owner] + (np.cumsum(sizes) - sizes)[owner], base
+
+
+def _parted(rows: list[tuple]) -> tuple[list[tuple], list[tuple]]:
+    """Pieces of one large group as one piece per distinct window, dealt out by its whole bytes; and the windows that occur earlier among these."""
+    value, _, d, tag, start, n, pieces = (list(c) for c in zip(*rows, strict=True))
+    owner, at, base = _places(np.array(n))
+    windows = _windows(b"".join(pieces), at)
+    distinct, first = np.unique(windows, return_index=True)
+    hashes = _window_hashes(distinct)
+    offset = np.arange(len(owner)) - base[owner]
+    out = []
+    for w, h in zip(first.tolist(), hashes.tolist(), strict=True):
+        r, o = int(owner[w]), int(offset[w])
+        out.append((value[r], h, d[r], tag[r], start[r] + o, 1, pieces[r][o : o + LENGTH]))
+    again = np.ones(len(owner), dtype=bool)
+    again[first] = False
+    where, begins, many = _joined_ranges(owner[again], np.array(start)[owner[again]] + offset[again], np.ones(int(again.sum()), dtype=np.int64))
+    return out, [(d[r], tag[r], s, m) for r, s, m in zip(where.tolist(), begins.tolist(), many.tolist(), strict=True)]
+
 
+def _range_rows(d: np.ndarray, tag: np.ndarray, start: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """Ranges of repeated windows as pieces that are done."""
+    scatter = (d.astype(np.int64).view(np.uint64) * _MIX[0] + start.astype(np.uint64) * _MIX[1]).view(np.int64)
+    empty = pa.array([b""] * len(d), pa.binary())
+    columns = [pa.array(scatter), pa.array(np.full(len(d), -1, dtype=np.int64)), pa.array(d.astype(np.int64)), pa.array(tag.astype(np.int64))]
+    columns += [pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), empty]
+    return pa.RecordBatch.from_arrays(columns, PIECE_NAMES)
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _merge(batches: Iterator[pa.RecordBatch], most: int | None = None) -> Iterator[pa.RecordBatch]:
     """Ranges of windows that occur earlier, from pieces sorted by (value, sub, d, tag, start).
 
-    Each batch is a shard with a suffix array of its own. Pieces of one value that run on into the next batch
-    are merged with it by binary search: the sorted windows seen so far are carried along.
+    Each batch is a shard with a suffix array of its own. Pieces of one group (value, sub) that run on into the next
+    batch are merged with it by binary search: the sorted windows seen so far are carried along. A group of more than
+    ``most`` pieces is not merged here but cut into its windows, for another pass that deals them out by their bytes.
     """
     carried_key, carried, last = None, None, None
+    held: list[tuple] = []  # the carried group's pieces, as long as they are few
+    parted = False  # whether the carried group is being cut
     for batch in batches:
-        value, sub, d, tag, start, n = (batch[c].to_numpy() for c in ("value", "sub", "d", "tag", "start", "n"))
+        value, sub, d, tag, start, n = (batch[c].to_numpy() for c in PIECE_NAMES[:-1])
         pieces = batch["piece"].to_pylist()
         out = [np.flatnonzero(sub == -1)]
         rows = np.flatnonzero(sub != -1)
-        ranges = [(d[out[0]], tag[out[0]], start[out[0]], start[out[0]] + n[out[0]])]
+        ranges = [(d[out[0]], tag[out[0]], start[out[0]], n[out[0]])]
         if len(rows):
             same = np.zeros(len(rows), dtype=bool)
             same[1:] = (value[rows[1:]] == value[rows[:-1]]) & (sub[rows[1:]] == sub[rows[:-1]])
             group = np.cumsum(~same) - 1
+            end = int(group[-1])
+            goes_on = carried_key == (int(value[rows[0]]), int(sub[rows[0]]))
+            sizes = np.bincount(group)
+            large = np.zeros(end + 1, dtype=bool)
+            if most is not None:
+                large = sizes > most
+                large[0] |= goes_on and (parted or len(held) + sizes[0] > most)
             fresh: list[int] = []
             copies: list[int] = []
+            cut: dict[int, list[tuple]] = {}
+            if goes_on and large[0] and not parted:
+                cut[0] = held
             seen: dict[tuple[int, bytes], int] = {}
             for r, g in zip(rows.tolist(), group.tolist(), strict=True):
                 at = (value[r], sub[r], d[r], tag[r], start[r])
                 if at != last:
-                    (copies if seen.setdefault((g, pieces[r]), r) != r else fresh).append(r)
+                    if large[g]:
+                        cut.setdefault(g, []).append(_row(r, value, sub, d, tag, start, n, pieces))
+                    else:
+                        (copies if seen.setdefault((g, pieces[r]), r) != r else fresh).append(r)
                 last = at
+            for some in cut.values():
+                windows, again = _parted(some)
+                yield _piece_batch(windows)
+                if again:
+                    ranges.append(tuple(np.array(c) for c in zip(*again, strict=True)))
             fresh_rows = np.array(fresh, dtype=np.int64)
             copy_rows = np.array(copies, dtype=np.int64)
-            ranges.append((d[copy_rows], tag[copy_rows], start[copy_rows], start[copy_rows] + n[copy_rows]))
+            ranges.append((d[copy_rows], tag[copy_rows], start[copy_rows], n[copy_rows]))
             group_of = np.zeros(len(value), dtype=np.int64)
             group_of[rows] = group
-            end = int(group[-1])
-            end_key = (int(value[rows[-1]]), int(sub[rows[-1]]))
-            goes_on = carried_key == (int(value[rows[0]]), int(sub[rows[0]]))
             of = group_of[fresh_rows]
             contested = (np.bincount(of, minlength=end + 1) > 1)[of] | (of == end) | (goes_on & (of == 0))
             use = fresh_rows[contested]
             data = b"".join([pieces[r] for r in use.tolist()])
-            many = n[use].astype(np.int64)
-            sizes = many + LENGTH - 1
-            base = np.cumsum(many) - many
-            owner = np.repeat(np.arange(len(use)), many)
-            at = np.arange(len(owner)) - base[owner] + (np.cumsum(sizes) - sizes)[owner]
+            owner, at, base = _places(n[use])
             repeated = np.zeros(len(at), dtype=bool)
             if len(at):
                 _, rank = suffix_array(data)
                 order = np.argsort(rank[at], kind="stable")
-                repeated = common_prefixes(data, at, order, base, many) >= LENGTH
+                repeated = common_prefixes(data, at, order, base, n[use].astype(np.int64)) >= LENGTH
             of = group_of[use]
             if goes_on and len(at):
                 own = np.flatnonzero((of == 0)[owner])
@@ -298,39 +359,47 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 repeated[own] |= (carried[spot] == found) if len(carried) else False
             new = np.flatnonzero((of == end)[owner] & ~repeated)
             known = np.sort(_windows(data, at[new])) if len(new) else np.empty(0, dtype=f"S{LENGTH}")
-            if goes_on and end == 0:
+            if goes_on and end == 0 and not large[0]:
                 known = np.insert(carried, np.searchsorted(carried, known), known)
-            carried_key, carried = end_key, known
+            carried_key, carried = (int(value[rows[-1]]), int(sub[rows[-1]])), known
+            parted = bool(large[end])
+            if most is not None:
+                mine = [] if parted else [_row(r, value, sub, d, tag, start, n, pieces) for r in fresh if group_of[r] == end]
+                held = [*held, *mine] if goes_on and end == 0 and not parted else mine
             hit = np.flatnonzero(repeated)
             w, s, m = _joined_ranges(owner[hit], start[use[owner[hit]]] + hit - base[owner[hit]], np.ones(len(hit), dtype=np.int64))
-            ranges.append((d[use[w]], tag[use[w]], s, s + m))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.concatenate(c).astype(k))
-                for c, k in zip(zip(*ranges, strict=True), (np.int64, np.int32, np.int32, np.int32), strict=True)
-            ],
-            ["d", "tag", "start", "stop"],
-        )
+            ranges.append((d[use[w]], tag[use[w]], s, m))
+        yield _range_rows(*(np.concatenate(c) for c in zip(*ranges, strict=True)))
+
+
+def _row(r: int, value, sub, d, tag, start, n, pieces) -> tuple:
+    return int(value[r]), int(sub[r]), int(d[r]), int(tag[r]), int(start[r]), int(n[r]), pieces[r]
+
+
+def _keys() -> dict[str, Column]:
+    """Numbers by which a row is told apart and ordered: its doc_id, then 62 bits of its text's hash; rows without an id come last."""
+    no_id = F.col("doc_id").isNull()
+    text = F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), 2)
+    return {"d": F.coalesce(F.col("doc_id").cast("long"), F.lit(LARGEST)), "tag": text + F.when(no_id, 1 << 62).otherwise(0)}
 
 
 def _documents(docs: DataFrame) -> DataFrame:
-    text = F.coalesce("text", F.lit(""))
-    return docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("d"), F.hash(text).alias("tag"), text.cast("binary").alias("data")
-    )
+    keys = (column.alias(name) for name, column in _keys().items())
+    return docs.select(*keys, F.coalesce("text", F.lit("")).cast("binary").alias("data"))
 
 
-def repeated_ranges(docs: DataFrame) -> DataFrame:
+def repeated_ranges(texts: DataFrame, bytes_: str = "data") -> DataFrame:
     """(d, tag, spans) per document with bytes that occur earlier; spans are merged later by ``merged_spans``.
 
     Every window of LENGTH bytes is represented by a gram of it, chosen by content, so equal windows have equal values.
     Runs of windows with one value are counted by value; values that occur once have no equal windows. The
     bytes of the others are dealt out by value, where suffix arrays find equal windows. Equal runs of one scan shard
-    are reduced to the first before anything moves, and very frequent values are dealt out by a second gram too, so
-    a passage that many documents share does not meet in one task.
+    are reduced to the first before anything moves, and very frequent values are dealt out by a second gram too. A
+    group that is still large, as around a phrase that many documents hold in different surroundings, is cut into its
+    windows, which a second pass deals out by all their bytes; so no task merges a large group.
     """
-    texts = _documents(docs)
-    runs = texts.mapInArrow(_runs, RUNS)
+    data = texts.select("d", "tag", F.expr(bytes_).alias("data"))
+    runs = data.mapInArrow(_runs, RUNS)
     times = F.count("*").over(Window.partitionBy("value")).alias("times")
     candidates = (
         runs.select("*", times)
@@ -338,10 +407,16 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
         .groupBy("d", "tag")
         .agg(F.collect_list(F.struct("value", "start", "n", "done", "times")).alias("runs"))
     )
-    pieces = texts.join(candidates, ["d", "tag"]).select("d", "tag", "data", "runs").mapInArrow(_pieces, PIECES)
-    sorted_ = pieces.repartition("value", "sub").sortWithinPartitions("value", "sub", "d", "tag", "start")
-    span = F.struct("start", (F.col("stop") + LENGTH - 1).alias("stop"))
-    return sorted_.mapInArrow(_merge, RANGES).groupBy("d", "tag").agg(F.collect_list(span).alias("spans"))
+    pieces = texts.join(candidates, ["d", "tag"]).select("d", "tag", F.expr(bytes_).alias("data"), "runs").mapInArrow(_pieces, PIECES)
+
+    def sorted_(rows: DataFrame) -> DataFrame:
+        return rows.repartition("value", "sub").sortWithinPartitions("value", "sub", "d", "tag", "start")
+
+    most = MOST_PIECES
+    merged = sorted_(pieces).mapInArrow(lambda batches: _merge(batches, most), PIECES)
+    ranges = sorted_(merged).mapInArrow(_merge, PIECES)
+    span = F.struct("start", (F.col("start") + F.col("n") + LENGTH - 1).alias("stop"))
+    return ranges.groupBy("d", "tag").agg(F.collect_list(span).alias("spans"))
 
 
 def merged_spans(start: np.ndarray, stop: np.ndarray) -> list[tuple[int, int]]:
@@ -385,7 +460,8 @@ def _spans_of(batch: pa.RecordBatch) -> Iterator[list[tuple[int, int]]]:
 
 def _joined(docs: DataFrame) -> DataFrame:
     none = F.array().cast("array<struct<start:int,stop:int>>")
-    joined = _documents(docs).join(repeated_ranges(docs), ["d", "tag"], "left")
+    texts = _documents(docs)
+    joined = texts.join(repeated_ranges(texts), ["d", "tag"], "left")
     return joined.select("d", "tag", "data", F.coalesce("spans", none).alias("spans"))
 
 
@@ -401,9 +477,9 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for d, data, spans in zip(batch["d"].to_pylist(), batch["data"].to_pylist(), _spans_of(batch), strict=True):
+            for d, tag, data, spans in zip(*(batch[c].to_pylist() for c in ("d", "tag", "data")), _spans_of(batch), strict=True):
                 kept = _kept(data, spans)
-                rows.append((None if d == NO_ID else d, len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()))
+                rows.append((None if tag >> 62 else d, len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()))
             names = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
             kinds = (*[pa.int64()] * 4, pa.string())
             columns = zip(*rows, strict=True) if rows else [[]] * 5
@@ -414,8 +490,8 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The documents with repeated strings removed from text, whole characters only, and n_chars counted anew."""
-    keys = {"d": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "tag": F.hash(F.coalesce("text", F.lit("")))}
-    joined = packed_rows(docs, **keys).join(repeated_ranges(docs), ["d", "tag"], "left")
+    keyed = packed_rows(docs, **_keys())
+    joined = keyed.join(repeated_ranges(keyed, "cast(coalesce(row.text, '') as binary)"), ["d", "tag"], "left")
 
     @F.pandas_udf("string")
     def cut(texts, found):
