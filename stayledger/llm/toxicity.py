@@ -117,9 +117,13 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, decay: f
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, label) of the rows whose doc_id has a label; a doc_id with several labels has the greatest."""
+    """(text, label) of the rows whose doc_id has a label; a doc_id with several labels has the greatest.
+
+    Labels grow with the corpus, so they are never broadcast: the join is a shuffle at every size.
+    """
     one = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg((F.max("label") > 0).cast("int").alias("label"))
-    return docs.select(F.col("doc_id").cast("long"), "text").join(one.select(F.col("doc_id").cast("long"), "label"), "doc_id").select("text", "label")
+    one = one.select(F.col("doc_id").cast("long"), "label").hint("shuffle_merge")
+    return docs.select(F.col("doc_id").cast("long"), "text").join(one, "doc_id").select("text", "label")
 
 
 def fit_sample(labels: DataFrame, rows: int) -> DataFrame:
