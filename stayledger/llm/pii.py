@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -17,11 +17,11 @@ from pyspark.sql.pandas.types import to_arrow_type
 from .common import checkpointed, packed_rows, table, unpacked_rows
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
 MIN_SEEDS = 3
 MIN_CONFIDENCE = 0.5
-MIN_SCORE = 0.8
-REACH = 64
+MIN_SCORE = 0.7
+# A word of a context counts by so many characters of it, those next to the identifier.
+NEAREST = 64
 
 _LOCAL = "A-Za-z0-9._%+-"
 _EMAIL = rf"[{_LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -34,6 +34,7 @@ _NUMBER = re.compile(r"\+?\(?[0-9][0-9() ./-]*[0-9]")
 _AT_TOKEN = re.compile(r"(?<![^ \t-\r])[^ \t-\r@]++@[^ \t-\r]++")
 _AT_SPELLED = re.compile(r"(?<![\w.+-])[\w.+-]++ ?[\[(]at[\])] ?[\w-]++(?: ?(?:\.|[\[(]dot[\])]) ?[\w-]++)+")
 _IP6 = re.compile(r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])")
+_WORD = re.compile(r"\S+")
 _EDGE = ".,;:!?\"'()[]{}<>|"
 
 SPAN = "struct<kind:string,start:int,end:int,base:boolean,kinds:array<string>,value:string,patterns:array<string>>"
@@ -104,11 +105,28 @@ def candidates(text: str) -> Iterator[tuple[int, int, list[str]]]:
             yield *m.span(), ["ip"]
 
 
-def _patterns(text: str, start: int, end: int) -> list[str]:
-    left = [w.strip(_EDGE).lower() for w in text[max(0, start - REACH) : start].split()[-2:]]
-    right = [w.strip(_EDGE).lower() for w in text[end : end + REACH].split()[:1]]
-    left, right = ["^", "^", *left][-2:], [*right, "$"][:1]
-    return [f"{left[0]} {left[1]} _", f"{left[1]} _ {right[0]}"]
+class _Contexts:
+    """The lexical patterns around places of a text: two words before, and one on each side."""
+
+    def __init__(self, text: str):
+        self.text = text
+        spans = [m.span() for m in _WORD.finditer(text)]
+        self.starts, self.ends = [a for a, _ in spans], [b for _, b in spans]
+
+    def patterns(self, start: int, end: int) -> list[str]:
+        """Words that the place cuts count by what stands outside of it; the text's edges are ^ and $."""
+        at = bisect_left(self.starts, start)
+        left = [self._left(i, start) if i >= 0 else "^" for i in (at - 2, at - 1)]
+        after = bisect_right(self.ends, end)
+        right = "$"
+        if after < len(self.ends):
+            begin = max(self.starts[after], end)
+            right = self.text[begin : min(self.ends[after], begin + NEAREST)].strip(_EDGE).lower()
+        return [f"{left[0]} {left[1]} _", f"{left[1]} _ {right}"]
+
+    def _left(self, i: int, start: int) -> str:
+        end = min(self.ends[i], start)
+        return self.text[max(self.starts[i], end - NEAREST) : end].strip(_EDGE).lower()
 
 
 def scan(text: str) -> list[dict]:
@@ -120,9 +138,12 @@ def scan(text: str) -> list[dict]:
         before = bisect_left(starts, b)
         if not before or reach[before - 1] <= a:
             rows.append((None, a, b, False, kinds))
+    if not rows:
+        return []
+    contexts = _Contexts(text)
     names = ("kind", "start", "end", "base", "kinds", "value", "patterns")
     return [
-        dict(zip(names, (*row, re.sub(r"[ ()/.-]", "", text[row[1] : row[2]]).lower(), _patterns(text, row[1], row[2])), strict=True))
+        dict(zip(names, (*row, re.sub(r"[ ()/.-]", "", text[row[1] : row[2]]).lower(), contexts.patterns(row[1], row[2])), strict=True))
         for row in rows
     ]
 
@@ -147,17 +168,18 @@ def _keys() -> dict[str, Column]:
     return {"k1": F.xxhash64("text"), "k2": F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.length("text"))}
 
 
-def discovered(
-    seen: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE, min_score: float = MIN_SCORE
-) -> DataFrame:
-    """(k1, k2, kind, start, end) of candidates that no base pattern found, by the contexts they stand in.
+def discovered(seen: DataFrame, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE, min_score: float = MIN_SCORE) -> DataFrame:
+    """(k1, k2, kind, start, end) of candidates that no base pattern found, by the contexts that their values stand in.
 
-    The words around an identifier form its lexical patterns. In the graph of patterns and instances, the base
-    entities are the seeds, scored 1 for their kind. Each round scores a pattern by the summed scores of its
-    instances over the number of distinct instances of any kind it extracts, keeps patterns with enough
-    distinct seeds and confidence, and scores every candidate by the chance that one of its patterns is right.
-    An occurrence is returned if its instance scores enough and a kept pattern surrounds it. Counts are of
-    distinct instances, so copies of a document add nothing.
+    The words around an identifier form its lexical patterns, and patterns and distinct values a graph. The values
+    that base patterns found are the seeds, known for their kind. Each round scores a pattern and kind by the number
+    of its known values over that of the values of any kind it extracts, keeps it if it has ``min_seeds`` known ones and
+    ``min_confidence``, and scores every value by the chance that one of its kept patterns is right; a value of at
+    least ``min_score`` is known from then on, like a seed. So values found in one context make patterns of others. What is
+    known only grows, and the rounds go on until nothing is added.
+
+    Every occurrence of a known value is returned, whatever surrounds it, of several kinds the one of the highest score, of
+    equals the last in the alphabet. Counts are of distinct values, so copies of a document add nothing.
     """
     met = seen.select("k1", "k2", F.explode("spans").alias("s")).select("k1", "k2", "s.*")
     edges = (
@@ -166,33 +188,27 @@ def discovered(
         .groupBy("pattern", "kind", "value")
         .agg(F.max("base").alias("base"))
     )
-    seeded = edges.where("base").groupBy("pattern", "kind").agg(F.count("*").alias("seeds")).where(F.col("seeds") >= min_seeds)
-    edges = checkpointed(edges.join(seeded.select("pattern").distinct(), "pattern", "left_semi"))
-    sizes = edges.groupBy("pattern").agg(F.countDistinct("value").alias("n"))
-    base = F.col("base").cast("double")
-    scored = edges.withColumn("score", base)
-    for _ in range(rounds):
+    # A pattern of fewer values can never have enough known ones.
+    sizes = edges.groupBy("pattern").agg(F.countDistinct("value").alias("n")).where(F.col("n") >= min_seeds)
+    edges = checkpointed(edges.join(sizes, "pattern"))
+    # A value is a seed of its kind in all its contexts.
+    seeds = edges.where("base").select("value", "kind").distinct().withColumn("score", F.lit(1.0))
+    known, many = checkpointed(seeds), 0
+    while (now := known.count()) > many:
+        many = now
         patterns = (
-            scored.groupBy("pattern", "kind")
-            .agg(F.sum("score").alias("hits"), F.sum(base).alias("seeds"))
-            .where(F.col("seeds") >= min_seeds)
-            .join(sizes, "pattern")
-            .select("pattern", "kind", F.round(F.col("hits") / F.col("n"), 6).alias("confidence"))
-            .where(F.col("confidence") >= min_confidence)
-        )
-        chances = F.round(1 - F.exp(F.sum(F.log(1.000001 - F.col("confidence")))), 6)
-        values = (
-            edges.where("not base").join(patterns, ["pattern", "kind"]).groupBy("value", "kind").agg(F.greatest(chances, F.lit(0.0)).alias("found"))
+            edges.join(known, ["value", "kind"])
+            .groupBy("pattern", "kind")
+            .agg(F.count("*").alias("hits"), F.first("n").alias("n"))
+            .select("pattern", "kind", "hits", F.round(F.col("hits") / F.col("n"), 6).alias("confidence"))
+            .where((F.col("hits") >= min_seeds) & (F.col("confidence") >= min_confidence))
         )
-        values, patterns = checkpointed(values), checkpointed(patterns)
-        scored = edges.join(values, ["value", "kind"], "left").withColumn("score", F.greatest(base, F.coalesce("found", F.lit(0.0))))
-    best = (
-        met.where("not base")
-        .select("k1", "k2", "start", "end", "value", F.explode("patterns").alias("pattern"))
-        .join(patterns, "pattern")
-        .join(values.where(F.col("found") >= min_score), ["value", "kind"])
-    )
-    return best.groupBy("k1", "k2", "start", "end").agg(F.max_by("kind", F.struct("found", "confidence", "kind")).alias("kind"))
+        chance = F.round(1 - F.exp(F.sum(F.log(1.000001 - F.col("confidence")))), 6)
+        scores = edges.join(patterns, ["pattern", "kind"]).groupBy("value", "kind").agg(F.greatest(chance, F.lit(0.0)).alias("score"))
+        found = scores.where(F.col("score") >= min_score).join(seeds, ["value", "kind"], "left_anti")
+        known = checkpointed(seeds.unionByName(found))
+    named = met.where("not base").select("k1", "k2", "start", "end", "value", F.explode("kinds").alias("kind")).join(known, ["value", "kind"])
+    return named.groupBy("k1", "k2", "start", "end").agg(F.max_by("kind", F.struct("score", "kind")).alias("kind"))
 
 
 def personal_data(docs: DataFrame) -> DataFrame:

@@ -123,6 +123,71 @@ def test_contexts_find_unseen_identifiers(spark):
     assert pii.personal_data(documents(spark, [])).count() == 0 and pii.masked(documents(spark, [])).count() == 0
 
 
+def test_what_is_found_finds_more(spark):
+    # Twenty numbers found in one context stand in a second one too, with twenty that stand there only; a third context has ten of these.
+    rows = [(i, f"please ring her at {f'+1 (555) 555-{i:04d}' if i % 3 else f'555-77{i:03d}'} before noon {i}") for i in range(60)]
+    first = [f"555-77{i:03d}" for i in range(0, 60, 3)]
+    second = [f"555-88{i:03d}" for i in range(20)]
+    third = [f"555-99{i:03d}" for i in range(8)]
+    rows += [(100 + i, f"{i} desk extension number {n} is staffed") for i, n in enumerate(first + second[:10])]
+    rows += [(200 + i, f"{i} desk extension number {n} is staffed") for i, n in enumerate(second[10:])]
+    rows += [(300 + i, f"{i} fax goes out over {n} as ever") for i, n in enumerate(second + third)]
+    rows += [(400, f"one alone: {third[3]}!"), (401, "and 555-12345 nobody knows")]
+    got = {r["doc_id"]: len(r["spans"]) - len(r["base"]) for r in pii.personal_data(documents(spark, rows)).collect()}
+    assert all(got[d] == (d % 3 == 0) for d, _ in rows if d < 60) and all(got[d] for d, _ in rows if 100 <= d < 401) and not got[401]
+
+
+def plain_discoveries(texts):
+    """The graph of patterns and values in plain Python, to its fixed point."""
+    spans = [(d, s) for d, text in texts for s in pii.scan(text or "")]
+    edges = {(p, kind, s["value"]): False for _, s in spans for kind in s["kinds"] for p in s["patterns"]}
+    for _, s in spans:
+        for p in s["patterns"] if s["base"] else ():
+            edges[p, s["kind"], s["value"]] = True
+    values = {}
+    for p, _, v in edges:
+        values.setdefault(p, set()).add(v)
+    edges = {e: base for e, base in edges.items() if len(values[e[0]]) >= pii.MIN_SEEDS}
+    seeds = {(v, kind): 1.0 for (_, kind, v), base in edges.items() if base}
+    known, many = dict(seeds), 0
+    while len(known) > many:
+        many = len(known)
+        hits = Counter((p, kind) for p, kind, v in edges if (v, kind) in known)
+        kept = {k: round(h / len(values[k[0]]), 6) for k, h in hits.items() if h >= pii.MIN_SEEDS}
+        kept = {k: c for k, c in kept.items() if c >= pii.MIN_CONFIDENCE}
+        missed = {}
+        for p, kind, v in edges:
+            if (p, kind) in kept:
+                missed[v, kind] = missed.get((v, kind), 1.0) * (1.000001 - kept[p, kind])
+        known = {k: round(1 - m, 6) for k, m in missed.items() if 1 - m >= pii.MIN_SCORE} | seeds
+    out = set()
+    for d, s in spans:
+        kinds = [(known[s["value"], k], k) for k in s["kinds"] if (s["value"], k) in known]
+        if kinds and not s["base"]:
+            out.add((d, pii.KINDS.index(max(kinds)[1]) + 1, s["start"], s["end"]))
+    return out
+
+
+def test_discoveries_against_a_plain_graph(spark):
+    pick = random.Random(14)
+    frames = ["call {} now", "my {} is", "ring {} or {} today", "id {} end", "from {} to {}", "{}"]
+    rows = []
+    for i in range(250):
+        numbers = [pick.choice([*[f"+1 (555) 555-{pick.randrange(900):04d}"] * 8, f"555-7{pick.randrange(40):04d}", f"{pick.randrange(10**14)}", f"user{pick.randrange(9)}@host", "a@b.cd"]) for _ in range(2)]
+        rows.append((i, " ".join(pick.choice(frames[: 3 + i % 4]).format(*numbers) for _ in range(pick.randint(1, 3)))))
+    rows += rows[:20]
+    got = {(r["doc_id"], s["rank"], s["start"], s["end"]) for r in pii.personal_data(documents(spark, rows)).collect() for s in r["spans"] if s not in r["base"]}
+    assert got == plain_discoveries(rows) and len(got) > 50
+
+
+def test_contexts_of_long_words():
+    long = "x" * 5000
+    near = pii._Contexts(f"one {long} two {long}")
+    at = 4 + 5000 + 1
+    assert near.patterns(at, at + 3) == [f"one {'x' * 64} _", f"{'x' * 64} _ {'x' * 64}"]
+    assert pii._Contexts("a,b").patterns(2, 3) == ["^ a _", "a _ $"]
+
+
 def test_rare_or_mixed_contexts_find_nothing(spark):
     rows = [(i, f"value is {f'+1 (555) 555-{i:04d}' if i % 9 == 0 else f'55512{i:04d}'} here") for i in range(60)]
     assert all(len(r["spans"]) == len(r["base"]) for r in pii.personal_data(documents(spark, rows)).collect())
