@@ -1,12 +1,14 @@
 """Cross-entropy difference of every document under a target and a background bigram model over all words.
 
 The models are never held whole: a document's pairs are dealt out by their second word, where the counts that
-their losses need meet, and the losses are summed per document again.
+their losses need meet, and the losses are summed per document again. A document is scored by what the others hold:
+its own counts are taken out of the models it is part of.
 """
 
 from __future__ import annotations
 
 import pickle
+import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -19,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpointed, table
+from .common import checkpoint_folder, checkpointed, table
 
 PRIOR = 32.0
 FLOOR = 0.5
@@ -27,6 +29,9 @@ FLOOR = 0.5
 PAIRS_HELD = 1_500_000
 HOT_SHARE = 0.25
 WORDS_KNOWN = 1 << 20
+# Bits of the filter of the target's ids, a fixed number at every size, and bits that an id sets.
+FILTER_BITS = 1 << 26
+FILTER_HASHES = 4
 # The edge before the first word and, if the vocabulary is bounded, all words out of it.
 NONE = 0
 COUNTS = ["background", "target", "background_heads", "target_heads"]
@@ -172,20 +177,27 @@ def dealt(docs: DataFrame, known, hot, parts: int) -> DataFrame:
             word, before, doc, heads, many, chosen = _batch(batch, ids)
             order, starts, (n, follow) = _summed((word, before, doc), np.ones(len(word), dtype=np.int64), heads)
             word, before, doc = (a[order][starts] for a in (word, before, doc))
+            # A document's counts of a hot word are parted among tasks, so they go with each of its pairs.
+            own_n, own_follow = _spread((word, doc), n, follow)
+            # The edge is the first of a pair like the entry of no word.
+            edges = np.bincount(doc, follow * (word == NONE), len(many)).astype(np.int64) + 1
+            own_follow += word == NONE
             by = _mixed(word)
-            is_hot = _places(held["word"], word)[1]
-            by[is_hot] = _mixed(word[is_hot], before[is_hot])
+            split = _places(held["word"], word)[1]
+            by[split] = _mixed(word[split], before[split])
             is_hot = _pair_places(held, before, word)[1]
             by[is_hot] = _mixed(doc[is_hot], name)
             part = (by % np.uint64(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             cuts = np.flatnonzero(np.append(True, part[order][1:] != part[order][:-1])) if len(order) else np.empty(0, dtype=np.int64)
-            to, data = [int(_mixed(np.array([number]), name)[0] % np.uint64(parts))], [_sent("docs", batch["doc_id"].to_pylist(), many, chosen)]
+            to, data = [int(_mixed(np.array([number]), name)[0] % np.uint64(parts))], [_sent("docs", batch["doc_id"].to_pylist(), many, chosen, edges)]
             for rows in np.split(order, cuts[1:]) if len(order) else ():
                 words, times = np.unique(word[rows], return_counts=True)
                 firsts, code = np.unique(before[rows], return_inverse=True)
                 of = doc[rows] * 2 + chosen[doc[rows]]
-                sent = _sent("pairs", words, _small(times), firsts, _small(code), _small(of), _small(n[rows]), _small(n[rows] - follow[rows]))
+                hot_rows = rows[split[rows]]
+                own = (_small(own_n[hot_rows].astype(np.int64)), _small(own_follow[hot_rows].astype(np.int64)), _small(many[np.unique(doc[rows])]))
+                sent = _sent("pairs", words, _small(times), firsts, _small(code), _small(of), _small(n[rows]), _small(n[rows] - follow[rows]), *own)
                 to.append(int(part[rows[0]]))
                 data.append(sent)
             columns = [pa.array(to, pa.int64()), pa.array([name] * len(to), pa.int64()), pa.array(data, pa.binary())]
@@ -211,31 +223,38 @@ def _part_losses(hot, size: int, totals: dict[str, int]):
 
     def work(rows: pd.DataFrame) -> pd.DataFrame:
         held = hot.value
-        out, name, columns = [], [], []
+        out, name, columns, split = [], [], [], []
         for batch, data in zip(rows["batch"].tolist(), rows["data"].tolist(), strict=True):
             kind, *parts = pickle.loads(zlib.decompress(data))
             if kind == "docs":
                 out.append((batch, data))
                 continue
-            words, times, firsts, code, of, n, last = parts
+            words, times, firsts, code, of, n, last, *own, sizes = parts
             name.append(batch)
-            columns.append((np.repeat(words, times), firsts[code], of.astype(np.int64), n.astype(np.int64), (n - last).astype(np.int64)))
+            word, of, n = np.repeat(words, times), of.astype(np.int64), n.astype(np.int64)
+            docs, place = np.unique(of >> 1, return_inverse=True)
+            columns.append((word, firsts[code], of, n, n - last, sizes[place].astype(np.int64)))
+            split.append([a.astype(np.int64) for a in own])
         if columns:
-            word, before, of, n, follow = (np.concatenate(c) for c in zip(*columns, strict=True))
+            word, before, of, n, follow, tokens = (np.concatenate(c) for c in zip(*columns, strict=True))
             owner = np.repeat(np.arange(len(name)), [len(c[0]) for c in columns])
             chosen, doc = of & 1, of >> 1
             pairs = _spread((word, before), n, n * chosen)
             singles = _spread((word,), n, n * chosen, follow, follow * chosen)
             at, found = _places(held["word"], word)
-            for own, c in zip(singles, COUNTS, strict=True):
-                own[found] = held[c][at[found]]
+            for total, c in zip(singles, COUNTS, strict=True):
+                total[found] = held[c][at[found]]
+            own = _spread((word, owner, doc), n, follow)
+            for mine, sent in zip(own, zip(*split, strict=True), strict=True):
+                mine[found] = np.concatenate(sent)
             at, found = _pair_places(held, before, word)
-            for own, c in zip(pairs, ("pair_background", "pair_target"), strict=True):
-                own[found] = held[c][at[found]]
+            for total, c in zip(pairs, ("pair_background", "pair_target"), strict=True):
+                total[found] = held[c][at[found]]
             losses = []
-            for k, model in enumerate(("background", "target")):
-                share = (singles[k] + FLOOR) / (totals[model] + FLOOR * size)
-                losses.append(follow * np.log(singles[k + 2] + PRIOR) - n * np.log(pairs[k] + PRIOR * share))
+            for k, (model, inside) in enumerate((("background", 1), ("target", chosen))):
+                share = (singles[k] - inside * own[0] + FLOOR) / (totals[model] - inside * tokens + FLOOR * size)
+                heads = singles[k + 2] - inside * own[1]
+                losses.append(follow * np.log(heads + PRIOR) - n * np.log(pairs[k] - inside * n + PRIOR * share))
             order, starts, sums = _summed((owner, doc), *losses)
             owner, doc = owner[order][starts], doc[order][starts]
             cuts = np.searchsorted(owner, np.arange(len(name) + 1))
@@ -251,10 +270,11 @@ def _document_losses(totals: dict[str, int]):
 
     def work(rows: pd.DataFrame) -> pd.DataFrame:
         parts = [pickle.loads(zlib.decompress(data)) for data in rows["data"].tolist()]
-        ((_, doc_ids, many, _),) = [p for p in parts if p[0] == "docs"]
+        ((_, doc_ids, many, chosen, edges),) = [p for p in parts if p[0] == "docs"]
         columns = {"doc_id": pd.array(doc_ids, dtype="Int64"), "n_tokens": many}
         for k, model in enumerate(("background", "target")):
-            total = np.full(len(many), np.log(totals[f"{model}_edge"] + PRIOR))
+            inside = (many > 0) & ((chosen > 0) | (model == "background"))
+            total = np.log(totals[f"{model}_edge"] - inside * edges + PRIOR)
             for p in parts:
                 if p[0] == "losses":
                     total[p[1]] += p[2 + k]
@@ -265,11 +285,68 @@ def _document_losses(totals: dict[str, int]):
     return work
 
 
+def _bit_places(ids: np.ndarray) -> np.ndarray:
+    """FILTER_HASHES places in a filter for each id."""
+    return np.concatenate([(_mixed(ids, k + 1) % np.uint64(FILTER_BITS)).astype(np.int64) for k in range(FILTER_HASHES)])
+
+
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """A Bloom filter of the ids (column doc_id, no nulls) as 64-bit words, summed in tasks and by Spark; its size is fixed."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = np.zeros(FILTER_BITS // 64, dtype=np.uint64)
+        for batch in batches:
+            at = _bit_places(batch["doc_id"].to_numpy())
+            np.bitwise_or.at(words, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
+        used = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(words[used].view(np.int64))], ["at", "bits"])
+
+    found = ids.mapInArrow(work, "at int, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = np.zeros(FILTER_BITS // 64, dtype=np.uint64)
+    words[found["at"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return words
+
+
+def _in_filter(words):
+    """A test of ids by a filter that all tasks share: false only for ids that are not in it, and for null."""
+
+    @F.pandas_udf("boolean")
+    def test(ids: pd.Series) -> pd.Series:
+        known = ids.notna()
+        held = np.zeros(len(ids), dtype=bool)
+        at = _bit_places(ids[known].astype("int64").to_numpy())
+        held[known.to_numpy()] = (words.value[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).reshape(FILTER_HASHES, -1).all(axis=0)
+        return pd.Series(held)
+
+    return test
+
+
+def marked(docs: DataFrame, target: DataFrame) -> DataFrame:
+    """(doc_id, text, chosen) of all rows, in an order that a repeated task finds the same.
+
+    The target grows with the corpus, so it is never broadcast, and texts are heavy to move. Rows whose id a Bloom filter
+    of the target knows not to be in it stay where they are. Only the others are joined with the ids, once, and kept
+    as files in the shared folder.
+    """
+    spark = docs.sparkSession
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    ids = target.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
+    maybe = _in_filter(spark.sparkContext.broadcast(id_filter(ids)))
+    chosen = ids.withColumn("chosen", F.lit(True)).hint("shuffle_merge")
+    joined = rows.where(maybe("doc_id")).join(chosen, "doc_id", "left").select("doc_id", "text", F.coalesce("chosen", F.lit(False)).alias("chosen"))
+    path = f"{checkpoint_folder(spark)}/target-{uuid.uuid4().hex}"
+    joined.write.option("compression", "zstd").parquet(path)
+    rest = rows.where(~maybe("doc_id")).withColumn("chosen", F.lit(False))
+    return rest.unionByName(spark.read.schema(joined.schema).parquet(path)).sortWithinPartitions("doc_id", F.xxhash64("text"))
+
+
 def scored(docs: DataFrame, target: DataFrame, vocabulary: int | None = None) -> DataFrame:
     """(doc_id, n_tokens, target_loss, background_loss, difference) per document row.
 
     The target model counts the documents whose doc_id ``target`` names, the background model all documents; both count
-    whole texts of all their rows. They are matched: one order, one prior and one vocabulary, all words of all
+    whole texts of all their rows. A row is scored by models without it: its own counts are taken out of the background
+    and, if it is in the target, of that too, so that the score tells what a document is like and not where it was counted.
+    The models are matched: one order, one prior and one vocabulary, all words of all
     documents or, if ``vocabulary`` is given, so many most frequent ones (of equals the first in the alphabet) and one
     entry for all others. Words are told apart by 64-bit hashes. Losses are means per token in nats; a low difference
     tells that a document is more like the target.
@@ -278,22 +355,16 @@ def scored(docs: DataFrame, target: DataFrame, vocabulary: int | None = None) ->
     with their exact counts, at most a few per task of the second step, so that their rows can be split.
 
     Null and empty texts have no tokens and null losses. Null ids are scored but never in the target. Repeated
-    rows count each time and get equal results; without target rows the target model knows only its prior. An
-    empty table gives no rows; other columns are ignored.
+    rows count each time and get equal results, each without itself but with the others; without target rows the
+    target model knows only its prior. Very long texts are read whole. An empty table gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
     known = None
     if vocabulary is not None:
         known = set(word_counts(docs).orderBy(F.desc("n"), "word").limit(vocabulary).select("word").toArrow()["word"].to_pylist())
     known = spark.sparkContext.broadcast(known)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    # The target grows with the corpus, so it is never broadcast.
-    chosen = target.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(True).alias("chosen")).where("doc_id is not null").distinct()
-    marked = rows.where("doc_id is not null").join(chosen.hint("shuffle_merge"), "doc_id", "left")
-    marked = marked.unionByName(rows.where("doc_id is null").withColumn("chosen", F.lit(False)))
-    # One order of a partition's rows, so that a repeated task makes the same batches.
-    marked = marked.select("doc_id", "text", F.coalesce("chosen", F.lit(False)).alias("chosen")).sortWithinPartitions("doc_id", F.xxhash64("text"))
-    words = checkpointed(unigrams(marked, known))
+    rows = marked(docs, target)
+    words = checkpointed(unigrams(rows, known))
     seen = words.agg(F.count(F.when(F.col("word") != NONE, 1)).alias("words"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS[:2])).first()
     edge = words.where(F.col("word") == NONE).select(*COUNTS).first()
     totals = {"background": seen["background"], "target": seen["target"]}
@@ -304,14 +375,14 @@ def scored(docs: DataFrame, target: DataFrame, vocabulary: int | None = None) ->
     # The entry of no word counts edges too, so its heads are known only here.
     hot_rows = words.where((F.col("background") >= least) | (F.col("word") == NONE)).orderBy("word").toArrow()
     hot = {c: hot_rows[c].to_numpy() for c in ("word", *COUNTS)}
-    found = hot_pairs(marked, known, spark.sparkContext.broadcast(hot)).where(F.col("background") >= least).toArrow() if parts > 1 else None
+    found = hot_pairs(rows, known, spark.sparkContext.broadcast(hot)).where(F.col("background") >= least).toArrow() if parts > 1 else None
     pairs = {c: found[c].to_numpy() if found else np.empty(0, dtype=np.int64) for c in ("first", "second", "background", "target")}
     hashes = _mixed(pairs["second"], pairs["first"])
     order = np.argsort(hashes)
     hot |= {"pair_hash": hashes[order], "first": pairs["first"][order], "second": pairs["second"][order]}
     hot |= {f"pair_{m}": pairs[m][order] for m in ("background", "target")}
     hot = spark.sparkContext.broadcast(hot)
-    losses = dealt(marked, known, hot, parts).groupBy("part").applyInPandas(_part_losses(hot, size, totals), "batch long, data binary")
+    losses = dealt(rows, known, hot, parts).groupBy("part").applyInPandas(_part_losses(hot, size, totals), "batch long, data binary")
     out = losses.groupBy("batch").applyInPandas(
         _document_losses(totals), "doc_id long, n_tokens long, target_loss double, background_loss double"
     )

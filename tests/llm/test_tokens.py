@@ -71,16 +71,19 @@ def test_scores_against_the_formula(spark):
         "target": Counter(p for d, x in ids if d in (20, 23, 1) for p in zip(x, x[1:], strict=False)),
     }
 
-    def loss(model, pair):
-        total = sum(model.values()) + 6 * lm_scoring.FLOOR
-        single = (sum(n for (_, b), n in model.items() if b == pair[1]) + lm_scoring.FLOOR) / total
-        head = sum(n for (a, _), n in model.items() if a == pair[0])
-        return -math.log((model[pair] + lm_scoring.PRIOR * single) / (head + lm_scoring.PRIOR))
+    def loss(model, pair, own):
+        counts = pairs[model] - own
+        total = sum(counts.values()) + 6 * lm_scoring.FLOOR
+        single = (sum(n for (_, b), n in counts.items() if b == pair[1]) + lm_scoring.FLOOR) / total
+        head = sum(n for (a, _), n in counts.items() if a == pair[0])
+        return -math.log((counts[pair] + lm_scoring.PRIOR * single) / (head + lm_scoring.PRIOR))
 
     wanted = {}
     for d, x in ids:
         many = len(x) - 1
-        means = [sum(loss(pairs[m], p) for p in zip(x, x[1:], strict=False)) / many if many else None for m in ("target", "background")]
+        own = Counter(zip(x, x[1:], strict=False))
+        without = {"background": own, "target": own if d in (20, 23, 1) else Counter()}
+        means = [sum(n * loss(m, p, without[m]) for p, n in own.items()) / many if many else None for m in ("target", "background")]
         wanted[d, many] = means
     for r in got:
         for value, mean in zip((r["target_loss"], r["background_loss"]), wanted[r["doc_id"], r["n_tokens"]], strict=True):
@@ -101,16 +104,18 @@ def test_scores_know_every_word(spark, monkeypatch, held):
     assert size > 4096
     means = {}
     for model in ("background", "target"):
-        own = [ws for d, ws in words if model == "background" or d in {300, *range(100, 160, 3)}]
-        pairs = Counter(p for ws in own for p in zip(ws, ws[1:], strict=False))
+        inside = [model == "background" or d in {300, *range(100, 160, 3)} for d, _ in words]
+        pairs = Counter(p for (_, ws), i in zip(words, inside, strict=True) if i for p in zip(ws, ws[1:], strict=False))
         heads, seconds = Counter(), Counter()
         for (a, b), n in pairs.items():
             heads[a] += n
             seconds[b] += n
-        total = sum(pairs.values()) + size * lm_scoring.FLOOR
-        for d, ws in words:
+        for (d, ws), i in zip(words, inside, strict=True):
+            own = Counter(zip(ws, ws[1:], strict=False)) if i else Counter()
+            own_heads, own_seconds = Counter(ws[:-1]) if i else Counter(), Counter(ws[1:]) if i else Counter()
+            total = sum(pairs.values()) - sum(own.values()) + size * lm_scoring.FLOOR
             each = [
-                -math.log((pairs[a, b] + lm_scoring.PRIOR * (seconds[b] + lm_scoring.FLOOR) / total) / (heads[a] + lm_scoring.PRIOR))
+                -math.log((pairs[a, b] - own[a, b] + lm_scoring.PRIOR * (seconds[b] - own_seconds[b] + lm_scoring.FLOOR) / total) / (heads[a] - own_heads[a] + lm_scoring.PRIOR))
                 for a, b in zip(ws, ws[1:], strict=False)
             ]
             means[model, d, len(ws) - 1] = sum(each) / len(each) if each else None
@@ -120,7 +125,34 @@ def test_scores_know_every_word(spark, monkeypatch, held):
             mean = means[model, r["doc_id"], r["n_tokens"]]
             assert r[f"{model}_loss"] == (None if mean is None else pytest.approx(mean, rel=1e-5))
     by = {r["doc_id"]: r for r in got}
-    assert by[300]["target_loss"] < by[301]["target_loss"]
+    # 300 is in the target, where 301 finds it; 300 does not find itself.
+    assert by[301]["target_loss"] < by[300]["target_loss"]
+
+
+def test_halves_of_one_class_are_not_told_apart(spark):
+    pick = random.Random(4)
+    words = {c: [f"{c}{i}" for i in range(60)] + [f"all{i}" for i in range(60)] for c in "xy"}
+    rows = [(i, " ".join(pick.choice(words["x" if i < 400 else "y"]) for _ in range(pick.randint(20, 200)))) for i in range(600)]
+    chosen = pick.sample(range(400), 200)
+    got = lm_scoring.scored(documents(spark, rows), spark.createDataFrame([(d,) for d in chosen], "doc_id long")).collect()
+    score = {r["doc_id"]: r["difference"] for r in got}
+
+    def auc(low, high):
+        return sum((score[a] < score[b]) + 0.5 * (score[a] == score[b]) for a in low for b in high) / len(low) / len(high)
+
+    others = [d for d in range(400) if d not in set(chosen)]
+    assert 0.45 <= auc(chosen, others) <= 0.55
+    assert auc(range(400), range(400, 600)) > 0.95
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 12, lm_scoring.FILTER_BITS])
+def test_a_full_filter_only_moves_more_rows(spark, monkeypatch, bits):
+    monkeypatch.setattr(lm_scoring, "FILTER_BITS", bits)
+    rows = [(i, f"t{i}") for i in range(-50, 400)] + [(None, "n"), (3, "again")]
+    target = spark.createDataFrame([(i,) for i in range(-50, 400, 3)] + [(None,), (9999,), (4,)], "doc_id long")
+    got = lm_scoring.marked(documents(spark, rows, extra=True), target)
+    assert Counter(map(tuple, got.collect())) == Counter((d, t, d is not None and ((d + 50) % 3 == 0 or d == 4)) for d, t in rows)
+    assert lm_scoring.marked(documents(spark, rows), target.limit(0)).where("chosen").count() == 0
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{}</style><script>var a="</p>";</script></head><body>
