@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +21,9 @@ MOST_LISTS = 4096
 PROBE_WIDTH = 4.0
 BLOCK = 2048
 PAIRS_AT_ONCE = 1 << 21
+# Vectors of a length from which it has an index.
+FEW = 4096
+FOUND = "key long, n long, a long, b long"
 
 
 def kmeans(points: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -90,10 +95,49 @@ def unit_vectors(vectors: pd.Series) -> tuple[np.ndarray, np.ndarray]:
 
 
 def linked(
-    vectors: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE, per_list: int = PER_LIST, width: float = PROBE_WIDTH
+    vectors: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE, per_list: int = PER_LIST, width: float = PROBE_WIDTH, few: int = FEW
 ) -> tuple[DataFrame, DataFrame]:
     """((key, n) links of distinct vectors with multiplicity, (a, b) edges that connect them) over columns key, embedding, times.
 
+    Vectors of different lengths have no cosine and link with nothing. Every length of ``few`` vectors or more has an
+    index of its own; those of fewer are compared in full, each length in a task.
+    """
+    size = F.size("embedding")
+    many = vectors.groupBy(size.alias("d")).count().where(F.col("count") >= few).orderBy(F.desc("count"), "d").collect()
+    found = [indexed(vectors.where(size == r["d"]), r["count"], threshold, sample, per_list, width) for r in many]
+    found.append(_compared(vectors.where(~size.isin([r["d"] for r in many])), threshold))
+    found = reduce(DataFrame.unionByName, found)
+    return found.where("key is not null").groupBy("key").agg(F.sum("n").alias("n")), found.where("a is not null").select("a", "b")
+
+
+def _compared(vectors: DataFrame, threshold: float) -> DataFrame:
+    """Links (key, n) and edges (a, b) of vectors whose lengths are all rare, by all cosines within a length."""
+
+    def work(group: pd.DataFrame) -> pd.DataFrame:
+        rows, units = unit_vectors(group["embedding"])
+        keys, weight = group["key"].to_numpy()[rows], group["times"].to_numpy()[rows]
+        links, forest = np.zeros(len(keys), dtype=np.int64), (np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64))
+        step = max(1, PAIRS_AT_ONCE // max(1, len(keys)))
+        for at in range(0, len(keys), step):
+            a, b = np.nonzero(units[at : at + step] @ units.T >= threshold - 1e-9)
+            a = a + at
+            close = (np.einsum("ij,ij->i", units[a], units[b]) >= threshold) & (a != b)
+            a, b = a[close], b[close]
+            np.add.at(links, a, weight[b])
+            forest = spanning_edges(np.concatenate([forest[0], a]), np.concatenate([forest[1], b]), len(keys))
+        return _found(keys, links, keys[forest[0]], keys[forest[1]])
+
+    return vectors.groupBy(F.size("embedding").alias("d")).applyInPandas(work, FOUND)
+
+
+def _found(keys: np.ndarray, links: np.ndarray, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+    out = pd.DataFrame({"key": keys, "n": links}, dtype="Int64")
+    return pd.concat([out[out["n"] > 0], pd.DataFrame({"a": a, "b": b}, dtype="Int64")])[["key", "n", "a", "b"]]
+
+
+def indexed(vectors: DataFrame, total: int, threshold: float, sample: int, per_list: int, width: float) -> DataFrame:
+    """Links (key, n) and edges (a, b) of ``total`` vectors of one length.
+
     The index is fitted on ``sample`` vectors of least hash; every vector is indexed. The number of lists follows the
     number of vectors, up to MOST_LISTS. A vector is stored in its nearest list and visits all lists that its
     probes name. Lists are split in blocks of residents and of visitors by hash, so that no task holds a list that
@@ -103,10 +147,8 @@ def linked(
     summed and thinned to a spanning forest in the task, so pairs are never rows. What is broadcast has a row per list.
     """
     spark = vectors.sparkSession
-    width_of = vectors.select(F.size("embedding").alias("d")).groupBy("d").count().orderBy(F.desc("count"), "d").first()
-    dims, total = (width_of["d"], width_of["count"]) if width_of else (0, 0)
     lists = int(min(MOST_LISTS, max(1, total // per_list)))
-    held = vectors.where(F.size("embedding") == dims).orderBy(F.xxhash64("key"), "key").select("embedding").limit(sample).toPandas()["embedding"]
+    held = vectors.orderBy(F.xxhash64("key"), "key").select("embedding").limit(sample).toPandas()["embedding"]
     units = unit_vectors(held)[1] if len(held) else np.zeros((1, 1))
     shared = shared_data(spark, Index.fit(units, lists))
 
@@ -133,9 +175,7 @@ def linked(
                 )
 
     placed = checkpointed(
-        vectors.where(F.size("embedding") == dims)
-        .select("key", "times", "embedding")
-        .mapInPandas(place, "key long, times long, unit array<double>, home int, visits array<int>")
+        vectors.select("key", "times", "embedding").mapInPandas(place, "key long, times long, unit array<double>, home int, visits array<int>")
     )
     sizes = placed.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
     spread = F.pmod(F.xxhash64("key"), F.col("parts").cast("long")).cast("int")
@@ -185,15 +225,9 @@ def linked(
             np.add.at(links, host[unasked], weights[guest[unasked]])
             a, b = node[len(keys) + guest], node[host]
             forest = spanning_edges(np.concatenate([forest[0], a]), np.concatenate([forest[1], b]), len(names))
-        out = pd.DataFrame({"key": np.concatenate([keys, guests]), "n": np.concatenate([links, guest_links])}, dtype="Int64")
-        edges = pd.DataFrame({"a": names[forest[0]], "b": names[forest[1]]}, dtype="Int64")
-        return pd.concat([out[out["n"] > 0], edges])
+        return _found(np.concatenate([keys, guests]), np.concatenate([links, guest_links]), names[forest[0]], names[forest[1]])
 
-    found = checkpointed(
-        residents.unionByName(visitors).groupBy("list", "block", "lane").applyInPandas(work, "key long, n long, a long, b long")
-    )
-    counts = found.where("key is not null").groupBy("key").agg(F.sum("n").alias("n"))
-    return counts, found.where("a is not null").select("a", "b")
+    return checkpointed(residents.unionByName(visitors).groupBy("list", "block", "lane").applyInPandas(work, FOUND))
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
@@ -201,8 +235,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, **options)
 
     Vectors link if their cosine in double precision is at least ``threshold`` and the index brings them together;
     labels and other columns are ignored. Rows with equal vectors are collapsed before the search and link with each other
-    directly. Null, empty, zero and non-finite vectors, and vectors of another length than most, link with
-    nothing and are kept. Rows without vec_id take part, but never name a component; if no other row is in theirs,
+    directly, as do vectors of one length only; each length is searched by itself. Null, empty, zero and non-finite vectors
+    link with nothing and are kept. Rows without vec_id take part, but never name a component; if no other row is in theirs,
     component_id is null and they are kept. Rows that repeat an id are counted like others. An empty table gives no rows.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))

@@ -86,7 +86,7 @@ def test_embeddings_against_brute_force(spark):
     rows = [(i, [float(np.float32(x)) for x in p]) for i, p in enumerate(points)]
     odd = [(9000, None), (9001, []), (9002, [0.0] * 16), (9003, [float("nan")] + [1.0] * 15), (9004, [1.0, 2.0]), (9005, [None] + [1.0] * 15), (9006, [float("inf")] * 16)]
     frame = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>")
-    got = {r["vec_id"]: r for r in embeddings.near_duplicates(frame, per_list=40).collect()}
+    got = {r["vec_id"]: r for r in embeddings.near_duplicates(frame, per_list=40, few=1).collect()}
     unit = np.array([r[1] for r in rows])
     unit /= np.sqrt((unit**2).sum(axis=1, keepdims=True))
     close = unit @ unit.T >= 0.95
@@ -97,12 +97,34 @@ def test_embeddings_against_brute_force(spark):
     assert sum(got[i]["component_id"] == wanted[i] for i in range(len(rows))) >= 0.99 * len(rows)
     for i, _ in odd:
         assert (got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (0, i, True)
-    exact = {r["vec_id"]: r for r in embeddings.near_duplicates(frame, per_list=40, width=4.0 * 16).collect()}
+    exact = {r["vec_id"]: r for r in embeddings.near_duplicates(frame, per_list=40, width=4.0 * 16, few=1).collect()}
     assert [exact[i]["n_links"] for i in range(len(rows))] == close.sum(axis=1).tolist()
     assert [exact[i]["component_id"] for i in range(len(rows))] == [wanted[i] for i in range(len(rows))]
     assert embeddings.near_duplicates(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("few", [1, 150, 10_000])
+def test_embeddings_of_many_lengths(spark, few):
+    pick = np.random.default_rng(5)
+    rows = []
+    for length, n in ((16, 200), (8, 30), (5, 7), (3, 2), (1, 1)):
+        base = pick.normal(size=(max(1, n // 5), length))
+        rows += [[float(x) for x in base[i % len(base)] + 0.03 * pick.normal(size=length)] for i in range(n)]
+    rows += [rows[0], rows[205], rows[205]]
+    ids = [None if i % 17 == 3 else 7 if i in (20, 21) else i for i in range(len(rows))]
+    frame = spark.createDataFrame([(i, v, "x", 5) for i, v in zip(ids, rows, strict=True)], "vec_id long, embedding array<double>, key string, n int").repartition(3)
+    got = embeddings.near_duplicates(frame, few=few, per_list=20, width=64.0).collect()
+    same = [[len(a) == len(b) and np.dot(a, b) >= 0.95 * np.sqrt(np.dot(a, a) * np.dot(b, b)) for b in rows] for a in rows]
+    root = reachable([(a, b) for a in range(len(rows)) for b in range(a) if same[a][b]], range(len(rows)))
+    least = {}
+    for i, d in enumerate(ids):
+        if d is not None:
+            least[root[i]] = min(d, least.get(root[i], d))
+    wanted = [(d, sum(same[i]) - 1, least.get(root[i]), least.get(root[i]) in (d, None) if d is not None else least.get(root[i]) is None) for i, d in enumerate(ids)]
+    assert sorted(map(tuple, got), key=str) == sorted(wanted, key=str)
+    assert sum(n for _, n, *_ in wanted) > 300
+
+
 def test_codes_bound_the_cosine():
     pick = np.random.default_rng(1)
     unit = pick.normal(size=(800, 24))
