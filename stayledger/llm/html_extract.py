@@ -18,12 +18,16 @@ SMOOTH = (0.25, 0.5, 0.25)
 THRESHOLD = 0.25
 # Fused ratio of an ordinary short paragraph (60 characters, two marks): a very long one does not make others boilerplate.
 TYPICAL = 180.0
-# What a mark by tag, role, class or id leaves of the fused ratio: a certain one, and one by an ambiguous name.
-PENALTY = (1.0, 0.5, 0.15)
-# An element with this share of the page's unlinked text is a wrapper, whatever it is called.
+# What a mark by tag, role, class or id leaves of the fused ratio: none, one by an ambiguous name, a certain one.
+PENALTY = (1.0, 0.5, 0.0)
+# An element with this share of the page's unlinked text is a wrapper, whatever it is called; one whose name is certain only
+# if paragraphs outside of all names have no more than OUTSIDE of it.
 WRAPPER = 0.5
-# Elements nested deeper than this are taken as part of the one at this depth; their text stays.
-DEEPEST = 512
+OUTSIDE = 0.05
+# What counts as a paragraph there: so many characters, and a punctuation mark.
+PARAGRAPH = 60
+# A block with more of its text in links than this is no text.
+LINKED = 0.5
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S
@@ -54,21 +58,26 @@ _BOILER = set(
     "toolbar skip copyright legal alert alerts pagination pager".split()
 )
 # Names that also stand on parts of articles.
-_AMBIGUOUS = set("legal notice notices related recommended recommendations alert alerts copyright comment respond reply promotion share".split())
+_AMBIGUOUS = set("legal related recommended recommendations copyright promotion share".split())
 # Words that do not change what a name says.
-_NEUTRAL = set("left right top bottom main site page primary secondary block box area section wrap wrapper container inner list item items".split())
+_NEUTRAL = set(
+    "left right top bottom main site page primary secondary block box area section wrap wrapper container inner list item items "
+    "reader readers user users visitor visitors post posts article body text content form".split()
+)
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 
 @dataclass(slots=True, eq=False)
 class Element:
     tag: str
-    parent: Element | None
-    label: str
+    at: int  # its place among the page's elements, parents before children
+    parent: int
+    depth: int
+    path: int  # the number of its tag path
     never: bool
     hidden: bool
     mark: int
-    article: bool
-    depth: int
+    article: bool  # whether it is an article or within one
 
 
 @dataclass(slots=True, eq=False)
@@ -86,38 +95,51 @@ def _mark(name: str) -> int:
     return 0 if not found else 2 if found >= words - _NEUTRAL and not found <= _AMBIGUOUS else 1
 
 
-def _element(tag: str, attributes: str, parent: Element | None) -> Element:
-    never = bool(parent and parent.never) or tag in _NEVER
-    article = bool(parent and parent.article)
-    hidden = False
-    mark = 2 if tag in _MARKED else 0
-    names: list[str] = []
-    for name, a, b, c in _ATTRIBUTE.findall(attributes) if attributes.strip(" /") else ():
-        name, value = name.lower(), a or b or c
-        if name in ("class", "id"):
-            names += value.split()
-        elif name == "role":
-            mark = 2 if value.strip().lower() in _ROLES else mark
-            article |= value.strip().lower() in ("main", "article")
-        elif name == "hidden" or (name == "aria-hidden" and value == "true"):
-            hidden = True
-        elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            hidden = True
-    words = {w.lower() for n in names for w in _NAME.findall(n)}
-    if tag not in ("html", "body", "article", "main"):
-        mark = max([mark, *map(_mark, names)])
-        if (tag == "header" or "header" in words) and not article:
-            mark = 2
-    article |= tag in ("article", "main")
-    return Element(tag, parent, ".".join([tag, *sorted(words)]), never, hidden, mark, article, parent.depth + 1 if parent else 0)
-
-
-def leaves(page: str) -> list[Leaf]:
-    """The page's pieces of text in order, each with the element that holds it; a new piece starts at every block's edge."""
-    top = Element("", None, "", False, False, 0, False, 0)
-    stack = [top]
-    out: list[Leaf] = []
-    leaf = Leaf(top)
+class Page:
+    """Elements and leaves of a page. Paths are numbered as they are met, so none is spelt out however deep it is."""
+
+    def __init__(self):
+        self.paths: dict[tuple[int, str], int] = {}
+        self.elements = [Element("", 0, -1, 0, -1, False, False, 0, False)]
+        self.leaves: list[Leaf] = []
+
+    def add(self, tag: str, attributes: str, parent: Element) -> Element:
+        hidden = False
+        mark = 2 if tag in _MARKED else 0
+        is_article = tag in ("article", "main")
+        names: list[str] = []
+        for name, a, b, c in _ATTRIBUTE.findall(attributes) if attributes.strip(" /") else ():
+            name, value = name.lower(), a or b or c
+            if name in ("class", "id"):
+                names += value.split()
+            elif name == "role":
+                mark = 2 if value.strip().lower() in _ROLES else mark
+                is_article |= value.strip().lower() in ("main", "article")
+            elif name == "hidden" or (name == "aria-hidden" and value == "true"):
+                hidden = True
+            elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+                hidden = True
+        words = {w.lower() for n in names for w in _NAME.findall(n)}
+        named = max([0, *map(_mark, names)])
+        if tag in ("article", "main"):
+            # A comment can be an article of its own, but not the page's.
+            if named == 2:
+                mark, is_article = 2, False
+        elif tag not in ("html", "body"):
+            mark = max(mark, named)
+            if (tag == "header" or "header" in words) and not parent.article:
+                mark = 2
+        path = self.paths.setdefault((parent.path, ".".join([tag, *sorted(words)])), len(self.paths))
+        made = Element(tag, len(self.elements), parent.at, parent.depth + 1, path, parent.never or tag in _NEVER, hidden, mark, parent.article or is_article)
+        self.elements.append(made)
+        return made
+
+
+def read(page: str) -> Page:
+    """The page's elements and its pieces of text in order, each with the element that holds it; a new piece starts at every block's edge."""
+    out = Page()
+    stack = [out.elements[0]]
+    leaf = Leaf(stack[0])
     anchors = at = 0
 
     def close() -> None:
@@ -125,7 +147,7 @@ def leaves(page: str) -> list[Leaf]:
         text = " ".join("".join(leaf.parts).split())
         if text:
             leaf.text = text
-            out.append(leaf)
+            out.leaves.append(leaf)
         leaf = Leaf(stack[-1])
 
     def add(raw: str) -> None:
@@ -172,42 +194,59 @@ def leaves(page: str) -> list[Leaf]:
                     break
             if stack[-1].tag == "p":
                 stack.pop()
-            if len(stack) < DEEPEST:
-                stack.append(_element(tag, m[3] or m[6] or "", stack[-1]))
+            stack.append(out.add(tag, m[3] or m[6] or "", stack[-1]))
             close()
             anchors = 0
     close()
     return out
 
 
-def _path(element: Element | None) -> list[Element]:
-    path = []
-    while element is not None:
-        path.append(element)
-        element = element.parent
-    return path[::-1]
+def _summed_up(page: Page, per_element: list) -> list:
+    """For every element the sum over itself and all within it."""
+    total = list(per_element)
+    for e in reversed(page.elements[1:]):
+        total[e.parent] += total[e.at]
+    return total
 
 
-def _marks(paths: list[list[Element]], own: np.ndarray) -> np.ndarray:
-    """Each leaf's mark: the strongest on its path below the last article or wrapper, 3 if hidden.
+def _marks(page: Page, found: list[Leaf], own: np.ndarray, marks: np.ndarray) -> list[int]:
+    """Each element's mark: the strongest on its path below the last article or wrapper, 3 if hidden.
 
-    A wrapper is an element that holds most of the page's unlinked text.
+    A wrapper is an element that holds most of the page's unlinked text. One whose own tag or name is certain boilerplate
+    is a wrapper only if it holds the article as well, or the paragraphs that no name covers are next to nothing; else a
+    long footer or many comments would take the article's place. So an article within a marked element counts as one
+    only if there is none outside.
     """
-    share: dict[int, float] = {}
-    for p, w in zip(paths, own.tolist(), strict=True):
-        for e in p:
-            share[id(e)] = share.get(id(e), 0.0) + w
-    most = WRAPPER * float(own.sum())
-    held: dict[int, int] = {}
-    for p in paths:
-        mark = 0
-        for e in p:
-            if id(e) not in held:
-                wraps = share[id(e)] > most
-                through = 0 if wraps or (mark < 3 and (e.tag in ("article", "main"))) else mark
-                held[id(e)] = through if wraps else max(through, 3 if e.hidden else e.mark)
-            mark = held[id(e)]
-    return np.array([held[id(p[-1])] for p in paths], dtype=np.int64)
+    elements = page.elements
+    texts, articles = [0.0] * len(elements), [0] * len(elements)
+    free = [True] * len(elements)  # of certain names
+    for e in elements[1:]:
+        free[e.at] = free[e.parent] and e.mark < 2 and not e.hidden
+        articles[e.at] = int(e.article and not elements[e.parent].article)
+    outside = 0.0
+    for leaf, w, p in zip(found, own.tolist(), marks.tolist(), strict=True):
+        texts[leaf.element.at] += w
+        if w >= PARAGRAPH and p and free[leaf.element.at]:
+            outside += w
+    texts, within = _summed_up(page, texts), _summed_up(page, articles)
+    total = texts[0]
+    only_marked = not any(a and f for a, f in zip(articles, free, strict=True))
+    out = [0] * len(elements)
+    for e in elements[1:]:
+        before = out[e.parent]
+        wraps = texts[e.at] > WRAPPER * total and (e.mark < 2 or (within[e.at] and only_marked) or outside <= OUTSIDE * total)
+        enters = articles[e.at] and before < 3 and (only_marked or before < 2)
+        through = 0 if wraps or enters else before
+        out[e.at] = through if wraps else max(through, 3 if e.hidden else e.mark)
+    return out
+
+
+def path_ratios(found: list[Leaf], own: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every leaf the number of its tag path among these leaves', and the text and the punctuation per leaf of that path."""
+    _, path = np.unique([leaf.element.path for leaf in found], return_inverse=True)
+    nodes = np.bincount(path)
+    text, punctuation = (np.bincount(path, weights=w) / nodes for w in (own, marks + 1))
+    return path, text[path], punctuation[path]
 
 
 def main_text(page: str | None) -> str:
@@ -216,57 +255,72 @@ def main_text(page: str | None) -> str:
     Controls and hidden elements are set aside. For every path of tags and classes the other leaves give two ratios: text
     length per leaf and punctuation per leaf. The sequence of the leaves' ratios is smoothed and the two are fused by their
     product. Tags, roles, classes and ids that name boilerplate (menus, footers, adverts, notices, comments, forms) lower
-    the fused ratio; a mark does not pass into an article, nor is it one on an element that holds most of the
-    page's unlinked text. Leaves are selected if they reach a share of the largest value or of an ordinary paragraph's; those
-    certainly marked only by the largest unmarked value. The content node is the lowest element that holds all selected
-    leaves, or an article around it; all of its leaves that are selected or not marked are its text.
+    the fused ratio, certain ones to nothing; a mark does not pass into the page's article, nor is it one on an element that
+    holds most of the page's unlinked text. Leaves are selected if they reach a share of the largest value or of an ordinary
+    paragraph's. The content node is the lowest element that holds all selected leaves, or an article around it. Its text
+    are the selected leaves and what stands beside them unmarked: lists, tables, headings and short blocks, but no
+    block of which most is links, and no leaf that is a link and no heading.
     """
-    found = [leaf for leaf in leaves(page or "") if not leaf.element.never]
+    whole = read(page or "")
+    found = [leaf for leaf in whole.leaves if not leaf.element.never]
     if not found:
         return ""
     own = np.array([max(0.0, len(leaf.text) * (1 - leaf.linked / len(leaf.text))) for leaf in found])
-    mark = _marks([_path(leaf.element) for leaf in found], own)
+    marks = np.array([len(_PUNCTUATION.findall(leaf.text)) for leaf in found], dtype=float)
+    held = _marks(whole, found, own, marks)
+    mark = np.array([held[leaf.element.at] for leaf in found], dtype=np.int64)
     seen = mark < 3
     if any(leaf.element.article and m < 2 for leaf, m in zip(found, mark.tolist(), strict=True)):
         seen &= np.array([leaf.element.article for leaf in found])
     if not seen.any():
         return ""
     found = [leaf for leaf, s in zip(found, seen.tolist(), strict=True) if s]
-    own, mark = own[seen], mark[seen]
-    paths = [_path(leaf.element) for leaf in found]
-    names, path = np.unique(["/".join(e.label for e in p) for p in paths], return_inverse=True)
-    marks = np.array([len(_PUNCTUATION.findall(leaf.text)) for leaf in found], dtype=float)
-    nodes = np.bincount(path)
-    ratios = [np.bincount(path, weights=w) / nodes for w in (own, marks + 1)]
-    smooth = [np.convolve(np.pad(r[path], 1, mode="edge"), SMOOTH, mode="valid") for r in ratios]
+    own, marks, mark = own[seen], marks[seen], mark[seen]
+    _, text, punctuation = path_ratios(found, own, marks)
+    smooth = [np.convolve(np.pad(r, 1, mode="edge"), SMOOTH, mode="valid") for r in (text, punctuation)]
     # A leaf beside a long one is not judged by it alone: its own path counts where smoothing would lift a link or lower a paragraph.
-    fused = np.where(own > 0, np.maximum(smooth[0] * smooth[1], ratios[0][path] * ratios[1][path]), 0)
+    fused = np.where(own > 0, np.maximum(smooth[0] * smooth[1], text * punctuation), 0)
     largest = fused[mark < 2].max(initial=0.0)
     if largest == 0:
         return "\n".join(leaf.text for leaf, m in zip(found, mark.tolist(), strict=True) if m < 2)
-    chosen = fused * np.array(PENALTY)[mark] >= THRESHOLD * np.where(mark == 2, largest, min(largest, TYPICAL))
-    chosen &= (fused > 0) & (2 * own >= np.array([len(leaf.text) for leaf in found]))
+    sizes = np.array([len(leaf.text) for leaf in found], dtype=float)
+    chosen = fused * np.array(PENALTY)[mark] >= THRESHOLD * min(largest, TYPICAL)
+    chosen &= (fused > 0) & (mark < 2) & (own >= LINKED * sizes)
     if not chosen.any():
         chosen = (fused == largest) & (mark < 2)
-    picked = [p for p, c in zip(paths, chosen.tolist(), strict=True) if c]
-    root = next(e for e in reversed(picked[0]) if all(len(p) > e.depth and p[e.depth] is e for p in picked))
-    while root.parent is not None and (root.tag not in ("article", "main", "section", "div", "body", "td") or (root.article and root.parent.article and root.tag != "article")):
-        root = root.parent
-    below = {id(e) for p in picked for e in p[root.depth + 1 :]}
-    text = []
-    for leaf, p, c, m in zip(found, paths, chosen.tolist(), mark.tolist(), strict=True):
-        inside = len(p) > root.depth and p[root.depth] is root
-        # Headings and short blocks of a part with an ambiguous name go with its selected leaves.
-        if c or (inside and (m == 0 or (m == 1 and any(id(e) in below for e in p[:-1] if e.mark == 1)))):
-            text.append(leaf.text)
-    return "\n".join(text)
+
+    elements = whole.elements
+    per = [[0.0] * len(elements) for _ in range(3)]
+    for leaf, c, n, w in zip(found, chosen.tolist(), sizes.tolist(), own.tolist(), strict=True):
+        for sums, x in zip(per, (c, n, w), strict=True):
+            sums[leaf.element.at] += x
+    picked, lengths, unlinked = (_summed_up(whole, sums) for sums in per)
+    root = max((e for e in elements if picked[e.at] == picked[0]), key=lambda e: e.depth)
+    while root.at and (root.tag not in ("article", "main", "section", "div", "body", "td") or (root.article and elements[root.parent].article and root.tag != "article")):
+        root = elements[root.parent]
+    # Parts of an ambiguous name stand with their selected leaves; a block without any must not be mostly links.
+    inside, kept, near = [False] * len(elements), [False] * len(elements), [False] * len(elements)
+    for e in elements:
+        inside[e.at] = e is root or (e.at > 0 and inside[e.parent])
+        below = inside[e.at] and e is not root
+        whole_block = below and not picked[e.at] and picked[e.parent]
+        kept[e.at] = inside[e.at] and (e is root or kept[e.parent]) and (not whole_block or unlinked[e.at] >= LINKED * lengths[e.at])
+        near[e.at] = below and (near[e.parent] or (e.mark == 1 and picked[e.at] > 0))
+    out = []
+    for leaf, c, m, w, n in zip(found, chosen.tolist(), mark.tolist(), own.tolist(), sizes.tolist(), strict=True):
+        e = leaf.element
+        is_link = w < LINKED * n and e.tag not in _HEADINGS
+        if c or (kept[e.at] and not is_link and (m == 0 or (m == 1 and near[e.at]))):
+            out.append(leaf.text)
+    return "\n".join(out)
 
 
 def extracted(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) per page row.
 
     Null and empty pages give an empty text; malformed and cut-off markup is read as far as it goes. Null ids and urls are
-    kept, repeated rows give repeated results, an empty table gives no rows, other columns are ignored.
+    kept, repeated rows give repeated results, an empty table gives no rows, other columns are ignored. Very long pages are
+    read whole; elements may be nested to any depth.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

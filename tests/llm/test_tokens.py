@@ -4,7 +4,9 @@ import hashlib
 import math
 import random
 from collections import Counter
+from html.parser import HTMLParser
 
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer, models, pre_tokenizers
@@ -216,6 +218,115 @@ def test_an_article_over_sibling_containers_is_whole(parts):
     assert html_extract.main_text(page).split("\n") == [" ".join(p.split()) for part in parts for p in part]
 
 
+MENU = "<div><ul>" + "".join(f'<li><a href="/{i}">Menu entry {i}</a></li>' for i in range(30)) + "</ul></div>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body>{menu}{body}</body>",
+        '<body><div class="page">{menu}{body}</div></body>',
+        "<body><div><div>{first}</div>{menu}<div>{rest}</div></div></body>",
+        "<body><article>{first}{menu}{rest}</article></body>",
+        "<body><div>{menu}</div><div><article>{body}</article></div></body>",
+    ],
+    ids=["beside the paragraphs", "in a page wrapper", "between containers", "in the article", "before the article"],
+)
+def test_unnamed_menus_go(page):
+    cut = BODY.index("</p>") + 4
+    assert html_extract.main_text(page.format(menu=MENU, body=BODY, first=BODY[:cut], rest=BODY[cut:])).split("\n") == PARAGRAPHS
+
+
+COMMENTS = "".join(f"<div><p>Comment {i}: I like it, very much, and I have quite a lot to say about that, as ever, in my own words.</p></div>" for i in range(40))
+ARTICLES = "".join(f'<article class="comment"><p>Comment {i}: well, well, I like it, very much, and say so.</p></article>' for i in range(40))
+
+
+@pytest.mark.parametrize("inner", [COMMENTS, ARTICLES], ids=["divs", "articles"])
+@pytest.mark.parametrize(
+    "part",
+    ['<div class="comments">{}</div>', '<section id="reader-comments">{}</section>', '<div id="respond">{}</div>', '<div class="post-comments list">{}</div>', "<footer>{}</footer>", "<nav>{}</nav>", "<aside>{}</aside>"],
+)
+@pytest.mark.parametrize(
+    "page", ["<article>{body}</article>{part}", "<article>{body}{part}</article>", "<div class=w><div>{body}</div>{part}</div>", "<main><article>{body}</article>{part}</main>"]
+)
+def test_comments_and_footers_longer_than_the_article_go(inner, part, page):
+    assert html_extract.main_text(f"<body>{page.format(body=BODY, part=part.format(inner))}</body>").split("\n") == PARAGRAPHS
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        '<div class="notice"><p>We use cookies, and so on, for all kinds of purposes, as you know.</p></div>',
+        '<div class="alert">This site is in maintenance, on Sunday, from two to four, sorry.</div>',
+        '<div><a href="/buy">Buy our new product, now, at half the price!</a></div>',
+        '<p><a href="/buy">Buy our new product, now!</a></p>',
+        '<form><p>Sign up, now, for our letter, and read it every day.</p></form>',
+    ],
+)
+@pytest.mark.parametrize("page", ["<article>{first}{part}{rest}</article>", "<div>{part}</div><article>{first}{rest}</article>", "<div class=w>{first}{rest}{part}</div>"])
+def test_notices_adverts_and_forms_go(part, page):
+    cut = BODY.index("</p>") + 4
+    assert html_extract.main_text(f"<body>{page.format(first=BODY[:cut], rest=BODY[cut:], part=part)}</body>").split("\n") == PARAGRAPHS
+
+
+def test_lists_tables_and_short_blocks_of_the_article_stay():
+    inner = BODY + "<h2>Parts</h2><ul><li>one</li><li>two <a href=x>linked</a> words here</li></ul><table><tr><td>a</td><td>b</td></tr></table><p>Ok.</p>"
+    wanted = [*PARAGRAPHS, "Parts", "one", "two linked words here", "a", "b", "Ok."]
+    for page in (f"<article>{inner}</article>", f"<div class=w>{MENU}<div>{inner}</div></div>"):
+        assert html_extract.main_text(f"<body>{page}</body>").split("\n") == wanted
+
+
+@pytest.mark.parametrize("depth", [600, 5000])
+def test_depth_is_no_limit(depth):
+    deep = "<div>" * depth + '<nav><p>Home, news, sport, and the rest, of a menu that is deep down.</p></nav><div class="comments"><p>I say, too, something.</p></div>'
+    assert html_extract.main_text(f"<body>{deep}{BODY}</body>").split("\n") == PARAGRAPHS
+    assert html_extract.main_text("<div>x" * 30_000).count("x") == 30_000
+
+
+def test_path_ratios_against_a_parsed_tree():
+    pick = random.Random(3)
+
+    def block(depth):
+        tag = pick.choice(["div", "section", "ul", "blockquote"])
+        name = pick.choice(["", "", ' class="a b"', ' id="c"'])
+        inner = "".join(block(depth - 1) if depth and pick.random() < 0.5 else f"<p>{' '.join(pick.choice(['word', 'and,', 'so.', '<a href=x>link</a>']) for _ in range(pick.randint(1, 12)))}</p>" for _ in range(pick.randint(1, 4)))
+        return f"<{tag}{name}>{inner}</{tag}>"
+
+    class Tree(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.stack, self.sums, self.anchor = [], {}, 0
+
+        def handle_starttag(self, tag, attrs):
+            self.anchor += tag == "a"
+            if tag != "a":
+                self.stack.append(".".join([tag, *sorted(w for _, v in attrs for w in v.split())]))
+                if tag == "p":
+                    self.text, self.linked = "", 0
+
+        def handle_data(self, data):
+            self.text, self.linked = self.text + data, self.linked + len(data) * bool(self.anchor)
+
+        def handle_endtag(self, tag):
+            self.anchor -= tag == "a"
+            if tag == "p":
+                self.sums.setdefault("/".join(self.stack), []).append((len(self.text) - self.linked, self.text.count(",") + self.text.count(".") + 1))
+            if tag != "a":
+                self.stack.pop()
+
+    for _ in range(60):
+        page = block(3)
+        tree = Tree()
+        tree.feed(page)
+        whole = html_extract.read(page)
+        own = np.array([len(leaf.text) - leaf.linked for leaf in whole.leaves], dtype=float)
+        marks = np.array([leaf.text.count(",") + leaf.text.count(".") for leaf in whole.leaves], dtype=float)
+        path, text, punctuation = html_extract.path_ratios(whole.leaves, own, marks)
+        got = {(p, round(a, 9), round(b, 9)) for p, a, b in zip(path.tolist(), text.tolist(), punctuation.tolist(), strict=True)}
+        wanted = [tuple(round(sum(x) / len(x), 9) for x in zip(*rows, strict=True)) for rows in tree.sums.values()]
+        assert sorted(g[1:] for g in got) == sorted(wanted) and len(got) == len(tree.sums)
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<a", "&", "<!--", "<script>a", "<div " * 3000, "<div>" * 30_000 + "x", '<a "' * 3000, "</p>" * 3000])
 def test_extraction_of_broken_pages(page):
     assert html_extract.main_text(page) in ("", "<", "&", "x", '<a "' * 3000) or page.startswith("<a")
