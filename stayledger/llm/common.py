@@ -35,6 +35,12 @@ def checkpointed(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of the file system that its name tells, if it is there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def packed_rows(docs: DataFrame, **more: Column) -> DataFrame:
     """Whole rows as one column ``row`` next to others, whose names so cannot clash with the rows' own."""
     return docs.select(F.struct(*docs.columns).alias("row"), *(column.alias(name) for name, column in more.items()))

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import base64
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import made_once, shared_data, table
 
+FILE = "byte_bpe_50k.tiktoken"
 CAPACITIES = (512, 1024, 2048, 4096)
 OVERHEAD = 16
 QUADRATIC = 1 << 16
@@ -69,11 +72,12 @@ def packed(docs: DataFrame, tokens: Column, capacities: Sequence[int] = CAPACITI
 
     ``tokens`` is the number of tokens of a row, at least one (an end mark); rows longer than the largest
     capacity are cut into pieces of that length and a rest. Only ids and lengths move: rows are dealt
-    over ``shards`` partitions by a hash of id, length and place, and packed there in buffers of ``buffer`` pieces, longest
-    first, so memory is bounded whatever a shard holds. A bin is named by (shard, bin_id).
+    over ``shards`` (one per ``buffer`` rows if not given) by a hash of id, length and place, and packed there in buffers of
+    ``buffer`` pieces, longest first, so memory is bounded whatever a shard holds. A bin is named by (shard, bin_id). The
+    result depends on rows and parameters alone, however Spark deals out its partitions.
 
-    Null and empty texts are one end mark. Null ids stay null, and rows that repeat an id are packed like any
-    others. An empty table gives no rows; other columns are ignored.
+    Null and empty texts are one end mark, very long ones many pieces. Null ids stay null, and rows that repeat an id are
+    packed like any others. Pieces of equal length are ties, taken in the order of their hash. An empty table gives no rows; other columns are ignored.
     """
     largest = max(capacities)
     keyed = docs.select(F.col("doc_id").cast("long"), F.greatest(tokens, F.lit(1)).cast("long").alias("tokens"))
@@ -83,25 +87,33 @@ def packed(docs: DataFrame, tokens: Column, capacities: Sequence[int] = CAPACITI
         (F.col("piece") * largest).alias("piece_start"),
         F.least(F.lit(largest), F.col("tokens") - F.col("piece") * largest).cast("int").alias("n_tokens"),
     )
-    key = [F.col("piece"), F.xxhash64("doc_id", "n_tokens")]
-    dealt = pieces.repartition(shards, *key) if shards else pieces.repartition(*key)
+    shards = shards or max(1, -(-docs.count() // buffer))
+    place = F.xxhash64("piece", "doc_id", "n_tokens")
+    dealt = pieces.withColumn("shard", F.pmod(place, F.lit(shards)).cast("int")).repartition("shard")
     allowed = tuple(capacities)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        rows, bins = 0, 0
+        shard, rows, bins = None, 0, 0
         for batch in batches:
-            held.append(batch)
-            rows += len(batch)
-            if rows >= buffer:
-                out, more = _packed(held, allowed, bins)
-                yield out
-                held, rows, bins = [], 0, bins + more
+            shards_here = batch["shard"].to_numpy()
+            at = 0
+            while at < len(batch):
+                if shards_here[at] != shard:
+                    if rows:
+                        yield _packed(held, allowed, bins)[0]
+                    shard, held, rows, bins = shards_here[at], [], 0, 0
+                many = min(int(np.searchsorted(shards_here, shard, side="right")) - at, buffer - rows)
+                held.append(batch.slice(at, many))
+                at, rows = at + many, rows + many
+                if rows == buffer:
+                    out, more = _packed(held, allowed, bins)
+                    yield out
+                    held, rows, bins = [], 0, bins + more
         if rows:
             yield _packed(held, allowed, bins)[0]
 
-    ordered = dealt.sortWithinPartitions("piece", F.xxhash64("doc_id", "n_tokens"), "doc_id", "n_tokens")
-    return ordered.withColumn("shard", F.spark_partition_id()).mapInArrow(work, PLACED)
+    return dealt.sortWithinPartitions("shard", "piece", place, "doc_id", "n_tokens").mapInArrow(work, PLACED)
 
 
 def _packed(held: list[pa.RecordBatch], capacities: Sequence[int], first: int) -> tuple[pa.RecordBatch, int]:
@@ -120,12 +132,31 @@ def _packed(held: list[pa.RecordBatch], capacities: Sequence[int], first: int) -
     return rows.to_batches()[0], len(size)
 
 
-def word_tokens(text: str = "text") -> Column:
-    """White-space separated words and an end mark; a cheap stand-in for any tokenizer's count."""
-    breaks = "\t\n\x0b\x0c\r"
-    words = F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), breaks, " " * len(breaks)), " ", -1), "")
-    return F.size(words) + 1
+def token_lengths(spark: SparkSession, file: str, pattern: str) -> Callable[[str], Column]:
+    """A function of a text column that counts its tokens by a public tokenizer's ranks, in batches; null and empty texts have none."""
+    with open(file, "rb") as lines:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    shared = shared_data(spark, (pattern, ranks))
+
+    def build(data):
+        import tiktoken
+
+        return tiktoken.Encoding("packed", pat_str=data[0], mergeable_ranks=data[1], special_tokens={})
+
+    @F.pandas_udf("long")
+    def count(texts: pd.Series) -> pd.Series:
+        encoding = made_once(shared, build)
+        return pd.Series([len(encoding.encode_ordinary(text)) if text else 0 for text in texts], dtype="int64")
+
+    return count
+
+
+def text_tokens(spark: SparkSession) -> Column:
+    """Tokens of ``text`` and an end mark: what a sequence of the packed rows really takes."""
+    import public_tokenizers
+
+    return token_lengths(spark, public_tokenizers.path(FILE), public_tokenizers.PATTERN)("text") + 1
 
 
 def op4_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packed(table(spark, sf_dir, "documents"), word_tokens())
+    return packed(table(spark, sf_dir, "documents"), text_tokens(spark))

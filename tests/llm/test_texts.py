@@ -1,5 +1,6 @@
 """Quality rules, personal data, repeated strings and packing against brute force."""
 
+import base64
 import hashlib
 import random
 import re
@@ -7,7 +8,9 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import public_tokenizers
 import pytest
+import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -318,10 +321,93 @@ def test_pack_is_best_fit():
     assert bins.tolist() == [0, 1, 1, 0, 1] and size.tolist() == [99, 100] and capacity.tolist() == [100, 100]
 
 
+def plain_pack(lengths, capacities):
+    """Best fit by looking at every open bin: the least room that fits, of equals the one that came to it last."""
+    bins, left = [], sum(lengths)
+    for step, length in enumerate(lengths):
+        fits = [b for b in bins if b["room"] >= length]
+        if fits:
+            b = min(fits, key=lambda b: (b["room"], -b["since"]))
+        else:
+            free = sum(b["room"] for b in bins)
+            more = max(0, left - length - free)
+            capacity = min((c for c in capacities if c >= length), key=lambda c: (packing.cost(c) / min(c, length + more), c))
+            b = {"room": capacity, "pieces": []}
+            bins.append(b)
+        b["pieces"].append(step)
+        b["room"] -= length
+        b["since"] = step
+        left -= length
+    return [b["pieces"] for b in bins]
+
+
+def test_pack_against_a_plain_search():
+    pick = random.Random(5)
+    for _ in range(300):
+        capacities = sorted(pick.sample([4, 7, 8, 16, 30, 32, 64], pick.randint(1, 4)))
+        lengths = sorted((pick.randint(1, capacities[-1]) for _ in range(pick.randint(1, 60))), reverse=True)
+        bins, _, size, capacity = packing.pack(np.array(lengths), capacities)
+        wanted = plain_pack(lengths, capacities)
+        assert [np.flatnonzero(bins == b).tolist() for b in range(len(size))] == wanted
+        held = [sum(lengths[i] for i in pieces) for pieces in wanted]
+        assert size.tolist() == held and capacity.tolist() == [min(c for c in capacities if c >= h) for h in held]
+
+
+def test_pack_is_near_the_optimum_of_small_cases():
+    def parts(items):
+        if not items:
+            yield []
+            return
+        for rest in parts(items[1:]):
+            yield [[items[0]], *rest]
+            for i in range(len(rest)):
+                yield [*rest[:i], [items[0], *rest[i]], *rest[i + 1 :]]
+
+    pick = random.Random(6)
+    worst = 1.0
+    for _ in range(25):
+        capacities = (8, 16, 32)
+        lengths = sorted((pick.randint(1, 32) for _ in range(7)), reverse=True)
+
+        def total(bins):
+            return sum(packing.cost(min(c for c in capacities if c >= sum(b))) for b in bins)
+
+        best = min(total(bins) for bins in parts(lengths) if all(sum(b) <= 32 for b in bins))
+        _, _, size, _ = packing.pack(np.array(lengths), capacities)
+        worst = max(worst, total([[s] for s in size.tolist()]) / best)
+    assert worst <= 1.35
+
+
+def test_lengths_are_the_tokenizer_s(spark):
+    rows = EDGES + [(60, "<|endoftext|> x"), (61, "a" * 50_000), (62, " \n" * 500)]
+    got = packing.packed(documents(spark, rows, extra=True), packing.text_tokens(spark)).collect()
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(public_tokenizers.path(packing.FILE), "rb"))}
+    encoding = tiktoken.Encoding("test", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    wanted, sums = Counter(), Counter()
+    for d, text in rows:
+        wanted[d] += len(encoding.encode_ordinary(text or "")) + 1
+    for r in got:
+        sums[r["doc_id"]] += r["n_tokens"]
+    assert sums == wanted and wanted[60] > 3
+
+
+def test_packing_does_not_depend_on_partitions(spark):
+    docs = documents(spark, [(i, "w " * (i * 37 % 900)) for i in range(400)])
+    counted = F.length("text") + 1
+    results = []
+    for many, batch in ((1, "10000"), (7, "33")):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        results.append(Counter(map(tuple, packing.packed(docs.repartition(many), counted, buffer=64).collect())))
+        spark.conf.set("spark.sql.shuffle.partitions", "9")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    assert results[0] == results[1] and len({r[4] for r in results[0]}) == 7
+
+
 def test_packed_rows(spark):
     rows = EDGES + [(50 + i, "w " * (i * 37 % 900)) for i in range(200)] + [(7, "again")] * 30
     docs = documents(spark, rows, extra=True)
-    got = packing.packed(docs, packing.word_tokens(), (128, 256, 512), shards=3, buffer=64).collect()
+    got = packing.packed(docs, F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"\s+"), lambda w: w != "")) + 1, (128, 256, 512), shards=3, buffer=64).collect()
     tokens = {}
     for r in got:
         tokens.setdefault(r["doc_id"], []).append((r["piece_start"], r["n_tokens"]))
