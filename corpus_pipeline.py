@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from stayledger.llm.common import checkpoint_folder, packed_rows, table, unpacked_rows  # noqa: E402
-from stayledger.llm.packing import packed, word_tokens  # noqa: E402
+from stayledger.llm.common import checkpoint_folder, packed_rows, remove, table, unpacked_rows  # noqa: E402
+from stayledger.llm.packing import packed, text_tokens  # noqa: E402
 from stayledger.llm.pii import masked  # noqa: E402
 from stayledger.llm.quality import quality  # noqa: E402
 from stayledger.llm.simhash import without_near_copies  # noqa: E402
@@ -49,7 +49,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The places of all documents' pieces in sequences of permitted lengths."""
-    return packed(docs, word_tokens())
+    return packed(docs, text_tokens(spark))
 
 
 STAGES = [
@@ -67,7 +67,12 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     folder = f"{checkpoint_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    before = None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        # The stage's files hold all that the next one needs.
+        if before:
+            remove(spark, f"{folder}/{before}")
+        before = name
     return STAGES[-1][1](spark, docs, sf_dir)
