@@ -169,8 +169,8 @@ def encoded(docs: DataFrame, file: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) per document row; decoding emits the labels of the ids' arcs.
 
     The automaton is compiled once and broadcast; its size is set by the tokenizer's file. Null and empty texts give no
-    tokens, null ids are kept, repeated rows give repeated results, an empty table gives no rows, other
-    columns are ignored.
+    tokens, null ids are kept, repeated rows give repeated results, very long texts and words are read whole, an empty
+    table gives no rows, other columns are ignored.
     """
     shared = shared_data(docs.sparkSession, {f.name: getattr(compiled(file), f.name) for f in fields(Automaton)})
 

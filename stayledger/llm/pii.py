@@ -241,7 +241,12 @@ def _joined(spans: str):
 
 
 def masked(docs: DataFrame) -> DataFrame:
-    """The documents with every span replaced by its kind in brackets and n_chars counted anew."""
+    """The documents with every span replaced by its kind in brackets and n_chars counted anew.
+
+    Of overlapping spans the first is replaced, of those that start together the longest. Null, empty and untouched texts
+    stay as they are, repeated rows get equal results, very long texts are read whole. Other columns are kept, whatever their
+    names; no rows give no rows.
+    """
     found = personal_data(docs).select("k1", "k2", "spans").where(F.size("spans") > 0).dropDuplicates(["k1", "k2"])
 
     @F.pandas_udf("string")

@@ -94,7 +94,8 @@ def token_counts(docs: DataFrame, pieces: list[tuple[str, float]]) -> DataFrame:
     """(doc_id, n_chars, n_tokens) per document row.
 
     The vocabulary is broadcast; its size is set by the tokenizer's file. Null and empty texts have no tokens, null
-    ids are kept, repeated rows give repeated results, an empty table gives no rows, other columns are ignored.
+    ids are kept, repeated rows give repeated results, very long texts and words are read whole, an empty table gives no
+    rows, other columns are ignored.
     """
     shared = shared_data(docs.sparkSession, pieces)
 
