@@ -24,7 +24,11 @@ from stayledger.llm.suffix import without_repeats  # noqa: E402
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep, with all their columns.
+
+    Null and empty texts have too few words and go. Rows equal in id, source and text are judged alike, rows that share an id
+    only each by itself; very long texts are judged whole. No rows give no rows.
+    """
     host = F.coalesce("source", F.lit(""))
     text = F.coalesce("text", F.lit(""))
     rejected = quality(docs).where("not kept").select("row_key").distinct()
@@ -33,22 +37,37 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of every group that SimHash links, by four-word shingles and up to four differing bits."""
+    """One row of every group that SimHash links, by four-word shingles and up to four differing bits, with all its columns.
+
+    It is the row of the least id, of equals the one of the least hash; rows without an id come last. Null and empty
+    texts are one group. Very long texts count whole. No rows give no rows.
+    """
     return without_near_copies(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that occur earlier."""
+    """Documents without the passages that occur earlier, in a smaller id or earlier in the same text.
+
+    Null and empty texts and all other columns stay; n_chars follows the text. Rows equal in id and text count as one. Very
+    long texts are read whole. No rows give no rows.
+    """
     return without_repeats(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with personal data masked."""
+    """Documents with personal data masked; null and empty texts and all other columns stay, n_chars follows the text.
+
+    Repeated rows are masked alike, very long texts whole. No rows give no rows.
+    """
     return masked(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The places of all documents' pieces in sequences of permitted lengths."""
+    """The places of all documents' pieces in sequences of permitted lengths, counted in tokens of a public tokenizer.
+
+    A null or empty text is one end mark, a very long one several pieces; rows without an id and repeated rows are packed
+    like any others. No rows give no rows.
+    """
     return packed(docs, text_tokens(spark))
 
 
