@@ -16,8 +16,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,8 @@ FLOOR = 0.5
 PAIRS_HELD = 1_500_000
 HOT_SHARE = 0.25
 WORDS_KNOWN = 1 << 20
+# Bytes of texts that a task works on at once.
+TEXT_AT_ONCE = 1 << 24
 # Bits of the filter of the target's ids, a fixed number at every size, and bits that an id sets.
 FILTER_BITS = 1 << 26
 FILTER_HASHES = 4
@@ -98,12 +102,12 @@ def _summed(keys: tuple[np.ndarray, ...], *values: np.ndarray) -> tuple[np.ndarr
     return order, starts, [np.add.reduceat(v[order], starts) if len(starts) else v[:0] for v in values]
 
 
-def unigrams(docs: DataFrame, known) -> DataFrame:
+def unigrams(docs: DataFrame, known, words) -> DataFrame:
     """(word, times as a second and as a first of a pair in both models) over all rows; the edge counts as a first."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _Ids(known.value)
-        for batch in batches:
+        for batch in settled(batches, words.value):
             word, _, doc, heads, many, chosen = _batch(batch, ids)
             word = np.concatenate([word, np.full(len(many), NONE)])
             seconds = np.concatenate([np.ones(len(doc), dtype=np.int64), np.zeros(len(many), dtype=np.int64)])
@@ -116,15 +120,15 @@ def unigrams(docs: DataFrame, known) -> DataFrame:
     return rows.groupBy("word").agg(*(F.sum(c).alias(c) for c in COUNTS))
 
 
-def hot_pairs(docs: DataFrame, known, hot) -> DataFrame:
+def hot_pairs(docs: DataFrame, known, words, hot) -> DataFrame:
     """(first, second, background, target) of the pairs whose words are both hot."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _Ids(known.value)
-        words = hot.value["word"]
-        for batch in batches:
+        often = hot.value["word"]
+        for batch in settled(batches, words.value):
             word, before, doc, _, _, chosen = _batch(batch, ids)
-            own = np.flatnonzero(np.isin(word, words) & (np.isin(before, words) | (before == NONE)))
+            own = np.flatnonzero(np.isin(word, often) & (np.isin(before, often) | (before == NONE)))
             word, before, of = word[own], before[own], chosen[doc[own]]
             order, starts, sums = _summed((before, word), np.ones(len(own), dtype=np.int64), of)
             columns = (before[order][starts], word[order][starts], *sums)
@@ -163,7 +167,7 @@ def _pair_places(hot: dict, before: np.ndarray, word: np.ndarray) -> tuple[np.nd
     return at, found
 
 
-def dealt(docs: DataFrame, known, hot, parts: int) -> DataFrame:
+def dealt(docs: DataFrame, known, words, hot, parts: int) -> DataFrame:
     """(part, batch, data): the pairs of a batch of documents that go to a part, or the batch's documents themselves.
 
     A pair goes by its second word, one of a hot word by both, a hot pair by its document.
@@ -172,7 +176,7 @@ def dealt(docs: DataFrame, known, hot, parts: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _Ids(known.value)
         held = hot.value
-        for number, batch in enumerate(batches):
+        for number, batch in enumerate(settled(batches, words.value)):
             name = (TaskContext.get().partitionId() << 32) + number
             word, before, doc, heads, many, chosen = _batch(batch, ids)
             order, starts, (n, follow) = _summed((word, before, doc), np.ones(len(word), dtype=np.int64), heads)
@@ -192,12 +196,12 @@ def dealt(docs: DataFrame, known, hot, parts: int) -> DataFrame:
             cuts = np.flatnonzero(np.append(True, part[order][1:] != part[order][:-1])) if len(order) else np.empty(0, dtype=np.int64)
             to, data = [int(_mixed(np.array([number]), name)[0] % np.uint64(parts))], [_sent("docs", batch["doc_id"].to_pylist(), many, chosen, edges)]
             for rows in np.split(order, cuts[1:]) if len(order) else ():
-                words, times = np.unique(word[rows], return_counts=True)
+                distinct, times = np.unique(word[rows], return_counts=True)
                 firsts, code = np.unique(before[rows], return_inverse=True)
                 of = doc[rows] * 2 + chosen[doc[rows]]
                 hot_rows = rows[split[rows]]
                 own = (_small(own_n[hot_rows].astype(np.int64)), _small(own_follow[hot_rows].astype(np.int64)), _small(many[np.unique(doc[rows])]))
-                sent = _sent("pairs", words, _small(times), firsts, _small(code), _small(of), _small(n[rows]), _small(n[rows] - follow[rows]), *own)
+                sent = _sent("pairs", distinct, _small(times), firsts, _small(code), _small(of), _small(n[rows]), _small(n[rows] - follow[rows]), *own)
                 to.append(int(part[rows[0]]))
                 data.append(sent)
             columns = [pa.array(to, pa.int64()), pa.array([name] * len(to), pa.int64()), pa.array(data, pa.binary())]
@@ -307,37 +311,52 @@ def id_filter(ids: DataFrame) -> np.ndarray:
     return words
 
 
-def _in_filter(words):
-    """A test of ids by a filter that all tasks share: false only for ids that are not in it, and for null."""
-
-    @F.pandas_udf("boolean")
-    def test(ids: pd.Series) -> pd.Series:
-        known = ids.notna()
-        held = np.zeros(len(ids), dtype=bool)
-        at = _bit_places(ids[known].astype("int64").to_numpy())
-        held[known.to_numpy()] = (words.value[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).reshape(FILTER_HASHES, -1).all(axis=0)
-        return pd.Series(held)
-
-    return test
+def _in_filter(words: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Whether a filter may hold each id; no answer is wrong but a yes."""
+    at = _bit_places(ids)
+    return (words[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).reshape(FILTER_HASHES, -1).all(axis=0)
 
 
-def marked(docs: DataFrame, target: DataFrame) -> DataFrame:
-    """(doc_id, text, chosen) of all rows, in an order that a repeated task finds the same.
+def marked(docs: DataFrame, target: DataFrame) -> tuple[DataFrame, Broadcast]:
+    """(doc_id, text, chosen) of all rows, in an order that a repeated task finds the same, and a filter of the target's ids.
 
-    The target grows with the corpus, so it is never broadcast, and texts are heavy to move. Rows whose id a Bloom filter
-    of the target knows not to be in it stay where they are. Only the others are joined with the ids, once, and kept
-    as files in the shared folder.
+    The target grows with the corpus, so it is never broadcast, and texts are heavy to move. Only rows whose id a Bloom
+    filter of the target may hold are joined with the ids, once, and kept as files in the shared folder with what
+    was found. All rows stand here as well as they are read, with a null for ``chosen``; ``settled`` leaves out those
+    that were joined.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     ids = target.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
-    maybe = _in_filter(spark.sparkContext.broadcast(id_filter(ids)))
+    words = spark.sparkContext.broadcast(id_filter(ids))
+
+    @F.pandas_udf("boolean")
+    def maybe(found: pd.Series) -> pd.Series:
+        return pd.Series(_in_filter(words.value, found.to_numpy()))
+
     chosen = ids.withColumn("chosen", F.lit(True)).hint("shuffle_merge")
-    joined = rows.where(maybe("doc_id")).join(chosen, "doc_id", "left").select("doc_id", "text", F.coalesce("chosen", F.lit(False)).alias("chosen"))
+    joined = rows.where("doc_id is not null").where(maybe("doc_id")).join(chosen, "doc_id", "left")
+    joined = joined.select("doc_id", "text", F.coalesce("chosen", F.lit(False)).alias("chosen"))
     path = f"{checkpoint_folder(spark)}/target-{uuid.uuid4().hex}"
     joined.write.option("compression", "zstd").parquet(path)
-    rest = rows.where(~maybe("doc_id")).withColumn("chosen", F.lit(False))
-    return rest.unionByName(spark.read.schema(joined.schema).parquet(path)).sortWithinPartitions("doc_id", F.xxhash64("text"))
+    both = rows.withColumn("chosen", F.lit(None).cast("boolean")).unionByName(spark.read.schema(joined.schema).parquet(path))
+    return both.sortWithinPartitions("doc_id", F.xxhash64("text")), words
+
+
+def settled(batches: Iterator[pa.RecordBatch], words: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Batches of ``marked`` rows, each row once and its ``chosen`` known, of a bounded size."""
+    for batch in batches:
+        open_ = batch["chosen"].is_null().to_numpy(zero_copy_only=False)
+        drop = open_ & batch["doc_id"].is_valid().to_numpy(zero_copy_only=False)
+        drop[drop] = _in_filter(words, batch["doc_id"].fill_null(0).to_numpy()[drop])
+        batch = batch.filter(pa.array(~drop)) if drop.any() else batch
+        batch = pa.RecordBatch.from_arrays([batch["doc_id"], batch["text"], batch["chosen"].fill_null(False)], ["doc_id", "text", "chosen"])
+        ends = np.cumsum([0 if size is None else size for size in pc.binary_length(batch["text"]).to_pylist()])
+        at = 0
+        while at < len(batch):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + TEXT_AT_ONCE, side="right")))
+            yield batch.slice(at, to - at)
+            at = to
 
 
 def scored(docs: DataFrame, target: DataFrame, vocabulary: int | None = None) -> DataFrame:
@@ -363,8 +382,8 @@ def scored(docs: DataFrame, target: DataFrame, vocabulary: int | None = None) ->
     if vocabulary is not None:
         known = set(word_counts(docs).orderBy(F.desc("n"), "word").limit(vocabulary).select("word").toArrow()["word"].to_pylist())
     known = spark.sparkContext.broadcast(known)
-    rows = marked(docs, target)
-    words = checkpointed(unigrams(rows, known))
+    rows, held = marked(docs, target)
+    words = checkpointed(unigrams(rows, known, held))
     seen = words.agg(F.count(F.when(F.col("word") != NONE, 1)).alias("words"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS[:2])).first()
     edge = words.where(F.col("word") == NONE).select(*COUNTS).first()
     totals = {"background": seen["background"], "target": seen["target"]}
@@ -375,14 +394,14 @@ def scored(docs: DataFrame, target: DataFrame, vocabulary: int | None = None) ->
     # The entry of no word counts edges too, so its heads are known only here.
     hot_rows = words.where((F.col("background") >= least) | (F.col("word") == NONE)).orderBy("word").toArrow()
     hot = {c: hot_rows[c].to_numpy() for c in ("word", *COUNTS)}
-    found = hot_pairs(rows, known, spark.sparkContext.broadcast(hot)).where(F.col("background") >= least).toArrow() if parts > 1 else None
+    found = hot_pairs(rows, known, held, spark.sparkContext.broadcast(hot)).where(F.col("background") >= least).toArrow() if parts > 1 else None
     pairs = {c: found[c].to_numpy() if found else np.empty(0, dtype=np.int64) for c in ("first", "second", "background", "target")}
     hashes = _mixed(pairs["second"], pairs["first"])
     order = np.argsort(hashes)
     hot |= {"pair_hash": hashes[order], "first": pairs["first"][order], "second": pairs["second"][order]}
     hot |= {f"pair_{m}": pairs[m][order] for m in ("background", "target")}
     hot = spark.sparkContext.broadcast(hot)
-    losses = dealt(rows, known, hot, parts).groupBy("part").applyInPandas(_part_losses(hot, size, totals), "batch long, data binary")
+    losses = dealt(rows, known, held, hot, parts).groupBy("part").applyInPandas(_part_losses(hot, size, totals), "batch long, data binary")
     out = losses.groupBy("batch").applyInPandas(
         _document_losses(totals), "doc_id long, n_tokens long, target_loss double, background_loss double"
     )

@@ -94,9 +94,10 @@ def test_scores_against_the_formula(spark):
     assert lm_scoring.scored(documents(spark, []), target).count() == 0
 
 
-@pytest.mark.parametrize("held", [lm_scoring.PAIRS_HELD, 40])
-def test_scores_know_every_word(spark, monkeypatch, held):
+@pytest.mark.parametrize("held, at_once", [(lm_scoring.PAIRS_HELD, lm_scoring.TEXT_AT_ONCE), (40, 3000)])
+def test_scores_know_every_word(spark, monkeypatch, held, at_once):
     monkeypatch.setattr(lm_scoring, "PAIRS_HELD", held)
+    monkeypatch.setattr(lm_scoring, "TEXT_AT_ONCE", at_once)
     rows = [r for r in EDGES if r[0] != 5] + [(100 + i, "the cat " * 6 + " ".join(f"rare{i * 100 + k}" for k in range(150))) for i in range(60)]
     rows += [(300, "the cat sat on rare1"), (301, "the cat sat on rare2"), (302, "the")]
     target = spark.createDataFrame([(100 + i,) for i in range(0, 60, 3)] + [(300,), (300,), (None,)], "doc_id long")
@@ -152,9 +153,14 @@ def test_a_full_filter_only_moves_more_rows(spark, monkeypatch, bits):
     monkeypatch.setattr(lm_scoring, "FILTER_BITS", bits)
     rows = [(i, f"t{i}") for i in range(-50, 400)] + [(None, "n"), (3, "again")]
     target = spark.createDataFrame([(i,) for i in range(-50, 400, 3)] + [(None,), (9999,), (4,)], "doc_id long")
-    got = lm_scoring.marked(documents(spark, rows, extra=True), target)
+    def settled(docs, target):
+        frame, words = lm_scoring.marked(docs, target)
+        return frame.mapInArrow(lambda batches: lm_scoring.settled(batches, words.value), "doc_id long, text string, chosen boolean")
+
+    monkeypatch.setattr(lm_scoring, "TEXT_AT_ONCE", 50)
+    got = settled(documents(spark, rows, extra=True), target)
     assert Counter(map(tuple, got.collect())) == Counter((d, t, d is not None and ((d + 50) % 3 == 0 or d == 4)) for d, t in rows)
-    assert lm_scoring.marked(documents(spark, rows), target.limit(0)).where("chosen").count() == 0
+    assert settled(documents(spark, rows), target.limit(0)).where("chosen").count() == 0
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{}</style><script>var a="</p>";</script></head><body>
