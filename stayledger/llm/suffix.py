@@ -101,6 +101,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in np.unique(sizes):
             rows = np.flatnonzero(sizes == shard)
             which, value, start, n = text_runs([texts[i] for i in rows])
+            value = _short(value)
             which = rows[which] if len(which) else which
             _, back, times = np.unique(value, return_inverse=True, return_counts=True)
             again = np.flatnonzero(times[back] > 1)
@@ -114,7 +115,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if first.setdefault((int(value[r]), texts[w][s : s + n[r] + LENGTH - 1]), at) != at:
                     live[r], done[r] = False, True
             dw, ds, dn = _joined_ranges(which[done], start[done], n[done])
-            scatter = (ids[dw].view(np.uint64) * _MIX[0] + ds.astype(np.uint64) * _MIX[1]).view(np.int64)
+            scatter = _scatter(ids[dw], tags[dw])
             w = np.concatenate([which[live], dw])
             yield pa.RecordBatch.from_arrays(
                 [
@@ -129,6 +130,16 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _short(value: np.ndarray) -> np.ndarray:
+    """48 bits of gram hashes: what moves is smaller, and different grams of one value only meet in vain."""
+    return (value.view(np.uint64) >> np.uint64(16)).astype(np.int64)
+
+
+def _scatter(d: np.ndarray, tag: np.ndarray) -> np.ndarray:
+    """What spreads ranges over tasks. Near the tag, it takes little room in compressed rows; d parts copies of a text."""
+    return (d.astype(np.int64).view(np.uint64) + tag.astype(np.int64).view(np.uint64)).view(np.int64)
+
+
 def _joined_ranges(which: np.ndarray, start: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     order = np.lexsort((start, which))
     which, start, n = which[order], start[order], n[order]
@@ -154,8 +165,8 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     out.append((value, 0, d, tag, s, n, data[s : s + n + LENGTH - 1]))
                 else:
                     _, again, at, many = text_runs([data[s : s + n + LENGTH - 1]], _MIX_AGAIN)
-                    for sub, a, m in zip(again.tolist(), (at + s).tolist(), many.tolist(), strict=True):
-                        out.append((value, sub & LARGEST, d, tag, a, m, data[a : a + m + LENGTH - 1]))
+                    for sub, a, m in zip(_short(again).tolist(), (at + s).tolist(), many.tolist(), strict=True):
+                        out.append((value, sub, d, tag, a, m, data[a : a + m + LENGTH - 1]))
             if len(out) >= 10_000:
                 yield _piece_batch(out)
                 out = []
@@ -283,7 +294,7 @@ def _parted(rows: list[tuple]) -> tuple[list[tuple], list[tuple]]:
 
 def _range_rows(d: np.ndarray, tag: np.ndarray, start: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     """Ranges of repeated windows as pieces that are done."""
-    scatter = (d.astype(np.int64).view(np.uint64) * _MIX[0] + start.astype(np.uint64) * _MIX[1]).view(np.int64)
+    scatter = _scatter(d, tag)
     empty = pa.array([b""] * len(d), pa.binary())
     columns = [pa.array(scatter), pa.array(np.full(len(d), -1, dtype=np.int64)), pa.array(d.astype(np.int64)), pa.array(tag.astype(np.int64))]
     columns += [pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), empty]
@@ -377,10 +388,13 @@ def _row(r: int, value, sub, d, tag, start, n, pieces) -> tuple:
 
 
 def _keys() -> dict[str, Column]:
-    """Numbers by which a row is told apart and ordered: its doc_id, then 62 bits of its text's hash; rows without an id come last."""
-    no_id = F.col("doc_id").isNull()
-    text = F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), 2)
-    return {"d": F.coalesce(F.col("doc_id").cast("long"), F.lit(LARGEST)), "tag": text + F.when(no_id, 1 << 62).otherwise(0)}
+    """Numbers by which a row is told apart and ordered: its doc_id, then bits of its text's hash; rows without an id come last.
+
+    Rows without an id are told apart by 62 bits, those that share one by 40, which take less room.
+    """
+    text = F.xxhash64(F.coalesce("text", F.lit("")))
+    alone, among = F.shiftrightunsigned(text, 2) + F.lit(1 << 62), F.shiftrightunsigned(text, 24)
+    return {"d": F.coalesce(F.col("doc_id").cast("long"), F.lit(LARGEST)), "tag": F.when(F.col("doc_id").isNull(), alone).otherwise(among)}
 
 
 def _documents(docs: DataFrame) -> DataFrame:
@@ -489,7 +503,12 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """The documents with repeated strings removed from text, whole characters only, and n_chars counted anew."""
+    """The documents with repeated strings removed from text, whole characters only, and n_chars counted anew.
+
+    What counts as earlier is as in ``repeated_bytes``; rows equal in id and text are one document and both stay as they are
+    beside earlier ones. Null and empty texts stay. Very long texts are read whole. Other columns are kept, whatever their
+    names; no rows give no rows.
+    """
     keyed = packed_rows(docs, **_keys())
     joined = keyed.join(repeated_ranges(keyed, "cast(coalesce(row.text, '') as binary)"), ["d", "tag"], "left")
 
