@@ -30,9 +30,9 @@ FLOOR = 0.5
 # Pairs that a task of the second step holds, and the share of them from which a word or a pair is split.
 PAIRS_HELD = 1_500_000
 HOT_SHARE = 0.25
-WORDS_KNOWN = 1 << 20
+WORDS_KNOWN = 1 << 18
 # Bytes of texts that a task works on at once.
-TEXT_AT_ONCE = 1 << 24
+TEXT_AT_ONCE = 1 << 23
 # Bits of the filter of the target's ids, a fixed number at every size, and bits that an id sets.
 FILTER_BITS = 1 << 26
 FILTER_HASHES = 4
@@ -182,7 +182,8 @@ def dealt(docs: DataFrame, known, words, hot, parts: int) -> DataFrame:
             order, starts, (n, follow) = _summed((word, before, doc), np.ones(len(word), dtype=np.int64), heads)
             word, before, doc = (a[order][starts] for a in (word, before, doc))
             # A document's counts of a hot word are parted among tasks, so they go with each of its pairs.
-            own_n, own_follow = _spread((word, doc), n, follow)
+            del heads, order, starts
+            own_n, own_follow = (a.astype(np.int32) for a in _spread((word, doc), n, follow))
             # The edge is the first of a pair like the entry of no word.
             edges = np.bincount(doc, follow * (word == NONE), len(many)).astype(np.int64) + 1
             own_follow += word == NONE
@@ -200,7 +201,7 @@ def dealt(docs: DataFrame, known, words, hot, parts: int) -> DataFrame:
                 firsts, code = np.unique(before[rows], return_inverse=True)
                 of = doc[rows] * 2 + chosen[doc[rows]]
                 hot_rows = rows[split[rows]]
-                own = (_small(own_n[hot_rows].astype(np.int64)), _small(own_follow[hot_rows].astype(np.int64)), _small(many[np.unique(doc[rows])]))
+                own = (_small(own_n[hot_rows]), _small(own_follow[hot_rows]), _small(many[np.unique(doc[rows])]))
                 sent = _sent("pairs", distinct, _small(times), firsts, _small(code), _small(of), _small(n[rows]), _small(n[rows] - follow[rows]), *own)
                 to.append(int(part[rows[0]]))
                 data.append(sent)
