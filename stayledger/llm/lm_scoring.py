@@ -28,7 +28,7 @@ from .common import checkpoint_folder, checkpointed, table
 PRIOR = 32.0
 FLOOR = 0.5
 # Pairs that a task of the second step holds, and the share of them from which a word or a pair is split.
-PAIRS_HELD = 1_500_000
+PAIRS_HELD = 1_000_000
 HOT_SHARE = 0.25
 WORDS_KNOWN = 1 << 18
 # Bytes of texts that a task works on at once.
@@ -167,6 +167,13 @@ def _pair_places(hot: dict, before: np.ndarray, word: np.ndarray) -> tuple[np.nd
     return at, found
 
 
+def _seen(doc: np.ndarray) -> np.ndarray:
+    """Marks the numbers that occur, up to the greatest."""
+    marks = np.zeros(int(doc.max(initial=-1)) + 1, dtype=bool)
+    marks[doc] = True
+    return marks
+
+
 def dealt(docs: DataFrame, known, words, hot, parts: int) -> DataFrame:
     """(part, batch, data): the pairs of a batch of documents that go to a part, or the batch's documents themselves.
 
@@ -181,15 +188,16 @@ def dealt(docs: DataFrame, known, words, hot, parts: int) -> DataFrame:
             word, before, doc, heads, many, chosen = _batch(batch, ids)
             order, starts, (n, follow) = _summed((word, before, doc), np.ones(len(word), dtype=np.int64), heads)
             word, before, doc = (a[order][starts] for a in (word, before, doc))
-            # A document's counts of a hot word are parted among tasks, so they go with each of its pairs.
             del heads, order, starts
-            own_n, own_follow = (a.astype(np.int32) for a in _spread((word, doc), n, follow))
             # The edge is the first of a pair like the entry of no word.
             edges = np.bincount(doc, follow * (word == NONE), len(many)).astype(np.int64) + 1
-            own_follow += word == NONE
             by = _mixed(word)
             split = _places(held["word"], word)[1]
             by[split] = _mixed(word[split], before[split])
+            # A document's counts of a hot word are parted among tasks, so they go with each of its pairs.
+            own_n, own_follow = np.zeros(len(word), dtype=np.int32), np.zeros(len(word), dtype=np.int32)
+            own_n[split], own_follow[split] = _spread((word[split], doc[split]), n[split], follow[split])
+            own_follow += word == NONE
             is_hot = _pair_places(held, before, word)[1]
             by[is_hot] = _mixed(doc[is_hot], name)
             part = (by % np.uint64(parts)).astype(np.int64)
@@ -197,11 +205,13 @@ def dealt(docs: DataFrame, known, words, hot, parts: int) -> DataFrame:
             cuts = np.flatnonzero(np.append(True, part[order][1:] != part[order][:-1])) if len(order) else np.empty(0, dtype=np.int64)
             to, data = [int(_mixed(np.array([number]), name)[0] % np.uint64(parts))], [_sent("docs", batch["doc_id"].to_pylist(), many, chosen, edges)]
             for rows in np.split(order, cuts[1:]) if len(order) else ():
-                distinct, times = np.unique(word[rows], return_counts=True)
+                # The rows of a part are still in the order of their words.
+                heads = np.flatnonzero(np.append(True, word[rows[1:]] != word[rows[:-1]]))
+                distinct, times = word[rows[heads]], np.diff(np.append(heads, len(rows)))
                 firsts, code = np.unique(before[rows], return_inverse=True)
                 of = doc[rows] * 2 + chosen[doc[rows]]
                 hot_rows = rows[split[rows]]
-                own = (_small(own_n[hot_rows]), _small(own_follow[hot_rows]), _small(many[np.unique(doc[rows])]))
+                own = (_small(own_n[hot_rows]), _small(own_follow[hot_rows]), _small(many[np.flatnonzero(_seen(doc[rows]))]))
                 sent = _sent("pairs", distinct, _small(times), firsts, _small(code), _small(of), _small(n[rows]), _small(n[rows] - follow[rows]), *own)
                 to.append(int(part[rows[0]]))
                 data.append(sent)
@@ -236,13 +246,14 @@ def _part_losses(hot, size: int, totals: dict[str, int]):
                 continue
             words, times, firsts, code, of, n, last, *own, sizes = parts
             name.append(batch)
-            word, of, n = np.repeat(words, times), of.astype(np.int64), n.astype(np.int64)
-            docs, place = np.unique(of >> 1, return_inverse=True)
-            columns.append((word, firsts[code], of, n, n - last, sizes[place].astype(np.int64)))
+            of, n = of.astype(np.int32), n.astype(np.int32)
+            place = np.cumsum(_seen(of >> 1)) - 1
+            columns.append((np.repeat(words, times), firsts[code], of, n, n - last.astype(np.int32), sizes[place[of >> 1]].astype(np.int32)))
             split.append([a.astype(np.int64) for a in own])
         if columns:
             word, before, of, n, follow, tokens = (np.concatenate(c) for c in zip(*columns, strict=True))
-            owner = np.repeat(np.arange(len(name)), [len(c[0]) for c in columns])
+            owner = np.repeat(np.arange(len(name), dtype=np.int32), [len(c[0]) for c in columns])
+            del columns, rows
             chosen, doc = of & 1, of >> 1
             pairs = _spread((word, before), n, n * chosen)
             singles = _spread((word,), n, n * chosen, follow, follow * chosen)
