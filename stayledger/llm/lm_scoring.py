@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import pickle
 import uuid
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -18,6 +17,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
@@ -61,18 +61,19 @@ class _Ids:
         self.known, self.ids = known, {}
 
     def __call__(self, text: str | None) -> np.ndarray:
-        ids, out = self.ids, []
+        ids = self.ids
         if len(ids) > WORDS_KNOWN:
             ids.clear()
-        for word in (text or "").lower().split():
-            at = ids.get(word)
-            if at is None:
+        words = (text or "").lower().split()
+        out = list(map(ids.get, words))
+        if None in out:
+            for word in {word for word, at in zip(words, out, strict=True) if at is None}:
                 at = NONE
                 if self.known is None or word in self.known:
                     at = (xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) or 1) - (1 << 63)
                     at = at or 1
                 ids[word] = at
-            out.append(at)
+            out = list(map(ids.get, words))
         return np.array(out, dtype=np.int64)
 
 
@@ -147,7 +148,11 @@ def _mixed(word: np.ndarray, other: np.ndarray | int = 0) -> np.ndarray:
 
 
 def _sent(*parts) -> bytes:
-    return zlib.compress(pickle.dumps(parts, protocol=5), 1)
+    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(parts, protocol=5))
+
+
+def _received(data: bytes) -> list:
+    return pickle.loads(zstandard.ZstdDecompressor().decompress(data))
 
 
 def _small(values: np.ndarray) -> np.ndarray:
@@ -240,7 +245,7 @@ def _part_losses(hot, size: int, totals: dict[str, int]):
         held = hot.value
         out, name, columns, split = [], [], [], []
         for batch, data in zip(rows["batch"].tolist(), rows["data"].tolist(), strict=True):
-            kind, *parts = pickle.loads(zlib.decompress(data))
+            kind, *parts = _received(data)
             if kind == "docs":
                 out.append((batch, data))
                 continue
@@ -254,13 +259,15 @@ def _part_losses(hot, size: int, totals: dict[str, int]):
             word, before, of, n, follow, tokens = (np.concatenate(c) for c in zip(*columns, strict=True))
             owner = np.repeat(np.arange(len(name), dtype=np.int32), [len(c[0]) for c in columns])
             del columns, rows
-            chosen, doc = of & 1, of >> 1
+            chosen = of & 1
+            # A document is named by its message and its number there.
+            doc = owner.astype(np.int64) << 32 | (of >> 1)
             pairs = _spread((word, before), n, n * chosen)
             singles = _spread((word,), n, n * chosen, follow, follow * chosen)
             at, found = _places(held["word"], word)
             for total, c in zip(singles, COUNTS, strict=True):
                 total[found] = held[c][at[found]]
-            own = _spread((word, owner, doc), n, follow)
+            own = _spread((word, doc), n, follow)
             for mine, sent in zip(own, zip(*split, strict=True), strict=True):
                 mine[found] = np.concatenate(sent)
             at, found = _pair_places(held, before, word)
@@ -271,8 +278,9 @@ def _part_losses(hot, size: int, totals: dict[str, int]):
                 share = (singles[k] - inside * own[0] + FLOOR) / (totals[model] - inside * tokens + FLOOR * size)
                 heads = singles[k + 2] - inside * own[1]
                 losses.append(follow * np.log(heads + PRIOR) - n * np.log(pairs[k] - inside * n + PRIOR * share))
-            order, starts, sums = _summed((owner, doc), *losses)
-            owner, doc = owner[order][starts], doc[order][starts]
+            order, starts, sums = _summed((doc,), *losses)
+            doc = doc[order][starts]
+            owner, doc = doc >> 32, doc & 0xFFFFFFFF
             cuts = np.searchsorted(owner, np.arange(len(name) + 1))
             for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
                 out.append((name[i], _sent("losses", _small(doc[a:b]), *(s[a:b].astype(np.float32) for s in sums))))
@@ -285,7 +293,7 @@ def _document_losses(totals: dict[str, int]):
     """A function from all rows of a batch to its documents with their mean losses."""
 
     def work(rows: pd.DataFrame) -> pd.DataFrame:
-        parts = [pickle.loads(zlib.decompress(data)) for data in rows["data"].tolist()]
+        parts = [_received(data) for data in rows["data"].tolist()]
         ((_, doc_ids, many, chosen, edges),) = [p for p in parts if p[0] == "docs"]
         columns = {"doc_id": pd.array(doc_ids, dtype="Int64"), "n_tokens": many}
         for k, model in enumerate(("background", "target")):
