@@ -30,7 +30,7 @@ FLOOR = 0.5
 # Pairs that a task of the second step holds, and the share of them from which a word or a pair is split.
 PAIRS_HELD = 1_000_000
 HOT_SHARE = 0.25
-WORDS_KNOWN = 1 << 18
+WORDS_KNOWN = 1 << 19
 # Bytes of texts that a task works on at once.
 TEXT_AT_ONCE = 1 << 23
 # Bits of the filter of the target's ids, a fixed number at every size, and bits that an id sets.
@@ -61,19 +61,18 @@ class _Ids:
         self.known, self.ids = known, {}
 
     def __call__(self, text: str | None) -> np.ndarray:
-        ids = self.ids
+        ids, out = self.ids, []
         if len(ids) > WORDS_KNOWN:
             ids.clear()
-        words = (text or "").lower().split()
-        out = list(map(ids.get, words))
-        if None in out:
-            for word in {word for word, at in zip(words, out, strict=True) if at is None}:
+        for word in (text or "").lower().split():
+            at = ids.get(word)
+            if at is None:
                 at = NONE
                 if self.known is None or word in self.known:
                     at = (xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) or 1) - (1 << 63)
                     at = at or 1
                 ids[word] = at
-            out = list(map(ids.get, words))
+            out.append(at)
         return np.array(out, dtype=np.int64)
 
 
