@@ -113,6 +113,9 @@ def within_binned(
     An interval goes to bins as wide as its own length class, the next power of two days: one bin or two. A row looks
     into its day's bin of every class that its key has. Key and bin give candidates at most some times as many as the
     matches, however many intervals a key has, and each pair once; the exact test follows.
+
+    Both joins name their way: Spark's estimates know neither the rows that an explode puts out nor how few bytes of a
+    file a row can take, so by them it would broadcast the very tables that are too large for that.
     """
     days = [F.unix_date(F.to_date(c)) for c in (start, end)]
     sized = (
@@ -130,7 +133,7 @@ def within_binned(
         known = known & (F.col(left) == F.col(f"_{i}"))
     looking = (
         rows.withColumn("_day", F.unix_date(F.to_date(at)))
-        .join(classes, known)
+        .join(classes.hint("merge"), known)
         .withColumn("_look", F.explode("_classes"))
         .withColumn("_place", F.floor(F.col("_day") / F.expr("shiftleft(1L, _look)")))
         .drop("_day", "_classes", *(f"_{i}" for i in range(len(on))))
@@ -138,4 +141,4 @@ def within_binned(
     match = (F.col("_look") == F.col("_class")) & (F.col("_place") == F.col("_bin"))
     for left, right in on:
         match = match & (F.col(left) == F.col(right))
-    return looking.join(binned, match).where(at.between(start, end)).drop("_look", "_place", "_class", "_bin")
+    return looking.join(binned.hint("merge"), match).where(at.between(start, end)).drop("_look", "_place", "_class", "_bin")

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 # A lookup is sent to every executor if its files hold at most this many bytes. Rows take several
 # times that in memory, still far below what an executor has.
 BROADCAST_MAX_BYTES = 8 << 20
+# Bytes in memory per byte of a file, for rows that no file holds because an explode makes them.
+UNPACKED = 10
 
 
 @dataclass(frozen=True)
@@ -52,22 +54,26 @@ class Lookup:
         return rows.join(self.frame, condition, how)
 
 
-def estimated_bytes(frame: DataFrame) -> int:
+def estimated_bytes(frame: DataFrame, fanout: int = 1) -> int:
     """Spark's estimate from file sizes and columns read; no job runs.
 
     Joins and unions are estimated at the product and the sum of their sides and filters at the whole, so
-    an estimate below the bound errs on the safe side, but for an explode, which must have a bound of its own.
+    an estimate below the bound errs on the safe side, but for an explode, which Spark takes to put out as many rows as it
+    reads: whoever explodes states as ``fanout`` how many rows come of one. Those rows count as they are in memory.
     """
-    return int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    size = int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if fanout == 1 else size * fanout * UNPACKED
 
 
-def measured(frame: DataFrame, max_bytes: int | None = None) -> Lookup:
+def measured(frame: DataFrame, max_bytes: int | None = None, fanout: int = 1) -> Lookup:
     bound = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
-    return Lookup(frame, small=estimated_bytes(frame) <= bound)
+    return Lookup(frame, small=estimated_bytes(frame, fanout) <= bound)
 
 
-def measured_together(frames: Mapping[str, DataFrame], max_bytes: int | None = None) -> dict[str, Lookup]:
-    return {name: measured(frame, max_bytes) for name, frame in frames.items()}
+def measured_together(
+    frames: Mapping[str, DataFrame], max_bytes: int | None = None, fanouts: Mapping[str, int] | None = None
+) -> dict[str, Lookup]:
+    return {name: measured(frame, max_bytes, (fanouts or {}).get(name, 1)) for name, frame in frames.items()}
 
 
 def fixed(frame: DataFrame) -> Lookup:

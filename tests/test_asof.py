@@ -97,6 +97,22 @@ def test_bins_are_the_intervals(spark):
     assert within_binned(table.limit(0), intervals, [("k", "owner")], F.col("at"), F.col("low"), F.col("high")).count() == 0
 
 
+def test_exploded_terms_are_not_broadcast_on_an_estimate(spark, tmp_path):
+    spark.range(1000).write.parquet(str(tmp_path / "owners"))
+    owners = spark.read.parquet(str(tmp_path / "owners"))
+    day = F.lit(date(1990, 1, 1))
+    terms = owners.select(F.col("id").alias("owner"), F.explode(F.sequence(F.lit(0), F.lit(9))).alias("term"), day.alias("low"), day.alias("high"))
+    rows = spark.range(1000).select("id", F.col("id").alias("k"), day.alias("at"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    try:
+        joined = within_binned(rows, terms, [("k", "owner")], F.col("at"), F.col("low"), F.col("high"))
+        text = joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 10_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert "Broadcast" not in text
+
+
 def test_a_key_of_many_terms_pairs_near_the_matches(spark):
     # 10,000 terms of ten days and a few of a year, 2,000 rows, one key.
     terms = spark.range(10_000).select(

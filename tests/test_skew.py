@@ -49,6 +49,14 @@ def test_size_check(spark):
     assert fixed(spark.range(1)).small
 
 
+def test_exploded_rows_count_as_in_memory(spark, tmp_path):
+    spark.range(40_000).write.parquet(str(tmp_path / "parts"))
+    exploded = spark.read.parquet(str(tmp_path / "parts")).select(F.explode(F.sequence(F.lit(0), F.lit(9))).alias("n"), "id")
+    stated = measured(exploded, fanout=10)
+    assert estimated_bytes(exploded, 10) >= 10 * estimated_bytes(exploded) and not stated.small
+    assert not measured_together({"a": exploded}, fanouts={"a": 10})["a"].small and measured(exploded).small
+
+
 def test_scope_is_by_pair_not_by_column(spark):
     rows = spark.createDataFrame([(1, 1), (1, 2), (2, 1), (2, 2)], "a long, b long")
     wanted = spark.createDataFrame([(1, 1), (2, 2)], "operative_incoming long, booking_id long")

@@ -114,6 +114,9 @@ FEE_MEASURES = (
     "tax_partner_third_commision_eur",
 )
 
+# Rows that a lookup's explodes make of one row of its table, at most.
+FANOUTS = {"contracts": 10, "destinations": 2, "partner_rates": 6}
+
 
 class Roles:
     """Role frames over one folder of sample tables."""
@@ -132,7 +135,7 @@ class Roles:
     def lookups(self, *names: str) -> list[Lookup]:
         """Lookups by role name; the sizes not known yet are checked in one job."""
         new = [name for name in names if name not in self._lookups]
-        self._lookups |= measured_together({name: getattr(self, f"_{name}")() for name in new})
+        self._lookups |= measured_together({name: getattr(self, f"_{name}")() for name in new}, fanouts=FANOUTS)
         return [self._lookups[name] for name in names]
 
     def lookup(self, name: str) -> Lookup:
