@@ -8,9 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayledger.operators.lookup import Lookup
+from stayledger.settings import SQL_SETTINGS
 
 BOOKING = ("operative_incoming", "booking_id")
 LEAST = -(1 << 63)
+BLOOM_SETTINGS = {name: value for name, value in SQL_SETTINGS.items() if "bloomFilter" in name}
+# Bits of a pair's hash that one test of ``likely`` compares, and the number of tests.
+HASH_BITS = 19
+HASH_TESTS = 2
 
 
 def in_scope(rows: DataFrame, bookings: Lookup, office: str, booking: str) -> DataFrame:
@@ -18,7 +23,7 @@ def in_scope(rows: DataFrame, bookings: Lookup, office: str, booking: str) -> Da
 
     Few bookings are broadcast. More are joined by a shuffle, but of the rows that pass a Bloom filter of the wanted
     pairs, which Spark builds from the bookings and tests where the rows are read, so that what moves is near what is
-    wanted, not the history.
+    wanted, not the history. A session without our settings builds none for so large a table; ``likely`` takes its place.
     """
     pairs = bookings.select(F.col(BOOKING[0]).alias(office), F.col(BOOKING[1]).alias(booking))
     if bookings.small:
@@ -28,10 +33,28 @@ def in_scope(rows: DataFrame, bookings: Lookup, office: str, booking: str) -> Da
     pair = F.struct(F.col(office).cast("bigint").alias("office"), F.col(booking).cast("bigint").alias("booking"))
     known = F.col(office).isNotNull() & F.col(booking).isNotNull()
     wanted = pairs.frame.where(known & (F.col(booking) >= F.lit(LEAST))).select(pair.alias("_wanted"))
-    keyed = rows.where(known).withColumn("_pair", pair)
+    near = rows.where(known)
+    if any(rows.sparkSession.conf.get(name, None) != value for name, value in BLOOM_SETTINGS.items()):
+        near = likely(near, pairs.frame, office, booking)
+    keyed = near.withColumn("_pair", pair)
     return keyed.join(wanted, F.col("_pair") == F.col("_wanted"), "left_semi").drop("_pair")
 
 
+def likely(rows: DataFrame, pairs: DataFrame, office: str, booking: str) -> DataFrame:
+    """Rows whose pair has the hash of a wanted one in every test; all wanted rows are among them.
+
+    The distinct values of a few bits of the pairs' hash are broadcast, whose number their bits bound, however many pairs
+    are wanted. No setting and no estimate of how many there are is needed. A day's bookings fill a small part of the
+    values, so few other rows pass all tests.
+    """
+    for test in range(HASH_TESTS):
+        hashed = F.xxhash64(F.col(office).cast("bigint"), F.col(booking).cast("bigint"))
+        bits = F.shiftrightunsigned(hashed, test * HASH_BITS).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
+        values = pairs.select(bits.alias("_value")).distinct()
+        rows = rows.join(F.broadcast(values), bits == F.col("_value"), "left_semi")
+    return rows
+
+
 def first_per_key(rows: DataFrame, key: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """One row per key: the first in ``order``, which must leave no ties.
 

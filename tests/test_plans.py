@@ -154,6 +154,23 @@ def test_rows_behind_the_key_filter_are_near_the_day_s(spark):
     assert after and 0 < wanted <= max(after) <= wanted + 0.05 * roles.lines.count()
 
 
+def test_rows_of_a_large_day_are_few_in_any_session(spark):
+    # No Bloom filter, and an estimate that is too large to broadcast.
+    wanted = spark.range(0, 20_000, 500).select((F.col("id") % 25).alias(BOOKING[0]), F.col("id").alias(BOOKING[1]))
+    lines = spark.range(40_000).select((F.col("id") % 25).alias("a"), (F.col("id") / 2).cast("long").alias("b"))
+    lines = lines.select(F.expr("nullif(a, 7)").alias("a"), F.expr("nullif(b, 500)").alias("b"))
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "false")
+    try:
+        rows = in_scope(lines, Lookup(wanted, False), "a", "b")
+        counted = rows_out(spark, lambda: rows.write.format("noop").mode("overwrite").save())
+        got = sorted(map(tuple, rows.collect()))
+    finally:
+        spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")
+    assert got == sorted(map(tuple, in_scope(lines, Lookup(wanted, True), "a", "b").collect())) and len(got) == 39
+    moved = [n for name, _, n in counted if name == "BroadcastHashJoin"]
+    assert len(moved) == 2 and len(got) <= min(moved) <= len(got) + 50
+
+
 def test_lines_rounded_one_by_one_move_once(spark, monkeypatch):
     monkeypatch.setattr(lookup, "BROADCAST_MAX_BYTES", 0)
     text = plan(REGISTRY["transfer_eur_line_level"](Roles(spark, FOLDER)))
