@@ -36,3 +36,11 @@ def test_taxes_by_sql_are_those_of_the_frames(spark):
     assert other.taxes(date(1996, 5, 1), date(1996, 5, 9)).count() == 0 and amounts(got) == amounts(scoped)
     with pytest.raises(Exception):
         by_sql.statement(TAXES, lines="service_hotel")
+
+
+def test_exclusions_and_days_are_looked_up_once_for_all_tables(spark):
+    services, _ = book_rows()
+    by_sql = SqlMeasures(spark, books(spark, services, **CAMPAIGN), frame(spark, "booking_interface", [booking(1, 1)]), "three_")
+    text = by_sql.taxes(date(1996, 5, 1), date(1996, 5, 9))._jdf.queryExecution().optimizedPlan().toString()
+    # The exclusions themselves are two semi joins.
+    assert text.count("LeftAnti") == 1 and text.count("LeftSemi") == 3
