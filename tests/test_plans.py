@@ -168,7 +168,8 @@ def test_rows_of_a_large_day_are_few_in_any_session(spark):
         spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")
     assert got == sorted(map(tuple, in_scope(lines, Lookup(wanted, True), "a", "b").collect())) and len(got) == 39
     moved = [n for name, _, n in counted if name == "BroadcastHashJoin"]
-    assert len(moved) == 2 and len(got) <= min(moved) <= len(got) + 50
+    # Two tests, and the exact match if it turned out small; the first test leaves few others.
+    assert len(moved) >= 2 and len(got) <= min(moved) <= max(moved) <= len(got) + 50
 
 
 def test_lines_rounded_one_by_one_move_once(spark, monkeypatch):
