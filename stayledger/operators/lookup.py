@@ -66,8 +66,13 @@ def estimated_bytes(frame: DataFrame, fanout: int = 1) -> int:
 
 
 def measured(frame: DataFrame, max_bytes: int | None = None, fanout: int = 1) -> Lookup:
+    """The table with the outcome of its size check, for which no job runs.
+
+    A table that an explode multiplies is never small. A file says too little of its rows: a million ascending keys take a
+    kilobyte where they are written as differences, and each of them becomes ``fanout`` rows of full width.
+    """
     bound = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
-    return Lookup(frame, small=estimated_bytes(frame, fanout) <= bound)
+    return Lookup(frame, small=fanout == 1 and estimated_bytes(frame) <= bound)
 
 
 def measured_together(

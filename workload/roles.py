@@ -114,8 +114,9 @@ FEE_MEASURES = (
     "tax_partner_third_commision_eur",
 )
 
-# Rows that a lookup's explodes make of one row of its table, at most.
-FANOUTS = {"contracts": 10, "destinations": 2, "partner_rates": 6}
+# Rows that a lookup's explodes make of one row of its table, at most. Destinations have two names a nation, of which
+# every join reads the English one.
+FANOUTS = {"contracts": 10, "partner_rates": 6}
 
 
 class Roles:
