@@ -49,6 +49,17 @@ def contracts_of_bookings():
                 yield booking % 25, booking, f"CT{part}", start, f"D{place}", f"N{place}"
 
 
+def codes_of_bookings():
+    """(office, booking, code): the hotel's destination, else the first contract's."""
+    first = {}
+    for office, booking, _, _, place, name in sorted(contracts_of_bookings()):
+        first.setdefault(booking, f"{place}-{name}")
+    for booking in range(100):
+        nation = booking * 4 % 30 % 25
+        code = first.get(booking, "NO_DESTINATION_CODE") if booking % 2 else f"D{nation}-N{nation}"
+        yield booking % 25, booking, code
+
+
 def broadcast_rows(spark, frame):
     counted = rows_out(spark, lambda: frame.write.format("noop").mode("overwrite").save())
     return max((rows for name, _, rows in counted if name == "BroadcastExchange"), default=0)
@@ -62,6 +73,14 @@ def test_terms_of_a_small_file_are_not_broadcast(spark, folder, name):
     assert broadcast_rows(spark, found) <= 100
 
 
+def test_destination_code_broadcasts_no_terms(spark, folder):
+    found = QUERIES["destination_code"](spark, folder)
+    expected = sorted(codes_of_bookings())
+    assert len({code for _, _, code in expected[1::2]}) > 5
+    assert sorted(map(tuple, found.collect())) == expected
+    assert broadcast_rows(spark, found) <= 100
+
+
 def test_exploded_tables_are_not_judged_by_their_files(spark, folder):
     parts = spark.read.parquet(f"{folder}/part.parquet")
     terms = parts.select("p_partkey", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("term"))
