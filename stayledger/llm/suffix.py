@@ -19,6 +19,8 @@ SHARD = 1 << 24
 HOT = 2048
 # Pieces of a group that one task merges; larger groups are cut into windows.
 MOST_PIECES = 20_000
+# Pieces of one suffix array, which takes about a kB of a worker's memory for each.
+ARRAY = 2_500
 LARGEST = (1 << 63) - 1
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
@@ -301,17 +303,23 @@ def _range_rows(d: np.ndarray, tag: np.ndarray, start: np.ndarray, n: np.ndarray
     return pa.RecordBatch.from_arrays(columns, PIECE_NAMES)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
 def _merge(batches: Iterator[pa.RecordBatch], most: int | None = None) -> Iterator[pa.RecordBatch]:
     """Ranges of windows that occur earlier, from pieces sorted by (value, sub, d, tag, start).
 
-    Each batch is a shard with a suffix array of its own. Pieces of one group (value, sub) that run on into the next
-    batch are merged with it by binary search: the sorted windows seen so far are carried along. A group of more than
+    Every ARRAY pieces are a shard with a suffix array of its own. Pieces of one group (value, sub) that run on into the next
+    shard are merged with it by binary search: the sorted windows seen so far are carried along. A group of more than
     ``most`` pieces is not merged here but cut into its windows, for another pass that deals them out by their bytes.
     """
     carried_key, carried, last = None, None, None
     held: list[tuple] = []  # the carried group's pieces, as long as they are few
     parted = False  # whether the carried group is being cut
-    for batch in batches:
+    for batch in _slices(batches, ARRAY):
         value, sub, d, tag, start, n = (batch[c].to_numpy() for c in PIECE_NAMES[:-1])
         pieces = batch["piece"].to_pylist()
         out = [np.flatnonzero(sub == -1)]

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import duckdb
@@ -281,6 +282,21 @@ def test_repeated_bytes_of_odd_rows(spark):
     assert left[0]["n_chars"] < 90 and left[1]["text"].endswith("x") and left[2]["text"] is None and left[1]["d"] == "x0"
 
 
+def test_merging_holds_few_pieces_at_once():
+    pick = np.random.default_rng(4)
+    rows = []
+    for group in range(4000):
+        whole = pick.bytes(179)
+        rows += [(group, 0, 2 * group, 0, 0, 40, whole[:139]), (group, 0, 2 * group + 1, 0, 0, 40, whole[20:159])]
+    batch = suffix._piece_batch(rows)
+    tracemalloc.start()
+    found = [tuple(r[c] for c in ("d", "start", "n")) for out in suffix._merge(iter([batch])) for r in out.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sorted(found) == [(2 * group + 1, 0, 20) for group in range(4000)]
+    assert peak < 60e6
+
+
 def test_suffix_array_and_common_prefixes():
     pick = random.Random(8)
     for _ in range(60):
