@@ -65,14 +65,15 @@ class Index:
         return codes, np.sqrt((left**2).sum(axis=1))
 
     def probes(self, unit: np.ndarray, threshold: float, width: float) -> np.ndarray:
-        """(vector, list) of the lists that may hold a vector within the threshold of each one.
+        """(vector, list) of the lists to visit so that of two vectors within the threshold one visits the other's list.
 
-        A vector as near as the threshold lies within the distance r. Its list's centre can be preferred to the own
-        one if r moves it over the plane between the two, which is certain to cover all at full width, the square
-        root of the dimensions; the part of a random direction towards the plane is smaller by that root, and
-        ``width`` of its standard deviations are allowed for.
+        Such vectors lie within the distance r, and the plane between the centres of their lists lies between them. What
+        the two are away from it adds up to r at most, so one of them is within half of r: each need look no farther, for
+        it is found by the other then. That is certain to cover all at full width, the square root of the dimensions; the
+        part of a random direction towards the plane is smaller by that root, and ``width`` of its standard deviations
+        are allowed for.
         """
-        r = np.sqrt(2 - 2 * threshold) * min(1.0, width / np.sqrt(unit.shape[1]))
+        r = np.sqrt(2 - 2 * threshold) * min(1.0, width / np.sqrt(unit.shape[1])) / 2
         half = 0.5 * (self.centres**2).sum(axis=1)
         score = unit @ self.centres.T - half
         own = score.argmax(axis=1)

@@ -134,3 +134,25 @@ def test_codes_bound_the_cosine():
     codes, missing = index.encode(unit, lists)
     coded = np.concatenate([book[codes[:, i]] for i, book in enumerate(index.books)], axis=1) + index.centres[lists]
     assert (np.abs(unit @ unit.T - unit @ coded.T) <= missing + 1e-9).all()
+
+
+def test_one_of_two_near_vectors_visits_the_other_with_few_visits():
+    pick = np.random.default_rng(2)
+    unit = pick.normal(size=(4000, 64))
+    unit /= np.sqrt((unit**2).sum(axis=1, keepdims=True))
+    aside = pick.normal(size=unit.shape)
+    aside -= (aside * unit).sum(axis=1, keepdims=True) * unit
+    near = 0.95 * unit + np.sqrt(1 - 0.95**2) * aside / np.sqrt((aside**2).sum(axis=1, keepdims=True))
+    index = embeddings.Index(embeddings.Index.fit(unit, 80))
+    homes = [embeddings.nearest(points, index.centres) for points in (unit, near)]
+    apart = homes[0] != homes[1]
+    assert apart.sum() > 500
+
+    def found(width):
+        visits = [index.probes(points, 0.95, width) for points in (unit, near)]
+        every = np.arange(len(unit))
+        return visits[0][every, homes[1]] | visits[1][every, homes[0]], visits[0].sum(axis=1).mean()
+
+    assert found(8.0)[0].all()
+    either, visits = found(embeddings.PROBE_WIDTH)
+    assert either.mean() > 0.999 and visits < 8
