@@ -30,20 +30,45 @@ def in_created_range(header: DataFrame, start: str, end: str) -> DataFrame:
     return header.filter(created.between(*bounds) & (F.col("seq_reserva") > 0))
 
 
-def with_operator_and_market(header: DataFrame, operators: Lookup, countries: Lookup) -> DataFrame:
-    """Attach the tour operator, and the country of the client or else of the operator's market.
-
-    Bookings without an operator or a country are dropped.
-    """
-    sold = operators.select(F.col("seq_ttoo").alias("gtto_seq_ttoo"), "nom_corto_ttoo", "gpai_cod_pais_mercado").join(
+def with_operator(header: DataFrame, operators: Lookup) -> DataFrame:
+    """Attach the tour operator; bookings without one are dropped."""
+    return operators.select(F.col("seq_ttoo").alias("gtto_seq_ttoo"), "nom_corto_ttoo", "gpai_cod_pais_mercado").join(
         header, ["gtto_seq_ttoo"]
     )
+
+
+def with_market(sold: DataFrame, countries: Lookup) -> DataFrame:
+    """Attach the country of the client or else of the operator's market; bookings without one are dropped."""
     sold = sold.withColumn("source_market", F.coalesce("cod_pais_cliente", "gpai_cod_pais_mercado"))
     return countries.select(F.col("cod_pais").alias("source_market"), F.col("cod_iso").alias("source_market_iso")).join(
         sold, ["source_market"]
     )
 
 
+def with_operator_and_market(header: DataFrame, operators: Lookup, countries: Lookup) -> DataFrame:
+    """Attach the tour operator, and the country of the client or else of the operator's market.
+
+    Bookings without an operator or a country are dropped.
+    """
+    return with_market(with_operator(header, operators), countries)
+
+
+def operator_beside(rows: DataFrame, header: DataFrame, operators: Lookup) -> DataFrame:
+    """``with_operator`` of rows that are laid out by booking, for operators too large to broadcast.
+
+    ``rows`` are the bookings of ``header`` with more columns. What moves to the operators and back are the bookings'
+    numbers and what is found for them, not the rows. Every row must have its office, for it is matched by equality.
+    """
+    found = with_operator(header.select(*KEY, "gtto_seq_ttoo").distinct(), operators)
+    found = found.withColumnsRenamed({"gtto_seq_ttoo": "_operator"} | {name: f"_{name}" for name in KEY})
+    # A booking number that comes twice may have two operators. As a plain equality that test would be one more key of
+    # the join, which in Spark's default settings moves the rows again.
+    same = F.col("gtto_seq_ttoo").between(F.col("_operator"), F.col("_operator"))
+    for name in KEY:
+        same = same & (F.col(name) == F.col(f"_{name}"))
+    return rows.join(found, same).drop("_operator", *(f"_{name}" for name in KEY))
+
+
 def with_receptives(header: DataFrame, receptives: Lookup) -> DataFrame:
     """Attach one dimension in two roles: the operating (``_re``) and the invoicing (``_rf``) office."""
 
